@@ -23,22 +23,18 @@ from pyspark.sql import functions as F
 
 from totelane.functions import fixed
 from totelane.functions.locations import order_destination
+from totelane.operators.measures import Measures
 from totelane.operators.picks import pick_lines
-from totelane.operators.skew import HotKeys, hot_keys, spread_join
-from totelane.settings import PUTAWAY, SINGLE, SkewSettings
-from totelane.sources.warehouse import Warehouse
+from totelane.operators.skew import HotKeys, spread_join
+from totelane.settings import PUTAWAY, SINGLE
+from totelane.sources.warehouse import Warehouse, open_items
 
 ITEM_LEVELS = (1, 4, 5, 6)
 TOTE_LEVELS = (2, 3)
 LAST_LEVEL = 7
 
 
-def open_items(warehouse: Warehouse) -> DataFrame:
-    """What lies in which tote; rows without a tote cannot be routed, see ``rejected_rows``."""
-    return warehouse.tote_detail.filter(F.col("tote_key").isNotNull())
-
-
-def level_rows(warehouse: Warehouse, levels: Sequence[int], skew: SkewSettings) -> DataFrame:
+def level_rows(warehouse: Warehouse, levels: Sequence[int], hot_lines: HotKeys) -> DataFrame:
     """``key``, ``level``, ``location_key`` (NULL where a row has no location)."""
 
     def moves(kind: str, location: str) -> DataFrame:
@@ -48,7 +44,7 @@ def level_rows(warehouse: Warehouse, levels: Sequence[int], skew: SkewSettings)
 
     def rows(level: int) -> DataFrame:
         if level == 1:
-            return pick_lines(warehouse, skew).withColumnRenamed("order_key", "key")
+            return pick_lines(warehouse, hot_lines).withColumnRenamed("order_key", "key")
         if level == 2:
             return moves(fixed.REPLENISH, "to_location_key")
         if level in (3, 4):
@@ -98,12 +94,9 @@ def _wanted(states: Sequence[str]) -> list[int]:
     return picks + (list(range(2, LAST_LEVEL + 1)) if PUTAWAY in states else [])
 
 
-def _hot_items(items: DataFrame, states: Sequence[str], skew: SkewSettings):
-    """Items, made distinct if a key is hot (copies would all land on one split), and the
-    hot keys per column."""
-    columns = ["inventory_key"] + (["tote_key"] if PUTAWAY in states else [])
-    hot = hot_keys(items, columns, skew)
-    return (items.distinct() if any(hot.values()) else items), hot
+def _distinct_if_hot(items: DataFrame, hot: dict[str, HotKeys]) -> DataFrame:
+    """Copies of an item would all land on one split of a hot key."""
+    return items.distinct() if any(hot.values()) else items
 
 
 def _fallback(
@@ -125,20 +118,19 @@ def _fallback(
     )
 
 
-def item_zones(
-    warehouse: Warehouse, zones, states: Sequence[str], skew: SkewSettings
-) -> DataFrame:
+def item_zones(warehouse: Warehouse, states: Sequence[str], measures: Measures) -> DataFrame:
     """Per item in a tote: ``zones`` (distinct, not empty unless ``spread``), ``spread``.
 
     Locations become zones before totes are joined, so that what is joined to an item is as
     short as the list of zones, however many pick lines its order has.
     """
-    items, hot = _hot_items(open_items(warehouse), states, skew)
+    zones, hot = measures.zones, measures.items
+    items = _distinct_if_hot(open_items(warehouse), hot)
     wanted = _wanted(states)
     item_levels = ITEM_LEVELS if PUTAWAY in states else (1,)
 
     def summary(levels: Sequence[int], key: str) -> DataFrame:
-        rows = zones.add_to(level_rows(warehouse, levels, skew))
+        rows = zones.add_to(level_rows(warehouse, levels, measures.lines))
         return _levels_by_key(rows, levels, key, with_zones=True)
 
     by_item = summary(item_levels, "inventory_key")
@@ -167,13 +159,15 @@ def item_zones(
 
 
 def tote_destinations(
-    warehouse: Warehouse, states: Sequence[str], skew: SkewSettings
+    warehouse: Warehouse,
+    states: Sequence[str],
+    hot_lines: HotKeys,
+    hot: dict[str, HotKeys],
 ) -> DataFrame:
     """Distinct ``tote_key``, ``inventory_key``, ``tote_state``, ``dest_level``, ``location_key``."""
     items = open_items(warehouse).select("tote_key", "inventory_key").distinct()
-    hot = hot_keys(items, ["inventory_key", "tote_key"], skew)
-    by_item_rows = level_rows(warehouse, ITEM_LEVELS, skew)
-    by_tote_rows = level_rows(warehouse, TOTE_LEVELS, skew)
+    by_item_rows = level_rows(warehouse, ITEM_LEVELS, hot_lines)
+    by_tote_rows = level_rows(warehouse, TOTE_LEVELS, hot_lines)
     everything = _fallback(
         items,
         _levels_by_key(by_item_rows, ITEM_LEVELS, "inventory_key", with_zones=False),

@@ -7,21 +7,29 @@ from pyspark.sql import functions as F
 
 from totelane.functions import fixed
 from totelane.functions.locations import pick_location
-from totelane.operators.skew import hot_keys, spread_join
+from totelane.operators.skew import HotKeys, hot_keys, spread_join
 from totelane.settings import SkewSettings
 from totelane.sources.warehouse import Warehouse
 
 
-def pick_lines(warehouse: Warehouse, skew: SkewSettings) -> DataFrame:
+def order_lines(warehouse: Warehouse) -> DataFrame:
+    return warehouse.trans_detail.filter(F.col("order_key") > "")
+
+
+def hot_transactions(warehouse: Warehouse, skew: SkewSettings) -> HotKeys:
+    return hot_keys(order_lines(warehouse), ["tran_id"], skew)["tran_id"]
+
+
+def pick_lines(warehouse: Warehouse, hot: HotKeys) -> DataFrame:
     """Lines of pick transactions with an order: ``order_key``, ``location_key`` after the
     pick rules. Not distinct; every use collapses the rows anyway.
 
     A transaction only says whether a line counts, so this is a semi join.
     """
-    lines = warehouse.trans_detail.filter(F.col("order_key") > "")
+    lines = order_lines(warehouse)
     picks = warehouse.trans.filter(F.col("tran_type") == fixed.PICK).select("tran_id")
-    hot = hot_keys(lines, ["tran_id"], skew)["tran_id"]
     if hot:
+        # Copies of a line would all land on one split.
         lines, picks = lines.distinct(), picks.distinct()
     joined = spread_join(
         lines, picks, "tran_id", "left_semi", hot, ["order_key", "location_key"]
@@ -29,5 +37,5 @@ def pick_lines(warehouse: Warehouse, skew: SkewSettings) -> DataFrame:
     return joined.select("order_key", pick_location(F.col("location_key")).alias("location_key"))
 
 
-def pick_locations(warehouse: Warehouse, skew: SkewSettings) -> DataFrame:
-    return pick_lines(warehouse, skew).distinct()
+def pick_locations(warehouse: Warehouse, hot: HotKeys) -> DataFrame:
+    return pick_lines(warehouse, hot).distinct()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,19 +9,20 @@ from totelane.functions import fixed
 from totelane.functions.locations import spread_zone
 from totelane.functions.routes import rewrite_route, route_chute, route_noncon
 from totelane.operators.destinations import item_zones
-from totelane.operators.zones import ZoneLookup
+from totelane.operators.measures import Measures
 from totelane.settings import RouterSettings
 from totelane.sources.warehouse import Warehouse
 
 
-def tote_zone_sets(warehouse: Warehouse, settings: RouterSettings) -> DataFrame:
+def tote_zone_sets(
+    warehouse: Warehouse, settings: RouterSettings, measures: Measures
+) -> DataFrame:
     """Per open tote: ``tote_key``, ``tote_id`` as spelled, ``zones`` sorted and distinct.
 
     A tote keeps at most one entry per zone, in the tasks that read its items as well as
     after the shuffle, so a tote with very many items stays small.
     """
-    zones = ZoneLookup(warehouse, settings.skew)
-    items = item_zones(warehouse, zones, settings.states, settings.skew)
+    items = item_zones(warehouse, settings.states, measures)
     own = F.array(spread_zone(F.col("tote_key"), settings.random_mode))
     listed = F.when(F.col("spread"), F.concat("zones", own)).otherwise(F.col("zones"))
     return (
@@ -54,10 +53,11 @@ def planned_routes(routes: DataFrame) -> DataFrame:
     )
 
 
-def spread_totes(warehouse: Warehouse, states: Sequence[str], settings: RouterSettings) -> DataFrame:
+def spread_totes(
+    warehouse: Warehouse, settings: RouterSettings, measures: Measures
+) -> DataFrame:
     """Totes with goods at a RANDOM location and the zone they get in either mode."""
-    zones = ZoneLookup(warehouse, settings.skew)
-    items = item_zones(warehouse, zones, states, settings.skew)
+    items = item_zones(warehouse, settings.states, measures)
     tote = F.col("tote_key")
     return (
         items.filter("spread")

@@ -8,9 +8,11 @@ a key the sketch misses is joined like any other.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from totelane.settings import SkewSettings
@@ -21,6 +23,13 @@ _TRACKED = 10_000
 _LEFT_JOINS = ("inner", "left", "left_semi", "left_anti")
 
 
+def together(spark: SparkSession, *jobs: Callable) -> list:
+    """Results of small jobs that do not depend on each other, run at the same time."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in started]
+
+
 def hot_keys(df: DataFrame, columns: Sequence[str], skew: SkewSettings) -> dict[str, HotKeys]:
     """Per column, its hot keys and the number of splits each should get.
 

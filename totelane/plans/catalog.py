@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from totelane.functions import fixed
 from totelane.functions.locations import order_destination, zone_by_rule
 from totelane.functions.routes import rewrite_route, route_chute
-from totelane.operators import destinations, dispatch, picks, routes, state, zones
+from totelane.operators import destinations, dispatch, measures, picks, routes, state, zones
+from totelane.operators.skew import together
 from totelane.plans.run import RoutingRun
 from totelane.settings import PUTAWAY, SINGLE, RouterSettings
 from totelane.sources import testdata
@@ -40,7 +41,8 @@ def _moves(spark: SparkSession, sf_dir: str, kind: str, location: str) -> DataFr
 
 
 def pick_locations(spark, sf_dir):
-    return picks.pick_locations(testdata.warehouse(spark, sf_dir), SETTINGS.skew)
+    wh = testdata.warehouse(spark, sf_dir)
+    return picks.pick_locations(wh, picks.hot_transactions(wh, SETTINGS.skew))
 
 
 def replenishments(spark, sf_dir):
@@ -59,8 +61,13 @@ def order_destinations(spark, sf_dir):
 
 
 def tote_destinations(spark, sf_dir):
-    wh = testdata.warehouse(spark, sf_dir)
-    return destinations.tote_destinations(wh, ALL_STATES.states, SETTINGS.skew)
+    wh, states, skew = testdata.warehouse(spark, sf_dir), ALL_STATES.states, ALL_STATES.skew
+    lines, items = together(
+        spark,
+        lambda: picks.hot_transactions(wh, skew),
+        lambda: measures.hot_items(wh, states, skew),
+    )
+    return destinations.tote_destinations(wh, states, lines, items)
 
 
 def destination_levels(spark, sf_dir):
@@ -81,8 +88,8 @@ def zone_rules(spark, sf_dir):
 
 
 def random_zone_spread(spark, sf_dir):
-    wh = testdata.warehouse(spark, sf_dir)
-    return routes.spread_totes(wh, ALL_STATES.states, ALL_STATES)
+    run = _run(spark, sf_dir, ALL_STATES)
+    return routes.spread_totes(run.warehouse, run.settings, run.measures)
 
 
 def tote_zones(spark, sf_dir):

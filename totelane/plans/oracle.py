@@ -7,89 +7,36 @@ duplicates at the end, while the DataFrame code reduces every level first.
 from __future__ import annotations
 
 from totelane.functions import fixed
-from totelane.sources.testdata import AS_OF
+from totelane.sources.testdata import AS_OF, view_texts
 
 _AS_OF = f"TIMESTAMP '{AS_OF.isoformat(sep=' ')}'"
 
 
-def _location(n: str) -> str:
-    aisle = (
-        f"'1' || chr(CAST(85 + {n} % 4 AS INT)) || chr(CAST(65 + ({n} * 7) % 26 AS INT)) || '-' "
-        f"|| lpad(CAST({n} % 97 AS VARCHAR), 2, '0')"
-    )
-    return f"""CASE
-        WHEN {n} % 20 < 8 AND {n} % 3 = 0 THEN lower({aisle})
-        WHEN {n} % 20 < 8 THEN {aisle}
-        WHEN {n} % 20 = 8 THEN 'WW-01'
-        WHEN {n} % 20 = 9 THEN 'yy-02'
-        WHEN {n} % 20 = 10 THEN lpad(CAST({n} % 89 AS VARCHAR), 2, '0') || '-10'
-        WHEN {n} % 20 = 11 THEN '9A-01'
-        WHEN {n} % 20 < 17 THEN 'MZ-' || lpad(CAST({n} % 50 AS VARCHAR), 2, '0')
-        WHEN {n} % 20 = 17 THEN 'RANDOM'
-        WHEN {n} % 100 = 18 THEN 'Packing'
-        WHEN {n} % 20 = 18 THEN '9B-01'
-        WHEN {n} % 100 = 19 THEN NULL
-        WHEN {n} % 100 = 39 THEN 'HOSP-01'
-        ELSE 'MZ-77' END"""
+_VIEWS = {f"raw_{name}": text for name, text in view_texts("TIMESTAMP").items()}
 
-
-def _zone(n: str) -> str:
-    return (
-        f"CASE WHEN {n} = 20 THEN 'Hospital' "
-        f"ELSE chr(CAST(65 + floor({n} / 5) AS INT)) || chr(CAST(65 + {n} % 5 AS INT)) END"
-    )
-
-
-_TABLES = f"""
+_TABLES = ",\n".join(f"{name} AS ({text})" for name, text in _VIEWS.items()) + """,
 trans AS (
-    SELECT o_orderkey AS tran_id,
-        upper(CASE WHEN o_orderkey % 10 < 6 THEN 'pick' WHEN o_orderkey % 10 = 6 THEN 'PICK'
-            WHEN o_orderkey % 10 = 7 THEN 'repl' ELSE 'putaway' END) AS tran_type,
-        CASE WHEN o_orderkey % 10 = 9 THEN 'O' ELSE 'T' END || o_orderkey AS inventory_key,
-        upper({_location('o_custkey')}) AS to_location_key,
-        upper({_location('(o_custkey + 1)')}) AS location_key
-    FROM orders),
+    SELECT tran_id, upper(trim(tran_type)) AS tran_type, upper(trim(inventory_id)) AS inventory_key,
+        upper(trim(to_location_id)) AS to_location_key, upper(trim(location_id)) AS location_key
+    FROM raw_trans),
 trans_detail AS (
-    SELECT l_orderkey AS tran_id,
-        CASE WHEN l_orderkey % 50 = 44 THEN '' ELSE 'O' || l_orderkey END AS order_key,
-        upper({_location('l_partkey')}) AS location_key
-    FROM lineitem WHERE l_linestatus = 'O'),
-tote_rows AS (
-    SELECT DISTINCT
-        CASE WHEN l_orderkey % 997 = 5 THEN NULL
-            WHEN l_orderkey % 997 = 6 THEN 'T'
-            WHEN l_orderkey % 10 = 1 THEN 'T' || (l_orderkey - 1)
-            WHEN l_orderkey % 11 = 0 THEN 't' || l_orderkey || ' '
-            ELSE 'T' || l_orderkey END AS tote_text,
-        CASE WHEN l_orderkey % 10 = 8 AND l_linenumber = 1 THEN 'P' || l_partkey
-            ELSE 'O' || l_orderkey END AS inventory_key
-    FROM lineitem),
+    SELECT tran_id, upper(trim(order_id)) AS order_key, upper(trim(location_id)) AS location_key
+    FROM raw_trans_detail),
 tote_detail AS (
-    SELECT trim(tote_text) AS tote_id, upper(trim(tote_text)) AS tote_key, inventory_key
-    FROM tote_rows),
+    SELECT trim(tote_id) AS tote_id, upper(trim(tote_id)) AS tote_key,
+        upper(trim(inventory_id)) AS inventory_key
+    FROM raw_tote_detail),
 wh_orders AS (
-    SELECT 'O' || o_orderkey AS order_key,
-        CASE o_orderstatus WHEN 'F' THEN 'PICKED' WHEN 'O' THEN 'OPEN' END AS status
-    FROM orders),
+    SELECT upper(trim(order_id)) AS order_key, upper(trim(status)) AS status FROM raw_wh_orders),
 multi_home_loc AS (
-    SELECT 'P' || p_partkey AS product_key, upper({_location('(p_partkey + 3)')}) AS location_key
-    FROM part WHERE p_partkey % 2 = 0),
-zone AS (
-    SELECT {_zone('n_nationkey')} AS zone_id,
-        CASE WHEN n_regionkey = 4 THEN 0 ELSE 1 END AS picking
-    FROM nation),
+    SELECT upper(trim(product_id)) AS product_key, upper(trim(home_loc_id)) AS location_key
+    FROM raw_multi_home_loc),
+zone AS (SELECT zone_id, picking FROM raw_zone),
 zone_locations AS (
-    SELECT upper({_location('p_partkey')}) AS location_key,
-        CASE WHEN p_partkey % 100 = 39 THEN 'Hospital' ELSE {_zone('(p_partkey % 20)')} END AS zone_id
-    FROM part WHERE p_partkey % 20 BETWEEN 12 AND 16 OR p_partkey % 100 = 39),
+    SELECT upper(trim(location_id)) AS location_key, zone_id FROM raw_zone_locations),
 tote_router AS (
-    SELECT o_orderkey + 1 AS id, 'T' || o_orderkey AS tote_id, 'T' || o_orderkey AS tote_key,
-        CASE o_orderkey % 4 WHEN 0 THEN '-' WHEN 1 THEN 'FB' WHEN 2 THEN 'hb' END AS route,
-        CAST(3 AS INT) AS chute,
-        CAST(CASE WHEN o_orderkey % 5 = 0 THEN 4 ELSE 0 END AS INT) AS noncon,
-        CASE WHEN o_orderstatus <> 'P'
-            THEN {_AS_OF} - INTERVAL '1' MINUTE * CAST(o_orderkey % 121 AS INT) END AS routed_date
-    FROM orders WHERE o_orderkey % 10 <> 1 AND o_orderkey % 3 <> 0)"""
+    SELECT id, tote_id, upper(trim(tote_id)) AS tote_key, route, chute, noncon, routed_date
+    FROM raw_tote_router)"""
 
 _PICKS = """
 tdpick AS (
@@ -252,7 +199,7 @@ _REPORT = "SELECT tote_key, tote_id, origroute, route, chute, noncon FROM prerou
 
 
 def _sql(parts: list[str], select: str) -> str:
-    return "WITH" + ",".join(parts) + "\n" + select.strip()
+    return "WITH " + ",".join(parts) + "\n" + select.strip()
 
 
 ORACLE: dict[str, str] = {

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from totelane.operators import dispatch, reconcile, routes, state as stored
+from totelane.operators.measures import Measures, measure
 from totelane.operators.numbering import number_rows
 from totelane.session import durable
 from totelane.settings import RouterSettings
@@ -40,9 +41,13 @@ class RoutingRun:
     def _path(self, name: str) -> str | None:
         return f"{self.folder}/{name}" if self.folder else None
 
+    @cached_property
+    def measures(self) -> Measures:
+        return measure(self.warehouse, self.settings)
+
     @cached_property
     def zone_sets(self) -> DataFrame:
-        return routes.tote_zone_sets(self.warehouse, self.settings)
+        return routes.tote_zone_sets(self.warehouse, self.settings, self.measures)
 
     @cached_property
     def tote_zones(self) -> DataFrame:

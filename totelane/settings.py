@@ -18,7 +18,7 @@ class SkewSettings:
     executor; a larger one is joined by shuffle.
     """
 
-    min_rows: int = 1_000_000
+    min_rows: int = 10_000
     broadcast_rows: int = 500_000
     broadcast_bytes: int = 64 * 1024 * 1024
 

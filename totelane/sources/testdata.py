@@ -1,139 +1,133 @@
-"""The warehouse tables modelled as views over the supplied Parquet tables."""
+"""The warehouse tables modelled as views over the supplied Parquet tables.
+
+The view texts run unchanged in Spark SQL and in the engine that checks the results.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from totelane.sources.warehouse import Warehouse, canonical_state
 
 AS_OF = datetime(2014, 1, 15, 12, 0, 0)
 
-
-def _text(prefix: str, column: str) -> Column:
-    return F.concat(F.lit(prefix), F.col(column).cast("string"))
+# Only the columns the views use; a given schema saves a job per table to find it out.
+_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_linestatus string",
+    "part": "p_partkey bigint",
+    "nation": "n_nationkey int, n_regionkey int",
+}
 
 
-def _digits(number: Column, modulus: int) -> Column:
-    return F.lpad((number % modulus).cast("string"), 2, "0")
+def _digits(number: str, modulus: int) -> str:
+    return f"lpad(CAST({number} % {modulus} AS STRING), 2, '0')"
 
 
-def _location(number: Column) -> Column:
+def _location(number: str) -> str:
     """Location code derived from a number; every rule of the router is reached."""
-    aisle = F.concat(
-        F.lit("1"),
-        F.char(85 + number % 4),
-        F.char(65 + (number * 7) % 26),
-        F.lit("-"),
-        _digits(number, 97),
-    )
-    slot = number % 20
-    return (
-        F.when((slot < 8) & (number % 3 == 0), F.lower(aisle))
-        .when(slot < 8, aisle)
-        .when(slot == 8, F.lit("WW-01"))
-        .when(slot == 9, F.lit("yy-02"))
-        .when(slot == 10, F.concat(_digits(number, 89), F.lit("-10")))
-        .when(slot == 11, F.lit("9A-01"))
-        .when(slot < 17, F.concat(F.lit("MZ-"), _digits(number, 50)))
-        .when(slot == 17, F.lit("RANDOM"))
-        .when(number % 100 == 18, F.lit("Packing"))
-        .when(slot == 18, F.lit("9B-01"))
-        .when(number % 100 == 19, F.lit(None))
-        .when(number % 100 == 39, F.lit("HOSP-01"))
-        .otherwise(F.lit("MZ-77"))
+    aisle = (
+        f"concat('1', chr(CAST(85 + {number} % 4 AS INT)), "
+        f"chr(CAST(65 + ({number} * 7) % 26 AS INT)), '-', {_digits(number, 97)})"
     )
+    return f"""CASE
+        WHEN {number} % 20 < 8 AND {number} % 3 = 0 THEN lower({aisle})
+        WHEN {number} % 20 < 8 THEN {aisle}
+        WHEN {number} % 20 = 8 THEN 'WW-01'
+        WHEN {number} % 20 = 9 THEN 'yy-02'
+        WHEN {number} % 20 = 10 THEN concat({_digits(number, 89)}, '-10')
+        WHEN {number} % 20 = 11 THEN '9A-01'
+        WHEN {number} % 20 < 17 THEN concat('MZ-', {_digits(number, 50)})
+        WHEN {number} % 20 = 17 THEN 'RANDOM'
+        WHEN {number} % 100 = 18 THEN 'Packing'
+        WHEN {number} % 20 = 18 THEN '9B-01'
+        WHEN {number} % 100 = 19 THEN NULL
+        WHEN {number} % 100 = 39 THEN 'HOSP-01'
+        ELSE 'MZ-77' END"""
 
 
-def _zone(number: Column) -> Column:
-    letters = F.concat(F.char(65 + F.floor(number / 5)), F.char(65 + number % 5))
-    return F.when(number == 20, F.lit("Hospital")).otherwise(letters)
+def _zone(number: str) -> str:
+    return f"""CASE WHEN {number} = 20 THEN 'Hospital'
+        ELSE concat(chr(CAST(65 + floor({number} / 5) AS INT)),
+            chr(CAST(65 + {number} % 5 AS INT))) END"""
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The seven tables in the form the warehouse database would give them."""
+def _text(prefix: str, column: str) -> str:
+    return f"concat('{prefix}', CAST({column} AS STRING))"
+
+
+def _moment(timestamp_type: str) -> str:
+    return f"{timestamp_type} '{AS_OF.isoformat(sep=' ')}'"
 
-    def parquet(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    order, line, part = F.col("o_orderkey"), F.col("l_orderkey"), F.col("p_partkey")
-    last_digit = order % 10
-    orders, lineitem, parts = parquet("orders"), parquet("lineitem"), parquet("part")
-    zoned = (part % 20).between(12, 16) | (part % 100 == 39)
+def view_texts(timestamp_type: str = "TIMESTAMP_NTZ") -> dict[str, str]:
+    """SELECT text per warehouse table."""
     return {
-        "trans": orders.select(
-            order.alias("tran_id"),
-            F.when(last_digit < 6, "pick")
-            .when(last_digit == 6, "PICK")
-            .when(last_digit == 7, "repl")
-            .otherwise("putaway")
-            .alias("tran_type"),
-            F.when(last_digit == 9, _text("O", "o_orderkey"))
-            .otherwise(_text("T", "o_orderkey"))
-            .alias("inventory_id"),
-            _location(F.col("o_custkey")).alias("to_location_id"),
-            _location(F.col("o_custkey") + 1).alias("location_id"),
-        ),
-        "trans_detail": lineitem.filter(F.col("l_linestatus") == "O").select(
-            line.alias("tran_id"),
-            F.when(line % 50 == 44, "").otherwise(_text("O", "l_orderkey")).alias("order_id"),
-            _location(F.col("l_partkey")).alias("location_id"),
-        ),
-        "tote_detail": lineitem.select(
-            F.when(line % 997 == 5, F.lit(None))
-            .when(line % 997 == 6, "T")
-            .when(line % 10 == 1, F.concat(F.lit("T"), (line - 1).cast("string")))
-            .when(line % 11 == 0, F.concat(_text("t", "l_orderkey"), F.lit(" ")))
-            .otherwise(_text("T", "l_orderkey"))
-            .alias("tote_id"),
-            F.when(
-                (line % 10 == 8) & (F.col("l_linenumber") == 1), _text("P", "l_partkey")
-            )
-            .otherwise(_text("O", "l_orderkey"))
-            .alias("inventory_id"),
-        ).distinct(),
-        "orders": orders.select(
-            _text("O", "o_orderkey").alias("order_id"),
-            F.when(F.col("o_orderstatus") == "F", "picked")
-            .when(F.col("o_orderstatus") == "O", "open")
-            .alias("status"),
-        ),
-        "multi_home_loc": parts.filter(part % 2 == 0).select(
-            _text("P", "p_partkey").alias("product_id"), _location(part + 3).alias("home_loc_id")
-        ),
-        "zone": parquet("nation").select(
-            _zone(F.col("n_nationkey")).alias("zone_id"),
-            F.when(F.col("n_regionkey") == 4, 0).otherwise(1).alias("picking"),
-        ),
-        "zone_locations": parts.filter(zoned).select(
-            _location(part).alias("location_id"),
-            F.when(part % 100 == 39, "Hospital").otherwise(_zone(part % 20)).alias("zone_id"),
-        ),
+        "trans": f"""SELECT o_orderkey AS tran_id,
+            CASE WHEN o_orderkey % 10 < 6 THEN 'pick' WHEN o_orderkey % 10 = 6 THEN 'PICK'
+                WHEN o_orderkey % 10 = 7 THEN 'repl' ELSE 'putaway' END AS tran_type,
+            CASE WHEN o_orderkey % 10 = 9 THEN {_text('O', 'o_orderkey')}
+                ELSE {_text('T', 'o_orderkey')} END AS inventory_id,
+            {_location('o_custkey')} AS to_location_id,
+            {_location('(o_custkey + 1)')} AS location_id
+            FROM orders""",
+        "trans_detail": f"""SELECT l_orderkey AS tran_id,
+            CASE WHEN l_orderkey % 50 = 44 THEN '' ELSE {_text('O', 'l_orderkey')} END AS order_id,
+            {_location('l_partkey')} AS location_id
+            FROM lineitem WHERE l_linestatus = 'O'""",
+        "tote_detail": f"""SELECT DISTINCT
+            CASE WHEN l_orderkey % 997 = 5 THEN NULL
+                WHEN l_orderkey % 997 = 6 THEN 'T'
+                WHEN l_orderkey % 10 = 1 THEN {_text('T', '(l_orderkey - 1)')}
+                WHEN l_orderkey % 11 = 0 THEN concat({_text('t', 'l_orderkey')}, ' ')
+                ELSE {_text('T', 'l_orderkey')} END AS tote_id,
+            CASE WHEN l_orderkey % 10 = 8 AND l_linenumber = 1 THEN {_text('P', 'l_partkey')}
+                ELSE {_text('O', 'l_orderkey')} END AS inventory_id
+            FROM lineitem""",
+        "wh_orders": f"""SELECT {_text('O', 'o_orderkey')} AS order_id,
+            CASE o_orderstatus WHEN 'F' THEN 'picked' WHEN 'O' THEN 'open' END AS status
+            FROM orders""",
+        "multi_home_loc": f"""SELECT {_text('P', 'p_partkey')} AS product_id,
+            {_location('(p_partkey + 3)')} AS home_loc_id
+            FROM part WHERE p_partkey % 2 = 0""",
+        "zone": f"""SELECT {_zone('n_nationkey')} AS zone_id,
+            CASE WHEN n_regionkey = 4 THEN 0 ELSE 1 END AS picking
+            FROM nation""",
+        "zone_locations": f"""SELECT {_location('p_partkey')} AS location_id,
+            CASE WHEN p_partkey % 100 = 39 THEN 'Hospital' ELSE {_zone('(p_partkey % 20)')} END
+                AS zone_id
+            FROM part WHERE p_partkey % 20 BETWEEN 12 AND 16 OR p_partkey % 100 = 39""",
+        "tote_router": f"""SELECT o_orderkey + 1 AS id, {_text('T', 'o_orderkey')} AS tote_id,
+            CASE o_orderkey % 4 WHEN 0 THEN '-' WHEN 1 THEN 'FB' WHEN 2 THEN 'hb' END AS route,
+            3 AS chute,
+            CASE WHEN o_orderkey % 5 = 0 THEN 4 ELSE 0 END AS noncon,
+            CASE WHEN o_orderstatus <> 'P' THEN {_moment(timestamp_type)}
+                - INTERVAL '1' MINUTE * CAST(o_orderkey % 121 AS INT) END AS routed_date
+            FROM orders WHERE o_orderkey % 10 <> 1 AND o_orderkey % 3 <> 0""",
     }
 
 
+def _view(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """The SELECT over the one supplied table that it names after its last FROM."""
+    name = text.rsplit("FROM ", 1)[1].split()[0]
+    table = spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return spark.sql(text.replace(f"FROM {name}", "FROM {table}"), table=table)
+
+
+def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The seven tables in the form the warehouse database would give them."""
+    texts = view_texts()
+    texts["orders"] = texts.pop("wh_orders")
+    del texts["tote_router"]
+    return {name: _view(spark, sf_dir, text) for name, text in texts.items()}
+
+
 def state_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored routes at the start of the run."""
-    order = F.col("o_orderkey")
-    minutes = F.make_dt_interval(mins=(order % 121).cast("int"))
-    sent = F.lit(AS_OF.isoformat(sep=" ")).cast("timestamp_ntz") - minutes
-    return (
-        spark.read.parquet(f"{sf_dir}/orders.parquet")
-        .filter((order % 10 != 1) & (order % 3 != 0))
-        .select(
-            (order + 1).alias("id"),
-            _text("T", "o_orderkey").alias("tote_id"),
-            F.when(order % 4 == 0, "-")
-            .when(order % 4 == 1, "FB")
-            .when(order % 4 == 2, "hb")
-            .alias("route"),
-            F.lit(3).alias("chute"),
-            F.when(order % 5 == 0, 4).otherwise(0).alias("noncon"),
-            F.when(F.col("o_orderstatus") != "P", sent).alias("routed_date"),
-        )
-    )
+    return _view(spark, sf_dir, view_texts()["tote_router"])
 
 
 def acknowledge(outbox: DataFrame) -> DataFrame:

@@ -91,6 +91,12 @@ class Warehouse:
         return replace(self, **frames)
 
 
+def open_items(warehouse: Warehouse) -> DataFrame:
+    """What lies in which tote. Rows without a tote cannot be routed; they are reported as
+    rejected rows instead."""
+    return warehouse.tote_detail.filter(F.col("tote_key").isNotNull())
+
+
 def canonical_state(state: DataFrame) -> DataFrame:
     """State rows as stored, plus the key their tote is matched on."""
     columns = schemas.TOTE_ROUTER.fieldNames()
