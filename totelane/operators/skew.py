@@ -43,7 +43,7 @@ def hot_keys(df: DataFrame, columns: Sequence[str], skew: SkewSettings) -> dict[
         for name in columns
     ]
     found = df.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
-    share = max(skew.min_rows, found["_rows"] // partitions)
+    share = max(1, skew.min_rows, found["_rows"] // partitions)
     return {
         name: [
             (top["item"], -(-top["count"] // share))

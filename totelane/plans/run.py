@@ -166,3 +166,17 @@ def run_once(
     highest = run.inserts.agg(F.max("id")).first()[0]
     after = store.commit(before, run.marked(acks), run_id, highest or run.last_id)
     return RunResult(run_id, after.version, attempt)
+
+
+def no_answers(outbox: DataFrame) -> DataFrame:
+    """For a conveyor that answers later: nothing is accepted yet, see ``record_answers``."""
+    return outbox.select("id", "tote_id", F.lit(0).alias("status")).filter(F.lit(False))
+
+
+def record_answers(store: StateStore, acks: DataFrame, settings: RouterSettings, run_id: str) -> int:
+    """Mark the routes the conveyor accepted since the last snapshot; the new version."""
+    before = store.latest()
+    if store.has_run(run_id):
+        return before.version
+    marked = dispatch.mark_routed(before.state, acks, settings.as_of)
+    return store.commit(before, marked, run_id, before.last_id).version
