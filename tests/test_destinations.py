@@ -162,7 +162,7 @@ def test_zone_map_takes_the_last_picking_zone(warehouse):
             ("L5", "XX"),
         ],
     )
-    assert as_set(location_zone_map(wh)) == {("L1", "ab"), ("L4", "JD")}
+    assert as_set(location_zone_map(wh, NO_SPLITS)) == {("L1", "ab"), ("L4", "JD")}
 
 
 def test_zone_lookup_keeps_rows_without_location(warehouse, spark):

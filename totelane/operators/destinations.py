@@ -94,11 +94,6 @@ def _wanted(states: Sequence[str]) -> list[int]:
     return picks + (list(range(2, LAST_LEVEL + 1)) if PUTAWAY in states else [])
 
 
-def _distinct_if_hot(items: DataFrame, hot: dict[str, HotKeys]) -> DataFrame:
-    """Copies of an item would all land on one split of a hot key."""
-    return items.distinct() if any(hot.values()) else items
-
-
 def _fallback(
     items: DataFrame,
     by_item: DataFrame,
@@ -107,15 +102,9 @@ def _fallback(
 ) -> DataFrame:
     """Items beside the levels of their order or product and of their tote."""
     if by_tote is None:
-        return spread_join(
-            items, by_item, "inventory_key", "inner", hot["inventory_key"], ["tote_key"]
-        )
-    beside_items = spread_join(
-        items, by_item, "inventory_key", "left", hot["inventory_key"], ["tote_key"]
-    )
-    return spread_join(
-        beside_items, by_tote, "tote_key", "left", hot["tote_key"], ["inventory_key"]
-    )
+        return spread_join(items, by_item, "inventory_key", "inner", hot["inventory_key"])
+    beside_items = spread_join(items, by_item, "inventory_key", "left", hot["inventory_key"])
+    return spread_join(beside_items, by_tote, "tote_key", "left", hot["tote_key"])
 
 
 def item_zones(warehouse: Warehouse, states: Sequence[str], measures: Measures) -> DataFrame:
@@ -125,7 +114,7 @@ def item_zones(warehouse: Warehouse, states: Sequence[str], measures: Measures)
     short as the list of zones, however many pick lines its order has.
     """
     zones, hot = measures.zones, measures.items
-    items = _distinct_if_hot(open_items(warehouse), hot)
+    items = open_items(warehouse)
     wanted = _wanted(states)
     item_levels = ITEM_LEVELS if PUTAWAY in states else (1,)
 
@@ -197,9 +186,7 @@ def tote_destinations(
         ),
     )
     both = hot["inventory_key"] + hot["tote_key"]
-    matched = spread_join(
-        keyed, located, ["key", "dest_level"], "inner", _largest(both), ["tote_key", "inventory_key"]
-    )
+    matched = spread_join(keyed, located, ["key", "dest_level"], "inner", _largest(both))
     last = wishes.filter(F.col("dest_level") == LAST_LEVEL).withColumn(
         "location_key", F.lit(fixed.HOSPITAL_LOCATION)
     )

@@ -55,7 +55,7 @@ def accepted(acks: DataFrame) -> DataFrame:
 def failed_dispatches(outbox: DataFrame, acks: DataFrame) -> DataFrame:
     """Routes sent without success, for whatever reason; the next run sends them again."""
     sent = outbox.filter(F.col("id").isNotNull()).select("id", "tote_id", "path", "chute")
-    return sent.join(accepted(acks).select("id"), "id", "left_anti")
+    return sent.join(accepted(acks).select("id").distinct(), "id", "left_anti")
 
 
 def mark_routed(state: DataFrame, acks: DataFrame, as_of: datetime) -> DataFrame:

@@ -22,7 +22,7 @@ class Measures:
 def hot_items(warehouse: Warehouse, states: Sequence[str], skew) -> dict[str, HotKeys]:
     """Hot orders and products, and hot totes where totes are joined on too."""
     columns = ["inventory_key"] + (["tote_key"] if PUTAWAY in states else [])
-    return hot_keys(open_items(warehouse), columns, skew)
+    return hot_keys(open_items(warehouse), columns, skew)[0]
 
 
 def measure(warehouse: Warehouse, settings: RouterSettings) -> Measures:

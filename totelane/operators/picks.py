@@ -17,23 +17,18 @@ def order_lines(warehouse: Warehouse) -> DataFrame:
 
 
 def hot_transactions(warehouse: Warehouse, skew: SkewSettings) -> HotKeys:
-    return hot_keys(order_lines(warehouse), ["tran_id"], skew)["tran_id"]
+    return hot_keys(order_lines(warehouse), ["tran_id"], skew)[0]["tran_id"]
 
 
 def pick_lines(warehouse: Warehouse, hot: HotKeys) -> DataFrame:
     """Lines of pick transactions with an order: ``order_key``, ``location_key`` after the
     pick rules. Not distinct; every use collapses the rows anyway.
 
-    A transaction only says whether a line counts, so this is a semi join.
+    A transaction only says whether a line counts, so this is a semi join, and copies of a
+    transaction are collapsed where they are read.
     """
-    lines = order_lines(warehouse)
-    picks = warehouse.trans.filter(F.col("tran_type") == fixed.PICK).select("tran_id")
-    if hot:
-        # Copies of a line would all land on one split.
-        lines, picks = lines.distinct(), picks.distinct()
-    joined = spread_join(
-        lines, picks, "tran_id", "left_semi", hot, ["order_key", "location_key"]
-    )
+    picks = warehouse.trans.filter(F.col("tran_type") == fixed.PICK).select("tran_id").distinct()
+    joined = spread_join(order_lines(warehouse), picks, "tran_id", "left_semi", hot)
     return joined.select("order_key", pick_location(F.col("location_key")).alias("location_key"))
 
 

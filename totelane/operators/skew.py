@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from totelane.settings import SkewSettings
@@ -20,6 +20,7 @@ from totelane.settings import SkewSettings
 HotKeys = list[tuple[str | int | None, int]]
 
 _TRACKED = 10_000
+_MOST_TRACKED = 1_000_000
 _LEFT_JOINS = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -30,21 +31,24 @@ def together(spark: SparkSession, *jobs: Callable) -> list:
         return [job.result() for job in started]
 
 
-def hot_keys(df: DataFrame, columns: Sequence[str], skew: SkewSettings) -> dict[str, HotKeys]:
-    """Per column, its hot keys and the number of splits each should get.
+def hot_keys(
+    df: DataFrame, columns: Sequence[str], skew: SkewSettings, *extra: Column
+) -> tuple[dict[str, HotKeys], Row]:
+    """Per column, its hot keys and the number of splits each should get; beside it a row
+    with the ``extra`` aggregates, which come from the same pass.
 
     With P shuffle partitions at most P keys can hold more than 1/P of the rows each, so
     the lists are short whatever the size of ``df``.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top, tracked = min(partitions, _TRACKED), max(_TRACKED, 10 * partitions)
+    top = min(partitions, _MOST_TRACKED)
+    tracked = min(max(_TRACKED, 10 * partitions), _MOST_TRACKED)
     sketches = [
-        F.expr(f"approx_top_k(`{name}`, {top}, {min(tracked, 1_000_000)})").alias(name)
-        for name in columns
+        F.expr(f"approx_top_k(`{name}`, {top}, {tracked})").alias(name) for name in columns
     ]
-    found = df.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
+    found = df.agg(F.count(F.lit(1)).alias("_rows"), *sketches, *extra).first()
     share = max(1, skew.min_rows, found["_rows"] // partitions)
-    return {
+    hot = {
         name: [
             (top["item"], -(-top["count"] // share))
             for top in found[name] or []
@@ -52,18 +56,18 @@ def hot_keys(df: DataFrame, columns: Sequence[str], skew: SkewSettings) -> dict[
         ]
         for name in columns
     }
+    return hot, found
 
 
 def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str | Sequence[str],
-    how: str,
-    hot: HotKeys,
-    spread_by: Sequence[str],
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str, hot: HotKeys
 ) -> DataFrame:
-    """Join on the columns ``on``; the hot values of the first one are split on the left by
-    the hash of ``spread_by``."""
+    """Join on the columns ``on``; the hot values of the first one are split on the left.
+
+    Rows are split by the hash of their other columns and, since copies of a row agree in
+    these, of the partition they are read in. A task that is run again reads the same
+    partition and splits it the same way.
+    """
     if how not in _LEFT_JOINS:
         raise ValueError(f"cannot split keys of a {how} join")
     names = [on] if isinstance(on, str) else list(on)
@@ -71,18 +75,19 @@ def spread_join(
         return left.join(right, names, how)
 
     first = names[0]
+    others = [name for name in left.columns if name not in names]
     kind = left.schema[first].dataType.simpleString()
     named = [(key, splits) for key, splits in hot if key is not None]
     blanks = next((splits for key, splits in hot if key is None), 1)
     # As many rows as there are hot keys, see hot_keys.
     splits = F.broadcast(
-        left.sparkSession.createDataFrame(named, f"{first} {kind}, _splits int")
+        left.sparkSession.createDataFrame(named, f"{first} {kind}, _splits bigint")
     )
     ways = F.when(F.col(first).isNull(), F.lit(blanks)).otherwise(
         F.coalesce("_splits", F.lit(1))
     )
     salted = left.join(splits, first, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread_by), ways).cast("int")
+        "_salt", F.pmod(F.xxhash64(*others, F.spark_partition_id()), ways)
     )
     repeated = right.join(splits, first, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1))
@@ -118,9 +123,8 @@ class Lookup:
         self.table, self.on, self.skew = table, on, skew
         self.small = fits_broadcast(table, skew)
 
-    def add_to(self, rows: DataFrame) -> DataFrame:
+    def add_to(self, rows: DataFrame, how: str = "left") -> DataFrame:
         if self.small:
-            return rows.join(F.broadcast(self.table), self.on, "left")
-        hot = hot_keys(rows, [self.on], self.skew)[self.on]
-        others = [name for name in rows.columns if name != self.on]
-        return spread_join(rows, self.table, self.on, "left", hot, others)
+            return rows.join(F.broadcast(self.table), self.on, how)
+        hot, _ = hot_keys(rows, [self.on], self.skew)
+        return spread_join(rows, self.table, self.on, how, hot[self.on])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from totelane.functions import fixed
 from totelane.functions.routes import completion_chute
-from totelane.operators.skew import hot_keys, spread_join
+from totelane.operators.skew import HotKeys, hot_keys, spread_join
 from totelane.settings import SkewSettings
 
 
@@ -31,15 +32,26 @@ def expired_totes(state: DataFrame, as_of: datetime) -> DataFrame:
     return expired_routes(state, as_of).select("tote_key").distinct()
 
 
-def without_totes(state: DataFrame, totes: DataFrame, skew: SkewSettings) -> DataFrame:
+@dataclass(frozen=True)
+class StateMeasures:
+    hot: HotKeys
+    last_id: int
+
+
+def measure_state(state: DataFrame, skew: SkewSettings) -> StateMeasures:
+    """Totes with very many rows, and the highest id in use."""
+    hot, found = hot_keys(state, ["tote_key"], skew, F.max("id").alias("last_id"))
+    return StateMeasures(hot["tote_key"], found["last_id"] or 0)
+
+
+def without_totes(state: DataFrame, totes: DataFrame, hot: HotKeys) -> DataFrame:
     """``state`` less all rows of the given totes."""
-    hot = hot_keys(state, ["tote_key"], skew)["tote_key"]
-    kept = spread_join(state, totes, "tote_key", "left_anti", hot, ["id"])
+    kept = spread_join(state, totes, "tote_key", "left_anti", hot)
     return kept.select(*state.columns)
 
 
-def state_after_purge(state: DataFrame, as_of: datetime, skew: SkewSettings) -> DataFrame:
-    return without_totes(state, expired_totes(state, as_of), skew)
+def state_after_purge(state: DataFrame, as_of: datetime, hot: HotKeys) -> DataFrame:
+    return without_totes(state, expired_totes(state, as_of), hot)
 
 
 def pending_routes(state: DataFrame) -> DataFrame:

@@ -15,20 +15,22 @@ from totelane.sources.warehouse import Warehouse
 _RULE_SPELLING = [zone for _, _, zone in fixed.FLOOR_ZONES] + list(fixed.SPREAD_ZONES)
 
 
-def location_zone_map(warehouse: Warehouse) -> DataFrame:
+def location_zone_map(warehouse: Warehouse, skew: SkewSettings) -> DataFrame:
     """``location_key``, ``zone``: the last zone, by name, with picking at each location."""
+    spelled = F.when(
+        F.col("zone_key").isin(*_RULE_SPELLING), F.col("zone_key")
+    ).otherwise(F.col("zone"))
     picking = (
         warehouse.zone.filter(F.col("picking") == 1)
+        .withColumn("zone", spelled)
         .groupBy("zone_key")
         .agg(F.min("zone").alias("zone"))
     )
-    spelled = F.when(
-        F.col("zone_key").isin(*_RULE_SPELLING), F.col("zone_key")
-    ).otherwise(F.col("zone"))
     return (
-        warehouse.zone_locations.join(picking, "zone_key")
+        Lookup(picking, "zone_key", skew)
+        .add_to(warehouse.zone_locations, "inner")
         .groupBy("location_key")
-        .agg(F.max(F.struct("zone_key", spelled.alias("zone"))).alias("last"))
+        .agg(F.max(F.struct("zone_key", "zone")).alias("last"))
         .select("location_key", F.col("last.zone").alias("zone"))
     )
 
@@ -37,7 +39,7 @@ class ZoneLookup:
     """Adds the zone of each row's ``location_key``."""
 
     def __init__(self, warehouse: Warehouse, skew: SkewSettings):
-        table = location_zone_map(warehouse).filter(F.col("location_key").isNotNull())
+        table = location_zone_map(warehouse, skew).filter(F.col("location_key").isNotNull())
         self._table = table
         self._lookup = Lookup(
             table.withColumnRenamed("zone", "listed_zone"), "location_key", skew

@@ -79,7 +79,7 @@ def destination_levels(spark, sf_dir):
 
 
 def location_zone_map(spark, sf_dir):
-    return zones.location_zone_map(testdata.warehouse(spark, sf_dir))
+    return zones.location_zone_map(testdata.warehouse(spark, sf_dir), SETTINGS.skew)
 
 
 def zone_rules(spark, sf_dir):
@@ -149,9 +149,9 @@ def pending_routes(spark, sf_dir):
 
 
 def state_after_purge(spark, sf_dir):
-    return state.state_after_purge(
-        testdata.state(spark, sf_dir), SETTINGS.as_of, SETTINGS.skew
-    ).select(*STATE_COLUMNS)
+    rows = testdata.state(spark, sf_dir)
+    hot = state.measure_state(rows, SETTINGS.skew).hot
+    return state.state_after_purge(rows, SETTINGS.as_of, hot).select(*STATE_COLUMNS)
 
 
 def stored_route_lookup(spark, sf_dir):

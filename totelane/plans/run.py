@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from totelane.operators import dispatch, reconcile, routes, state as stored
 from totelane.operators.measures import Measures, measure
 from totelane.operators.numbering import number_rows
+from totelane.operators.skew import together
 from totelane.session import durable
 from totelane.settings import RouterSettings
 from totelane.sources.state_store import StateStore
@@ -32,7 +33,7 @@ class RoutingRun:
         warehouse: Warehouse,
         state: DataFrame,
         settings: RouterSettings,
-        last_id: int | None = None,
+        last_id: int = 0,
         folder: str | None = None,
     ):
         self.warehouse, self.state, self.settings = warehouse, state, settings
@@ -45,6 +46,10 @@ class RoutingRun:
     def measures(self) -> Measures:
         return measure(self.warehouse, self.settings)
 
+    @cached_property
+    def state_measures(self) -> stored.StateMeasures:
+        return stored.measure_state(self.state, self.settings.skew)
+
     @cached_property
     def zone_sets(self) -> DataFrame:
         return routes.tote_zone_sets(self.warehouse, self.settings, self.measures)
@@ -76,14 +81,15 @@ class RoutingRun:
     @cached_property
     def settled(self) -> DataFrame:
         """``reconciled`` written once, new rows numbered first and in order of tote."""
+        spark = self.state.sparkSession
+        together(spark, lambda: self.measures, lambda: self.state_measures)
         order = [F.when(reconcile.makes_new_row(), 0).otherwise(1).asc(), F.col("tote_key").asc()]
         return number_rows(self.reconciled, order, "position", self._path("reconciled"))
 
-    @cached_property
+    @property
     def last_id(self) -> int:
         """Highest id in use before the run."""
-        highest = self.state.agg(F.max("id")).first()[0] or 0
-        return max(highest, self._last_id or 0)
+        return max(self.state_measures.last_id, self._last_id)
 
     @cached_property
     def inserts(self) -> DataFrame:
@@ -92,7 +98,7 @@ class RoutingRun:
     @cached_property
     def next_state(self) -> DataFrame:
         removed = reconcile.removed_totes(self.settled, self.expired)
-        kept = stored.without_totes(self.state, removed, self.settings.skew)
+        kept = stored.without_totes(self.state, removed, self.state_measures.hot)
         return kept.unionByName(self.inserts)
 
     @cached_property
