@@ -1,0 +1,183 @@
+"""Purge, reconciliation and dispatch on hand-made rows."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+
+from tests.conftest import AS_OF, as_set
+from totelane.operators import dispatch, state
+from totelane.plans.run import RoutingRun
+from totelane.settings import RouterSettings, SkewSettings
+
+FRESH = AS_OF - timedelta(minutes=5)
+OLD = AS_OF - timedelta(minutes=61)
+HOUR = AS_OF - timedelta(hours=1)
+
+PICKS = {
+    "trans": [(1, "pick", None, None, None)],
+    "trans_detail": [
+        (1, "OFB", "1UA-1"), (1, "OHB", "1VG-1"), (1, "ONC", "WW-1"), (1, "OPACK", "Packing"),
+    ],
+}
+
+
+@pytest.fixture
+def run(warehouse, stored):
+    def make(items, *rows, skew=SkewSettings()):
+        wh = warehouse(tote_detail=items, **PICKS)
+        return RoutingRun(wh, stored(*rows), RouterSettings(AS_OF, skew=skew))
+
+    return make
+
+
+def actions(run):
+    return {r["tote_key"]: r["action"] for r in run.reconciled.collect()}
+
+
+def test_expiry_is_strict_and_spares_pending_rows(stored):
+    rows = stored(
+        (1, "T1", "FB", 3, 0, OLD), (2, "T2", "FB", 3, 0, HOUR),
+        (3, "T3", "FB", 3, 0, None), (4, "T4", "FB", 3, 0, HOUR - timedelta(microseconds=1)),
+    )
+    assert {r["id"] for r in state.expired_routes(rows, AS_OF).collect()} == {1, 4}
+
+
+@pytest.mark.parametrize("hot", [[], [("T1", 3)]])
+def test_purge_takes_all_rows_of_a_tote(stored, hot):
+    rows = stored(
+        (1, "T1", "FB", 3, 0, OLD), (2, "t1 ", "FB", 3, 0, FRESH), (3, "T2", "FB", 3, 0, FRESH),
+        (4, None, "FB", 3, 0, OLD),
+    )
+    kept = state.state_after_purge(rows, AS_OF, hot)
+    assert {r["id"] for r in kept.collect()} == {3, 4}
+
+
+def test_every_action(run):
+    items = [("T1", "OFB"), ("T2", "OFB"), ("T3", "OFB"), ("T4", "OFB"), ("T5", "OFB"), ("T6", "OFB")]
+    found = run(
+        items,
+        (2, "T2", "fb", 3, 0, FRESH),
+        (3, "T3", None, 3, 0, FRESH),
+        (4, "T4", "HB", 3, 0, FRESH),
+        (5, "T5", "", 3, 0, FRESH),
+        (6, "T6", "FB", 3, 0, OLD),
+        (7, "T7", "FB", 3, 0, FRESH),
+        (8, "T8", "FB", 3, 4, None),
+    )
+    assert actions(found) == {
+        "T1": "INSERT", "T2": "KEEP", "T3": "INSERT_ON_BLANK", "T4": "REPLACE",
+        "T5": "INSERT_ON_BLANK", "T6": "INSERT", "T7": "COMPLETE", "T8": "COMPLETE",
+    }
+    chutes = {r["tote_key"]: r["chute"] for r in found.reconciled.collect()}
+    assert (chutes["T7"], chutes["T8"], chutes["T1"]) == (1, 4, 3)
+
+
+def test_a_blank_route_of_spaces_is_replaced(run):
+    assert actions(run([("T1", "OFB")], (1, "T1", "  ", 3, 0, FRESH))) == {"T1": "REPLACE"}
+
+
+def test_changed_flag_alone_is_kept(run):
+    assert actions(run([("T1", "OFB")], (1, "T1", "FB", 4, 4, FRESH))) == {"T1": "KEEP"}
+
+
+def test_the_newest_row_of_a_tote_counts(run):
+    found = run(
+        [("T1", "OFB")], (1, "T1", None, 3, 0, FRESH), (9, "T1", "FB", 3, 0, FRESH), (5, "T1", "HB", 3, 0, FRESH)
+    )
+    assert actions(found) == {"T1": "KEEP"}
+
+
+def test_short_ids_are_left_alone_but_count_as_open(run):
+    found = run([("T", "OFB"), ("x", "OFB")], (1, "T", "HB", 3, 0, FRESH), (2, "U", "HB", 3, 0, FRESH))
+    assert actions(found) == {"U": "COMPLETE"}
+    assert {r["id"] for r in found.next_state.collect()} == {1}
+
+
+def test_case_and_blanks_do_not_part_a_tote_from_its_route(run):
+    assert actions(run([(" t1\t", "ofb ")], (1, "T1 ", "FB", 3, 0, FRESH))) == {"T1": "KEEP"}
+
+
+def test_next_state_and_ids(run):
+    items = [("T4", "OFB"), ("T1", "OHB"), ("T3", "OFB"), ("T2", "OFB")]
+    found = run(
+        items,
+        (10, "T2", "FB", 3, 0, FRESH),
+        (11, "T3", None, 3, 0, None),
+        (12, "T4", "HB", 3, 0, FRESH),
+        (13, "T4", "JB", 3, 0, FRESH),
+        (14, "T9", "HB", 3, 0, FRESH),
+        (15, "T8", "HB", 3, 0, OLD),
+    )
+    rows = {(r["id"], r["tote_id"], r["route"], r["chute"], r["noncon"], r["routed_date"])
+            for r in found.next_state.collect()}
+    assert rows == {
+        (10, "T2", "FB", 3, 0, FRESH),
+        (11, "T3", None, 3, 0, None),
+        (16, "T1", "HB", 3, 0, None),
+        (17, "T3", "FB", 3, 0, None),
+        (18, "T4", "FB", 3, 0, None),
+    }
+
+
+def test_outbox_order_messages_and_answers(run, spark):
+    found = run(
+        [("T1", "OFB"), ("T2", "ONC"), ("T2", "OPACK"), ("T3", "OFB")],
+        (5, "T3", "FB", 3, 0, None),
+        (6, "T8", "FB", 3, 4, FRESH),
+        (7, "T7", "FB", 3, 0, FRESH),
+        (8, "T1", None, 3, 0, None),
+    )
+    sent = found.outbox.orderBy("seq").collect()
+    assert [(r["seq"], r["kind"], r["id"], r["tote_id"], r["path"], r["chute"]) for r in sent] == [
+        (1, "COMPLETION", None, "T7", "-", 1),
+        (2, "COMPLETION", None, "T8", "-", 4),
+        (3, "ROUTE", 5, "T3", "FB", 3),
+        (4, "ROUTE", 9, "T1", "FB", 3),
+        (5, "ROUTE", 10, "T2", "-", 4),
+    ]
+    assert json.loads(sent[4]["payload"]) == {"tote": "T2", "path": "-", "chute": 4}
+
+    acks = spark.createDataFrame(
+        [(5, "t3 ", 201), (5, "T3", 201), (9, "T1", 200), (10, "other", 201)],
+        "id long, tote_id string, status int",
+    )
+    dates = {r["id"]: r["routed_date"] for r in found.marked(acks).collect()}
+    assert dates == {5: AS_OF, 8: None, 9: None, 10: None}
+    assert found.marked(acks).count() == 4
+    failed = dispatch.failed_dispatches(found.outbox, acks)
+    assert {r["id"] for r in failed.collect()} == {9}
+    events = {r["event"]: r["n"] for r in found.summary(acks).collect()}
+    assert events == {
+        "COMPLETE": 2, "INSERT": 1, "INSERT_ON_BLANK": 1, "KEEP": 1, "DISPATCHED": 3,
+        "ROUTED": 3, "FAILED": 1, "HELD_WITHOUT_ROUTE": 1,
+    }
+
+
+def test_nameless_rows_are_reported_and_do_not_stop_the_run(run):
+    found = run([(None, "OFB"), ("T1", "OFB")], (3, None, "FB", 3, 0, FRESH))
+    rejected = state.rejected_rows(found.warehouse.tote_detail, found.state)
+    assert as_set(rejected) == {("tote_detail", "OFB"), ("tote_router", "3")}
+    assert actions(found) == {"T1": "INSERT"}
+    assert {r["id"] for r in found.next_state.collect()} == {3, 4}
+
+
+def test_lost_completions(run):
+    found = run([("T1", "OFB")], (1, "T1", "FB", 3, 0, OLD), (2, "T2", "FB", 3, 0, OLD), (3, "T3", "FB", 3, 0, FRESH))
+    assert as_set(state.lost_completions(found.expired, found.zone_sets)) == {("T2",)}
+
+
+def test_split_keys_change_nothing(run):
+    items = [(f"T{n}", "OFB") for n in range(40)] + [("T1", f"O{n}") for n in range(40)]
+    rows = [(n, "T1" if n % 3 == 0 else f"T{n}", "HB", 3, 0, FRESH) for n in range(60)]
+    plain, split = run(items, *rows), run(items, *rows, skew=SkewSettings(min_rows=0, broadcast_rows=0))
+    assert split.measures.items["inventory_key"] and split.state_measures.hot
+    assert as_set(plain.next_state) == as_set(split.next_state)
+
+
+def test_settings_need_a_time():
+    with pytest.raises(TypeError):
+        RouterSettings()
+    assert RouterSettings(datetime(2014, 1, 1)).states == ("SINGLE",)
