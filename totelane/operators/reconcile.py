@@ -55,15 +55,8 @@ def route_reconcile(zone_sets: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
 
-def makes_new_row():
-    return F.col("action").isin(*NEW_ROW_ACTIONS)
-
-
-def state_inserts(numbered: DataFrame, last_id: int) -> DataFrame:
-    """Rows to add to the state. ``position`` counts new rows first, in order of tote, so
-    ids go on from ``last_id`` without a gap."""
-    return numbered.filter(makes_new_row()).select(
-        (F.col("position") + F.lit(last_id)).alias("id"),
+def new_rows(reconciled: DataFrame) -> DataFrame:
+    return reconciled.filter(F.col("action").isin(*NEW_ROW_ACTIONS)).select(
         "tote_id",
         "route",
         "chute",
@@ -73,6 +66,13 @@ def state_inserts(numbered: DataFrame, last_id: int) -> DataFrame:
     )
 
 
+def state_inserts(placed: DataFrame, last_id: int) -> DataFrame:
+    """New state rows; ids go on from ``last_id`` without a gap."""
+    return placed.select((F.col("position") + F.lit(last_id)).alias("id"), *placed.columns).drop(
+        "position"
+    )
+
+
 def removed_totes(reconciled: DataFrame, expired: DataFrame) -> DataFrame:
     """Totes whose rows leave the state. A tote that expired is stored no more, so the two
     parts overlap at most in re-planned totes, which an anti join does not mind."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,11 @@ from totelane.functions.routes import rewrite_route, route_chute
 from totelane.operators import destinations, dispatch, measures, picks, routes, state, zones
 from totelane.operators.skew import together
 from totelane.plans.run import RoutingRun
+from totelane.session import shared_folder
 from totelane.settings import PUTAWAY, SINGLE, RouterSettings
 from totelane.sources import testdata
+from totelane.sources.state_store import StateStore
+from totelane.streaming.router import REQUESTS, start_router
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +57,10 @@ def putaways(spark, sf_dir):
     return _moves(spark, sf_dir, fixed.PUT_AWAY, "location_key")
 
 
+def home_locations(spark, sf_dir):
+    return testdata.warehouse(spark, sf_dir).multi_home_loc.distinct()
+
+
 def order_destinations(spark, sf_dir):
     orders = testdata.warehouse(spark, sf_dir).orders
     return orders.select(
@@ -197,6 +205,10 @@ def dispatch_outbox(spark, sf_dir):
     )
 
 
+def accepted_answers(spark, sf_dir):
+    return dispatch.accepted(testdata.acknowledge(_run(spark, sf_dir).outbox))
+
+
 def failed_dispatches(spark, sf_dir):
     outbox = _run(spark, sf_dir).outbox
     return dispatch.failed_dispatches(outbox, testdata.acknowledge(outbox))
@@ -212,10 +224,34 @@ def run_summary(spark, sf_dir):
     return run.summary(testdata.acknowledge(run.outbox))
 
 
+def streamed_run(spark, sf_dir):
+    """The state after the stored routes went through one run started by the stream."""
+    folder = f"{shared_folder(spark)}/totelane/{uuid.uuid4().hex}"
+    store = StateStore(spark, f"{folder}/store")
+    stored = testdata.state(spark, sf_dir)
+    highest = state.measure_state(stored, SETTINGS.skew).last_id
+    store.commit(store.latest(), stored, "start", highest)
+    request = spark.createDataFrame([("run", SETTINGS.as_of, sf_dir)], REQUESTS)
+    request.coalesce(1).write.json(f"{folder}/requests")
+    query = start_router(
+        spark,
+        f"{folder}/requests",
+        f"{folder}/store",
+        f"{folder}/runs",
+        f"{folder}/progress",
+        SETTINGS,
+        testdata.acknowledge,
+        read_extract=testdata.warehouse,
+    )
+    query.awaitTermination()
+    return store.latest().state.select(*STATE_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     "pick_locations": pick_locations,
     "replenishments": replenishments,
     "putaways": putaways,
+    "home_locations": home_locations,
     "order_destinations": order_destinations,
     "tote_destinations": tote_destinations,
     "destination_levels": destination_levels,
@@ -243,7 +279,9 @@ QUERIES: dict[str, Query] = {
     "state_inserts": state_inserts,
     "next_state": next_state,
     "dispatch_outbox": dispatch_outbox,
+    "accepted_answers": accepted_answers,
     "failed_dispatches": failed_dispatches,
     "mark_routed": mark_routed,
     "run_summary": run_summary,
+    "streamed_run": streamed_run,
 }

@@ -214,6 +214,9 @@ ORACLE: dict[str, str] = {
         "SELECT DISTINCT inventory_key, location_key FROM trans "
         "WHERE tran_type = 'PUTAWAY' AND inventory_key > ''",
     ),
+    "home_locations": _sql(
+        [_TABLES], "SELECT DISTINCT product_key, location_key FROM multi_home_loc"
+    ),
     "order_destinations": _sql(
         [_TABLES],
         "SELECT DISTINCT order_key, CASE WHEN status IS NULL THEN NULL "
@@ -299,12 +302,14 @@ ORACLE: dict[str, str] = {
     "dispatch_outbox": _sql(
         _EFFECTS, "SELECT seq, kind, id, tote_id, path, chute, payload FROM outbox"
     ),
+    "accepted_answers": _sql(_EFFECTS, "SELECT id, tote_id FROM acks WHERE status = 201"),
     "failed_dispatches": _sql(
         _EFFECTS,
         "SELECT o.id, o.tote_id, o.path, o.chute FROM outbox o JOIN acks a ON o.id = a.id "
         "WHERE a.status <> 201",
     ),
     "mark_routed": _sql(_EFFECTS, f"SELECT {_STATE_COLUMNS} FROM marked"),
+    "streamed_run": _sql(_EFFECTS, f"SELECT {_STATE_COLUMNS} FROM marked"),
     "run_summary": _sql(
         _EFFECTS,
         """SELECT event, count(*) AS n FROM (

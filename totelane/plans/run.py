@@ -23,9 +23,9 @@ from totelane.sources.warehouse import Warehouse
 class RoutingRun:
     """The frames of one run, each built on first use.
 
-    Frames are lazy, except that the reconciled totes and the outbox are written once when
-    their numbers are needed: ids and sequence numbers must not change between two uses.
-    ``folder`` keeps these two tables for audit; without it they go to the shared folder.
+    Frames are lazy, except for three that are written once: the reconciled totes, which
+    several frames start from, and the new rows and the outbox, whose numbers must not change
+    between two uses. ``folder`` keeps them for audit; without it they go to the shared folder.
     """
 
     def __init__(
@@ -80,11 +80,10 @@ class RoutingRun:
 
     @cached_property
     def settled(self) -> DataFrame:
-        """``reconciled`` written once, new rows numbered first and in order of tote."""
+        """``reconciled`` written once: four later frames start from it."""
         spark = self.state.sparkSession
         together(spark, lambda: self.measures, lambda: self.state_measures)
-        order = [F.when(reconcile.makes_new_row(), 0).otherwise(1).asc(), F.col("tote_key").asc()]
-        return number_rows(self.reconciled, order, "position", self._path("reconciled"))
+        return durable(self.reconciled, self._path("reconciled"))
 
     @property
     def last_id(self) -> int:
@@ -93,7 +92,11 @@ class RoutingRun:
 
     @cached_property
     def inserts(self) -> DataFrame:
-        return reconcile.state_inserts(self.settled, self.last_id)
+        """New rows with their ids, in order of tote. They start from the written table,
+        because sorting reads its input twice."""
+        rows = reconcile.new_rows(self.settled)
+        placed = number_rows(rows, [F.col("tote_key").asc()], "position", self._path("inserts"))
+        return reconcile.state_inserts(placed, self.last_id)
 
     @cached_property
     def next_state(self) -> DataFrame:
@@ -137,7 +140,7 @@ class RoutingRun:
 
 @dataclass(frozen=True)
 class RunResult:
-    """``folder`` holds the tables ``reconciled``, ``outbox``, ``acks`` and ``summary``."""
+    """``folder`` holds ``reconciled``, ``inserts``, ``outbox``, ``acks`` and ``summary``."""
 
     run_id: str
     version: int
