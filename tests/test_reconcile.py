@@ -141,7 +141,10 @@ def test_outbox_order_messages_and_answers(run, spark):
     assert json.loads(sent[4]["payload"]) == {"tote": "T2", "path": "-", "chute": 4}
 
     acks = spark.createDataFrame(
-        [(5, "t3 ", 201), (5, "T3", 201), (9, "T1", 200), (10, "other", 201)],
+        [
+            (5, "t3 ", 201), (5, "T3", 201), (9, "T1", 200), (10, "other", 201),
+            (None, "t7", 201), (None, "T8", 500),
+        ],
         "id long, tote_id string, status int",
     )
     dates = {r["id"]: r["routed_date"] for r in found.marked(acks).collect()}
@@ -152,7 +155,7 @@ def test_outbox_order_messages_and_answers(run, spark):
     events = {r["event"]: r["n"] for r in found.summary(acks).collect()}
     assert events == {
         "COMPLETE": 2, "INSERT": 1, "INSERT_ON_BLANK": 1, "KEEP": 1, "DISPATCHED": 3,
-        "ROUTED": 3, "FAILED": 1, "HELD_WITHOUT_ROUTE": 1,
+        "ROUTED": 3, "FAILED": 1, "COMPLETION_FAILED": 1, "HELD_WITHOUT_ROUTE": 1,
     }
 
 

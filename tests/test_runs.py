@@ -14,7 +14,13 @@ from tests.conftest import AS_OF, as_set
 from totelane import schemas
 from totelane.__main__ import main
 from totelane.operators.state import expired_routes
-from totelane.plans.run import RoutingRun, no_answers, record_answers, run_once
+from totelane.plans.run import (
+    RoutingRun,
+    import_state,
+    no_answers,
+    record_answers,
+    run_once,
+)
 from totelane.settings import RouterSettings
 from totelane.sources import testdata
 from totelane.sources.state_store import StateStore
@@ -65,9 +71,9 @@ def test_a_second_run_keeps_everything(spark, extract, folder):
     """All answered, nothing changed, same time: nothing to purge, change or send."""
     store, out = StateStore(spark, folder("store")), folder("out")
     wh = Warehouse.read_extract(spark, extract)
-    seeded = store.commit(store.latest(), testdata.state(spark, SF), "seed", 2000)
+    assert import_state(store, testdata.state(spark, SF), SETTINGS) == 1
     first = run_once(wh, store, SETTINGS, "run-1", out, accept_all)
-    assert first.version == seeded.version + 1
+    assert first.version == 2
     assert expired_routes(store.latest().state, AS_OF).isEmpty()
 
     second = RoutingRun(wh, store.latest().state, SETTINGS)
@@ -194,3 +200,25 @@ def test_command_line(spark, extract, folder, capsys, monkeypatch):
     main(["answers", *shared, "--acks", acks, "--run-id", "a/answers"])
     assert "state version 2" in capsys.readouterr().out
     assert {r[-1] for r in state_rows(StateStore(spark, store))} == {AS_OF}
+
+
+def test_properties_of_a_whole_run(spark):
+    """Actions part the totes, routes without stops take chute 4, states keep one row a tote."""
+    run = RoutingRun(testdata.warehouse(spark, SF), testdata.state(spark, SF), SETTINGS)
+    rows = run.settled.collect()
+    assert len({r["tote_key"] for r in rows}) == len(rows)
+    planned = [r for r in rows if r["action"] != "COMPLETE"]
+    assert all((r["chute"] == 4) == (r["route"] == "-") for r in planned)
+    assert {r["chute"] for r in rows if r["action"] == "COMPLETE"} <= {1, 4}
+
+    doubled = {r["tote_key"] for r in rows if r["action"] == "INSERT_ON_BLANK"}
+    held = {}
+    for row in run.next_state.collect():
+        held.setdefault(row["tote_key"], []).append(row["id"])
+    assert {tote for tote, ids in held.items() if len(ids) > 1} == doubled
+    ids = [one for many in held.values() for one in many]
+    assert len(ids) == len(set(ids))
+    new = run.inserts.orderBy("id").collect()
+    assert [r["id"] for r in new] == list(range(run.last_id + 1, run.last_id + 1 + len(new)))
+    assert [r["tote_key"] for r in new] == sorted(r["tote_key"] for r in new)
+    assert run.tote_zones.filter("zone is null").isEmpty()

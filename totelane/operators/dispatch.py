@@ -58,6 +58,14 @@ def failed_dispatches(outbox: DataFrame, acks: DataFrame) -> DataFrame:
     return sent.join(accepted(acks).select("id").distinct(), "id", "left_anti")
 
 
+def failed_completions(outbox: DataFrame, acks: DataFrame) -> DataFrame:
+    """Last messages of finished totes without success. Their totes leave the state anyway,
+    so they are not sent again; answers to them carry no id."""
+    sent = outbox.filter(F.col("id").isNull()).select("tote_key", "path", "chute")
+    heard = accepted(acks).filter(F.col("id").isNull())
+    return sent.join(heard.select(key("tote_id").alias("tote_key")).distinct(), "tote_key", "left_anti")
+
+
 def mark_routed(state: DataFrame, acks: DataFrame, as_of: datetime) -> DataFrame:
     """``state`` with the time of sending on accepted rows, matched by id and tote."""
     done = (

@@ -13,7 +13,7 @@ from totelane.functions.locations import order_destination, zone_by_rule
 from totelane.functions.routes import rewrite_route, route_chute
 from totelane.operators import destinations, dispatch, measures, picks, routes, state, zones
 from totelane.operators.skew import together
-from totelane.plans.run import RoutingRun
+from totelane.plans.run import RoutingRun, import_state
 from totelane.session import shared_folder
 from totelane.settings import PUTAWAY, SINGLE, RouterSettings
 from totelane.sources import testdata
@@ -228,9 +228,7 @@ def streamed_run(spark, sf_dir):
     """The state after the stored routes went through one run started by the stream."""
     folder = f"{shared_folder(spark)}/totelane/{uuid.uuid4().hex}"
     store = StateStore(spark, f"{folder}/store")
-    stored = testdata.state(spark, sf_dir)
-    highest = state.measure_state(stored, SETTINGS.skew).last_id
-    store.commit(store.latest(), stored, "start", highest)
+    import_state(store, testdata.state(spark, sf_dir), SETTINGS)
     request = spark.createDataFrame([("run", SETTINGS.as_of, sf_dir)], REQUESTS)
     request.coalesce(1).write.json(f"{folder}/requests")
     query = start_router(

@@ -317,6 +317,9 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT action FROM reconciled
             UNION ALL SELECT 'DISPATCHED' FROM outbox WHERE id IS NOT NULL
             UNION ALL SELECT CASE WHEN status = 201 THEN 'ROUTED' ELSE 'FAILED' END FROM acks
+            UNION ALL SELECT 'COMPLETION_FAILED' FROM outbox o WHERE o.id IS NULL
+                AND NOT EXISTS (SELECT 1 FROM acks a
+                    WHERE a.id IS NULL AND a.tote_id = o.tote_id AND a.status = 201)
             UNION ALL SELECT 'HELD_WITHOUT_ROUTE' FROM next_state
                 WHERE routed_date IS NULL AND route IS NULL
             UNION ALL SELECT 'REJECTED' FROM tote_detail WHERE tote_key IS NULL

@@ -122,8 +122,9 @@ class RoutingRun:
             events(stored.expired_routes(self.state, self.settings.as_of), "EXPIRED"),
             events(self.settled, F.col("action")),
             events(sent, "DISPATCHED"),
-            events(dispatch.accepted(acks), "ROUTED"),
+            events(dispatch.accepted(acks).filter(F.col("id").isNotNull()), "ROUTED"),
             events(dispatch.failed_dispatches(self.outbox, acks), "FAILED"),
+            events(dispatch.failed_completions(self.outbox, acks), "COMPLETION_FAILED"),
             events(
                 stored.pending_routes(self.next_state).filter(F.col("route").isNull()),
                 "HELD_WITHOUT_ROUTE",
@@ -177,6 +178,14 @@ def run_once(
     return RunResult(run_id, after.version, attempt)
 
 
+def import_state(
+    store: StateStore, state: DataFrame, settings: RouterSettings, run_id: str = "import"
+) -> int:
+    """Take over the routes of an existing state table; the new version."""
+    last_id = stored.measure_state(state, settings.skew).last_id
+    return store.commit(store.latest(), state, run_id, last_id).version
+
+
 def no_answers(outbox: DataFrame) -> DataFrame:
     """For a conveyor that answers later: nothing is accepted yet, see ``record_answers``."""
     return outbox.select("id", "tote_id", F.lit(0).alias("status")).filter(F.lit(False))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from totelane import schemas
-from totelane.sources.warehouse import Warehouse
+from totelane.sources.warehouse import Warehouse, canonical_state
 
 
 @dataclass(frozen=True)
@@ -91,3 +91,14 @@ def read_warehouse(
             for name in schemas.WAREHOUSE
         }
     )
+
+
+def read_state(
+    spark: SparkSession,
+    url: str,
+    table: JdbcTable,
+    properties: Mapping[str, str],
+    renames: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The stored routes of an existing state table, to be imported into a state store."""
+    return canonical_state(read_table(spark, url, table, properties, renames))
