@@ -12,6 +12,10 @@ from totelane.sources.testdata import AS_OF, view_texts
 _AS_OF = f"TIMESTAMP '{AS_OF.isoformat(sep=' ')}'"
 
 
+def _between(bounds: tuple[str, str]) -> str:
+    return f"'{bounds[0]}' AND '{bounds[1]}'"
+
+
 _VIEWS = {f"raw_{name}": text for name, text in view_texts("TIMESTAMP").items()}
 
 _TABLES = ",\n".join(f"{name} AS ({text})" for name, text in _VIEWS.items()) + """,
@@ -38,53 +42,60 @@ tote_router AS (
     SELECT id, tote_id, upper(trim(tote_id)) AS tote_key, route, chute, noncon, routed_date
     FROM raw_tote_router)"""
 
-_PICKS = """
-tdpick AS (
-    SELECT DISTINCT d.order_key,
-        CASE WHEN left(d.location_key, 2) IN ('WW', 'XX', 'YY', 'ZZ') THEN 'NC'
-            WHEN left(d.location_key, 3) BETWEEN '1UA' AND '1XG' THEN d.location_key
-            WHEN left(d.location_key, 2) BETWEEN '00' AND '99' THEN 'NC'
-            ELSE d.location_key END AS location_key
-    FROM trans_detail d JOIN trans t ON d.tran_id = t.tran_id AND t.tran_type = 'PICK'
-    WHERE d.order_key > '')"""
+_PICKS = f"""
+open_picks AS (
+    SELECT DISTINCT lines.order_key,
+        CASE WHEN left(lines.location_key, 2) IN {fixed.NONCON_AREAS} THEN 'NC'
+            WHEN left(lines.location_key, 3) BETWEEN {_between(fixed.KEPT_FLOOR)}
+                THEN lines.location_key
+            WHEN left(lines.location_key, 2) BETWEEN {_between(fixed.NONCON_AISLES)} THEN 'NC'
+            ELSE lines.location_key END AS location_key
+    FROM trans_detail lines JOIN trans USING (tran_id)
+    WHERE trans.tran_type = 'PICK' AND lines.order_key > '')"""
 
 _DESTINATIONS = """
-joined AS (
-    SELECT td.tote_id, td.tote_key, td.inventory_key,
-        p.location_key AS l1, r.to_location_key AS l2, a.location_key AS l3,
-        b.location_key AS l4, h.location_key AS l5,
-        CASE WHEN o.status IS NULL THEN NULL WHEN o.status = 'PICKED' THEN 'PACKING' ELSE 'NC' END
-            AS l6
-    FROM tote_detail td
-    LEFT JOIN tdpick p ON td.inventory_key = p.order_key
-    LEFT JOIN trans r ON td.tote_key = r.inventory_key AND r.tran_type = 'REPL'
-        AND r.inventory_key > ''
-    LEFT JOIN trans a ON td.tote_key = a.inventory_key AND a.tran_type = 'PUTAWAY'
-        AND a.inventory_key > ''
-    LEFT JOIN trans b ON td.inventory_key = b.inventory_key AND b.tran_type = 'PUTAWAY'
-        AND b.inventory_key > ''
-    LEFT JOIN wh_orders o ON td.inventory_key = o.order_key
-    LEFT JOIN multi_home_loc h ON td.inventory_key = h.product_key
-    WHERE td.tote_key IS NOT NULL),
-x AS (
+moves AS (SELECT * FROM trans WHERE inventory_key > ''),
+levels AS (
+    SELECT items.tote_id, items.tote_key, items.inventory_key,
+        open_picks.location_key AS pick, refills.to_location_key AS refill,
+        tote_moves.location_key AS tote_move, item_moves.location_key AS item_move,
+        homes.location_key AS home,
+        CASE WHEN wh_orders.status = 'PICKED' THEN 'PACKING'
+            WHEN wh_orders.status IS NOT NULL THEN 'NC' END AS by_status
+    FROM tote_detail items
+    LEFT JOIN open_picks ON open_picks.order_key = items.inventory_key
+    LEFT JOIN moves refills
+        ON refills.tran_type = 'REPL' AND refills.inventory_key = items.tote_key
+    LEFT JOIN moves tote_moves
+        ON tote_moves.tran_type = 'PUTAWAY' AND tote_moves.inventory_key = items.tote_key
+    LEFT JOIN moves item_moves
+        ON item_moves.tran_type = 'PUTAWAY' AND item_moves.inventory_key = items.inventory_key
+    LEFT JOIN multi_home_loc homes ON homes.product_key = items.inventory_key
+    LEFT JOIN wh_orders ON wh_orders.order_key = items.inventory_key
+    WHERE items.tote_key IS NOT NULL),
+destinations AS (
     SELECT tote_id, tote_key, inventory_key,
-        CASE WHEN l1 IS NULL THEN 'PUTAWAY' ELSE 'SINGLE' END AS tote_state,
-        CAST(CASE WHEN l1 IS NOT NULL THEN 1 WHEN l2 IS NOT NULL THEN 2
-            WHEN l3 IS NOT NULL THEN 3 WHEN l4 IS NOT NULL THEN 4
-            WHEN l5 IS NOT NULL THEN 5 WHEN l6 IS NOT NULL THEN 6 ELSE 7 END AS INT) AS dest_level,
-        coalesce(l1, l2, l3, l4, l5, l6, 'HOSPITAL') AS location_key
-    FROM joined)"""
+        CASE WHEN pick IS NULL THEN 'PUTAWAY' ELSE 'SINGLE' END AS tote_state,
+        CAST(CASE WHEN pick IS NOT NULL THEN 1 WHEN refill IS NOT NULL THEN 2
+            WHEN tote_move IS NOT NULL THEN 3 WHEN item_move IS NOT NULL THEN 4
+            WHEN home IS NOT NULL THEN 5 WHEN by_status IS NOT NULL THEN 6 ELSE 7 END AS INT)
+            AS dest_level,
+        coalesce(pick, refill, tote_move, item_move, home, by_status, 'HOSPITAL') AS location_key
+    FROM levels)"""
 
 _ZONE_MAP = """
-y AS (
-    SELECT zl.location_key, max(zl.zone_id) AS zone
-    FROM zone_locations zl JOIN zone z ON zl.zone_id = z.zone_id AND z.picking = 1
-    GROUP BY zl.location_key)"""
+zone_map AS (
+    SELECT location_key, max(zone_id) AS zone
+    FROM zone_locations JOIN zone USING (zone_id) WHERE picking = 1
+    GROUP BY location_key)"""
 
-_FLOOR = "\n            ".join(
-    f"WHEN left(x.location_key, 3) BETWEEN '{low}' AND '{high}' THEN '{zone}'"
-    for low, high, zone in fixed.FLOOR_ZONES
-)
+
+def _rule(location: str) -> str:
+    floors = " ".join(
+        f"WHEN left({location}, 3) BETWEEN '{low}' AND '{high}' THEN '{zone}'"
+        for low, high, zone in fixed.FLOOR_ZONES
+    )
+    return f"CASE WHEN {location} = 'PACKING' THEN 'Packing' {floors} END"
 
 
 def _spread(tote: str, zones: tuple[str, ...]) -> str:
@@ -96,13 +107,11 @@ def _spread(tote: str, zones: tuple[str, ...]) -> str:
 def _zones(states: str, spread: tuple[str, ...] = fixed.SPREAD_ZONES) -> str:
     return f"""
 zoned AS (
-    SELECT DISTINCT x.tote_id, x.tote_key, x.location_key,
-        coalesce(CASE WHEN x.location_key = 'PACKING' THEN 'Packing'
-            {_FLOOR}
-            WHEN x.location_key = 'RANDOM' THEN {_spread('x.tote_key', spread)}
-            ELSE y.zone END, 'NC') AS zone
-    FROM x LEFT JOIN y ON x.location_key = y.location_key
-    WHERE x.tote_state IN ({states})),
+    SELECT DISTINCT tote_id, tote_key, location_key,
+        CASE WHEN location_key = 'RANDOM' THEN {_spread('tote_key', spread)}
+            ELSE coalesce({_rule('location_key')}, zone_map.zone, 'NC') END AS zone
+    FROM destinations LEFT JOIN zone_map USING (location_key)
+    WHERE tote_state IN ({states})),
 tote_zones AS (SELECT DISTINCT tote_key, zone FROM zoned)"""
 
 
@@ -203,7 +212,7 @@ def _sql(parts: list[str], select: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "pick_locations": _sql([_TABLES, _PICKS], "SELECT order_key, location_key FROM tdpick"),
+    "pick_locations": _sql([_TABLES, _PICKS], "SELECT order_key, location_key FROM open_picks"),
     "replenishments": _sql(
         [_TABLES],
         "SELECT DISTINCT inventory_key, to_location_key AS location_key FROM trans "
@@ -224,26 +233,23 @@ ORACLE: dict[str, str] = {
     ),
     "tote_destinations": _sql(
         _OPEN[:3],
-        "SELECT DISTINCT tote_key, inventory_key, tote_state, dest_level, location_key FROM x",
+        "SELECT DISTINCT tote_key, inventory_key, tote_state, dest_level, location_key FROM destinations",
     ),
     "destination_levels": _sql(
         _OPEN[:3],
         "SELECT dest_level, tote_state, count(*) AS destinations FROM (SELECT DISTINCT tote_key, "
-        "inventory_key, tote_state, dest_level, location_key FROM x) GROUP BY ALL",
+        "inventory_key, tote_state, dest_level, location_key FROM destinations) GROUP BY ALL",
     ),
-    "location_zone_map": _sql([_TABLES, _ZONE_MAP], "SELECT location_key, zone FROM y"),
+    "location_zone_map": _sql([_TABLES, _ZONE_MAP], "SELECT location_key, zone FROM zone_map"),
     "zone_by_rule": _sql(
         [_TABLES, _PICKS],
-        f"""SELECT x.location_key,
-            CASE WHEN x.location_key = 'PACKING' THEN 'Packing'
-            {_FLOOR} END AS zone
-        FROM (SELECT DISTINCT location_key FROM tdpick) x""",
+        f"SELECT DISTINCT location_key, {_rule('location_key')} AS zone FROM open_picks",
     ),
     "random_zone_spread": _sql(
         _OPEN[:3],
         f"SELECT DISTINCT tote_key, {_spread('tote_key', fixed.SPREAD_ZONES)} AS zone, "
         f"{_spread('tote_key', fixed.LEGACY_SPREAD)} AS legacy_zone "
-        "FROM x WHERE location_key = 'RANDOM'",
+        "FROM destinations WHERE location_key = 'RANDOM'",
     ),
     "tote_zones": _sql([*_OPEN, _zones(_SINGLE)], "SELECT tote_key, zone FROM tote_zones"),
     "tote_zones_all_states": _sql(
