@@ -50,7 +50,7 @@ def level_rows(warehouse: Warehouse, levels: Sequence[int], hot_lines: HotKeys)
         if level in (3, 4):
             return moves(fixed.PUT_AWAY, "location_key")
         if level == 5:
-            return warehouse.multi_home_loc.select(F.col("product_key").alias("key"), "location_key")
+            return warehouse.multi_home_loc.withColumnRenamed("product_key", "key")
         return warehouse.orders.select(
             F.col("order_key").alias("key"),
             order_destination(F.col("status_key")).alias("location_key"),
@@ -150,9 +150,8 @@ def item_zones(warehouse: Warehouse, states: Sequence[str], measures: Measures)
     by_item = summary(item_levels, "inventory_key")
     if PUTAWAY not in states:
         found = _fallback(items, by_item.filter("used_1"), None, hot)
-        return found.select(
-            "tote_id", "tote_key", F.col("zones_1").alias("zones"), F.col("spread_1").alias("spread")
-        )
+        zones_found, spread = F.col("zones_1").alias("zones"), F.col("spread_1").alias("spread")
+        return found.select("tote_id", "tote_key", zones_found, spread)
 
     everything = _fallback(items, by_item, summary(TOTE_LEVELS, "tote_key"), hot)
     none = F.array().cast("array<string>")
@@ -162,11 +161,12 @@ def item_zones(warehouse: Warehouse, states: Sequence[str], measures: Measures)
         return hospital if n == LAST_LEVEL else F.coalesce(F.col(f"zones_{n}"), none)
 
     listed = F.concat(*[F.when(_reached(n), found_at(n)).otherwise(none) for n in wanted])
-    spread = reduce(
-        Column.__or__,
-        [_reached(n) & F.coalesce(F.col(f"spread_{n}"), F.lit(False))
-         for n in wanted if n != LAST_LEVEL],
-    )
+    spreads = [
+        _reached(n) & F.coalesce(F.col(f"spread_{n}"), F.lit(False))
+        for n in wanted
+        if n != LAST_LEVEL
+    ]
+    spread = reduce(Column.__or__, spreads)
     return everything.select(
         "tote_id", "tote_key", listed.alias("zones"), spread.alias("spread")
     ).filter(F.col("spread") | (F.size("zones") > 0))
@@ -178,7 +178,12 @@ def tote_destinations(
     hot_lines: HotKeys,
     hot: dict[str, HotKeys],
 ) -> DataFrame:
-    """Distinct ``tote_key``, ``inventory_key``, ``tote_state``, ``dest_level``, ``location_key``."""
+    """Distinct ``tote_key``, ``inventory_key``, ``tote_state``, ``dest_level`` and
+    ``location_key``: the destinations themselves, for inspection.
+
+    Routing does not go through them, see ``item_zones``: an order with many locations gives
+    as many rows here for each of its totes.
+    """
     items = open_items(warehouse).select("tote_key", "inventory_key").distinct()
     by_item_rows = level_rows(warehouse, ITEM_LEVELS, hot_lines)
     by_tote_rows = level_rows(warehouse, TOTE_LEVELS, hot_lines)
@@ -193,35 +198,25 @@ def tote_destinations(
         used = F.lit(True) if n == LAST_LEVEL else F.coalesce(F.col(f"used_{n}"), F.lit(False))
         return F.when(_reached(n) & used, F.lit(n))
 
+    levels = F.array_compact(F.array(*[wish(n) for n in _wanted(states)]))
+    of_tote = F.col("dest_level").isin(*TOTE_LEVELS)
     wishes = everything.select(
-        "tote_key",
-        "inventory_key",
-        F.explode(F.array_compact(F.array(*[wish(n) for n in _wanted(states)]))).alias("dest_level"),
-    )
+        "tote_key", "inventory_key", F.explode(levels).alias("dest_level")
+    ).withColumn("key", F.when(of_tote, F.col("tote_key")).otherwise(F.col("inventory_key")))
     located = (
         by_item_rows.unionByName(by_tote_rows)
         .filter(F.col("location_key").isNotNull())
         .select(F.col("level").alias("dest_level"), "key", "location_key")
         .distinct()
     )
-    keyed = wishes.filter(F.col("dest_level") < LAST_LEVEL).withColumn(
-        "key",
-        F.when(F.col("dest_level").isin(*TOTE_LEVELS), F.col("tote_key")).otherwise(
-            F.col("inventory_key")
-        ),
-    )
-    both = hot["inventory_key"] + hot["tote_key"]
-    matched = spread_join(keyed, located, ["key", "dest_level"], "inner", _largest(both))
-    last = wishes.filter(F.col("dest_level") == LAST_LEVEL).withColumn(
-        "location_key", F.lit(fixed.HOSPITAL_LOCATION)
-    )
-    columns = ["tote_key", "inventory_key", "dest_level", "location_key"]
-    state = F.when(F.col("dest_level") == 1, SINGLE).otherwise(PUTAWAY)
-    return (
-        matched.select(*columns)
-        .unionByName(last.select(*columns))
-        .withColumn("tote_state", state)
-        .select("tote_key", "inventory_key", "tote_state", "dest_level", "location_key")
+    # A wish for a lower level has a location for certain, so only the last one is left over.
+    both = _largest(hot["inventory_key"] + hot["tote_key"])
+    return spread_join(wishes, located, ["key", "dest_level"], "left", both).select(
+        "tote_key",
+        "inventory_key",
+        F.when(F.col("dest_level") == 1, SINGLE).otherwise(PUTAWAY).alias("tote_state"),
+        "dest_level",
+        F.coalesce("location_key", F.lit(fixed.HOSPITAL_LOCATION)).alias("location_key"),
     )
 
 

@@ -15,7 +15,9 @@ from totelane.operators.reconcile import COMPLETE
 from totelane.operators.state import moment, pending_routes
 
 
-def dispatch_outbox(reconciled: DataFrame, next_state: DataFrame, path: str | None = None) -> DataFrame:
+def dispatch_outbox(
+    reconciled: DataFrame, next_state: DataFrame, path: str | None = None
+) -> DataFrame:
     """All messages of a run in sending order: finished totes, then pending routes by id.
 
     A pending row without a route has nothing to say; it stays in the state.
@@ -62,8 +64,8 @@ def failed_completions(outbox: DataFrame, acks: DataFrame) -> DataFrame:
     """Last messages of finished totes without success. Their totes leave the state anyway,
     so they are not sent again; answers to them carry no id."""
     sent = outbox.filter(F.col("id").isNull()).select("tote_key", "path", "chute")
-    heard = accepted(acks).filter(F.col("id").isNull())
-    return sent.join(heard.select(key("tote_id").alias("tote_key")).distinct(), "tote_key", "left_anti")
+    heard = accepted(acks).filter(F.col("id").isNull()).select(key("tote_id").alias("tote_key"))
+    return sent.join(heard.distinct(), "tote_key", "left_anti")
 
 
 def mark_routed(state: DataFrame, acks: DataFrame, as_of: datetime) -> DataFrame:

@@ -30,7 +30,8 @@ def number_rows(
         .withColumn("_place", slot.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))),
         path,
     )
-    sizes = sorted((row["_part"], row["count"]) for row in placed.groupBy("_part").count().collect())
+    counted = placed.groupBy("_part").count().collect()
+    sizes = sorted((row["_part"], row["count"]) for row in counted)
     before = list(accumulate((size for _, size in sizes), initial=0))
     offsets = df.sparkSession.createDataFrame(
         [(part, offset) for (part, _), offset in zip(sizes, before, strict=False)],

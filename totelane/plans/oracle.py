@@ -233,7 +233,8 @@ ORACLE: dict[str, str] = {
     ),
     "tote_destinations": _sql(
         _OPEN[:3],
-        "SELECT DISTINCT tote_key, inventory_key, tote_state, dest_level, location_key FROM destinations",
+        "SELECT DISTINCT tote_key, inventory_key, tote_state, dest_level, location_key "
+        "FROM destinations",
     ),
     "destination_levels": _sql(
         _OPEN[:3],

@@ -191,7 +191,9 @@ def no_answers(outbox: DataFrame) -> DataFrame:
     return outbox.select("id", "tote_id", F.lit(0).alias("status")).filter(F.lit(False))
 
 
-def record_answers(store: StateStore, acks: DataFrame, settings: RouterSettings, run_id: str) -> int:
+def record_answers(
+    store: StateStore, acks: DataFrame, settings: RouterSettings, run_id: str
+) -> int:
     """Mark the routes the conveyor accepted since the last snapshot; the new version."""
     before = store.latest()
     if store.has_run(run_id):
