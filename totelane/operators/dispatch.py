@@ -54,18 +54,32 @@ def accepted(acks: DataFrame) -> DataFrame:
     return acks.filter(F.col("status") == fixed.ACCEPTED).select("id", "tote_id")
 
 
+def answered(outbox: DataFrame, acks: DataFrame) -> DataFrame:
+    """The outbox with ``accepted``: whether the conveyor accepted this id for this tote.
+    Answers to last messages, which have no id, are matched by tote."""
+    heard = accepted(acks).select(
+        F.col("id").alias("_id"), key("tote_id").alias("_tote")
+    ).distinct()
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("tote_key") == F.col("_tote"))
+    joined = outbox.join(heard, same, "left")
+    return joined.withColumn("accepted", F.col("_tote").isNotNull()).drop("_id", "_tote")
+
+
 def failed_dispatches(outbox: DataFrame, acks: DataFrame) -> DataFrame:
     """Routes sent without success, for whatever reason; the next run sends them again."""
-    sent = outbox.filter(F.col("id").isNotNull()).select("id", "tote_id", "path", "chute")
-    return sent.join(accepted(acks).select("id").distinct(), "id", "left_anti")
+    sent = answered(outbox, acks).filter(F.col("id").isNotNull() & ~F.col("accepted"))
+    return sent.select("id", "tote_id", "path", "chute")
 
 
-def failed_completions(outbox: DataFrame, acks: DataFrame) -> DataFrame:
-    """Last messages of finished totes without success. Their totes leave the state anyway,
-    so they are not sent again; answers to them carry no id."""
-    sent = outbox.filter(F.col("id").isNull()).select("tote_key", "path", "chute")
-    heard = accepted(acks).filter(F.col("id").isNull()).select(key("tote_id").alias("tote_key"))
-    return sent.join(heard.distinct(), "tote_key", "left_anti")
+def outbox_events(outbox: DataFrame, acks: DataFrame) -> DataFrame:
+    """One row per event of a message. A last message without success is not sent again:
+    its tote leaves the state anyway."""
+    is_last, done = F.col("id").isNull(), F.col("accepted")
+    failed_last = F.when(is_last & ~done, F.lit("COMPLETION_FAILED"))
+    sent = F.when(~is_last, F.lit("DISPATCHED"))
+    outcome = F.when(~is_last & done, F.lit("ROUTED")).when(~is_last, F.lit("FAILED"))
+    events = F.explode(F.array_compact(F.array(failed_last, sent, outcome)))
+    return answered(outbox, acks).select(events.alias("event"))
 
 
 def mark_routed(state: DataFrame, acks: DataFrame, as_of: datetime) -> DataFrame:

@@ -312,8 +312,8 @@ ORACLE: dict[str, str] = {
     "accepted_answers": _sql(_EFFECTS, "SELECT id, tote_id FROM acks WHERE status = 201"),
     "failed_dispatches": _sql(
         _EFFECTS,
-        "SELECT o.id, o.tote_id, o.path, o.chute FROM outbox o JOIN acks a ON o.id = a.id "
-        "WHERE a.status <> 201",
+        "SELECT id, tote_id, path, chute FROM outbox o WHERE id IS NOT NULL AND NOT EXISTS "
+        "(SELECT 1 FROM acks a WHERE a.id = o.id AND a.tote_id = o.tote_id AND a.status = 201)",
     ),
     "mark_routed": _sql(_EFFECTS, f"SELECT {_STATE_COLUMNS} FROM marked"),
     "streamed_run": _sql(_EFFECTS, f"SELECT {_STATE_COLUMNS} FROM marked"),

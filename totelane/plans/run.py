@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -117,26 +117,18 @@ class RoutingRun:
         def events(df: DataFrame, name) -> DataFrame:
             return df.select((F.lit(name) if isinstance(name, str) else name).alias("event"))
 
-        sent = self.outbox.filter(F.col("id").isNotNull())
         parts = [
             events(stored.expired_routes(self.state, self.settings.as_of), "EXPIRED"),
             events(self.settled, F.col("action")),
-            events(sent, "DISPATCHED"),
-            events(dispatch.accepted(acks).filter(F.col("id").isNotNull()), "ROUTED"),
-            events(dispatch.failed_dispatches(self.outbox, acks), "FAILED"),
-            events(dispatch.failed_completions(self.outbox, acks), "COMPLETION_FAILED"),
+            dispatch.outbox_events(self.outbox, acks),
             events(
                 stored.pending_routes(self.next_state).filter(F.col("route").isNull()),
                 "HELD_WITHOUT_ROUTE",
             ),
-            events(
-                stored.rejected_rows(self.warehouse.tote_detail, self.state), "REJECTED"
-            ),
+            events(stored.rejected_rows(self.warehouse.tote_detail, self.state), "REJECTED"),
         ]
-        union = parts[0]
-        for part in parts[1:]:
-            union = union.unionByName(part)
-        return union.groupBy("event").agg(F.count(F.lit(1)).alias("n"))
+        occurred = reduce(DataFrame.unionByName, parts)
+        return occurred.groupBy("event").agg(F.count(F.lit(1)).alias("n"))
 
 
 @dataclass(frozen=True)

@@ -12,6 +12,20 @@ from totelane import schemas
 from totelane.functions.text import clean, key
 
 
+_CANONICAL = {
+    "tote_detail": "tote_id string, tote_key string, inventory_key string",
+    "trans": (
+        "tran_id bigint, inventory_key string, to_location_key string, location_key string, "
+        "tran_type string"
+    ),
+    "trans_detail": "tran_id bigint, order_key string, location_key string",
+    "orders": "order_key string, status_key string",
+    "multi_home_loc": "product_key string, location_key string",
+    "zone": "zone string, zone_key string, picking int",
+    "zone_locations": "location_key string, zone_key string",
+}
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """One frame per table. Columns named ``*_key`` are upper-cased and trimmed once here,
@@ -81,11 +95,12 @@ class Warehouse:
 
     @classmethod
     def read_canonical(cls, spark: SparkSession, path: str) -> Warehouse:
-        tables = {t.name: spark.read.parquet(f"{path}/{t.name}") for t in fields(cls)}
-        tables["trans"] = tables["trans"].withColumn(
-            "tran_type", F.col("tran_type").cast("string")
+        return cls(
+            **{
+                name: spark.read.schema(columns).parquet(f"{path}/{name}")
+                for name, columns in _CANONICAL.items()
+            }
         )
-        return cls(**tables)
 
     def with_tables(self, **frames: DataFrame) -> Warehouse:
         return replace(self, **frames)
