@@ -37,7 +37,7 @@ def skewed(spark):
 def test_hot_keys_and_blanks_are_found(skewed):
     hot, found = hot_keys(skewed[0], ["k", "n"], SMALL, F.max("n").alias("top"))
     splits = dict(hot["k"])
-    assert splits["hot"] == 2  # 300 of 900 rows, 225 per partition
+    assert splits["hot"] == 6  # 300 of 900 rows, 225 per partition, in four pieces each
     assert hot["n"] == []
     assert found["top"] == 149
 

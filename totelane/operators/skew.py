@@ -21,6 +21,9 @@ HotKeys = list[tuple[str | int | None, int]]
 
 _TRACKED = 10_000
 _MOST_TRACKED = 1_000_000
+# Pieces per fair share. Pieces are placed by hash, and with few of them several may meet in
+# one task; more are cheap, since only the few rows opposite are repeated.
+_PIECES = 4
 _LEFT_JOINS = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -50,7 +53,7 @@ def hot_keys(
     share = max(1, skew.min_rows, found["_rows"] // partitions)
     hot = {
         name: [
-            (top["item"], -(-top["count"] // share))
+            (top["item"], -(-_PIECES * top["count"] // share))
             for top in found[name] or []
             if top["count"] > share
         ]
