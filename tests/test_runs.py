@@ -193,6 +193,11 @@ def test_command_line(spark, extract, folder, capsys, monkeypatch):
     monkeypatch.setattr("totelane.__main__.build_session", lambda: spark)
     store, out, acks = folder("store"), folder("out"), folder("acks")
     shared = ["--store", store, "--as-of", AS_OF.isoformat()]
+    old, imported = folder("old"), folder("imported")
+    testdata.state_table(spark, SF).write.parquet(old)
+    main(["import", "--store", imported, "--state", old])
+    assert "state version 1" in capsys.readouterr().out
+    assert StateStore(spark, imported).latest().state.count() == 900
     main(["run", *shared, "--extract", extract, "--out", out, "--run-id", "a"])
     assert "state version 1" in capsys.readouterr().out
     pending = StateStore(spark, store).latest().state

@@ -1,4 +1,5 @@
-"""Command line: one routing run, the conveyor's answers, or the stream of run requests."""
+"""Command line: one routing run, the conveyor's answers, the stream of run requests, or the
+import of an existing state table."""
 
 from __future__ import annotations
 
@@ -6,11 +7,11 @@ import argparse
 from datetime import datetime
 
 from totelane import schemas
-from totelane.plans.run import no_answers, record_answers, run_once
+from totelane.plans.run import import_state, no_answers, record_answers, run_once
 from totelane.session import build_session
 from totelane.settings import PUTAWAY, SINGLE, RouterSettings
 from totelane.sources.state_store import StateStore
-from totelane.sources.warehouse import Warehouse
+from totelane.sources.warehouse import Warehouse, canonical_state
 from totelane.streaming.router import start_router
 
 
@@ -35,6 +36,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         command.add_argument("--run-id", required=True)
         command.add_argument("--as-of", required=True, type=datetime.fromisoformat)
 
+    imported = commands.add_parser("import", parents=[shared], help="take over stored routes")
+    imported.add_argument("--state", required=True, help="Parquet table of stored routes")
+
     stream = commands.add_parser("stream", parents=[shared], help="follow run requests")
     stream.add_argument("--requests", required=True)
     stream.add_argument("--out", required=True)
@@ -61,6 +65,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "answers":
         acks = spark.read.schema(schemas.ACKS).parquet(args.acks)
         print(f"state version {record_answers(store, acks, settings, args.run_id)}")
+    elif args.command == "import":
+        state = canonical_state(spark.read.schema(schemas.TOTE_ROUTER).parquet(args.state))
+        print(f"state version {import_state(store, state, settings)}")
     else:
         start_router(
             spark,
