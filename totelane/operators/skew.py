@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -102,17 +103,13 @@ def spread_join(
 def fits_broadcast(table: DataFrame, skew: SkewSettings) -> bool:
     """Whether a lookup table is within the bounds for sending it to every executor.
 
-    Reads at most one row more than the bound.
+    Rows and bytes are summed up where they are; only the sums travel.
     """
-    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
-                for c in table.columns), F.lit(0))
-    probe = (
-        table.select(size.alias("size"))
-        .limit(skew.broadcast_rows + 1)
-        .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("size"))
-        .first()
-    )
-    return probe["rows"] <= skew.broadcast_rows and probe["size"] <= skew.broadcast_bytes
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns]
+    size = table.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(reduce(Column.__add__, texts)).alias("bytes")
+    ).first()
+    return size["rows"] <= skew.broadcast_rows and (size["bytes"] or 0) <= skew.broadcast_bytes
 
 
 class Lookup:

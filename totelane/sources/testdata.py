@@ -1,6 +1,7 @@
 """The warehouse tables modelled as views over the supplied Parquet tables.
 
-The view texts run unchanged in Spark SQL and in the engine that checks the results.
+Each view reads its whole table; conditions on keys only decide what a row stands for. The
+view texts run unchanged in Spark SQL and in the engine that checks the results.
 """
 
 from __future__ import annotations

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,9 +102,6 @@ class Warehouse:
             }
         )
 
-    def with_tables(self, **frames: DataFrame) -> Warehouse:
-        return replace(self, **frames)
-
 
 def open_items(warehouse: Warehouse) -> DataFrame:
     """What lies in which tote. Rows without a tote cannot be routed; they are reported as
