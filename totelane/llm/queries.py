@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from totelane.llm import exact_dedup, packing, records, sharding, simhash, tokens
+from totelane.llm import (
+    ctw,
+    decontamination,
+    exact_dedup,
+    licenses,
+    packing,
+    records,
+    sharding,
+    simhash,
+    substring_dedup,
+    tokens,
+    toxicity,
+)
 from totelane.llm.common import documents
 
 
@@ -36,16 +48,43 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).drop("at", "cluster")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity(documents(spark, sf_dir), labels).drop("at")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contamination(documents(spark, sf_dir), items).drop("at")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokens.word_bpe(), end_id=0)
 
 
+def op8_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.scores(documents(spark, sf_dir)).drop("at")
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(documents(spark, sf_dir)).drop("at")
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(documents(spark, sf_dir)).drop("at")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_shards": op2_shards,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op5_toxicity": op5_toxicity,
+    "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
+    "op8_ctw": op8_ctw,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE: dict[str, str] = {}

@@ -1,8 +1,10 @@
 """Token ids of whole texts by a public tokenizer.
 
-The vocabulary drops white space and encodes what stands between it piece by piece, so the
-ids of a text are those of its chunks between blanks. Each distinct chunk is encoded once
-and remembered up to a bound.
+The vocabulary drops white space and case and encodes what stands between blanks piece by
+piece, so the ids of a text are those of its chunks. Each distinct chunk is encoded once and
+remembered up to a bound; punctuation after a word is a piece of its own, so a word and the
+same word before a comma are encoded once. Words of letters only end with one token that
+marks the end of a word, which tells where the ids of the next word start.
 """
 
 from __future__ import annotations
@@ -11,10 +13,11 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Encoded chunks that a Python worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Encoded chunks that a Python worker remembers; half of them are kept when it starts anew.
+REMEMBERED = 800_000
 _AT_ONCE = 500
 _MARK = "\x01"
+_PUNCTUATION = ".,;:!?|"
 
 
 def word_bpe() -> str:
@@ -31,40 +34,80 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        wide = self._tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
-        self.dtype = np.dtype("<u4" if wide else "<u2")
-        self._known: dict[bytes, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self.dtype = np.dtype("<u4" if max(vocabulary.values()) >> 16 else "<u2")
+        self._ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         mark = self._ids([_MARK])[0]
         self._mark = mark[0] if len(mark) == 1 else None
+        self._known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [x.ids for x in found]
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        """Encode chunks; many at a time with a mark between them, where none contains it."""
-        texts = [chunk.decode("utf-8", "replace") for chunk in chunks]
-        for start in range(0, len(chunks), _AT_ONCE):
-            own, said = chunks[start : start + _AT_ONCE], texts[start : start + _AT_ONCE]
-            parts: list = []
-            if self._mark is not None:
-                ids = np.array(self._ids([f" {_MARK} ".join(said)])[0], self.dtype)
-                cuts = np.flatnonzero(ids == self._mark)
-                if len(cuts) == len(own) - 1:
-                    bounds = zip([0, *(cuts + 1)], [*cuts, len(ids)], strict=True)
-                    parts = [ids[a:b].tobytes() for a, b in bounds]
-            if not parts:
-                parts = [np.array(ids, self.dtype).tobytes() for ids in self._ids(said)]
-            self._known.update(zip(own, parts, strict=True))
+    def _together(self, texts: list[str], between: str, cuts) -> list[bytes] | None:
+        """The ids of several chunks encoded as one text; ``cuts`` gives the end of the ids of
+        each and the start of the next. None where their number is not that of the chunks."""
+        ids = np.array(self._ids([between.join(texts)])[0], self.dtype)
+        ends, starts = cuts(ids)
+        if len(ends) != len(texts):
+            return None
+        data, size = ids.tobytes(), self.dtype.itemsize
+        spans = zip((starts * size).tolist(), (ends * size).tolist(), strict=True)
+        return [data[a:b] for a, b in spans]
+
+    def _at_word_ends(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.flatnonzero(self._ends_word[ids]) + 1
+        return ends, np.append(0, ends[:-1])
+
+    def _at_marks(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        marks = np.flatnonzero(ids == self._mark)
+        return np.append(marks, len(ids)), np.append(0, marks + 1)
+
+    def _learn(self, texts: list[str], letters: bool) -> None:
+        """Encode chunks, many at a time; one by one where they cannot be told apart."""
+        for start in range(0, len(texts), _AT_ONCE):
+            own, parts = texts[start : start + _AT_ONCE], None
+            if letters:
+                parts = self._together(own, " ", self._at_word_ends)
+            if parts is None and self._mark is not None:
+                parts = self._together(own, f" {_MARK} ", self._at_marks)
+            if parts is None:
+                parts = [np.array(ids, self.dtype).tobytes() for ids in self._ids(own)]
+            self._known.update(zip((x.encode() for x in own), parts, strict=True))
+
+    def _learn_all(self, chunks: set[bytes]) -> None:
+        words, others, ended = set(), set(), []
+        for chunk in chunks:
+            text = chunk.decode("utf-8", "replace")
+            word = text.rstrip(_PUNCTUATION)
+            if not word.isalpha():
+                others.add(text)
+                if text.encode() != chunk:  # not UTF-8: known by what it was read as
+                    ended.append((chunk, text, ""))
+                continue
+            words.add(word)
+            if word != text:
+                others.add(text[len(word) :])
+                ended.append((chunk, word, text[len(word) :]))
+        self._learn([x for x in words if x.encode() not in self._known], True)
+        self._learn([x for x in others if x.encode() not in self._known], False)
+        known = self._known
+        for chunk, word, after in ended:
+            known[chunk] = known[word.encode()] + (known[after.encode()] if after else b"")
 
     def encode(self, texts: list[bytes], end: int) -> list[np.ndarray]:
         """The ids of each text with ``end`` after them."""
-        chunks = [text.split() for text in texts]
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
+        # Special tokens are in lower case; letters of a text that may hold one keep theirs.
+        chunks = [(text if b"<|" in text else text.lower()).split() for text in texts]
+        if len(self._known) > REMEMBERED // 2:
+            self._known, self._older = {}, self._known
         new = set().union(*chunks).difference(self._known)
-        if new:
-            self._learn(sorted(new))
+        again = new & self._older.keys()
+        self._known.update((chunk, self._older[chunk]) for chunk in again)
+        self._learn_all(new - again)
         last = np.array([end], self.dtype).tobytes()
         known = self._known.__getitem__
         return [np.frombuffer(b"".join(map(known, own)) + last, self.dtype) for own in chunks]
