@@ -51,13 +51,13 @@ def entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def rows_at(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose place is in ``kept.at``, with all their columns."""
+def rows_without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose place is not in ``dropped.at``, with all their columns."""
     place = "_at"
     while place in docs.columns:
         place = f"_{place}"
     numbered = docs.withColumn(place, F.monotonically_increasing_id())
-    return numbered.join(kept.select(F.col("at").alias(place)), place, "left_semi").drop(place)
+    return numbered.join(dropped.select(F.col("at").alias(place)), place, "left_anti").drop(place)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

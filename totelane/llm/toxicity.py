@@ -1,7 +1,7 @@
 """Operator 5: toxicity by a classifier that is regularised with counterfactuals.
 
-The model is logistic regression on the words a text contains. Its vocabulary and weights
-come from a bounded sample of labelled rows outside the held-out fold; every text is scored
+The model is logistic regression on the words a text contains and on their beginnings, which
+inflected forms of a word share. Its vocabulary and weights come from a bounded sample of labelled rows outside the held-out fold; every text is scored
 whole. For sampled texts that mention a group, a counterfactual is made by swapping identity
 terms within their family, and the squared change of the score between both is a penalty, so
 the mention as such cannot carry weight. Short neutral sentences about each group are added
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,9 +30,13 @@ FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 #: Labelled rows that the model is fitted on, taken by a hash of their ids.
 SAMPLE_ROWS = 12_000
-#: Words of the model, and the least number of sampled rows that have a word.
+#: Features of the model, and the least number of toxic sampled rows that have one.
 VOCABULARY, LEAST_ROWS = 2_000, 4
-#: Least z-score of the difference of a word's share between both labels.
+#: Lengths in bytes of the beginnings of words that are features as well.
+BEGINNINGS = (4, 5, 6, 8)
+#: Words whose features a Python worker remembers.
+REMEMBERED = 500_000
+#: Least z-score of the difference of a feature's share between both labels.
 LEAST_Z = 4.0
 #: Weights of the squared weights and of the squared score changes.
 RIDGE, COUNTERFACTUAL = 0.3, 10.0
@@ -78,17 +82,38 @@ def words_of(text: bytes) -> list[bytes]:
     return text.decode("utf-8", "replace").lower().encode().translate(_BLANKED).split()
 
 
+def features_of(word: bytes) -> list[bytes]:
+    """The word, and its beginnings with a star."""
+    return [word, *(word[:n] + b"*" for n in BEGINNINGS if len(word) > n)]
+
+
 @dataclass(frozen=True)
 class Model:
-    """Weights by word, and the score of a text without known words as log-odds."""
+    """Weights by feature, and the score of a text without known ones as log-odds."""
 
     weights: dict[bytes, float]
     bias: float
 
+
+class Scorer(dict):
+    """Scores by a model; remembers which features each word has."""
+
+    def __init__(self, model: Model):
+        self.model = model
+
+    def __missing__(self, word: bytes) -> tuple[bytes, ...]:
+        found = self[word] = tuple(x for x in features_of(word) if x in self.model.weights)
+        return found
+
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        known, weight = self.weights.keys(), self.weights
-        odds = [self.bias + sum(weight[w] for w in sorted(known & set(words_of(x)))) for x in texts]
-        return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        weight, odds = self.model.weights, []
+        for text in texts:
+            if len(self) > REMEMBERED:
+                self.clear()
+            found: set[bytes] = set()
+            found.update(*filter(None, map(self.__getitem__, set(words_of(text)))))
+            odds.append(self.model.bias + sum(weight[x] for x in sorted(found)))
+        return _sigmoid(np.array(odds, float))
 
 
 def _word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +128,10 @@ class Rows:
     """A 0/1 matrix by row: which words each text has."""
 
     def __init__(self, texts: list[bytes], place: dict[bytes, int]):
-        known = [[place[w] for w in own.split() if w in place] for own in texts]
+        known = [
+            sorted({place[x] for w in own.split() for x in features_of(w) if x in place})
+            for own in texts
+        ]
         self.n, self.width = len(texts), len(place)
         self.row = np.repeat(np.arange(self.n), [len(x) for x in known])
         self.word = np.array([w for own in known for w in own], np.int64)
@@ -121,20 +149,24 @@ def swapped(words: bytes) -> bytes:
 
 
 def _vocabulary(texts: list[bytes], toxic: np.ndarray) -> list[bytes]:
-    """Words whose share differs most between both labels, by z-score, and identity terms."""
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
-    for own, label in zip(texts, toxic.tolist(), strict=True):
-        counts[label].update(own.split())
-    clean, bad = counts
+    """Features that toxic texts have most more often, by z-score, and identity terms."""
+
+    def counted(label: int, among: Container[bytes] | None) -> Counter:
+        counts: Counter = Counter()
+        for own, its in zip(texts, toxic.tolist(), strict=True):
+            if its == label:
+                every = {x for w in own.split() for x in features_of(w)}
+                counts.update(every if among is None else filter(among.__contains__, every))
+        return counts
+
+    bad = {x: n for x, n in counted(1, None).items() if n >= LEAST_ROWS}
+    clean = counted(0, bad)
     n_clean, n_bad = len(toxic) - int(toxic.sum()), int(toxic.sum())
     scored = []
-    for word in {*clean, *bad}:
-        n = clean[word] + bad[word]
-        if n < LEAST_ROWS:
-            continue
-        share = n / len(toxic)
+    for word, n in bad.items():
+        share = (n + clean[word]) / len(toxic)
         spread = math.sqrt(share * (1 - share) * (1 / n_bad + 1 / n_clean)) + 1e-9
-        z = abs(bad[word] / n_bad - clean[word] / n_clean) / spread
+        z = (n / n_bad - clean[word] / n_clean) / spread
         if z >= LEAST_Z:
             scored.append((-z, word))
     return sorted({*(word for _, word in sorted(scored)[:VOCABULARY]), *_SWAPS})
@@ -214,14 +246,15 @@ def train(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Mode
         .select("toxic", "text")
     )
     found = texts.mapInArrow(_word_sets, "toxic int, words binary").toArrow().to_pydict()
-    pairs = sorted(zip(found["toxic"], found["words"], strict=True))
+    pairs = sorted(set(zip(found["toxic"], found["words"], strict=True)))  # copies count once
     return fit([words for _, words in pairs], np.array([label for label, _ in pairs], int))
 
 
 def _scorer(model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
         for batch in slices(batches, "text", _AT_ONCE):
-            found = model.scores(as_bytes(batch.column("text")))
+            found = scorer.scores(as_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("at"), batch.column("doc_id"), pa.array(found)],
                 names=["at", "doc_id", "score"],
@@ -248,3 +281,22 @@ def toxicity(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def clean_rows(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = THRESHOLD,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that score under the threshold, with all their columns."""
+    model = train(entries(docs, id_col, text_col), labels)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in slices(batches, text_col, _AT_ONCE):
+            texts = [x or b"" for x in as_bytes(batch.column(text_col))]
+            yield batch.filter(pa.array(scorer.scores(texts) < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
