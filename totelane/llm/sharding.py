@@ -4,8 +4,8 @@ Documents with equal texts are one indivisible group. Groups are dealt to bucket
 bounded number of groups; in each, the two partial partitions of largest spread are combined
 in opposite order until one is left, which divides the bucket into bundles. Bundles are the
 groups of the next level, until they fit one bucket, which is divided into the shards.
-Groups of more than an eighth of a shard, at most eight per shard, go to the last level as
-they are, so that the bundles can make up for them.
+Groups of more than an eighth of a shard, at most eight per shard, and those of one bucket
+go up as they are: the bundles make up for the large ones, the small ones for the bundles.
 
 A null text counts as empty. Rows of an empty table give an empty result; a shard may stay
 empty when there are fewer groups than shards. Repeated rows belong to one group. Ties are
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from totelane.llm.common import entries, hot_groups
@@ -86,38 +86,33 @@ def _divide(parts: int):
     return divide
 
 
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("item"), F.lit(buckets))
+
+
 def _divided(items: DataFrame, buckets: int, parts: int) -> DataFrame:
     kind = items.schema["item"].dataType.simpleString()
-    dealt = items.withColumn("bucket", F.pmod(F.xxhash64("item"), F.lit(buckets)))
+    dealt = items.withColumn("bucket", _bucket(buckets))
     return durable(dealt.groupBy("bucket").applyInArrow(_divide(parts), f"item {kind}, part bigint"))
 
 
 def shard_groups(groups: DataFrame, shards: int, at_once: int = GROUPS_AT_ONCE) -> DataFrame:
-    """``item`` and ``shard`` of groups with distinct ``item`` (text or number) and ``bytes``."""
+    """``item`` and ``shard`` of groups with distinct ``item`` (a text) and ``bytes``."""
     total, items = groups.agg(F.sum("bytes"), F.count(F.lit(1))).first()
-    if items <= at_once:
+    parts = shards * BUNDLES_PER_SHARD
+    if items <= 2 * max(at_once, parts):
         return _divided(groups, 1, shards).withColumnRenamed("part", "shard")
+    buckets = -(-items // at_once)
     heavy = F.col("bytes") > (total or 0) // (8 * shards)
-    parts = shards * BUNDLES_PER_SHARD
-    bundled = _divided(groups.filter(~heavy), -(-items // at_once), parts)
-    sums = (
-        groups.join(bundled, "item")
-        .groupBy("part")
-        .agg(F.sum("bytes").alias("bytes"))
-        .select(F.concat(F.lit("b"), F.col("part").cast("string")).alias("item"), "bytes")
-    )
-    single = groups.filter(heavy).select(
-        F.concat(F.lit("g"), F.hex(F.col("item").cast("string"))).alias("item"), "bytes"
-    )
-    above = shard_groups(durable(sums.unionByName(single)), shards, max(at_once, 16 * parts))
-    named = bundled.select(
-        "item", F.concat(F.lit("b"), F.col("part").cast("string")).alias("above")
-    ).unionByName(
-        groups.filter(heavy).select(
-            "item", F.concat(F.lit("g"), F.hex(F.col("item").cast("string"))).alias("above")
-        )
-    )
-    return named.join(above.withColumnRenamed("item", "above"), "above").select("item", "shard")
+    single = heavy | (_bucket(buckets) == 0)
+    bundled = _divided(groups.filter(~single), buckets, parts)
+    # A bundle has the number of its part, a single group its own name.
+    numbered = bundled.select("item", F.concat(F.lit("="), "part").alias("above"))
+    renamed = groups.filter(single).select("item", F.concat(F.lit("+"), "item").alias("above"))
+    upper = numbered.unionByName(renamed)
+    sums = groups.join(upper, "item").groupBy("above").agg(F.sum("bytes").alias("bytes"))
+    placed = shard_groups(durable(sums.withColumnRenamed("above", "item")), shards, at_once)
+    return upper.join(placed.withColumnRenamed("item", "above"), "above").select("item", "shard")
 
 
 def shard_documents(
