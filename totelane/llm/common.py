@@ -12,6 +12,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from totelane.operators.skew import fits_broadcast, spread_join
+from totelane.settings import SkewSettings
+
+#: Bounds of a table that is broadcast.
+SMALL = SkewSettings(broadcast_rows=1_000_000, broadcast_bytes=32 << 20)
 #: XML-like white space of the contracts: blank and the controls 9 to 13. ``bytes.split()``
 #: without argument splits at exactly these.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -51,13 +56,23 @@ def entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def meet(rows: DataFrame, table: DataFrame, on: str | list[str], how: str, hot=()) -> DataFrame:
+    """``rows`` joined with a table of unique keys. Where its measured size is within
+    ``SMALL``, the table is sent to the rows, which need not move; beyond that both are
+    shuffled, with the ``hot`` values of the first key split."""
+    if fits_broadcast(table, SMALL):
+        return rows.join(F.broadcast(table), on, how)
+    return spread_join(rows, table, on, how, list(hot))
+
+
 def rows_without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose place is not in ``dropped.at``, with all their columns."""
+    """The rows of ``docs`` whose place is not in ``dropped.at``, with all their columns.
+    ``dropped`` is read twice."""
     place = "_at"
     while place in docs.columns:
         place = f"_{place}"
     numbered = docs.withColumn(place, F.monotonically_increasing_id())
-    return numbered.join(dropped.select(F.col("at").alias(place)), place, "left_anti").drop(place)
+    return meet(numbered, dropped.select(F.col("at").alias(place)), place, "left_anti").drop(place)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from totelane.llm.common import entries, lowered
+from totelane.llm.common import entries, lowered, meet
 from totelane.operators.skew import Lookup
 from totelane.session import durable
 from totelane.settings import SkewSettings
@@ -136,7 +136,7 @@ def _hits(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
     marked = docs.select("at", F.explode(fingerprints(text, benchmark.short)).alias("fingerprint"))
     met = benchmark.fingerprints.add_to(marked, "left_semi")
     suspects = durable(met.select("at").distinct())
-    near = durable(docs.select("at", "text").join(suspects, "at", "left_semi"))
+    near = durable(meet(docs.select("at", "text"), suspects, "at", "left_semi"))
 
     def seeds(size: int) -> DataFrame:
         grams = _of_hashes(text, lambda hashes: _grams(hashes, size))

@@ -18,8 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from totelane.llm.common import SPACES, entries, hot_groups
-from totelane.operators.skew import spread_join
+from totelane.llm.common import SPACES, entries, hot_groups, meet
 from totelane.session import durable
 
 #: Bytes of the first run, and the factor from each run to the next.
@@ -44,7 +43,7 @@ def _split(rows: DataFrame, by: list[str], run: int) -> DataFrame:
         .filter("n > 1")
     )
     hot = hot_groups(groups, "spread")
-    joined = spread_join(cut, groups, ["spread", *by, "run"], "inner", hot)
+    joined = meet(cut, groups, ["spread", *by, "run"], "inner", hot)
     return durable(
         joined.select(
             "at",
@@ -82,7 +81,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = normalised(docs, id_col, text_col)
     named = rows.select("at", "doc_id", F.sha2("text", 256).alias("text_sha256"))
     alone = F.col("keep_at").isNull()
-    return named.join(duplicate_rows(rows), "at", "left").select(
+    return meet(named, duplicate_rows(rows), "at", "left").select(
         "at",
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
