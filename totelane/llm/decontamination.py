@@ -30,7 +30,8 @@ WINDOW = 10
 GRAM = 5
 #: What stands between words: all of ASCII but digits and lower-case letters.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same where capitals still are letters.
+ANY_CASE_BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def small_letters(text: Column) -> Column:
@@ -208,7 +209,7 @@ def contamination(
         .groupBy("at")
         .agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     )
-    n_words = F.regexp_count("text", F.lit(WORDS.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")))
+    n_words = F.size(F.array_remove(F.split("text", ANY_CASE_BREAKS), ""))
     none = F.array().cast("array<string>")
     return (
         rows.select("at", "doc_id", n_words.cast("long").alias("n_words"))
