@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from totelane.llm.common import shuffle_partitions
 
 #: Bytes of text in a block, unless a single row has more.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _PART_BITS = 24
 Asker = Callable[[int, pa.Table], Iterator[pa.RecordBatch]]
 

@@ -74,27 +74,32 @@ class Block:
     def __init__(self, table: pa.Table, depth: int):
         self.at, self.doc_ids = table["at"].to_numpy(), table["doc_id"].to_pylist()
         self.held = np.array([held_out(x) for x in self.doc_ids], bool)
-        self.words = [text.lower().split() for text in as_bytes(table["text"])]
-        joined = [b" ".join(x) + _END for x in self.words]
+        joined, hashed = [], []
+        for text in as_bytes(table["text"]):
+            words = text.lower().split()
+            joined.append(b" ".join(words) + _END)
+            hashed.append(_known.of([*words, _END]))
+        self.n = len(joined)
+        numbers = np.arange(self.n, dtype=np.int32)
+        #: Hash and document of each word and of the end after them.
+        self.words = np.concatenate(hashed)
+        self.word_doc = np.repeat(numbers, [len(x) for x in hashed])
+        del hashed
+        lengths = [len(x) for x in joined]
         gap = _END * (depth - 1)
-        data = np.frombuffer(_END * depth + gap.join(joined), np.uint8)
-        lengths = np.array([len(x) for x in joined], np.int64)
-        starts = np.cumsum(lengths + depth - 1) - lengths - depth + 1
-        self.doc = np.repeat(np.arange(len(joined)), lengths)
-        places = np.arange(len(self.doc)) + np.repeat(
-            starts - np.cumsum(lengths) + lengths, lengths
-        )
-        strings = np.zeros(max(0, len(data) - depth), np.uint64)
+        data = np.frombuffer(_END * depth + gap.join(joined) + gap, np.uint8)
+        del joined
+        strings = np.zeros(len(data) - depth, np.uint64)
         for i in range(depth + 1):
-            strings = (strings << _U8) | data[i : i + len(strings)]
-        #: The string that ends with each byte of each text.
-        self.strings = strings[places]
-
-    def word_hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hash and document of each word and of the end after them."""
-        counts = [len(x) + 1 for x in self.words]
-        hashed = [_known.of([*x, _END]) for x in self.words]
-        return np.concatenate(hashed), np.repeat(np.arange(len(counts)), counts)
+            strings <<= _U8
+            strings |= data[i : i + len(strings)]
+        # Texts and the gaps after them by turns.
+        sizes = np.full(2 * self.n, depth - 1)
+        sizes[::2] = lengths
+        inside = np.repeat(np.arange(2 * self.n, dtype=np.int32) % 2 == 0, sizes)
+        #: The string that ends with each byte of each text, and its document.
+        self.strings = strings[inside]
+        self.doc = np.repeat(numbers, lengths)
 
 
 def _counted(keys: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,10 +117,9 @@ def _counted(keys: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _ask(buckets: int, depth: int):
     def ask(number: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
         block = Block(table, depth)
-        words, doc = block.word_hashes()
-        held = block.held
-        for kind, keys, docs in ((_WORDS, words, doc), (_STRINGS, block.strings, block.doc)):
-            keys, times = _counted(keys, held[docs])
+        kinds = (_WORDS, block.words, block.word_doc), (_STRINGS, block.strings, block.doc)
+        for kind, every, docs in kinds:
+            keys, times = _counted(every, block.held[docs])
             hashed = keys if kind == _WORDS else mixed(keys)
             dealt = bucket_of(hashed, buckets)
             order = np.argsort(dealt, kind="stable")
@@ -347,11 +351,10 @@ def _score(depth: int, tokens: int, distinct: int):
         parts = []
         for blob in left["rows"].to_pylist():
             block = Block(rows_of(blob), depth)
-            n = len(block.words)
-            words, doc = block.word_hashes()
-            times = values[_WORDS][tables[_WORDS].places(words)]
+            n, doc = block.n, block.word_doc
+            times = values[_WORDS][tables[_WORDS].places(block.words)]
             base = np.log10((times + 0.5) / (tokens + 0.5 * (distinct + 1)))
-            logs = values[_STRINGS][tables[_STRINGS].places(block.strings)].astype(np.float64)
+            logs = values[_STRINGS][tables[_STRINGS].places(block.strings)]
             columns = [
                 pa.array(block.at),
                 pa.array(block.doc_ids, pa.int64()),
