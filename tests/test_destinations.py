@@ -12,7 +12,7 @@ from totelane.functions import fixed
 from totelane.operators.destinations import tote_destinations
 from totelane.operators.measures import hot_items, measure
 from totelane.operators.picks import hot_transactions, pick_locations
-from totelane.operators.routes import tote_zone_sets, tote_zones
+from totelane.operators.routes import planned_routes, tote_routes, tote_zone_sets, tote_zones
 from totelane.operators.zones import ZoneLookup, location_zone_map
 from totelane.settings import PUTAWAY, SINGLE, RouterSettings, SkewSettings
 
@@ -131,7 +131,7 @@ def test_zones_match_destinations(warehouse, states, skew, seed):
     """Zones computed level by level before the join equal those of the located rows."""
     rows = random_rows(100 + seed)
     wh = warehouse(**rows)
-    zone_of = {"MZ-1": "ab", "HOSPITAL": "Hospital", "NC": "FB", "PACKING": "Packing",
+    zone_of = {"MZ-1": "AB", "HOSPITAL": "Hospital", "NC": "FB", "PACKING": "Packing",
                "1UA-01": "FB", "1VB-02": "FD"}
     expected = set()
     for tote, _, _, _, location in by_hand(rows, states):
@@ -162,7 +162,43 @@ def test_zone_map_takes_the_last_picking_zone(warehouse):
             ("L5", "XX"),
         ],
     )
-    assert as_set(location_zone_map(wh, NO_SPLITS)) == {("L1", "ab"), ("L4", "JD")}
+    assert as_set(location_zone_map(wh, NO_SPLITS)) == {("L1", "AB"), ("L4", "JD")}
+
+
+@pytest.mark.parametrize(
+    ("zone", "listed", "planned"),
+    [
+        ("Hospital", "hospital", ("hospital", "hospital", 3, 0)),
+        ("anc", "ANC", ("ANC", "A-", 3, 4)),
+        ("HOSPITAL", "Hospital", ("Hospital", "-", 4, 4)),
+    ],
+)
+def test_routes_spell_zones_as_listed(warehouse, spark, zone, listed, planned):
+    """The rewriting rules look at the case of the listed zone."""
+    wh = warehouse(
+        tote_detail=[("T1", "O1")],
+        trans=[(1, "pick", None, None, None)],
+        trans_detail=[(1, "O1", "MZ-1")],
+        zone=[(zone, 1)],
+        zone_locations=[("MZ-1", listed)],
+    )
+    settings = RouterSettings(AS_OF)
+    sets = tote_zone_sets(wh, settings, measure(wh, settings))
+    found = planned_routes(tote_routes(sets)).select("origroute", "route", "chute", "noncon")
+    assert [tuple(r) for r in found.collect()] == [planned]
+
+
+def test_one_zone_under_two_spellings_is_one_stop(warehouse):
+    wh = warehouse(
+        tote_detail=[("T1", "O1")],
+        trans=[(1, "pick", None, None, None)],
+        trans_detail=[(1, "O1", "MZ-1"), (1, "O1", "MZ-2"), (1, "O1", "1UA-1")],
+        zone=[("fb", 1)],
+        zone_locations=[("MZ-1", "fb"), ("MZ-2", "Fb")],
+    )
+    settings = RouterSettings(AS_OF)
+    sets = tote_zone_sets(wh, settings, measure(wh, settings))
+    assert [r["zones"] for r in sets.collect()] == [["FB"]]
 
 
 def test_zone_lookup_keeps_rows_without_location(warehouse, spark):

@@ -26,7 +26,8 @@ def duck():
 
 def test_every_query_has_a_counterpart():
     assert QUERIES.keys() == ORACLE.keys()
-    assert entry_point.queries() == QUERIES and entry_point.oracle_sql() == ORACLE
+    assert entry_point.queries().items() >= QUERIES.items()
+    assert entry_point.oracle_sql().items() >= ORACLE.items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -64,9 +65,14 @@ def test_plans_stay_distributed(spark, name):
         assert operator not in plan, operator
 
 
-def test_filters_and_columns_reach_the_scan(spark):
+def test_views_read_every_row():
+    from totelane.sources.testdata import view_texts
+
+    assert not [name for name, text in view_texts().items() if " WHERE " in text.upper()]
+
+
+def test_only_the_columns_used_are_read(spark):
     plan = plan_of(QUERIES["pick_locations"](spark, SF))
-    assert "EqualTo(l_linestatus,O)" in plan
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert sorted(schemas) == [
         "l_orderkey:bigint,l_partkey:bigint,l_linestatus:string", "o_orderkey:bigint",
@@ -101,6 +107,6 @@ def test_orders_are_joined_without_another_shuffle(spark, folder):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    # Zones 1, their locations 1, lines 1, picks 1, orders 1, items 1, totes 1, state 1.
-    assert len(shuffles) == 8, plan
+    # Lines 1, picks 1, orders 1, items 1, totes 1, state 1; the zone map is written before.
+    assert len(shuffles) == 6, plan
     assert "PartitionFilters: [isnotnull(tran_type" in plan

@@ -143,7 +143,7 @@ def test_outbox_order_messages_and_answers(run, spark):
     acks = spark.createDataFrame(
         [
             (5, "t3 ", 201), (5, "T3", 201), (9, "T1", 200), (10, "other", 201),
-            (None, "t7", 201), (None, "T8", 500),
+            (None, "t7", 201), (None, "T8", 500), (5, "T3", 500),
         ],
         "id long, tote_id string, status int",
     )
@@ -155,8 +155,24 @@ def test_outbox_order_messages_and_answers(run, spark):
     events = {r["event"]: r["n"] for r in found.summary(acks).collect()}
     assert events == {
         "COMPLETE": 2, "INSERT": 1, "INSERT_ON_BLANK": 1, "KEEP": 1, "DISPATCHED": 3,
-        "ROUTED": 1, "FAILED": 2, "COMPLETION_FAILED": 1, "HELD_WITHOUT_ROUTE": 1,
+        "ROUTED": 1, "FAILED": 1, "UNANSWERED": 1, "COMPLETION_FAILED": 1, "HELD_WITHOUT_ROUTE": 1,
     }
+    silent = {r["event"]: r["n"] for r in found.summary(acks.limit(0)).collect()}
+    assert (silent["UNANSWERED"], silent["COMPLETION_UNANSWERED"]) == (3, 2)
+    assert not {"FAILED", "COMPLETION_FAILED", "ROUTED"} & silent.keys()
+
+
+def test_pending_rows_without_a_tote_are_not_sent(run):
+    found = run([], (3, None, "FB", 3, 0, None))
+    assert found.outbox.isEmpty()
+    assert {r["id"] for r in found.next_state.collect()} == {3}
+
+
+def test_a_repeated_answer_does_not_renew_a_route(stored, spark):
+    rows = stored((1, "T1", "FB", 3, 0, FRESH), (2, "T2", "FB", 3, 0, None))
+    acks = spark.createDataFrame([(1, "T1", 201), (2, "T2", 201)], "id long, tote_id string, status int")
+    dates = {r["id"]: r["routed_date"] for r in dispatch.mark_routed(rows, acks, AS_OF).collect()}
+    assert dates == {1: FRESH, 2: AS_OF}
 
 
 def test_nameless_rows_are_reported_and_do_not_stop_the_run(run):
@@ -175,7 +191,7 @@ def test_lost_completions(run):
 def test_split_keys_change_nothing(run):
     items = [(f"T{n}", "OFB") for n in range(40)] + [("T1", f"O{n}") for n in range(40)]
     rows = [(n, "T1" if n % 3 == 0 else f"T{n}", "HB", 3, 0, FRESH) for n in range(60)]
-    plain, split = run(items, *rows), run(items, *rows, skew=SkewSettings(min_rows=0, broadcast_rows=0))
+    plain, split = run(items, *rows), run(items, *rows, skew=SkewSettings(min_rows=0, broadcast_rows=0, fair_shares=0.5))
     assert split.measures.items["inventory_key"] and split.state_measures.hot
     assert as_set(plain.next_state) == as_set(split.next_state)
 

@@ -23,7 +23,7 @@ from totelane.plans.run import (
 )
 from totelane.settings import RouterSettings
 from totelane.sources import testdata
-from totelane.sources.state_store import StateStore
+from totelane.sources.state_store import StaleSnapshotError, StateStore
 from totelane.sources.warehouse import Warehouse
 from totelane.streaming.router import start_router
 
@@ -88,7 +88,7 @@ def test_run_leaves_its_tables_and_is_not_repeated(spark, extract, folder):
     store, out = StateStore(spark, folder("store")), folder("out")
     wh = Warehouse.read_extract(spark, extract)
     done = run_once(wh, store, SETTINGS, "run-1", out, accept_all)
-    for table in ("reconciled", "outbox", "acks"):
+    for table in ("reconciled", "next_state", "outbox", "acks"):
         assert spark.read.parquet(f"{done.folder}/{table}").count() > 0
     summary = {r["event"]: r["n"] for r in spark.read.json(f"{done.folder}/summary").collect()}
     assert summary["INSERT"] == summary["DISPATCHED"] == summary["ROUTED"]
@@ -96,6 +96,84 @@ def test_run_leaves_its_tables_and_is_not_repeated(spark, extract, folder):
     assert again.skipped and again.version == done.version
 
 
+def test_import_is_not_repeated_and_never_into_a_used_store(spark, stored, warehouse, folder):
+    store, out = StateStore(spark, folder("store")), folder("out")
+    old = stored((1, "T1", "HB", 3, 0, AS_OF))
+    assert import_state(store, old, SETTINGS) == 1
+    wh = warehouse(
+        tote_detail=[("T1", "O1")],
+        trans=[(1, "pick", None, None, None)],
+        trans_detail=[(1, "O1", "1UA-1")],
+    )
+    run_once(wh, store, SETTINGS, "a", out, accept_all)
+    before = state_rows(store)
+    assert {row[0] for row in before} == {2}
+    assert import_state(store, old, SETTINGS) == 2
+    assert state_rows(store) == before
+    with pytest.raises(ValueError, match="empty store"):
+        import_state(store, old, SETTINGS, "other")
+    assert store.latest().last_id == 2
+
+
+def test_of_two_writers_from_one_snapshot_one_commits(spark, stored, folder, monkeypatch):
+    store = StateStore(spark, folder("store"))
+    base = store.latest()
+    store.commit(base, stored((1, "T1", "FB", 3, 0, None)), "a", 1)
+    with pytest.raises(StaleSnapshotError):
+        store.commit(base, stored((1, "T2", "FB", 3, 0, None)), "b", 1)
+    # Both look before either commits: the name of the version decides.
+    monkeypatch.setattr(store, "latest", lambda: base)
+    with pytest.raises(StaleSnapshotError):
+        store.commit(base, stored((1, "T2", "FB", 3, 0, None)), "b", 1)
+    monkeypatch.undo()
+    assert {row[1] for row in state_rows(store)} == {"T1"} and not store.has_run("b")
+
+
+def test_answers_go_on_the_snapshot_of_a_faster_writer(spark, stored, folder, monkeypatch):
+    store = StateStore(spark, folder("store"))
+    first = store.commit(store.latest(), stored((1, "T1", "FB", 3, 0, None)), "a", 1)
+    real, calls = store.commit, []
+
+    def beaten(based_on, state, run_id, last_id):
+        if not calls:
+            calls.append(run_id)
+            rows = stored((1, "T1", "FB", 3, 0, None), (2, "T2", "HB", 3, 0, None))
+            real(first, rows, "faster", 2)
+        return real(based_on, state, run_id, last_id)
+
+    monkeypatch.setattr(store, "commit", beaten)
+    acks = spark.createDataFrame([(1, "T1", 201)], schemas.ACKS)
+    assert record_answers(store, acks, SETTINGS, "answers") == 3
+    assert {(row[0], row[-1]) for row in state_rows(store)} == {(1, AS_OF), (2, None)}
+
+
+def test_old_snapshots_expire(spark, stored, folder):
+    store = StateStore(spark, folder("store"))
+    for n in range(4):
+        store.commit(store.latest(), stored((n, "T1", "FB", 3, 0, None)), f"r{n}", n)
+    assert store.expire(2) == 2
+    assert store.expire(2) == 0
+    assert {row[0] for row in state_rows(store)} == {3} and store.has_run("r0")
+    with pytest.raises(ValueError):
+        store.expire(0)
+
+
+def test_late_answers_are_kept_with_the_run(spark, warehouse, stored, folder):
+    store, out = StateStore(spark, folder("store")), folder("out")
+    import_state(store, stored((1, "T9", "FB", 3, 0, AS_OF)), SETTINGS)
+    wh = warehouse(
+        tote_detail=[("T1", "O1")],
+        trans=[(1, "pick", None, None, None)],
+        trans_detail=[(1, "O1", "1UA-1")],
+    )
+    done = run_once(wh, store, SETTINGS, "a", out, no_answers)
+    acks = spark.createDataFrame([(2, "T1", 201), (None, "T9", 500)], schemas.ACKS)
+    record_answers(store, acks, SETTINGS, "a/answers", done.folder)
+    summary = spark.read.json(f"{done.folder}/answers/*/summary")
+    assert as_set(summary) == {("ROUTED", 1), ("COMPLETION_FAILED", 1)}
+    assert spark.read.parquet(f"{done.folder}/answers/*/acks").count() == 2
+
+
 def test_a_run_that_dies_changes_nothing(spark, extract, folder):
     store, out = StateStore(spark, folder("store")), folder("out")
     wh = Warehouse.read_extract(spark, extract)
@@ -197,7 +275,7 @@ def test_command_line(spark, extract, folder, capsys, monkeypatch):
     testdata.state_table(spark, SF).write.parquet(old)
     main(["import", "--store", imported, "--state", old])
     assert "state version 1" in capsys.readouterr().out
-    assert StateStore(spark, imported).latest().state.count() == 900
+    assert StateStore(spark, imported).latest().state.count() == 1500
     main(["run", *shared, "--extract", extract, "--out", out, "--run-id", "a"])
     assert "state version 1" in capsys.readouterr().out
     pending = StateStore(spark, store).latest().state

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import as_set
-from totelane.operators.skew import Lookup, fits_broadcast, hot_keys, spread_join, together
+from totelane.operators.skew import Lookup, fits_broadcast, hot_keys, sketches, spread_join, together
 from totelane.settings import SkewSettings
 
 SMALL = SkewSettings(min_rows=10)
@@ -35,11 +35,26 @@ def skewed(spark):
 
 
 def test_hot_keys_and_blanks_are_found(skewed):
-    hot, found = hot_keys(skewed[0], ["k", "n"], SMALL, F.max("n").alias("top"))
+    hot, found = hot_keys(skewed[0], ["k", "n"], SMALL, greatest="n")
     splits = dict(hot["k"])
     assert splits["hot"] == 6  # 300 of 900 rows, 225 per partition, in four pieces each
     assert hot["n"] == []
-    assert found["top"] == 149
+    assert found["_greatest"] == 149
+
+
+def test_what_one_task_merges_does_not_grow_with_the_scan(spark, monkeypatch):
+    """Few sketches reach each task of the second level and of the last, however many scan
+    partitions there are."""
+    monkeypatch.setattr("totelane.operators.skew._GROUPS", 8)
+    monkeypatch.setattr("totelane.operators.skew._LAST_GROUPS", 4)
+    for partitions in (2, 8, 40):
+        rows = spark.range(4000, numPartitions=partitions).select((F.col("id") % 7).alias("k"))
+        parts = sketches(rows, ["k"], 100)
+        assert parts.count() == min(partitions, 4)
+        hot, found = hot_keys(rows, ["k"], SMALL)
+        assert found["_rows"] == 4000 and hot["k"] == []
+    one = spark.range(4000, numPartitions=40).select(F.lit("a").alias("k"))
+    assert [key for key, _ in hot_keys(one, ["k"], SMALL)[0]["k"]] == ["a"]
 
 
 def test_no_rows_no_hot_keys(spark):

@@ -1,5 +1,5 @@
-"""Command line: one routing run, the conveyor's answers, the stream of run requests, or the
-import of an existing state table."""
+"""Command line: one routing run, the conveyor's answers, the stream of run requests, the
+import of an existing state table, or the removal of old snapshots."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from totelane import schemas
 from totelane.plans.run import import_state, no_answers, record_answers, run_once
 from totelane.session import build_session
 from totelane.settings import PUTAWAY, SINGLE, RouterSettings
+from totelane.sources.jdbc import Database
 from totelane.sources.state_store import StateStore
 from totelane.sources.warehouse import Warehouse, canonical_state
 from totelane.streaming.router import start_router
@@ -25,19 +26,27 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     commands = parser.add_subparsers(dest="command", required=True)
 
     run = commands.add_parser("run", parents=[shared], help="plan and write the outbox")
-    run.add_argument("--extract", required=True, help="folder with one table per subfolder")
+    source = run.add_mutually_exclusive_group(required=True)
+    source.add_argument("--extract", help="folder with one table per subfolder")
+    source.add_argument("--database", help="JSON file with the tables of a database")
     run.add_argument("--canonical", action="store_true", help="the extract is in canonical form")
     run.add_argument("--out", required=True, help="folder for the tables of the run")
 
     answers = commands.add_parser("answers", parents=[shared], help="mark accepted routes")
     answers.add_argument("--acks", required=True, help="Parquet table id, tote_id, status")
+    answers.add_argument("--run-folder", help="folder of the run that sent the messages")
 
     for command in (run, answers):
         command.add_argument("--run-id", required=True)
         command.add_argument("--as-of", required=True, type=datetime.fromisoformat)
 
     imported = commands.add_parser("import", parents=[shared], help="take over stored routes")
-    imported.add_argument("--state", required=True, help="Parquet table of stored routes")
+    source = imported.add_mutually_exclusive_group(required=True)
+    source.add_argument("--state", help="Parquet table of stored routes")
+    source.add_argument("--database", help="JSON file with the tables of a database")
+
+    expired = commands.add_parser("expire", parents=[shared], help="remove old snapshots")
+    expired.add_argument("--keep", type=int, required=True, help="snapshots that stay")
 
     stream = commands.add_parser("stream", parents=[shared], help="follow run requests")
     stream.add_argument("--requests", required=True)
@@ -57,17 +66,26 @@ def main(argv: list[str] | None = None) -> None:
     )
     store = StateStore(spark, args.store)
     if args.command == "run":
-        read = Warehouse.read_canonical if args.canonical else Warehouse.read_extract
-        result = run_once(
-            read(spark, args.extract), store, settings, args.run_id, args.out, no_answers
-        )
+        if args.database:
+            warehouse = Database.from_file(args.database).warehouse(spark)
+        elif args.canonical:
+            warehouse = Warehouse.read_canonical(spark, args.extract)
+        else:
+            warehouse = Warehouse.read_extract(spark, args.extract)
+        result = run_once(warehouse, store, settings, args.run_id, args.out, no_answers)
         print(f"state version {result.version}, tables in {result.folder}")
     elif args.command == "answers":
         acks = spark.read.schema(schemas.ACKS).parquet(args.acks)
-        print(f"state version {record_answers(store, acks, settings, args.run_id)}")
+        version = record_answers(store, acks, settings, args.run_id, args.run_folder)
+        print(f"state version {version}")
     elif args.command == "import":
-        state = canonical_state(spark.read.schema(schemas.TOTE_ROUTER).parquet(args.state))
+        if args.database:
+            state = Database.from_file(args.database).state(spark)
+        else:
+            state = canonical_state(spark.read.schema(schemas.TOTE_ROUTER).parquet(args.state))
         print(f"state version {import_state(store, state, settings)}")
+    elif args.command == "expire":
+        print(f"{store.expire(args.keep)} snapshots removed")
     else:
         start_router(
             spark,

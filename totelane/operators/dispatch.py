@@ -20,7 +20,8 @@ def dispatch_outbox(
 ) -> DataFrame:
     """All messages of a run in sending order: finished totes, then pending routes by id.
 
-    A pending row without a route has nothing to say; it stays in the state.
+    A pending row without a route has nothing to say, and one without a tote nobody to say it
+    to; both stay in the state.
     """
     finished = reconciled.filter(F.col("action") == COMPLETE).select(
         F.lit("COMPLETION").alias("kind"),
@@ -32,7 +33,7 @@ def dispatch_outbox(
     )
     waiting = (
         pending_routes(next_state)
-        .filter(F.col("route").isNotNull())
+        .filter(F.col("route").isNotNull() & F.col("tote_key").isNotNull())
         .select(
             F.lit("ROUTE").alias("kind"),
             "id",
@@ -55,35 +56,42 @@ def accepted(acks: DataFrame) -> DataFrame:
 
 
 def answered(outbox: DataFrame, acks: DataFrame) -> DataFrame:
-    """The outbox with ``accepted``: whether the conveyor accepted this id for this tote.
-    Answers to last messages, which have no id, are matched by tote."""
-    heard = accepted(acks).select(
-        F.col("id").alias("_id"), key("tote_id").alias("_tote")
-    ).distinct()
+    """The outbox with ``accepted``: whether the conveyor accepted this id for this tote, NULL
+    if it has not answered. Of several answers one acceptance is enough. Answers to last
+    messages, which have no id, are matched by tote."""
+    heard = acks.groupBy(F.col("id").alias("_id"), key("tote_id").alias("_tote")).agg(
+        F.max(F.coalesce(F.col("status") == fixed.ACCEPTED, F.lit(False))).alias("accepted")
+    )
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("tote_key") == F.col("_tote"))
-    joined = outbox.join(heard, same, "left")
-    return joined.withColumn("accepted", F.col("_tote").isNotNull()).drop("_id", "_tote")
+    return outbox.join(heard, same, "left").drop("_id", "_tote")
 
 
 def failed_dispatches(outbox: DataFrame, acks: DataFrame) -> DataFrame:
     """Routes sent without success, for whatever reason; the next run sends them again."""
-    sent = answered(outbox, acks).filter(F.col("id").isNotNull() & ~F.col("accepted"))
+    silent = ~F.coalesce("accepted", F.lit(False))
+    sent = answered(outbox, acks).filter(F.col("id").isNotNull() & silent)
     return sent.select("id", "tote_id", "path", "chute")
 
 
 def outbox_events(outbox: DataFrame, acks: DataFrame) -> DataFrame:
-    """One row per event of a message. A last message without success is not sent again:
-    its tote leaves the state anyway."""
-    is_last, done = F.col("id").isNull(), F.col("accepted")
-    failed_last = F.when(is_last & ~done, F.lit("COMPLETION_FAILED"))
-    sent = F.when(~is_last, F.lit("DISPATCHED"))
-    outcome = F.when(~is_last & done, F.lit("ROUTED")).when(~is_last, F.lit("FAILED"))
-    events = F.explode(F.array_compact(F.array(failed_last, sent, outcome)))
-    return answered(outbox, acks).select(events.alias("event"))
+    """One row per event of a message: that a route was sent, and what came of each message.
+    A last message without success is not sent again: its tote leaves the state anyway."""
+    sent = outbox.filter(F.col("id").isNotNull()).select(F.lit("DISPATCHED").alias("event"))
+    return sent.unionByName(answer_events(outbox, acks))
+
+
+def answer_events(outbox: DataFrame, acks: DataFrame) -> DataFrame:
+    """What came of each message; an accepted last message is no event."""
+    done = F.col("accepted")
+    of_last = F.when(done.isNull(), "COMPLETION_UNANSWERED").when(~done, "COMPLETION_FAILED")
+    of_route = F.when(done.isNull(), "UNANSWERED").when(done, "ROUTED").otherwise("FAILED")
+    event = F.when(F.col("id").isNull(), of_last).otherwise(of_route)
+    return answered(outbox, acks).select(event.alias("event")).filter("event IS NOT NULL")
 
 
 def mark_routed(state: DataFrame, acks: DataFrame, as_of: datetime) -> DataFrame:
-    """``state`` with the time of sending on accepted rows, matched by id and tote."""
+    """``state`` with the time of sending on accepted pending rows, matched by id and tote. A
+    repeated answer does not renew a route."""
     done = (
         accepted(acks)
         .select("id", key("tote_id").alias("tote_key"))
@@ -91,5 +99,5 @@ def mark_routed(state: DataFrame, acks: DataFrame, as_of: datetime) -> DataFrame
         .withColumn("_sent", F.lit(True))
     )
     joined = state.join(done, ["id", "tote_key"], "left")
-    sent = F.when(F.col("_sent"), moment(as_of)).otherwise(F.col("routed_date"))
-    return joined.withColumn("routed_date", sent).select(*state.columns)
+    sent = F.when(F.col("_sent"), moment(as_of))
+    return joined.withColumn("routed_date", F.coalesce("routed_date", sent)).select(*state.columns)

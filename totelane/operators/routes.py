@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from totelane.functions import fixed
@@ -19,8 +19,9 @@ def tote_zone_sets(
 ) -> DataFrame:
     """Per open tote: ``tote_key``, ``tote_id`` as spelled, ``zones`` sorted and distinct.
 
-    A tote keeps at most one entry per zone, in the tasks that read its items as well as
-    after the shuffle, so a tote with very many items stays small.
+    A tote keeps at most one entry per spelling of a zone, in the tasks that read its items
+    as well as after the shuffle, so a tote with very many items stays small. Spellings that
+    differ in case are one zone; the first of them by name stands for it.
     """
     items = item_zones(warehouse, settings.states, measures)
     own = F.array(spread_zone(F.col("tote_key"), settings.random_mode))
@@ -28,9 +29,21 @@ def tote_zone_sets(
     return (
         items.select("tote_key", "tote_id", F.explode(listed).alias("zone"))
         .groupBy("tote_key")
-        .agg(F.min("tote_id").alias("tote_id"), F.collect_set("zone").alias("zones"))
-        .select("tote_key", "tote_id", F.array_sort("zones").alias("zones"))
+        .agg(
+            F.min("tote_id").alias("tote_id"),
+            F.collect_set("zone").alias("zones"),
+            F.collect_set(F.upper("zone")).alias("keys"),
+        )
+        .select("tote_key", "tote_id", F.array_sort(_one_spelling()).alias("zones"))
+    )
+
+
+def _one_spelling() -> Column:
+    """``zones`` with one entry for each of ``keys``."""
+    first = F.transform(
+        "keys", lambda own: F.array_min(F.filter("zones", lambda zone: F.upper(zone) == own))
     )
+    return F.when(F.size("keys") == F.size("zones"), F.col("zones")).otherwise(first)
 
 
 def tote_zones(zone_sets: DataFrame) -> DataFrame:

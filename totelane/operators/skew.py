@@ -22,6 +22,8 @@ HotKeys = list[tuple[str | int | None, int]]
 
 _TRACKED = 10_000
 _MOST_TRACKED = 1_000_000
+# Groups that sketches are merged in, first and last.
+_GROUPS, _LAST_GROUPS = 4096, 64
 # Pieces per fair share. Pieces are placed by hash, and with few of them several may meet in
 # one task; more are cheap, since only the few rows opposite are repeated.
 _PIECES = 4
@@ -35,11 +37,31 @@ def together(spark: SparkSession, *jobs: Callable) -> list:
         return [job.result() for job in started]
 
 
+def sketches(df: DataFrame, columns: Sequence[str], tracked: int, greatest: str | None = None) -> DataFrame:
+    """One row per group of groups of scan partitions: ``_rows``, a sketch per column, and the
+    ``greatest`` of a column. A task merges the sketches of the scan partitions that agree in
+    their number modulo ``_GROUPS``, then of ``_GROUPS / _LAST_GROUPS`` groups, so what one
+    task reads does not grow with the scan up to ``_GROUPS`` partitions, and slowly beyond.
+    """
+    most = [F.max(greatest).alias("_greatest")] if greatest else []
+    first = [F.expr(f"approx_top_k_accumulate(`{c}`, {tracked})").alias(f"_{c}") for c in columns]
+    merged = [F.expr(f"approx_top_k_combine(`_{c}`, {tracked})").alias(f"_{c}") for c in columns]
+    groups = (
+        df.withColumn("_group", F.spark_partition_id() % _GROUPS)
+        .groupBy("_group")
+        .agg(F.count(F.lit(1)).alias("_rows"), *first, *most)
+    )
+    again = [F.max("_greatest").alias("_greatest")] if greatest else []
+    return groups.groupBy((F.col("_group") % _LAST_GROUPS).alias("_last")).agg(
+        F.sum("_rows").alias("_rows"), *merged, *again
+    )
+
+
 def hot_keys(
-    df: DataFrame, columns: Sequence[str], skew: SkewSettings, *extra: Column
+    df: DataFrame, columns: Sequence[str], skew: SkewSettings, greatest: str | None = None
 ) -> tuple[dict[str, HotKeys], Row]:
     """Per column, its hot keys and the number of splits each should get; beside it a row
-    with the ``extra`` aggregates, which come from the same pass.
+    with ``_rows`` and the ``_greatest`` value of a column, which come from the same pass.
 
     With P shuffle partitions at most P keys can hold more than 1/P of the rows each, so
     the lists are short whatever the size of ``df``.
@@ -47,11 +69,17 @@ def hot_keys(
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     top = min(partitions, _MOST_TRACKED)
     tracked = min(max(_TRACKED, 10 * partitions), _MOST_TRACKED)
-    sketches = [
-        F.expr(f"approx_top_k(`{name}`, {top}, {tracked})").alias(name) for name in columns
+    # At most _LAST_GROUPS rows meet in the last task.
+    whole = [
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(`_{c}`, {tracked}), {top})").alias(c)
+        for c in columns
     ]
-    found = df.agg(F.count(F.lit(1)).alias("_rows"), *sketches, *extra).first()
-    share = max(1, skew.min_rows, found["_rows"] // partitions)
+    most = [F.max("_greatest").alias("_greatest")] if greatest else []
+    parts = sketches(df.select(*{*columns, *([greatest] if greatest else [])}), columns, tracked, greatest)
+    if parts.isEmpty():
+        return {name: [] for name in columns}, Row(_rows=0, _greatest=None)
+    found = parts.agg(F.sum("_rows").alias("_rows"), *whole, *most).first()
+    share = max(1, skew.min_rows, int(skew.fair_shares * found["_rows"] / partitions))
     hot = {
         name: [
             (top["item"], -(-_PIECES * top["count"] // share))

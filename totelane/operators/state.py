@@ -40,8 +40,8 @@ class StateMeasures:
 
 def measure_state(state: DataFrame, skew: SkewSettings) -> StateMeasures:
     """Totes with very many rows, and the highest id in use."""
-    hot, found = hot_keys(state, ["tote_key"], skew, F.max("id").alias("last_id"))
-    return StateMeasures(hot["tote_key"], found["last_id"] or 0)
+    hot, found = hot_keys(state, ["tote_key"], skew, greatest="id")
+    return StateMeasures(hot["tote_key"], found["_greatest"] or 0)
 
 
 def without_totes(state: DataFrame, totes: DataFrame, hot: HotKeys) -> DataFrame:

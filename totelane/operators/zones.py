@@ -8,27 +8,18 @@ from pyspark.sql import functions as F
 from totelane.functions import fixed
 from totelane.functions.locations import zone_by_rule
 from totelane.operators.skew import Lookup
+from totelane.session import durable
 from totelane.settings import SkewSettings
 from totelane.sources.warehouse import Warehouse
 
-# Zones that rules can give too; the table's spelling of them must not count as another zone.
-_RULE_SPELLING = [zone for _, _, zone in fixed.FLOOR_ZONES] + list(fixed.SPREAD_ZONES)
-
 
 def location_zone_map(warehouse: Warehouse, skew: SkewSettings) -> DataFrame:
-    """``location_key``, ``zone``: the last zone, by name, with picking at each location."""
-    spelled = F.when(
-        F.col("zone_key").isin(*_RULE_SPELLING), F.col("zone_key")
-    ).otherwise(F.col("zone"))
-    picking = (
-        warehouse.zone.filter(F.col("picking") == 1)
-        .withColumn("zone", spelled)
-        .groupBy("zone_key")
-        .agg(F.min("zone").alias("zone"))
-    )
+    """``location_key``, ``zone``: the last zone, by name, with picking at each location, as
+    the list of locations spells it."""
+    picking = warehouse.zone.filter(F.col("picking") == 1).select("zone_key").distinct()
     return (
         Lookup(picking, "zone_key", skew)
-        .add_to(warehouse.zone_locations, "inner")
+        .add_to(warehouse.zone_locations, "left_semi")
         .groupBy("location_key")
         .agg(F.max(F.struct("zone_key", "zone")).alias("last"))
         .select("location_key", F.col("last.zone").alias("zone"))
@@ -36,11 +27,12 @@ def location_zone_map(warehouse: Warehouse, skew: SkewSettings) -> DataFrame:
 
 
 class ZoneLookup:
-    """Adds the zone of each row's ``location_key``."""
+    """Adds the zone of each row's ``location_key``. The map is written once: it is measured,
+    joined, and asked for single locations."""
 
     def __init__(self, warehouse: Warehouse, skew: SkewSettings):
         table = location_zone_map(warehouse, skew).filter(F.col("location_key").isNotNull())
-        self._table = table
+        self._table = table = durable(table)
         self._lookup = Lookup(
             table.withColumnRenamed("zone", "listed_zone"), "location_key", skew
         )

@@ -15,7 +15,7 @@ from totelane.operators import destinations, dispatch, measures, picks, routes,
 from totelane.operators.skew import together
 from totelane.plans.run import RoutingRun, import_state
 from totelane.session import shared_folder
-from totelane.settings import PUTAWAY, SINGLE, RouterSettings
+from totelane.settings import PUTAWAY, SINGLE, RouterSettings, SkewSettings
 from totelane.sources import testdata
 from totelane.sources.state_store import StateStore
 from totelane.streaming.router import REQUESTS, start_router
@@ -26,6 +26,10 @@ SETTINGS = RouterSettings(as_of=testdata.AS_OF)
 ALL_STATES = RouterSettings(as_of=testdata.AS_OF, states=(SINGLE, PUTAWAY))
 PUTAWAY_ONLY = RouterSettings(as_of=testdata.AS_OF, states=(PUTAWAY,))
 LEGACY = RouterSettings(as_of=testdata.AS_OF, random_mode="legacy")
+# Every key that occurs more than once may be split, and no table is broadcast.
+SPLIT = SkewSettings(min_rows=0, fair_shares=1e-9, broadcast_rows=0)
+ALL_SPLIT = RouterSettings(as_of=testdata.AS_OF, states=(SINGLE, PUTAWAY), skew=SPLIT)
+SINGLE_SPLIT = RouterSettings(as_of=testdata.AS_OF, skew=SPLIT)
 
 STATE_COLUMNS = ["id", "tote_id", "route", "chute", "noncon", "routed_date"]
 REPORT_COLUMNS = ["tote_key", "tote_id", "origroute", "route", "chute", "noncon"]
@@ -191,6 +195,18 @@ def route_reconcile(spark, sf_dir):
     return _run(spark, sf_dir).reconciled
 
 
+def route_reconcile_split(spark, sf_dir):
+    return _run(spark, sf_dir, SINGLE_SPLIT).reconciled
+
+
+def next_state_split(spark, sf_dir):
+    return _run(spark, sf_dir, SINGLE_SPLIT).next_state.select(*STATE_COLUMNS)
+
+
+def preroute_report_all_states_split(spark, sf_dir):
+    return _run(spark, sf_dir, ALL_SPLIT).preroutes.select(*REPORT_COLUMNS)
+
+
 def state_inserts(spark, sf_dir):
     return _run(spark, sf_dir).inserts.select(*STATE_COLUMNS)
 
@@ -274,6 +290,9 @@ QUERIES: dict[str, Query] = {
     "lost_completions": lost_completions,
     "rejected_rows": rejected_rows,
     "route_reconcile": route_reconcile,
+    "route_reconcile_split": route_reconcile_split,
+    "next_state_split": next_state_split,
+    "preroute_report_all_states_split": preroute_report_all_states_split,
     "state_inserts": state_inserts,
     "next_state": next_state,
     "dispatch_outbox": dispatch_outbox,

@@ -1,19 +1,23 @@
 """The same queries as plain SQL, to check results in another engine.
 
 Written for reading, not for scale: each statement joins the tables row by row and removes
-duplicates at the end, while the DataFrame code reduces every level first.
+duplicates at the end, while the DataFrame code reduces every level first. The values of the
+rules are written out here again, so that a wrong one in the operators shows.
 """
 
 from __future__ import annotations
 
-from totelane.functions import fixed
 from totelane.sources.testdata import AS_OF, view_texts
 
-_AS_OF = f"TIMESTAMP '{AS_OF.isoformat(sep=' ')}'"
-
+# Fixed values of the rules, as in the source database.
+_NONCON_AREAS = "('WW', 'XX', 'YY', 'ZZ')"
+_SPREAD = (
+    "['AD','AF','AH','BA','BB','BC','BD','CB','CD','CF','CH','DA','DB','DC','DD',"
+    "'EF','EH','FA','FC','GF','GH','HA','HC','IF','IH','JA','JC']"
+)
+_LEGACY = "['AD','AD','AD','CB','AF','AF','AF','FA','GH','IF']"
 
-def _between(bounds: tuple[str, str]) -> str:
-    return f"'{bounds[0]}' AND '{bounds[1]}'"
+_AS_OF = f"TIMESTAMP '{AS_OF.isoformat(sep=' ')}'"
 
 
 _VIEWS = {f"raw_{name}": text for name, text in view_texts("TIMESTAMP").items()}
@@ -35,9 +39,11 @@ wh_orders AS (
 multi_home_loc AS (
     SELECT upper(trim(product_id)) AS product_key, upper(trim(home_loc_id)) AS location_key
     FROM raw_multi_home_loc),
-zone AS (SELECT zone_id, picking FROM raw_zone),
+zone AS (SELECT upper(trim(zone_id)) AS zone_key, picking FROM raw_zone),
 zone_locations AS (
-    SELECT upper(trim(location_id)) AS location_key, zone_id FROM raw_zone_locations),
+    SELECT upper(trim(location_id)) AS location_key, upper(trim(zone_id)) AS zone_key,
+        trim(zone_id) AS zone_id
+    FROM raw_zone_locations),
 tote_router AS (
     SELECT id, tote_id, upper(trim(tote_id)) AS tote_key, route, chute, noncon, routed_date
     FROM raw_tote_router)"""
@@ -45,10 +51,10 @@ tote_router AS (
 _PICKS = f"""
 open_picks AS (
     SELECT DISTINCT lines.order_key,
-        CASE WHEN left(lines.location_key, 2) IN {fixed.NONCON_AREAS} THEN 'NC'
-            WHEN left(lines.location_key, 3) BETWEEN {_between(fixed.KEPT_FLOOR)}
+        CASE WHEN left(lines.location_key, 2) IN {_NONCON_AREAS} THEN 'NC'
+            WHEN left(lines.location_key, 3) BETWEEN '1UA' AND '1XG'
                 THEN lines.location_key
-            WHEN left(lines.location_key, 2) BETWEEN {_between(fixed.NONCON_AISLES)} THEN 'NC'
+            WHEN left(lines.location_key, 2) BETWEEN '00' AND '99' THEN 'NC'
             ELSE lines.location_key END AS location_key
     FROM trans_detail lines JOIN trans USING (tran_id)
     WHERE trans.tran_type = 'PICK' AND lines.order_key > '')"""
@@ -85,26 +91,26 @@ destinations AS (
 
 _ZONE_MAP = """
 zone_map AS (
-    SELECT location_key, max(zone_id) AS zone
-    FROM zone_locations JOIN zone USING (zone_id) WHERE picking = 1
+    SELECT location_key, max({'k': zone_key, 'z': zone_id}).z AS zone
+    FROM zone_locations JOIN zone USING (zone_key) WHERE picking = 1
     GROUP BY location_key)"""
 
 
 def _rule(location: str) -> str:
-    floors = " ".join(
-        f"WHEN left({location}, 3) BETWEEN '{low}' AND '{high}' THEN '{zone}'"
-        for low, high, zone in fixed.FLOOR_ZONES
-    )
-    return f"CASE WHEN {location} = 'PACKING' THEN 'Packing' {floors} END"
+    floor = f"left({location}, 3)"
+    return f"""CASE WHEN {location} = 'PACKING' THEN 'Packing'
+        WHEN {floor} BETWEEN '1UA' AND '1VA' THEN 'FB' WHEN {floor} BETWEEN '1VB' AND '1VF' THEN 'FD'
+        WHEN {floor} BETWEEN '1VG' AND '1WB' THEN 'HB' WHEN {floor} BETWEEN '1WC' AND '1WG' THEN 'HD'
+        WHEN {floor} BETWEEN '1WH' AND '1XB' THEN 'JB' WHEN {floor} BETWEEN '1XC' AND '1XG' THEN 'JD'
+        END"""
 
 
-def _spread(tote: str, zones: tuple[str, ...]) -> str:
-    listed = ", ".join(f"'{zone}'" for zone in zones)
-    draw = f"('0x' || substr(md5({tote}), 1, 6))::BIGINT % {len(zones)} + 1"
-    return f"list_extract([{listed}], {draw})"
+def _spread(tote: str, zones: str) -> str:
+    draw = f"('0x' || substr(md5({tote}), 1, 6))::BIGINT % len({zones}) + 1"
+    return f"list_extract({zones}, {draw})"
 
 
-def _zones(states: str, spread: tuple[str, ...] = fixed.SPREAD_ZONES) -> str:
+def _zones(states: str, spread: str = _SPREAD) -> str:
     return f"""
 zoned AS (
     SELECT DISTINCT tote_id, tote_key, location_key,
@@ -112,7 +118,7 @@ zoned AS (
             ELSE coalesce({_rule('location_key')}, zone_map.zone, 'NC') END AS zone
     FROM destinations LEFT JOIN zone_map USING (location_key)
     WHERE tote_state IN ({states})),
-tote_zones AS (SELECT DISTINCT tote_key, zone FROM zoned)"""
+tote_zones AS (SELECT tote_key, min(zone) AS zone FROM zoned GROUP BY tote_key, upper(zone))"""
 
 
 _ROUTES = """
@@ -142,7 +148,7 @@ purged AS (
     SELECT * FROM tote_router s
     WHERE NOT EXISTS (SELECT 1 FROM expired e WHERE e.tote_key = s.tote_key)),
 stored AS (
-    SELECT * FROM purged QUALIFY row_number() OVER (PARTITION BY tote_key ORDER BY id DESC) = 1)"""
+    SELECT * FROM purged WHERE tote_key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY tote_key ORDER BY id DESC) = 1)"""
 
 _RECONCILE = """
 completed AS (
@@ -181,18 +187,22 @@ messages AS (
     FROM completed
     UNION ALL
     SELECT 'ROUTE', id, tote_key, tote_id, route, chute
-    FROM next_state WHERE routed_date IS NULL AND route IS NOT NULL),
+    FROM next_state WHERE routed_date IS NULL AND route IS NOT NULL AND tote_key IS NOT NULL),
 outbox AS (
     SELECT row_number() OVER (ORDER BY id NULLS FIRST, tote_key) AS seq, kind, id, tote_key,
         tote_id, path, chute,
         '{"tote":"' || tote_id || '","path":"' || path || '","chute":' || chute || '}' AS payload
     FROM messages),
 acks AS (
-    SELECT id, tote_id, CASE WHEN id % 7 = 0 THEN 500 ELSE 201 END AS status
-    FROM outbox WHERE id IS NOT NULL),
+    SELECT seq, id, tote_id, CASE WHEN seq % 7 = 0 THEN 500 ELSE 201 END AS status
+    FROM outbox WHERE seq % 11 <> 0),
+answers AS (
+    SELECT id, tote_id, status FROM acks
+    UNION ALL SELECT id, tote_id, status FROM acks WHERE seq % 13 = 0),
 marked AS (
     SELECT n.id, n.tote_id, n.route, n.chute, n.noncon,
-        CASE WHEN a.status = 201 THEN AS_OF ELSE n.routed_date END AS routed_date
+        CASE WHEN n.routed_date IS NULL AND a.status = 201 THEN AS_OF ELSE n.routed_date END
+            AS routed_date
     FROM next_state n LEFT JOIN acks a ON n.id = a.id AND n.tote_id = a.tote_id)""".replace(
     "AS_OF", _AS_OF
 )
@@ -248,8 +258,8 @@ ORACLE: dict[str, str] = {
     ),
     "random_zone_spread": _sql(
         _OPEN[:3],
-        f"SELECT DISTINCT tote_key, {_spread('tote_key', fixed.SPREAD_ZONES)} AS zone, "
-        f"{_spread('tote_key', fixed.LEGACY_SPREAD)} AS legacy_zone "
+        f"SELECT DISTINCT tote_key, {_spread('tote_key', _SPREAD)} AS zone, "
+        f"{_spread('tote_key', _LEGACY)} AS legacy_zone "
         "FROM destinations WHERE location_key = 'RANDOM'",
     ),
     "tote_zones": _sql([*_OPEN, _zones(_SINGLE)], "SELECT tote_key, zone FROM tote_zones"),
@@ -267,7 +277,7 @@ ORACLE: dict[str, str] = {
     "preroute_report_all_states": _sql([*_OPEN, _zones(_BOTH), _ROUTES], _REPORT),
     "preroute_report_putaway": _sql([*_OPEN, _zones(_PUTAWAY), _ROUTES], _REPORT),
     "preroute_report_legacy": _sql(
-        [*_OPEN, _zones(_SINGLE, fixed.LEGACY_SPREAD), _ROUTES], _REPORT
+        [*_OPEN, _zones(_SINGLE, _LEGACY), _ROUTES], _REPORT
     ),
     "expired_routes": _sql([_TABLES, _STATE], "SELECT id, tote_key, routed_date FROM expired"),
     "pending_routes": _sql(
@@ -290,8 +300,8 @@ ORACLE: dict[str, str] = {
     "completed_totes": _sql(_RUN, "SELECT tote_key, path, chute FROM completed"),
     "lost_completions": _sql(
         [*_OPEN, _zones(_SINGLE), _STATE],
-        "SELECT DISTINCT e.tote_key FROM expired e "
-        "WHERE NOT EXISTS (SELECT 1 FROM tote_zones z WHERE z.tote_key = e.tote_key)",
+        "SELECT DISTINCT e.tote_key FROM expired e WHERE e.tote_key IS NOT NULL "
+        "AND NOT EXISTS (SELECT 1 FROM tote_zones z WHERE z.tote_key = e.tote_key)",
     ),
     "rejected_rows": _sql(
         [_TABLES],
@@ -309,7 +319,7 @@ ORACLE: dict[str, str] = {
     "dispatch_outbox": _sql(
         _EFFECTS, "SELECT seq, kind, id, tote_id, path, chute, payload FROM outbox"
     ),
-    "accepted_answers": _sql(_EFFECTS, "SELECT id, tote_id FROM acks WHERE status = 201"),
+    "accepted_answers": _sql(_EFFECTS, "SELECT id, tote_id FROM answers WHERE status = 201"),
     "failed_dispatches": _sql(
         _EFFECTS,
         "SELECT id, tote_id, path, chute FROM outbox o WHERE id IS NOT NULL AND NOT EXISTS "
@@ -323,10 +333,12 @@ ORACLE: dict[str, str] = {
             SELECT 'EXPIRED' AS event FROM expired
             UNION ALL SELECT action FROM reconciled
             UNION ALL SELECT 'DISPATCHED' FROM outbox WHERE id IS NOT NULL
-            UNION ALL SELECT CASE WHEN status = 201 THEN 'ROUTED' ELSE 'FAILED' END FROM acks
-            UNION ALL SELECT 'COMPLETION_FAILED' FROM outbox o WHERE o.id IS NULL
-                AND NOT EXISTS (SELECT 1 FROM acks a
-                    WHERE a.id IS NULL AND a.tote_id = o.tote_id AND a.status = 201)
+            UNION ALL SELECT CASE WHEN status = 201 THEN 'ROUTED' WHEN status = 500 THEN 'FAILED'
+                ELSE 'UNANSWERED' END FROM outbox LEFT JOIN acks USING (seq)
+                WHERE outbox.id IS NOT NULL
+            UNION ALL SELECT CASE WHEN status = 500 THEN 'COMPLETION_FAILED'
+                ELSE 'COMPLETION_UNANSWERED' END FROM outbox LEFT JOIN acks USING (seq)
+                WHERE outbox.id IS NULL AND coalesce(status, 0) <> 201
             UNION ALL SELECT 'HELD_WITHOUT_ROUTE' FROM next_state
                 WHERE routed_date IS NULL AND route IS NULL
             UNION ALL SELECT 'REJECTED' FROM tote_detail WHERE tote_key IS NULL
@@ -334,3 +346,7 @@ ORACLE: dict[str, str] = {
         GROUP BY event""",
     ),
 }
+
+# The same results by plans that split keys and shuffle lookup tables.
+for _name in ("route_reconcile", "next_state", "preroute_report_all_states"):
+    ORACLE[f"{_name}_split"] = ORACLE[_name]

@@ -16,16 +16,16 @@ from totelane.operators.numbering import number_rows
 from totelane.operators.skew import together
 from totelane.session import durable
 from totelane.settings import RouterSettings
-from totelane.sources.state_store import StateStore
+from totelane.sources.state_store import StaleSnapshotError, StateStore
 from totelane.sources.warehouse import Warehouse
 
 
 class RoutingRun:
     """The frames of one run, each built on first use.
 
-    Frames are lazy, except for three that are written once: the reconciled totes, which
-    several frames start from, and the new rows and the outbox, whose numbers must not change
-    between two uses. ``folder`` keeps them for audit; without it they go to the shared folder.
+    Frames are lazy, except for four that are written once: the reconciled totes and the next
+    state, which several frames start from, and the new rows and the outbox, whose numbers
+    must not change between two uses. ``folder`` keeps them for audit; without it they go to the shared folder.
     """
 
     def __init__(
@@ -100,9 +100,10 @@ class RoutingRun:
 
     @cached_property
     def next_state(self) -> DataFrame:
+        """Written once: the outbox, its marks and the summary start from it."""
         removed = reconcile.removed_totes(self.settled, self.expired)
         kept = stored.without_totes(self.state, removed, self.state_measures.hot)
-        return kept.unionByName(self.inserts)
+        return durable(kept.unionByName(self.inserts), self._path("next_state"))
 
     @cached_property
     def outbox(self) -> DataFrame:
@@ -142,6 +143,7 @@ class RunResult:
 
 
 Deliver = Callable[[DataFrame], DataFrame]
+_ATTEMPTS = 5
 
 
 def run_once(
@@ -173,9 +175,15 @@ def run_once(
 def import_state(
     store: StateStore, state: DataFrame, settings: RouterSettings, run_id: str = "import"
 ) -> int:
-    """Take over the routes of an existing state table; the new version."""
+    """Take over the routes of an existing state table into an empty store; the new version.
+    A committed import is not repeated."""
+    before = store.latest()
+    if store.has_run(run_id):
+        return before.version
+    if before.version:
+        raise ValueError("an existing table can only be imported into an empty store")
     last_id = stored.measure_state(state, settings.skew).last_id
-    return store.commit(store.latest(), state, run_id, last_id).version
+    return store.commit(before, state, run_id, max(before.last_id, last_id)).version
 
 
 def no_answers(outbox: DataFrame) -> DataFrame:
@@ -184,11 +192,35 @@ def no_answers(outbox: DataFrame) -> DataFrame:
 
 
 def record_answers(
-    store: StateStore, acks: DataFrame, settings: RouterSettings, run_id: str
+    store: StateStore,
+    acks: DataFrame,
+    settings: RouterSettings,
+    run_id: str,
+    run_folder: str | None = None,
 ) -> int:
-    """Mark the routes the conveyor accepted since the last snapshot; the new version."""
-    before = store.latest()
-    if store.has_run(run_id):
-        return before.version
-    marked = dispatch.mark_routed(before.state, acks, settings.as_of)
-    return store.commit(before, marked, run_id, before.last_id).version
+    """Mark the routes the conveyor accepted since the last snapshot; the new version.
+
+    ``run_folder``, the folder of the run that sent the messages, gets the answers and what
+    came of each message, last messages too, under ``answers``. Where another writer was
+    faster, the marks are made on its snapshot.
+    """
+    for attempt in range(1, _ATTEMPTS + 1):
+        before = store.latest()
+        if store.has_run(run_id):
+            return before.version
+        marked = dispatch.mark_routed(before.state, acks, settings.as_of)
+        try:
+            version = store.commit(before, marked, run_id, before.last_id).version
+            break
+        except StaleSnapshotError:
+            if attempt == _ATTEMPTS:
+                raise
+    if run_folder:
+        outbox = acks.sparkSession.read.parquet(f"{run_folder}/outbox")
+        folder = f"{run_folder}/answers/{uuid.uuid4().hex[:8]}"
+        acks.write.mode("error").parquet(f"{folder}/acks")
+        counts = dispatch.answer_events(outbox, acks).groupBy("event").agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        counts.coalesce(1).write.mode("error").json(f"{folder}/summary")
+    return version

@@ -13,12 +13,13 @@ PUTAWAY = "PUTAWAY"
 class SkewSettings:
     """When a join key counts as hot, and how large a broadcast may be.
 
-    A key is hot when it holds more than ``max(min_rows, rows / shuffle partitions)``
-    rows. The two ``broadcast_*`` numbers bound a lookup table that is sent to every
+    A key is hot when it holds more than ``max(min_rows, fair_shares * rows / shuffle
+    partitions)`` rows. The two ``broadcast_*`` numbers bound a lookup table that is sent to every
     executor; a larger one is joined by shuffle.
     """
 
     min_rows: int = 10_000
+    fair_shares: float = 1.0
     broadcast_rows: int = 500_000
     broadcast_bytes: int = 64 * 1024 * 1024
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +18,8 @@ class JdbcTable:
     """One remote table and how to split its read into parallel queries.
 
     Either ``bounds`` with a numeric ``column``, or ``predicates``: conditions that
-    together cover every row once. Neither means one query, for small tables.
+    together cover every row once. A small table may be read in one query, but only if it
+    is said to be ``whole``.
     """
 
     name: str
@@ -25,6 +28,7 @@ class JdbcTable:
     bounds: tuple[int, int] | None = None
     partitions: int = 1
     predicates: Sequence[str] = ()
+    whole: bool = False
 
     def source(self, renames: Mapping[str, str] | None = None) -> str:
         """Subquery naming only the needed columns, under the names this package uses."""
@@ -71,9 +75,46 @@ def read_table(
             numPartitions=table.partitions,
             properties=dict(properties),
         )
+    if not table.whole:
+        raise ValueError(f"{table.name} has no split; say whole to read it in one query")
     return spark.read.jdbc(url, source, properties=dict(properties))
 
 
+@dataclass(frozen=True)
+class Database:
+    """Where the tables are and how to read them."""
+
+    url: str
+    properties: Mapping[str, str]
+    tables: Mapping[str, JdbcTable]
+    renames: Mapping[str, Mapping[str, str]]
+
+    @classmethod
+    def from_file(cls, path: str) -> Database:
+        """From JSON: ``url``, ``properties``, and ``tables`` by the names in ``schemas``, each
+        with ``name`` and a split (``column``, ``bounds``, ``partitions``; ``predicates``;
+        ``edges`` of a text ``column``; or ``whole``), and ``renames`` by column."""
+        given = json.loads(Path(path).read_text())
+        tables, renames = {}, {}
+        for key, own in given["tables"].items():
+            schema = {**schemas.WAREHOUSE, "tote_router": schemas.TOTE_ROUTER}[key]
+            split = dict(own)
+            renames[key] = split.pop("renames", {})
+            if edges := split.pop("edges", None):
+                split["predicates"] = text_predicates(split.pop("column"), edges)
+            if "bounds" in split:
+                split["bounds"] = tuple(split["bounds"])
+            tables[key] = JdbcTable(columns=schema.fieldNames(), **split)
+        return cls(given["url"], given.get("properties", {}), tables, renames)
+
+    def warehouse(self, spark: SparkSession) -> Warehouse:
+        return read_warehouse(spark, self.url, self.properties, self.tables, self.renames)
+
+    def state(self, spark: SparkSession) -> DataFrame:
+        table = self.tables["tote_router"]
+        return read_state(spark, self.url, table, self.properties, self.renames["tote_router"])
+
+
 def read_warehouse(
     spark: SparkSession,
     url: str,

@@ -1,14 +1,18 @@
 """Stored routes as numbered Parquet snapshots.
 
-A run reads the newest committed snapshot and writes the next one beside it. The commit row
-is appended last, so a run that dies leaves the newest committed snapshot in force.
+A run reads the newest committed snapshot and writes the next one beside it. The commit file
+comes last, so a run that dies leaves the newest committed snapshot in force. It has the name
+of its version and is put in place by a rename that fails where the name is taken: of two
+writers that started from one snapshot, only one can commit.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +32,10 @@ class Snapshot:
     last_id: int
 
 
+class StaleSnapshotError(RuntimeError):
+    """Somebody else committed after the snapshot that a commit is based on."""
+
+
 class StateStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -54,12 +62,51 @@ class StateStore:
         return commits is not None and not commits.filter(F.col("run_id") == run_id).isEmpty()
 
     def commit(self, based_on: Snapshot, state: DataFrame, run_id: str, last_id: int) -> Snapshot:
-        """Write ``state`` as the snapshot after ``based_on``."""
+        """Write ``state`` as the snapshot after ``based_on``, which must be the newest."""
         version = based_on.version + 1
+        if self.latest().version != based_on.version:
+            raise StaleSnapshotError(f"version {based_on.version} is not the newest")
         folder = f"{self.root}/state/v{version:08d}-{uuid.uuid4().hex[:8]}"
         state.select(*schemas.TOTE_ROUTER.fieldNames()).write.mode("error").parquet(folder)
-        row = [(version, run_id, folder, last_id)]
-        self.spark.createDataFrame(row, _COMMIT).coalesce(1).write.mode("append").json(
-            f"{self.root}/commits"
-        )
-        return Snapshot(version, self.latest().state, last_id)
+        row = {"version": version, "run_id": run_id, "folder": folder, "last_id": last_id}
+        self._put_once(f"commits/v{version:08d}.json", json.dumps(row) + "\n")
+        stored = self.spark.read.schema(schemas.TOTE_ROUTER).parquet(folder)
+        return Snapshot(version, canonical_state(stored), last_id)
+
+    def _put_once(self, name: str, text: str) -> None:
+        """A small file that must not be there yet, complete from the start."""
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        hadoop = jvm.org.apache.hadoop.fs
+        target = hadoop.Path(f"{self.root}/{name}")
+        written = hadoop.Path(f"{self.root}/written/{uuid.uuid4().hex}")
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        files = target.getFileSystem(conf)
+        files.mkdirs(target.getParent())
+        out = files.create(written, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        context = hadoop.FileContext.getFileContext(files.makeQualified(target).toUri(), conf)
+        never_over = gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        try:
+            context.rename(files.makeQualified(written), files.makeQualified(target), never_over)
+        except Py4JJavaError as failed:
+            files.delete(written, False)
+            if "FileAlreadyExists" in failed.java_exception.getClass().getName():
+                raise StaleSnapshotError(f"{name} is taken") from failed
+            raise
+
+    def expire(self, keep: int) -> int:
+        """Remove the tables of all but the ``keep`` newest snapshots; commits stay, so that
+        runs are still known. The number removed. Not while readers use old snapshots."""
+        if keep < 1:
+            raise ValueError("the newest snapshot must stay")
+        commits = self._commits()
+        if commits is None:
+            return 0
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        removed, newest = 0, self.latest().version
+        old = commits.filter(F.col("version") <= newest - keep).select("folder")
+        for row in old.toLocalIterator():
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(row["folder"])
+            removed += folder.getFileSystem(conf).delete(folder, True)
+        return removed

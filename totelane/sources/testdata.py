@@ -76,9 +76,10 @@ def view_texts(timestamp_type: str = "TIMESTAMP_NTZ") -> dict[str, str]:
             {_location('(o_custkey + 1)')} AS location_id
             FROM orders""",
         "trans_detail": f"""SELECT l_orderkey AS tran_id,
-            CASE WHEN l_orderkey % 50 = 44 THEN '' ELSE {_text('O', 'l_orderkey')} END AS order_id,
+            CASE WHEN l_linestatus = 'O' AND l_orderkey % 50 <> 44 THEN {_text('O', 'l_orderkey')}
+                ELSE '' END AS order_id,
             {_location('l_partkey')} AS location_id
-            FROM lineitem WHERE l_linestatus = 'O'""",
+            FROM lineitem""",
         "tote_detail": f"""SELECT DISTINCT
             CASE WHEN l_orderkey % 997 = 5 THEN NULL
                 WHEN l_orderkey % 997 = 6 THEN 'T'
@@ -92,22 +93,27 @@ def view_texts(timestamp_type: str = "TIMESTAMP_NTZ") -> dict[str, str]:
             CASE o_orderstatus WHEN 'F' THEN 'picked' WHEN 'O' THEN 'open' END AS status
             FROM orders""",
         "multi_home_loc": f"""SELECT {_text('P', 'p_partkey')} AS product_id,
-            {_location('(p_partkey + 3)')} AS home_loc_id
-            FROM part WHERE p_partkey % 2 = 0""",
+            CASE WHEN p_partkey % 2 = 0 THEN {_location('(p_partkey + 3)')} END AS home_loc_id
+            FROM part""",
         "zone": f"""SELECT {_zone('n_nationkey')} AS zone_id,
             CASE WHEN n_regionkey = 4 THEN 0 ELSE 1 END AS picking
             FROM nation""",
         "zone_locations": f"""SELECT {_location('p_partkey')} AS location_id,
-            CASE WHEN p_partkey % 100 = 39 THEN 'Hospital' ELSE {_zone('(p_partkey % 20)')} END
-                AS zone_id
-            FROM part WHERE p_partkey % 20 BETWEEN 12 AND 16 OR p_partkey % 100 = 39""",
-        "tote_router": f"""SELECT o_orderkey + 1 AS id, {_text('T', 'o_orderkey')} AS tote_id,
+            CASE WHEN p_partkey % 100 = 39 THEN 'Hospital'
+                WHEN p_partkey % 20 NOT BETWEEN 12 AND 16 THEN '??'
+                WHEN p_partkey % 60 < 20 THEN lower({_zone('(p_partkey % 20)')})
+                ELSE {_zone('(p_partkey % 20)')} END AS zone_id
+            FROM part""",
+        "tote_router": f"""SELECT o_orderkey + 1 AS id,
+            CASE WHEN o_orderkey % 97 = 13 THEN NULL
+                WHEN o_orderkey % 10 <> 1 AND o_orderkey % 3 <> 0 THEN {_text('T', 'o_orderkey')}
+                ELSE {_text('X', 'o_orderkey')} END AS tote_id,
             CASE o_orderkey % 4 WHEN 0 THEN '-' WHEN 1 THEN 'FB' WHEN 2 THEN 'hb' END AS route,
             3 AS chute,
             CASE WHEN o_orderkey % 5 = 0 THEN 4 ELSE 0 END AS noncon,
             CASE WHEN o_orderstatus <> 'P' THEN {_moment(timestamp_type)}
                 - INTERVAL '1' MINUTE * CAST(o_orderkey % 121 AS INT) END AS routed_date
-            FROM orders WHERE o_orderkey % 10 <> 1 AND o_orderkey % 3 <> 0""",
+            FROM orders""",
     }
 
 
@@ -132,10 +138,13 @@ def state_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def acknowledge(outbox: DataFrame) -> DataFrame:
-    """The conveyor's answers: every seventh id fails, the others are accepted."""
-    return outbox.filter(F.col("id").isNotNull()).select(
-        "id", "tote_id", F.when(F.col("id") % 7 == 0, 500).otherwise(201).alias("status")
+    """The conveyor's answers: every seventh message fails, the others are accepted, but each
+    eleventh stays without answer. Each thirteenth is answered twice."""
+    place = F.col("seq")
+    answers = outbox.filter(place % 11 != 0).select(
+        "id", "tote_id", F.when(place % 7 == 0, 500).otherwise(201).alias("status"), "seq"
     )
+    return answers.unionByName(answers.filter(place % 13 == 0)).drop("seq")
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:

@@ -22,7 +22,7 @@ _CANONICAL = {
     "orders": "order_key string, status_key string",
     "multi_home_loc": "product_key string, location_key string",
     "zone": "zone string, zone_key string, picking int",
-    "zone_locations": "location_key string, zone_key string",
+    "zone_locations": "location_key string, zone string, zone_key string",
 }
 
 
@@ -70,7 +70,9 @@ class Warehouse:
                 clean("zone_id").alias("zone"), key("zone_id").alias("zone_key"), "picking"
             ),
             zone_locations=tables["zone_locations"].select(
-                key("location_id").alias("location_key"), key("zone_id").alias("zone_key")
+                key("location_id").alias("location_key"),
+                clean("zone_id").alias("zone"),
+                key("zone_id").alias("zone_key"),
             ),
         )
 

@@ -44,7 +44,7 @@ def run_requests(
             folder,
             deliver,
         )
-        for request in requests.orderBy("as_of", "run_id").collect()
+        for request in requests.orderBy("as_of", "run_id").toLocalIterator()
     ]
 
 
