@@ -17,7 +17,7 @@ import numpy as np
 REMEMBERED = 800_000
 _AT_ONCE = 500
 _MARK = "\x01"
-_PUNCTUATION = ".,;:!?|"
+_PUNCTUATION = b".,;:!?|"
 
 
 def word_bpe() -> str:
@@ -27,6 +27,13 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _is_letters(word: bytes) -> bool:
+    try:
+        return word.decode().isalpha()
+    except UnicodeDecodeError:
+        return False
+
+
 class Encoder:
     """Ids of texts as little-endian arrays of the narrowest fitting type."""
 
@@ -47,10 +54,10 @@ class Encoder:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [x.ids for x in found]
 
-    def _together(self, texts: list[str], between: str, cuts) -> list[bytes] | None:
+    def _together(self, texts: list[bytes], between: bytes, cuts) -> list[bytes] | None:
         """The ids of several chunks encoded as one text; ``cuts`` gives the end of the ids of
         each and the start of the next. None where their number is not that of the chunks."""
-        ids = np.array(self._ids([between.join(texts)])[0], self.dtype)
+        ids = np.array(self._ids([between.join(texts).decode("utf-8", "replace")])[0], self.dtype)
         ends, starts = cuts(ids)
         if len(ends) != len(texts):
             return None
@@ -66,37 +73,36 @@ class Encoder:
         marks = np.flatnonzero(ids == self._mark)
         return np.append(marks, len(ids)), np.append(0, marks + 1)
 
-    def _learn(self, texts: list[str], letters: bool) -> None:
+    def _learn(self, texts: list[bytes], letters: bool) -> None:
         """Encode chunks, many at a time; one by one where they cannot be told apart."""
         for start in range(0, len(texts), _AT_ONCE):
             own, parts = texts[start : start + _AT_ONCE], None
             if letters:
-                parts = self._together(own, " ", self._at_word_ends)
+                parts = self._together(own, b" ", self._at_word_ends)
             if parts is None and self._mark is not None:
-                parts = self._together(own, f" {_MARK} ", self._at_marks)
+                parts = self._together(own, f" {_MARK} ".encode(), self._at_marks)
             if parts is None:
-                parts = [np.array(ids, self.dtype).tobytes() for ids in self._ids(own)]
-            self._known.update(zip((x.encode() for x in own), parts, strict=True))
+                found = self._ids([x.decode("utf-8", "replace") for x in own])
+                parts = [np.array(ids, self.dtype).tobytes() for ids in found]
+            self._known.update(zip(own, parts, strict=True))
 
     def _learn_all(self, chunks: set[bytes]) -> None:
+        """Words of letters only, with or without punctuation after them, by their letters;
+        whatever else as it is."""
         words, others, ended = set(), set(), []
         for chunk in chunks:
-            text = chunk.decode("utf-8", "replace")
-            word = text.rstrip(_PUNCTUATION)
-            if not word.isalpha():
-                others.add(text)
-                if text.encode() != chunk:  # not UTF-8: known by what it was read as
-                    ended.append((chunk, text, ""))
+            word = chunk.rstrip(_PUNCTUATION)
+            if not (word.isalpha() if word.isascii() else _is_letters(word)):
+                others.add(chunk)
                 continue
             words.add(word)
-            if word != text:
-                others.add(text[len(word) :])
-                ended.append((chunk, word, text[len(word) :]))
-        self._learn([x for x in words if x.encode() not in self._known], True)
-        self._learn([x for x in others if x.encode() not in self._known], False)
+            if len(word) < len(chunk):
+                others.add(after := chunk[len(word) :])
+                ended.append((chunk, word, after))
         known = self._known
-        for chunk, word, after in ended:
-            known[chunk] = known[word.encode()] + (known[after.encode()] if after else b"")
+        self._learn(list(words.difference(known)), True)
+        self._learn(list(others.difference(known)), False)
+        known.update((chunk, known[word] + known[after]) for chunk, word, after in ended)
 
     def encode(self, texts: list[bytes], end: int) -> list[np.ndarray]:
         """The ids of each text with ``end`` after them."""
