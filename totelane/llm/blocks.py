@@ -98,7 +98,7 @@ def asked(rows: DataFrame, weight: str, ask: Asker, schema: str, most: int = BLO
 
 def _as_row(number: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
     sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=4))
     with pa.ipc.new_stream(sink, table.schema, options=options) as out:
         out.write_table(table)
     yield pa.RecordBatch.from_arrays(

@@ -28,6 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ _TOP = 2
 _END = b"\n"
 _WORDS, _STRINGS = 0, 1
 _ASKED = "kind int, bucket int, block bigint, keys binary, counts binary"
-_ANSWERED = "kind int, block bigint, keys binary, counts binary"
+_ANSWERED = "kind int, bucket int, block bigint, keys binary, counts binary"
 _SCORED = (
     "at bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
     "train_tokens bigint, base_score double, score double"
@@ -150,13 +151,15 @@ def _summed(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray,
 
 
 def _answer(kind: int, table: pa.Table, sent, values: np.ndarray) -> pa.Table:
-    """The values of the keys of each block, which are in the order they were sent."""
+    """The values of the keys of each block, in the order they were sent. Words are not sent
+    back: a block has its own in that order at little cost."""
     ends = np.cumsum([len(x) for x in sent])
     return pa.table(
         {
             "kind": pa.array([kind] * len(sent), pa.int32()),
+            "bucket": table["bucket"],
             "block": table["block"],
-            "keys": table["keys"],
+            "keys": table["keys"] if kind == _STRINGS else pa.array([b""] * len(sent)),
             "counts": pa.array(
                 [packed(values[e - len(x) : e]) for x, e in zip(sent, ends, strict=True)],
                 pa.binary(),
@@ -342,19 +345,19 @@ def _string_answers(left: pa.Table, right: pa.Table) -> pa.Table:
 
 def _score(depth: int, tokens: int, distinct: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        values, tables = {}, {}
+        right = right.sort_by("bucket")
+        values = {}
         for kind, dtype in ((_WORDS, "<f8"), (_STRINGS, "<f4")):
             own = right.filter(pa.compute.equal(right["kind"], kind))
-            keys = [unpacked_keys(x) for x in own["keys"].to_pylist()]
-            tables[kind] = Table(np.concatenate(keys))
             values[kind] = np.concatenate([unpacked(x, dtype) for x in own["counts"].to_pylist()])
+        strings = Table(np.concatenate([unpacked_keys(x) for x in own["keys"].to_pylist()]))
         parts = []
         for blob in left["rows"].to_pylist():
             block = Block(rows_of(blob), depth)
             n, doc = block.n, block.word_doc
-            times = values[_WORDS][tables[_WORDS].places(block.words)]
+            times = values[_WORDS][np.unique(block.words, return_inverse=True)[1]]
             base = np.log10((times + 0.5) / (tokens + 0.5 * (distinct + 1)))
-            logs = values[_STRINGS][tables[_STRINGS].places(block.strings)]
+            logs = values[_STRINGS][strings.places(block.strings)]
             columns = [
                 pa.array(block.at),
                 pa.array(block.doc_ids, pa.int64()),
