@@ -21,6 +21,9 @@ from totelane.llm import (
     toxicity,
 )
 from totelane.llm.common import documents
+from totelane.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,5 +89,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_licenses": op10_licenses,
 }
-
-ORACLE: dict[str, str] = {}
