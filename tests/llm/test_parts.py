@@ -144,6 +144,14 @@ def test_predictions_of_a_context_add_up_to_one():
     assert 10 ** ctw._predict(np.array([likely]), levels, depth, ctw.Top(top))[0] > 0.5
 
 
+def test_strings_without_training_have_no_nodes_and_get_half_a_bit_each():
+    table = pa.table({"string": np.arange(5), "n": np.zeros(5, np.int64)})
+    top = ctw._tops(3)(table)
+    assert top.num_rows == 0 and str(top.schema.field("longer").type) == "double"
+    found = ctw._logs(3, ctw.Top([]), 4)(table)["log"].to_numpy()
+    assert found == pytest.approx(8 * np.log10(0.5))
+
+
 def test_estimates_are_those_of_krichevsky_and_trofimov():
     found = np.exp(ctw._estimate(np.array([0, 1, 1, 2]), np.array([0, 0, 1, 0])))
     assert found == pytest.approx([1, 1 / 2, 1 / 8, 3 / 8])

@@ -63,6 +63,7 @@ _SCORED = (
 )
 _known = WordHashes()
 _U8 = np.uint64(8)
+_AT_ONCE = 1 << 20
 
 
 def held_out(doc_id: int | None, folds: int = FOLDS, fold: int = HELD_OUT) -> bool:
@@ -253,6 +254,10 @@ def _levels(strings: np.ndarray, times: np.ndarray, depth: int) -> list[Level]:
     return levels
 
 
+def _sums(place: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
+    return pa.array(np.bincount(place, values, n).astype(np.float64))
+
+
 def _tops(depth: int):
     """What the last context byte's nodes get from the levels below, added up over pairs."""
 
@@ -267,9 +272,9 @@ def _tops(depth: int):
             {
                 "last": pa.array((keys >> _U8).astype(np.int32)),
                 "node": pa.array((keys & np.uint64(255)).astype(np.int32)),
-                "zeros": pa.array(np.bincount(place, pair.zeros, len(keys))),
-                "ones": pa.array(np.bincount(place, pair.ones, len(keys))),
-                "longer": pa.array(np.bincount(place, pair.weighted, len(keys))),
+                "zeros": _sums(place, pair.zeros, len(keys)),
+                "ones": _sums(place, pair.ones, len(keys)),
+                "longer": _sums(place, pair.weighted, len(keys)),
             }
         )
 
@@ -357,7 +362,9 @@ def _score(depth: int, tokens: int, distinct: int):
             n, doc = block.n, block.word_doc
             times = values[_WORDS][np.unique(block.words, return_inverse=True)[1]]
             base = np.log10((times + 0.5) / (tokens + 0.5 * (distinct + 1)))
-            logs = values[_STRINGS][strings.places(block.strings)]
+            # A part at a time: the search needs several times the memory of the strings.
+            parts_of = np.array_split(block.strings, 1 + len(block.strings) // _AT_ONCE)
+            logs = np.concatenate([values[_STRINGS][strings.places(x)] for x in parts_of])
             columns = [
                 pa.array(block.at),
                 pa.array(block.doc_ids, pa.int64()),
