@@ -17,7 +17,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from totelane.llm.common import shuffle_partitions
+from totelane.llm.common import byte_lengths, shuffle_partitions
 
 #: Bytes of text in a block, unless a single row has more.
 BLOCK_BYTES = 8 << 20
@@ -69,10 +69,7 @@ def _blocks(
     waiting: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        column = batch.column(weight)
-        kind = pa.binary() if pa.types.is_string(column.type) else column.type
-        lengths = [len(x) if x is not None else 0 for x in column.cast(kind).to_pylist()]
-        start = 0
+        start, lengths = 0, byte_lengths(batch.column(weight)).tolist()
         for i, length in enumerate(lengths):
             if size and size + length > most:
                 if i > start:

@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,16 +103,18 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()
 
 
+def byte_lengths(column: pa.Array) -> np.ndarray:
+    """UTF-8 bytes of each text, none for null."""
+    return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """The batches cut where the texts of ``column`` exceed ``most`` bytes together; a single
     longer text makes a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = batch.column(column).cast(
-            pa.binary() if pa.types.is_string(batch.column(column).type) else pa.large_binary()
-        )
-        ends = np.cumsum([len(x) if x is not None else 0 for x in sizes.to_pylist()])
+        ends = np.cumsum(byte_lengths(batch.column(column)))
         start, before = 0, 0
         while start < batch.num_rows:
             stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))

@@ -125,12 +125,15 @@ def _key_rows(number: int, dealt: np.ndarray, keys: np.ndarray, *values: np.ndar
 
 def _shared_anchors(table: pa.Table) -> pa.Table:
     """To each block, those of its anchors that several documents have."""
-    blobs = table["keys"].to_pylist()
-    sent = [unpacked_keys(x) for x in blobs]
-    keys, times = np.unique(np.concatenate([x & ~_ONE for x in sent]), return_counts=True)
-    several = np.unique(np.concatenate([x[x & _ONE == _ONE] & ~_ONE for x in sent]))
-    shared = np.union1d(keys[times > 1], several)
-    found = [own[np.isin(own, shared, assume_unique=True)] for own in (x & ~_ONE for x in sent)]
+    sent = [unpacked_keys(x) for x in table["keys"].to_pylist()]
+    every = np.concatenate(sent)
+    _, place, times = np.unique(every & ~_ONE, return_inverse=True, return_counts=True)
+    several = np.bincount(place, every & _ONE) > 0
+    shared = ((times > 1) | several)[place]
+    ends = np.cumsum([len(x) for x in sent])
+    found = [
+        own[shared[end - len(own) : end]] & ~_ONE for own, end in zip(sent, ends, strict=True)
+    ]
     return pa.table(
         {
             "block": table["block"],
