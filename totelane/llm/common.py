@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from totelane.operators.skew import fits_broadcast, spread_join
 from totelane.settings import SkewSettings
 
+#: Bytes of an Arrow batch, where the session has Spark's default.
+ARROW_BYTES = "8m"
+_ARROW, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 #: Bounds of a table that is broadcast.
 SMALL = SkewSettings(broadcast_rows=1_000_000, broadcast_bytes=32 << 20)
 #: XML-like white space of the contracts: blank and the controls 9 to 13. ``bytes.split()``
@@ -23,9 +26,12 @@ SMALL = SkewSettings(broadcast_rows=1_000_000, broadcast_bytes=32 << 20)
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def ship(spark: SparkSession) -> None:
+def prepare(spark: SparkSession) -> None:
     """Send this package to the executors, once per session: their Python workers need not
-    have it on their path."""
+    have it on their path. Texts go to them in batches of ``ARROW_BYTES``, which both sides
+    hold several times over, unless the session has a bound of its own."""
+    if spark.conf.get(_ARROW) == _ARROW_DEFAULT:
+        spark.conf.set(_ARROW, ARROW_BYTES)
     context = spark.sparkContext
     if getattr(context, "_totelane_shipped", False):
         return
@@ -49,7 +55,7 @@ def entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     scan, so ``docs`` has to be a table as read, which gives the same places each time. A
     null text becomes the empty one.
     """
-    ship(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(
         F.monotonically_increasing_id().alias("at"),
         F.col(id_col).cast("long").alias("doc_id"),

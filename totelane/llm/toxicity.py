@@ -35,7 +35,7 @@ VOCABULARY, LEAST_ROWS = 2_000, 4
 #: Lengths in bytes of the beginnings of words that are features as well.
 BEGINNINGS = (4, 5, 6, 8)
 #: Words whose features a Python worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 #: Least z-score of the difference of a feature's share between both labels.
 LEAST_Z = 4.0
 #: Weights of the squared weights and of the squared score changes.

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words that a Python worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIXERS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
