@@ -167,8 +167,9 @@ def near_links(distinct: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     entry = bits.mapInArrow(_keyed(False), "key bigint, bits bigint")
     search = bits.mapInArrow(_keyed(True), "key bigint, bits bigint")
     apart = F.bit_count(F.col("e.bits").bitwiseXOR(F.col("s.bits")))
+    # A planner takes the keys of a small table for small too, and would broadcast them.
     met = entry.alias("e").join(
-        search.alias("s"),
+        search.alias("s").hint("merge"),
         (F.col("e.key") == F.col("s.key"))
         & (F.col("e.bits") != F.col("s.bits"))
         & (apart <= most_bits),
