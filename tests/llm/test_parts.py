@@ -129,7 +129,7 @@ def test_predictions_of_a_context_add_up_to_one():
         {"at": [0, 1, 2], "doc_id": [0, 2, 4], "text": pa.array(texts, pa.binary())}
     )
     depth = 3
-    strings = ctw.Block(table, depth).strings
+    strings, _ = ctw.Block(table, depth).strings()
     keys, times = np.unique(strings, return_counts=True)
     levels = ctw._levels(keys, times, depth)
     top = ctw._tops(depth)(

@@ -45,7 +45,7 @@ from totelane.llm.blocks import (
     unpacked,
     unpacked_keys,
 )
-from totelane.llm.common import as_bytes, entries
+from totelane.llm.common import as_bytes, byte_lengths, entries
 from totelane.llm.words import WordHashes, mixed
 from totelane.session import durable
 
@@ -63,15 +63,26 @@ _SCORED = (
 )
 _known = WordHashes()
 _U8 = np.uint64(8)
-_AT_ONCE = 1 << 20
+_PART_BYTES = 1 << 20
 
 
 def held_out(doc_id: int | None, folds: int = FOLDS, fold: int = HELD_OUT) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % folds == fold
 
 
+def _parts(table: pa.Table) -> list[pa.Table]:
+    """The rows in parts of ``_PART_BYTES`` of text; strings of a part are held at once."""
+    ends = np.cumsum(np.concatenate([byte_lengths(x) for x in table["text"].chunks]))
+    parts, start, before = [], 0, 0
+    while start < len(ends):
+        stop = max(start + 1, int(np.searchsorted(ends, before + _PART_BYTES, side="right")))
+        parts.append(table.slice(start, stop - start))
+        start, before = stop, int(ends[stop - 1])
+    return parts
+
+
 class Block:
-    """Texts of a block as words and as one run of bytes with the ends between them."""
+    """Texts of a part of a block as words and as one run of bytes with ends between them."""
 
     def __init__(self, table: pa.Table, depth: int):
         self.at, self.doc_ids = table["at"].to_numpy(), table["doc_id"].to_pylist()
@@ -87,21 +98,22 @@ class Block:
         self.words = np.concatenate(hashed)
         self.word_doc = np.repeat(numbers, [len(x) for x in hashed])
         del hashed
-        lengths = [len(x) for x in joined]
+        self._depth, self._lengths = depth, [len(x) for x in joined]
         gap = _END * (depth - 1)
-        data = np.frombuffer(_END * depth + gap.join(joined) + gap, np.uint8)
-        del joined
+        self._data = np.frombuffer(_END * depth + gap.join(joined) + gap, np.uint8)
+
+    def strings(self) -> tuple[np.ndarray, np.ndarray]:
+        """The string that ends with each byte of each text, and its document."""
+        depth, data = self._depth, self._data
         strings = np.zeros(len(data) - depth, np.uint64)
         for i in range(depth + 1):
             strings <<= _U8
             strings |= data[i : i + len(strings)]
         # Texts and the gaps after them by turns.
         sizes = np.full(2 * self.n, depth - 1)
-        sizes[::2] = lengths
+        sizes[::2] = self._lengths
         inside = np.repeat(np.arange(2 * self.n, dtype=np.int32) % 2 == 0, sizes)
-        #: The string that ends with each byte of each text, and its document.
-        self.strings = strings[inside]
-        self.doc = np.repeat(numbers, lengths)
+        return strings[inside], np.repeat(np.arange(self.n, dtype=np.int32), self._lengths)
 
 
 def _counted(keys: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,12 +128,24 @@ def _counted(keys: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return every[order], np.concatenate([times, np.zeros(len(extra), np.int64)])[order]
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of parts and the sums of their counts."""
+    keys, place = np.unique(np.concatenate([keys for keys, _ in parts]), return_inverse=True)
+    times = np.zeros(len(keys), np.int64)
+    np.add.at(times, place, np.concatenate([times for _, times in parts]))
+    return keys, times
+
+
 def _ask(buckets: int, depth: int):
     def ask(number: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        block = Block(table, depth)
-        kinds = (_WORDS, block.words, block.word_doc), (_STRINGS, block.strings, block.doc)
-        for kind, every, docs in kinds:
-            keys, times = _counted(every, block.held[docs])
+        found: tuple[list, list] = ([], [])
+        for part in _parts(table):
+            block = Block(part, depth)
+            found[_WORDS].append(_counted(block.words, block.held[block.word_doc]))
+            strings, docs = block.strings()
+            found[_STRINGS].append(_counted(strings, block.held[docs]))
+        for kind in (_WORDS, _STRINGS):
+            keys, times = _merged(found[kind])
             hashed = keys if kind == _WORDS else mixed(keys)
             dealt = bucket_of(hashed, buckets)
             order = np.argsort(dealt, kind="stable")
@@ -356,15 +380,17 @@ def _score(depth: int, tokens: int, distinct: int):
             own = right.filter(pa.compute.equal(right["kind"], kind))
             values[kind] = np.concatenate([unpacked(x, dtype) for x in own["counts"].to_pylist()])
         strings = Table(np.concatenate([unpacked_keys(x) for x in own["keys"].to_pylist()]))
-        parts = []
-        for blob in left["rows"].to_pylist():
-            block = Block(rows_of(blob), depth)
+        scored = []
+        blocks = [Block(x, depth) for blob in left["rows"].to_pylist() for x in _parts(rows_of(blob))]
+        # The words of the whole block are what was asked about.
+        place = np.unique(np.concatenate([x.words for x in blocks]), return_inverse=True)[1]
+        ends = np.cumsum([len(x.words) for x in blocks])
+        for block, end in zip(blocks, ends, strict=True):
             n, doc = block.n, block.word_doc
-            times = values[_WORDS][np.unique(block.words, return_inverse=True)[1]]
+            times = values[_WORDS][place[end - len(block.words) : end]]
             base = np.log10((times + 0.5) / (tokens + 0.5 * (distinct + 1)))
-            # A part at a time: the search needs several times the memory of the strings.
-            parts_of = np.array_split(block.strings, 1 + len(block.strings) // _AT_ONCE)
-            logs = np.concatenate([values[_STRINGS][strings.places(x)] for x in parts_of])
+            own, string_doc = block.strings()
+            logs = values[_STRINGS][strings.places(own)]
             columns = [
                 pa.array(block.at),
                 pa.array(block.doc_ids, pa.int64()),
@@ -373,11 +399,11 @@ def _score(depth: int, tokens: int, distinct: int):
                 pa.array(np.bincount(doc, times > 0, n).astype(np.int64)),
                 pa.array(np.full(n, tokens)),
                 pa.array(np.bincount(doc, base, n)),
-                pa.array(np.bincount(block.doc, logs, n)),
+                pa.array(np.bincount(string_doc, logs, n)),
             ]
             names = [x.split()[0] for x in _SCORED.split(", ")]
-            parts.append(pa.table(dict(zip(names, columns, strict=True))))
-        return pa.concat_tables(parts)
+            scored.append(pa.table(dict(zip(names, columns, strict=True))))
+        return pa.concat_tables(scored)
 
     return run
 
