@@ -37,7 +37,8 @@ def _is_letters(word: bytes) -> bool:
 class Encoder:
     """Ids of texts as little-endian arrays of the narrowest fitting type."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self._remembered = remembered
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -108,7 +109,7 @@ class Encoder:
         """The ids of each text with ``end`` after them."""
         # Special tokens are in lower case; letters of a text that may hold one keep theirs.
         chunks = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        if len(self._known) > REMEMBERED // 2:
+        if len(self._known) > self._remembered // 2:
             self._known, self._older = {}, self._known
         new = set().union(*chunks).difference(self._known)
         again = new & self._older.keys()
@@ -120,6 +121,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and vocabulary."""
-    return Encoder(path)
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    """One encoder per Python worker, vocabulary and number of chunks to remember."""
+    return Encoder(path, remembered)
