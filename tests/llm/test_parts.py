@@ -175,3 +175,14 @@ def test_license_texts_and_near_notices():
     assert scan(text[: len(text) // 2].encode())[5] == ""
     assert scan(b"Licensed under the Unknown License.")[5] == ""
     assert scan(b"Licensed under CC BY-SA 4.0")[5] == "cc-by-sa"
+
+
+def test_unlike_runs_of_pieces_pack_together(spark):
+    # Each run of 400 meets its own bound; together the short fill what the long leave.
+    long, short = [1100 + i for i in range(400)], [100 + i for i in range(400)]
+    rows = [(i, i, 0, 0, n, 0) for i, n in enumerate(long + short)]
+    schema = "at long, doc_id long, piece int, start long, length long, ids_crc32 long"
+    pieces = spark.createDataFrame(rows, schema).coalesce(1)
+    found = packing.pack_pieces(pieces, 2048, at_once=400)
+    assert found.count() == 800
+    assert found.select("sequence_id").distinct().count() <= 404

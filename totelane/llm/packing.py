@@ -1,12 +1,12 @@
 """Operator 7: best-fit packing with certified counts of sequences.
 
 A document is its token ids and an end id; longer ones than a sequence are cut. Pieces are
-packed by best-fit decreasing in partitions of a bounded number of pieces, and lower bounds
-from dual-feasible functions certify each partition's count. A partition that needs more
-sequences than its bound hands in all that are not full, one that meets it the least full
-only; whole sequences are dealt to new partitions, packed again, and the old packing stays
-where the new one needs as many. Rounds end when the count meets the bound of all lengths
-together, or a round saves nothing.
+packed by best-fit decreasing in partitions of a bounded number of pieces, dealt by a hash so
+that each holds a like mix of lengths. Lower bounds from dual-feasible functions of all
+lengths together certify the count. While it exceeds them, every sequence that is not full is
+handed in, whatever its partition needs by itself; whole sequences are dealt to new
+partitions, packed again, and the old packing stays where the new one needs as many. Rounds
+end when the count meets the bound, or a round saves nothing.
 
 A null text counts as empty: its end id makes a piece. Repeated rows are packed each for
 itself. An empty table gives no pieces.
@@ -123,18 +123,14 @@ def token_pieces(
 
 
 def _packed(rows: pa.Table, capacity: int, first_id: int, most: int | None) -> pa.Table | None:
-    """The rows with their place in new sequences, and whether their sequence is closed;
-    None where that takes ``most`` sequences or more."""
+    """The rows with their place in new sequences, and whether their sequence is full; None
+    where that takes ``most`` sequences or more."""
     lengths = rows["length"].to_numpy()
     bins, places, n = best_fit(lengths, capacity)
     if most is not None and n >= most:
         return None
     filled = np.bincount(bins, weights=lengths, minlength=n).astype(np.int64)
-    bound = least_bins(np.bincount(lengths, minlength=capacity + 1), capacity)
     closed = filled == capacity
-    if n == bound:
-        closed = np.arange(n) != np.argmin(filled)
-        closed |= filled == capacity
     for name in ("sequence_id", "offset", "closed"):
         if name in rows.column_names:
             rows = rows.drop_columns([name])
@@ -192,7 +188,9 @@ def pack_pieces(
     for row in pieces.groupBy("length").count().collect():
         counts[row["length"]] = row["count"]
     bound = least_bins(counts, capacity)
-    rows = durable(pieces.mapInArrow(_first_round(capacity, at_once), _PACKED))
+    # Pieces next to each other are often alike: tables are sorted by source or length.
+    mixed = pieces.repartition(max(1, -(-int(counts.sum()) // at_once)), F.xxhash64("at", "piece"))
+    rows = durable(mixed.mapInArrow(_first_round(capacity, at_once), _PACKED))
     used = rows.filter("offset = 0").count()
     done: list[DataFrame] = []
     for turn in range(1, MOST_ROUNDS + 1):
