@@ -186,3 +186,24 @@ def test_unlike_runs_of_pieces_pack_together(spark):
     found = packing.pack_pieces(pieces, 2048, at_once=400)
     assert found.count() == 800
     assert found.select("sequence_id").distinct().count() <= 404
+
+
+@pytest.mark.parametrize("label, text", licenses.NOTICES + licenses.TEXTS)
+def test_license_templates_are_found_in_their_own_text(label, text):
+    scan = licenses.Scanner({}, licenses.THRESHOLD).scan
+    words = text.split()
+    half = len(words) // 2
+    wraps = [" ".join(words), *(" ".join(words[:i]) + "\n" + " ".join(words[i:]) for i in (1, half))]
+    wraps += [" ".join(words[:half]) + "\n\n" + " ".join(words[half:])]
+    wraps += ["# " + "\n# ".join(words), "Title\n" + "\n".join(words) + "\nmore words"]
+    for wrapped in wraps:
+        assert label in scan(wrapped.encode())[5].split(","), wrapped
+
+
+def test_license_notices_in_several_blocks_do_not_name_shorter_ones():
+    scan = licenses.Scanner({}, licenses.THRESHOLD).scan
+    notice = b"Licensed under CC BY-NC 4.0."
+    assert scan(b" ".join([notice] * 3))[5] == "cc-by-nc"
+    assert scan(b"Licensed under\nCC BY-NC 4.0. Licensed\nunder CC BY 4.0.")[5] == "cc-by,cc-by-nc"
+    assert scan(b"Be nd on thon.***\n" + notice + b" ND words")[5] == "cc-by-nc"
+    assert scan(b"Licensed under CC" + b" word" * 9 + b". BY 4.0.")[5] == ""

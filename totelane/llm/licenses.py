@@ -5,8 +5,10 @@ least ``THRESHOLD`` of the template's words. Words are in one order, rare ones i
 corpus first. A block that matches must have a word of the template's prefix, its rarest
 words up to one more than may be missing; it must have enough words; and at the first common
 word, enough must be left on both sides. What passes is counted exactly, so every match is
-found. Notices are compared with sentences, license texts with paragraphs; of the templates
-a block matches, the best name it.
+found. Notices are compared with sentences, cut at line breaks as well as across them, and
+license texts with paragraphs. Both are compared with word windows over the whole text too,
+as much longer than the template as words may be missing, so breaks inside a notice or text
+hide nothing. Of the templates a block or window matches, the best name it.
 
 Beside this, fixed phrases are found wherever their words stand consecutively.
 
@@ -87,6 +89,10 @@ TEXTS = (
 )
 _BLANKED = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256)).lower()
 _SENTENCE = re.compile(rb"[\n\r\x0b\x0c]+|(?<=[.!?])[ \t]+")
+#: Sentences over several lines. "v. 2.0" goes on; signs between stop and line end do not matter.
+_JOINED = re.compile(
+    rb"\n[ \t\r]*\n|(?<=[.!?])(?<!\b[vV]\.)(?:[\x00-\x09\x0b-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]*\n|\s+)"
+)
 _PARAGRAPH = re.compile(rb"\n[ \t\r]*\n")
 
 
@@ -105,7 +111,12 @@ class Templates:
         self.rank = {w: i for i, w in enumerate(order)}
         self.labels = [label for label, _ in texts]
         self.sets = [sorted({self.rank[w] for w in words_of(t.encode())}) for _, t in texts]
+        self.every = [frozenset(own) for own in self.sets]
         self.needed = [math.ceil(threshold * len(x) - 1e-9) for x in self.sets]
+        self.reach = [
+            len(words_of(text.encode())) + len(own) - least
+            for (_, text), own, least in zip(texts, self.sets, self.needed, strict=True)
+        ]
         self.index: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for i, own in enumerate(self.sets):
             for place, word in enumerate(own[: len(own) - self.needed[i] + 1]):
@@ -130,6 +141,55 @@ class Templates:
                     found.append((common / len(self.sets[i]), common, self.labels[i]))
         return found
 
+    def runs(self, words: list[bytes]) -> list[tuple[float, int, str]]:
+        """The same for windows of at most ``reach`` words of a whole text. A window counts
+        for the best of the templates that match around it."""
+        ranks = [self.rank.get(w, -1) for w in words]
+        held = set(ranks)
+        near = [i for i, own in enumerate(self.every) if len(held & own) >= self.needed[i]]
+        found: dict[str, tuple[float, int, str]] = {}
+        for i in near:
+            label = self.labels[i]
+            for start, end, common in self._spans(ranks, i):
+                match = (len(common) / len(self.every[i]), len(common), label)
+                if match <= found.get(label, (0.0, 0, label)):
+                    continue
+                if not any(self._better(ranks, j, start, end, match) for j in near if j != i):
+                    found[label] = match
+        return list(found.values())
+
+    def _spans(self, ranks: list[int], i: int) -> Iterator[tuple[int, int, frozenset[int]]]:
+        """First place, end and common words of the tightest windows that match a template;
+        each holds a word of the prefix."""
+        own, reach = self.every[i], self.reach[i]
+        prefix = set(self.sets[i][: len(own) - self.needed[i] + 1])
+        until = -1
+        last: dict[int, int] = {}  # the latest place of each word, oldest first
+        for place in (k for k, rank in enumerate(ranks) if rank in prefix):
+            for k in range(max(until, place - reach + 1), min(place + reach, len(ranks))):
+                if ranks[k] not in own:
+                    continue
+                last.pop(ranks[k], None)
+                last[ranks[k]] = k
+                while last[oldest := next(iter(last))] <= k - reach:
+                    del last[oldest]
+                if len(last) >= self.needed[i]:
+                    yield last[oldest], k + 1, frozenset(last)
+            until = min(place + reach, len(ranks))
+
+    def _around(self, ranks: list[int], j: int, start: int, end: int) -> Iterator[frozenset[int]]:
+        """Common words of the windows of template ``j`` that match and hold a span."""
+        for stop in range(end, min(len(ranks), start + self.reach[j]) + 1):
+            common = self.every[j].intersection(ranks[max(0, stop - self.reach[j]) : stop])
+            if len(common) >= self.needed[j]:
+                yield common
+
+    def _better(self, ranks: list[int], j: int, start: int, end: int, match: tuple) -> bool:
+        return any(
+            (len(common) / len(self.every[j]), len(common)) > match[:2]
+            for common in self._around(ranks, j, start, end)
+        )
+
 
 class Scanner:
     """All that is found in one text."""
@@ -141,13 +201,14 @@ class Scanner:
     def best(self, text: bytes, words: list[bytes]) -> list[tuple[float, int, str]]:
         """The matches of each block with the largest containment, then the most words."""
         every, found = set(words), []
-        for kind, cut in ((self.notices, _SENTENCE), (self.texts, _PARAGRAPH)):
+        for kind, *cuts in ((self.notices, _SENTENCE, _JOINED), (self.texts, _PARAGRAPH)):
             if kind.prefix.isdisjoint(every):
                 continue
-            for block in cut.split(text):
+            for block in (block for cut in cuts for block in cut.split(text)):
                 if matched := kind.matches(words_of(block)):
                     most = max(matched)[:2]
                     found += [x for x in matched if x[:2] == most]
+            found += kind.runs(words)
         return found
 
     def scan(self, text: bytes) -> tuple:
