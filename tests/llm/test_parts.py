@@ -207,3 +207,15 @@ def test_license_notices_in_several_blocks_do_not_name_shorter_ones():
     assert scan(b"Licensed under\nCC BY-NC 4.0. Licensed\nunder CC BY 4.0.")[5] == "cc-by,cc-by-nc"
     assert scan(b"Be nd on thon.***\n" + notice + b" ND words")[5] == "cc-by-nc"
     assert scan(b"Licensed under CC" + b" word" * 9 + b". BY 4.0.")[5] == ""
+
+
+def test_all_licenses_of_a_block_are_named():
+    scan = licenses.Scanner({}, licenses.THRESHOLD).scan
+    assert scan(b"Released under the BSD License, figures licensed under CC BY 4.0.")[5] == "bsd,cc-by"
+    notice = b"Licensed under the terms of the BSD 3-Clause License"
+    assert scan(notice + b", figures are released into the public domain under CC0 1.0.")[5] == "bsd,cc0"
+    both = f"{licenses.TEXTS[0][1]} {licenses.TEXTS[1][1]}"
+    assert scan(both.encode())[5] == "bsd,mit"
+    assert scan(b"Licensed under CC BY-NC 4.0.")[5] == "cc-by-nc"
+    found = scan(b"Licensed under CC BY 4.0, figures are licensed under CC BY-NC 4.0.")
+    assert found[5:] == ("cc-by,cc-by-nc", 1.0)

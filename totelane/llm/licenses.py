@@ -8,7 +8,8 @@ word, enough must be left on both sides. What passes is counted exactly, so ever
 found. Notices are compared with sentences, cut at line breaks as well as across them, and
 license texts with paragraphs. Both are compared with word windows over the whole text too,
 as much longer than the template as words may be missing, so breaks inside a notice or text
-hide nothing. Of the templates a block or window matches, the best name it.
+hide nothing. Every match names its label, but for one whose words are only part of the words
+of another match of the same block or window, as those of GPL are in LGPL.
 
 Beside this, fixed phrases are found wherever their words stand consecutively.
 
@@ -123,7 +124,7 @@ class Templates:
                 self.index[word].append((i, place))
         self.prefix = {order[word] for word in self.index}
 
-    def matches(self, words: list[bytes]) -> list[tuple[float, int, str]]:
+    def matches(self, words: list[bytes]) -> list[tuple[float, frozenset[int], str]]:
         """Containment, common words and label of the templates that a block matches. Words
         that no template has are left out first; they can only be surplus."""
         known = sorted({self.rank[w] for w in words if w in self.rank})
@@ -136,27 +137,30 @@ class Templates:
                 seen.add(i)  # its first common word
                 if min(len(self.sets[i]) - at, len(known) - place) < self.needed[i]:
                     continue
-                common = len(set(known).intersection(self.sets[i]))
-                if common >= self.needed[i]:
-                    found.append((common / len(self.sets[i]), common, self.labels[i]))
+                common = self.every[i].intersection(known)
+                if len(common) >= self.needed[i]:
+                    found.append((len(common) / len(self.sets[i]), common, self.labels[i]))
         return found
 
-    def runs(self, words: list[bytes]) -> list[tuple[float, int, str]]:
-        """The same for windows of at most ``reach`` words of a whole text. A window counts
-        for the best of the templates that match around it."""
+    def runs(self, words: list[bytes]) -> list[tuple[float, str | None]]:
+        """Containment and label of the windows of at most ``reach`` words of a whole text
+        that match; no label where only windows around which more words of another template
+        stand do."""
         ranks = [self.rank.get(w, -1) for w in words]
         held = set(ranks)
         near = [i for i, own in enumerate(self.every) if len(held & own) >= self.needed[i]]
-        found: dict[str, tuple[float, int, str]] = {}
+        found: list[tuple[float, str | None]] = []
         for i in near:
-            label = self.labels[i]
+            share, label = 0.0, None
             for start, end, common in self._spans(ranks, i):
-                match = (len(common) / len(self.every[i]), len(common), label)
-                if match <= found.get(label, (0.0, 0, label)):
-                    continue
-                if not any(self._better(ranks, j, start, end, match) for j in near if j != i):
-                    found[label] = match
-        return list(found.values())
+                share = max(share, len(common) / len(self.every[i]))
+                if label is None and not any(
+                    common < other for j in near for other in self._around(ranks, j, start, end)
+                ):
+                    label = self.labels[i]
+            if share:
+                found.append((share, label))
+        return found
 
     def _spans(self, ranks: list[int], i: int) -> Iterator[tuple[int, int, frozenset[int]]]:
         """First place, end and common words of the tightest windows that match a template;
@@ -184,12 +188,6 @@ class Templates:
             if len(common) >= self.needed[j]:
                 yield common
 
-    def _better(self, ranks: list[int], j: int, start: int, end: int, match: tuple) -> bool:
-        return any(
-            (len(common) / len(self.every[j]), len(common)) > match[:2]
-            for common in self._around(ranks, j, start, end)
-        )
-
 
 class Scanner:
     """All that is found in one text."""
@@ -198,32 +196,35 @@ class Scanner:
         self.notices = Templates(NOTICES, frequency, threshold)
         self.texts = Templates(TEXTS, frequency, threshold)
 
-    def best(self, text: bytes, words: list[bytes]) -> list[tuple[float, int, str]]:
-        """The matches of each block with the largest containment, then the most words."""
-        every, found = set(words), []
+    def found(self, text: bytes, words: list[bytes]) -> tuple[set[str], float]:
+        """The labels of all matches but those within others, and the largest containment."""
+        every, labels, shares = set(words), set(), [0.0]
         for kind, *cuts in ((self.notices, _SENTENCE, _JOINED), (self.texts, _PARAGRAPH)):
             if kind.prefix.isdisjoint(every):
                 continue
             for block in (block for cut in cuts for block in cut.split(text)):
-                if matched := kind.matches(words_of(block)):
-                    most = max(matched)[:2]
-                    found += [x for x in matched if x[:2] == most]
-            found += kind.runs(words)
-        return found
+                matched = kind.matches(words_of(block))
+                for share, own, label in matched:
+                    shares.append(share)
+                    if not any(own < other for _, other, _ in matched):
+                        labels.add(label)
+            for share, label in kind.runs(words):
+                shares.append(share)
+                labels.update([label] if label else [])
+        return labels, max(shares)
 
     def scan(self, text: bytes) -> tuple:
         words = words_of(text)
         places, base = phrases(words)
-        found = self.best(text, words)
-        labels = base.union(label for _, _, label in found)
+        labels, share = self.found(text, words)
         return (
             len(words),
             len(places),
             min(places, default=None),
             max(places, default=None),
             ",".join(sorted(base)),
-            ",".join(sorted(labels)),
-            1.0 if base else max((share for share, _, _ in found), default=0.0),
+            ",".join(sorted(base | labels)),
+            1.0 if base else share,
         )
 
 
