@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from totelane.llm import decontamination, exact_dedup, packing, simhash, tokens, toxicity
-from totelane.llm.common import documents, rows_without
+from totelane.llm.common import documents, placed, rows_without
 from totelane.session import durable
 
 
@@ -20,18 +20,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = placed(docs)
     found = exact_dedup.exact_duplicates(docs)
     return rows_without(docs, durable(found.filter("NOT kept").select("at")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = placed(docs)
     found = durable(simhash.near_duplicates(docs).select("at", "doc_id", "cluster"))
     dropped = found.select("at").join(simhash.first_of_each(found), "at", "left_anti")
     return rows_without(docs, durable(dropped))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    docs, items = placed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.contamination(docs, items)
     return rows_without(docs, durable(found.filter("contaminated").select("at")))
 

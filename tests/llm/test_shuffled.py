@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from totelane.llm import common, decontamination, exact_dedup, packing, sharding, simhash
 from totelane.llm.queries import QUERIES
 from totelane.settings import SkewSettings
@@ -35,3 +36,33 @@ def test_results_do_not_depend_on_the_layout(spark, folder_of_all, name, request
     request.getfixturevalue("shuffled")
     found = Counter(map(tuple, QUERIES[name](spark, folder_of_all).drop(*dropped).collect()))
     assert found == plain
+
+
+def _stage(name):
+    return lambda spark, folder: dict(corpus_pipeline.STAGES)[name](
+        spark, common.documents(spark, folder), folder
+    )
+
+
+_OF_SEVERAL_JOBS = {
+    **{x: QUERIES[x] for x in ("op3_exact_dedup", "op6_decontamination", "op8_ctw", "op9_substring_dedup")},
+    **{x: _stage(x) for x in ("exact_dedup", "simhash_near_dedup", "benchmark_decontamination")},
+}
+
+
+@pytest.mark.parametrize("name", sorted(_OF_SEVERAL_JOBS))
+def test_results_do_not_depend_on_how_a_later_scan_is_split(spark, folder_of_all, tmp_path, name):
+    documents = spark.read.parquet(f"{folder_of_all}/documents.parquet")
+    documents.repartition(6, "text").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder_of_all}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    plain = Counter(map(str, _OF_SEVERAL_JOBS[name](spark, str(tmp_path)).collect()))
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        # As many parts as there are after more executors have come.
+        spark.conf.set(setting, "3000")
+        found = _OF_SEVERAL_JOBS[name](spark, str(tmp_path))
+        spark.conf.set(setting, before)
+        assert Counter(map(str, found.collect())) == plain
+    finally:
+        spark.conf.set(setting, before)

@@ -1,7 +1,7 @@
 """Blocks of documents that ask the whole corpus about the keys they hold.
 
 Keys such as hashes of word windows are too many to send one by one. A block, rows of a scan
-up to a bound of bytes, sends each of its distinct keys once, sorted and packed, to the
+up to a bound of bytes that are written once with its number, sends each of its distinct keys once, sorted and packed, to the
 bucket of the key; so a key that every document holds costs a bucket one entry per block.
 The bucket answers each block, and the rows of the block, packed as well, meet the answers.
 Blocks and buckets are bounded; nothing is gathered per key.
@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from totelane.llm.common import byte_lengths, shuffle_partitions
+from totelane.session import durable
 
 #: Bytes of text in a block, unless a single row has more.
 BLOCK_BYTES = 8 << 20
@@ -63,8 +64,7 @@ def by_bucket(buckets: np.ndarray) -> Iterator[tuple[int, slice]]:
 def _blocks(
     batches: Iterator[pa.RecordBatch], weight: str, most: int
 ) -> Iterator[tuple[int, pa.Table]]:
-    """Consecutive rows of the task's partition, with a number that only they have. The same
-    scan gives the same blocks."""
+    """Consecutive rows of the task's partition, with a number that only they have."""
     number = TaskContext.get().partitionId() << _PART_BITS
     waiting: list[pa.RecordBatch] = []
     size = 0
@@ -83,14 +83,15 @@ def _blocks(
         yield number, pa.Table.from_batches(waiting)
 
 
-def asked(rows: DataFrame, weight: str, ask: Asker, schema: str, most: int = BLOCK_BYTES) -> DataFrame:
-    """What ``ask(block, table)`` yields for each block of ``rows``."""
+def asked(blocks: DataFrame, ask: Asker, schema: str) -> DataFrame:
+    """What ``ask(block, table)`` yields for each of the ``block_rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, table in _blocks(batches, weight, most):
-            yield from ask(number, table)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from ask(batch["block"][i].as_py(), rows_of(batch["rows"][i].as_py()))
 
-    return rows.mapInArrow(run, schema)
+    return blocks.mapInArrow(run, schema)
 
 
 def _as_row(number: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -105,8 +106,14 @@ def _as_row(number: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def block_rows(rows: DataFrame, weight: str, most: int = BLOCK_BYTES) -> DataFrame:
-    """A row per block: its number and its rows, packed."""
-    return asked(rows, weight, _as_row, "block bigint, rows binary", most)
+    """A row per block: its number and its rows, packed. Written once: another scan of
+    ``rows`` could be split into other blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, table in _blocks(batches, weight, most):
+            yield from _as_row(number, table)
+
+    return durable(rows.mapInArrow(run, "block bigint, rows binary"))
 
 
 def rows_of(blob: bytes) -> pa.Table:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from totelane.operators.skew import fits_broadcast, spread_join
+from totelane.session import durable
 from totelane.settings import SkewSettings
 
 #: Bytes of an Arrow batch, where the session has Spark's default.
@@ -21,6 +22,8 @@ ARROW_BYTES = "8m"
 _ARROW, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 #: Bounds of a table that is broadcast.
 SMALL = SkewSettings(broadcast_rows=1_000_000, broadcast_bytes=32 << 20)
+#: Column of a written table with the place that each row had in the scan.
+PLACE = "_totelane_place"
 #: XML-like white space of the contracts: blank and the controls 9 to 13. ``bytes.split()``
 #: without argument splits at exactly these.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -52,17 +55,30 @@ def entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``at``, ``doc_id``, ``text`` of each row; other columns are left behind.
 
     ``at`` tells rows apart where ids are null or repeat. It is the place of the row in the
-    scan, so ``docs`` has to be a table as read, which gives the same places each time. A
+    scan, or what ``placed`` wrote. Another scan can give other places, as it is split by the
+    executors there are: what reads the entries more than once takes ``written_entries``. A
     null text becomes the empty one.
     """
     prepare(docs.sparkSession)
+    place = F.col(PLACE) if PLACE in docs.columns else F.monotonically_increasing_id()
     return docs.select(
-        F.monotonically_increasing_id().alias("at"),
+        place.alias("at"),
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
 
 
+def written_entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``entries`` with the same places each time they are read."""
+    rows = entries(docs, id_col, text_col)
+    return rows if PLACE in docs.columns else durable(rows)
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with the place of each row, which all that reads it goes by."""
+    return durable(docs.withColumn(PLACE, F.monotonically_increasing_id()))
+
+
 def meet(rows: DataFrame, table: DataFrame, on: str | list[str], how: str, hot=()) -> DataFrame:
     """``rows`` joined with a table of unique keys. Where its measured size is within
     ``SMALL``, the table is sent to the rows, which need not move; beyond that both are
@@ -73,13 +89,9 @@ def meet(rows: DataFrame, table: DataFrame, on: str | list[str], how: str, hot=(
 
 
 def rows_without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose place is not in ``dropped.at``, with all their columns.
-    ``dropped`` is read twice."""
-    place = "_at"
-    while place in docs.columns:
-        place = f"_{place}"
-    numbered = docs.withColumn(place, F.monotonically_increasing_id())
-    return meet(numbered, dropped.select(F.col("at").alias(place)), place, "left_anti").drop(place)
+    """The rows of a ``placed`` table whose place is not in ``dropped.at``, with all their own
+    columns. ``dropped`` is read twice."""
+    return meet(docs, dropped.select(F.col("at").alias(PLACE)), PLACE, "left_anti").drop(PLACE)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -417,7 +417,8 @@ def scores(
         raise ValueError("contexts are of 3 to 6 bytes")
     rows = entries(docs, id_col, text_col)
     buckets = buckets_for(rows)
-    sent = durable(asked(rows, "text", _ask(buckets, depth), _ASKED))
+    blocks = block_rows(rows, "text")
+    sent = durable(asked(blocks, _ask(buckets, depth), _ASKED))
     counted = durable(
         sent.filter(F.col("kind") == _WORDS)
         .groupBy("bucket")
@@ -452,8 +453,7 @@ def scores(
         .applyInArrow(_string_answers, _ANSWERED),
     ]
     return (
-        block_rows(rows, "text")
-        .groupBy("block")
+        blocks.groupBy("block")
         .cogroup(reduce(DataFrame.unionByName, answers).groupBy("block"))
         .applyInArrow(_score(depth, tokens, distinct), _SCORED)
     )

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from totelane.llm.common import entries, lowered, meet
+from totelane.llm.common import lowered, meet, written_entries
 from totelane.operators.skew import Lookup
 from totelane.session import durable
 from totelane.settings import SkewSettings
@@ -191,7 +191,7 @@ def contamination(
 ) -> DataFrame:
     """``at``, ``doc_id``, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` and
     ``contaminated`` of each document."""
-    rows = entries(docs, id_col, text_col)
+    rows = written_entries(docs, id_col, text_col)
     benchmark = Benchmark(items)
     hits = durable(_hits(rows, benchmark))
     hit = hits.groupBy("at").agg(

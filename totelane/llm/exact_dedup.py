@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from totelane.llm.common import SPACES, entries, hot_groups, meet
+from totelane.llm.common import SPACES, hot_groups, meet, written_entries
 from totelane.session import durable
 
 #: Bytes of the first run, and the factor from each run to the next.
@@ -27,7 +27,7 @@ GROWTH = 64
 
 
 def normalised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    rows = entries(docs, id_col, text_col)
+    rows = written_entries(docs, id_col, text_col)
     return rows.withColumn("text", F.regexp_replace("text", SPACES, " "))
 
 

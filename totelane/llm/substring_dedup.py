@@ -254,28 +254,28 @@ def repeated_passages(
     """``at``, ``doc_id``, ``n_words``, ``n_removed`` and ``kept_sha256`` of each document."""
     rows = entries(docs, id_col, text_col)
     buckets = buckets_for(rows)
+    blocks = block_rows(rows, "text")
     answers = (
-        asked(rows, "text", _ask_anchors(buckets), _KEYS)
+        asked(blocks, _ask_anchors(buckets), _KEYS)
         .select("bucket", "block", "keys")
         .groupBy("bucket")
         .applyInArrow(_shared_anchors, "block bigint, keys binary")
     )
     judged = durable(
-        block_rows(rows, "text")
-        .groupBy("block")
+        blocks.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(_judge, _JUDGED)
     )
     done = judged.filter("text IS NULL").drop("text", "starts")
     pending = judged.filter("text IS NOT NULL").select("at", "doc_id", "text", "starts")
+    blocks = block_rows(pending, "text")
     answers = (
-        asked(pending, "text", _ask_windows(buckets), _KEYS)
+        asked(blocks, _ask_windows(buckets), _KEYS)
         .groupBy("bucket")
         .applyInArrow(_first_documents, "block bigint, keys binary, first binary")
     )
     rest = (
-        block_rows(pending, "text")
-        .groupBy("block")
+        blocks.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(_remove, ", ".join(_JUDGED.split(", ")[:5]))
     )
