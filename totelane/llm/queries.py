@@ -12,15 +12,18 @@ from totelane.llm import (
     decontamination,
     exact_dedup,
     licenses,
+    manifest,
     packing,
     records,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
     tokens,
     toxicity,
+    warc,
 )
-from totelane.llm.common import documents
+from totelane.llm.common import documents, lowered
 from totelane.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -77,6 +80,24 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(documents(spark, sf_dir)).drop("at")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    built = manifest.build_manifest(documents(spark, sf_dir), changed=lowered, where=tampered)
+    return manifest.proof_report(built).withColumnRenamed("id", "doc_id")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    written = warc.write_archives(pages, date="2024-01-01T00:00:00Z")
+    return warc.read_archives(written, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_shards": op2_shards,
@@ -88,4 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ctw": op8_ctw,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_licenses": op10_licenses,
+    "op11_spelling": op11_spelling,
+    "op12_manifest": op12_manifest,
+    "op13_warc": op13_warc,
 }
