@@ -40,6 +40,9 @@ def rows() -> list[tuple]:
     texts += ["word\x01mark don't, it'll!", "Ünïcode É é é … «q» 漢字 テスト 123,4"]
     texts += [_text(dice, 60) + " idiot " + _text(dice, 9) for _ in range(12)]
     texts += [texts[3]] * 25
+    texts += [" ".join(["Received"] * 60 + ["receivet"] * 4 + [str(i)]) for i in range(10)]
+    texts += ["recceivet, receivedd eceived"] * 3 + ["reCeaved.recieved"] * 2
+    texts += ["NAÏVETÉS naÏvetÉs naïvetés", "abcdefghijk" * 300 + " " + "abcdefghijk" * 300 + "x"] * 2
     found = [(i * 3 + 1, text) for i, text in enumerate(texts)]
     found += [found[5], found[5], (found[6][0], "other text of the same id"), (None, texts[0])]
     found += [(None, "no id here at all, just words"), (None, None), (-7, texts[8])]
@@ -47,18 +50,39 @@ def rows() -> list[tuple]:
     return found
 
 
+def pages() -> list[tuple]:
+    """Pages with copies, null and empty payloads, null and repeated ids, odd addresses."""
+    dice = random.Random(8)
+    found = [(i, f"http://a.example/{i}", f"<p>{_text(dice, 30)}</p>") for i in range(20)]
+    found += [(30 + i, None, found[3][2]) for i in range(30)] + [(1, "http://again", found[3][2])]
+    found += [(70, "http://b c\r\n\tü", ""), (71, "", None), (None, "http://n", found[4][2])]
+    found += [(None, None, "only nameless"), (None, "x", "only nameless"), found[5], found[5]]
+    found += [(-4, "http://m", "\r\n\r\nWARC/1.1\r\n"), (80, "http://l", _text(dice, 200_000))]
+    dice.shuffle(found)
+    return found
+
+
 def labels() -> list[tuple]:
     named = [(doc_id, text) for doc_id, text in rows() if doc_id is not None]
     return [(i, 1, int("idiot" in (x or ""))) for i, x in named] + [(None, 1, 1), (4, 0, None)]
 
 
+def _about(doc_id: int | None, text: str | None) -> tuple:
+    """Language, source and size of a document; some have none."""
+    if doc_id is None or doc_id % 10 == 7:
+        return (None, None, None)
+    if doc_id in (1, 4):
+        return ("", "src2", 0) if doc_id == 1 else ("ünq", "", 5)
+    return ("de" if doc_id % 3 else "en", "src1", len(text or ""))
+
+
 @pytest.fixture(scope="session")
 def table_folder(spark, tmp_path_factory):
     """Writes the tables; without rows, empty ones."""
 
-    def write(docs: list[tuple], marked: list[tuple], items: list[tuple]) -> str:
+    def write(docs: list[tuple], marked: list[tuple], items: list[tuple], stored: list[tuple]) -> str:
         folder = str(tmp_path_factory.mktemp("tables"))
-        wide = [(a, b, "en", "src1", len(b or ""), 1, None, "x") for a, b in docs]
+        wide = [(a, b, *_about(a, b), 1, None, "x") for a, b in docs]
         schema = (
             "doc_id long, text string, lang string, source string, n_chars long, "
             "at long, shard int, words string"
@@ -68,6 +92,9 @@ def table_folder(spark, tmp_path_factory):
         spark.createDataFrame(marked, schema).write.parquet(f"{folder}/labels.parquet")
         schema = "item_id long, text string"
         spark.createDataFrame(items, schema).write.parquet(f"{folder}/benchmark.parquet")
+        schema = "page_id long, url string, html string, at long, key string, n int"
+        wide = [(*row, 5, "k", 1) for row in stored]
+        spark.createDataFrame(wide, schema).write.parquet(f"{folder}/pages.parquet")
         return folder
 
     return write
@@ -75,12 +102,12 @@ def table_folder(spark, tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def folder_of_all(table_folder) -> str:
-    return table_folder(rows(), labels(), ITEMS)
+    return table_folder(rows(), labels(), ITEMS, pages())
 
 
 @pytest.fixture(scope="session")
 def folder_of_none(table_folder) -> str:
-    return table_folder([], [], [])
+    return table_folder([], [], [], [])
 
 
 @pytest.fixture(scope="session")

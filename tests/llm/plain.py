@@ -136,3 +136,106 @@ def phrase_places(text: str) -> tuple[list[int], str]:
                 places.append(i)
                 labels.add(label)
     return sorted(places), ",".join(sorted(labels))
+
+
+def near(a: str, b: str) -> bool:
+    """Whether one inserted, deleted or replaced code point parts two words."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(
+        long[:i] + long[i + 1 :] == short for i in range(len(long))
+    )
+
+
+def spelling(rows: list[tuple]) -> list[tuple]:
+    counts: Counter = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text):
+            run = run.translate(_LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    often = {word: n for word, n in counts.items() if len(word) >= 7 and n >= 2}
+    by_size = defaultdict(list)
+    for word in often:
+        by_size[len(word)].append(word)
+    form, partners = {}, {}
+    for word, n in often.items():
+        around = [x for d in (-1, 0, 1) for x in by_size[len(word) + d] if near(word, x)]
+        partners[word] = len(around)
+        best = min(around, key=lambda x: (-often[x], x), default=None)
+        form[word] = best if best is not None and often[best] >= 10 * n else None
+    found = []
+    for word, n in often.items():
+        root = word
+        while form[root] is not None:
+            root = form[root]
+        found.append((word, form[word], root, n, partners[word], often.get(form[word])))
+    return found
+
+
+def _hash(*parts: str) -> str:
+    return sha("".join(parts))
+
+
+def manifest(rows: list[tuple], tampered) -> list[tuple]:
+    """Rows of doc_id, source, lang, n_chars, text; ``tampered`` says which text to lower."""
+
+    def leaf(row: tuple) -> str:
+        texts = [None if x is None else str(x) for x in row]
+        return _hash(*("-" if x is None else f"{len(x.encode())}:{x}" for x in texts))
+
+    def climb(nodes: list[str]) -> tuple[str, list[list[tuple[str, str]]]]:
+        """The last node, and for each first node what stands beside it on every level."""
+        beside, place = [[] for _ in nodes], list(range(len(nodes)))
+        while len(nodes) > 1:
+            for i, own in enumerate(place):
+                run = nodes[own // 8 * 8 : own // 8 * 8 + 8]
+                beside[i].append(("".join(run[: own % 8]), "".join(run[own % 8 + 1 :])))
+            place = [own // 8 for own in place]
+            nodes = [_hash(*nodes[i : i + 8]) for i in range(0, len(nodes), 8)]
+        return nodes[0], beside
+
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[2]].append(row)
+    langs = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for lang in langs:
+        own = sorted(groups[lang], key=lambda x: (x[0] is not None, x[0] or 0, leaf(x)))
+        trees[lang] = (own, *climb([leaf(x) for x in own]))
+    if not langs:
+        return []
+    root, tops = climb([trees[lang][1] for lang in langs])
+    found = []
+    for lang, top in zip(langs, tops, strict=True):
+        own, subroot, beside = trees[lang]
+        for row, path in zip(own, beside, strict=True):
+            path = path + top
+            folded = leaf(row)
+            if tampered(row) and row[4] is not None:
+                folded = leaf((*row[:4], row[4].translate(_LOWER)))
+            for left, right in path:
+                folded = _hash(left, folded, right)
+            proof = _hash(*(x + y for x, y in path))
+            found.append((row[0], leaf(row), subroot, root, proof, folded, folded == root))
+    return found
+
+
+def archives(pages: list[tuple]) -> list[tuple]:
+    import base64
+    from hashlib import sha1
+
+    groups = defaultdict(list)
+    for page_id, _, html in pages:
+        groups[html or ""].append(page_id)
+    found = []
+    for html, ids in groups.items():
+        ids.sort(key=lambda x: (x is None, x or 0))
+        digest = base64.b32encode(sha1(html.encode()).digest()).decode()
+        for i, page_id in enumerate(ids):
+            kind, source = ("revisit", ids[0]) if i else ("response", None)
+            found.append((page_id, len(html.encode()), digest, kind, source))
+    return found

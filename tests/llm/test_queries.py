@@ -148,3 +148,28 @@ def test_licenses(spark, folder_of_all, docs):
     texts = {i: x for i, x in docs}
     added = {texts[r.doc_id]: r.labels for r in rows if r.labels != r.base_labels}
     assert added == {"Prose. Licensed under CC BY-NC 4.0. More prose": "cc-by-nc"}
+
+
+def test_spelling(spark, folder_of_all, docs):
+    columns = ("word", "form", "root", "n", "n_near", "form_n")
+    want = Counter(plain.spelling(docs))
+    assert any(row[1] and row[2] != row[1] for row in want)  # a chain of forms
+    assert result(spark, "op11_spelling", folder_of_all, *columns) == want
+
+
+def test_manifest(spark, folder_of_all):
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    rows = [tuple(x) for x in spark.read.parquet(f"{folder_of_all}/documents.parquet").select(*columns).collect()]
+    want = Counter(
+        plain.manifest(rows, lambda x: x[0] is not None and zlib.crc32(str(x[0]).encode()) % 3 == 0)
+    )
+    assert {row[-1] for row in want} == {True, False}
+    columns = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+    assert result(spark, "op12_manifest", folder_of_all, *columns) == want
+
+
+def test_archives(spark, folder_of_all):
+    from tests.llm.conftest import pages
+
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert result(spark, "op13_warc", folder_of_all, *columns) == Counter(plain.archives(pages()))
