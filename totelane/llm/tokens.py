@@ -2,22 +2,31 @@
 
 The vocabulary drops white space and case and encodes what stands between blanks piece by
 piece, so the ids of a text are those of its chunks. Each distinct chunk is encoded once and
-remembered up to a bound; punctuation after a word is a piece of its own, so a word and the
-same word before a comma are encoded once. Words of letters only end with one token that
-marks the end of a word, which tells where the ids of the next word start.
+remembered up to a bound; punctuation after a word of plain letters is a piece of its own, so
+a word and the same word before a comma are encoded once. Such words end with one token that
+marks the end of a word, which tells where the ids of the next word start. Chunks with other
+letters, marks or digits are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from functools import lru_cache
 
 import numpy as np
 
 #: Encoded chunks that a Python worker remembers; half of them are kept when it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_600_000
 _AT_ONCE = 500
 _MARK = "\x01"
-_PUNCTUATION = b".,;:!?|"
+_PUNCTUATION = bytes(code for code in range(33, 127) if not chr(code).isalnum())
+#: Letters that stay one letter in lower case and when composed, so that what follows a word of
+#: them is a piece of its own: Latin, less the dotted capital I and the n after an apostrophe.
+_PLAIN = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿĀ-įıĲ-ňŊ-ſ]+")
+#: First bytes of marks that change the letter before them: whether it is in lower case decides
+#: with which of them it makes one letter.
+_MARKS = (b"\xcc", b"\xcd")
 
 
 def word_bpe() -> str:
@@ -27,13 +36,32 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _is_letters(word: bytes) -> bool:
+def _lean(path: str):
+    """The tokenizer for words of plain lower-case letters with a blank between."""
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    steps = parts["pre_tokenizer"]["pretokenizers"]
+    steps[0] = {"type": "WhitespaceSplit"}
+    return Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "added_tokens": []}))
+
+
+def _is_plain(word: bytes) -> bool:
     try:
-        return word.decode().isalpha()
+        return _PLAIN.fullmatch(word.decode()) is not None
     except UnicodeDecodeError:
         return False
 
 
+def _lowered(text: bytes) -> bytes:
+    """The text in lower case where that gives the same ids: special tokens are told by their
+    case, and marks are composed with a letter before it is put in lower case."""
+    if b"<|" in text or any(mark in text for mark in _MARKS):
+        return text
+    return text.lower()
+
+
 class Encoder:
     """Ids of texts as little-endian arrays of the narrowest fitting type."""
 
@@ -41,7 +69,7 @@ class Encoder:
         self._remembered = remembered
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer, self._lean = Tokenizer.from_file(path), _lean(path)
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype("<u4" if max(vocabulary.values()) >> 16 else "<u2")
         self._ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -55,16 +83,15 @@ class Encoder:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [x.ids for x in found]
 
-    def _together(self, texts: list[bytes], between: bytes, cuts) -> list[bytes] | None:
-        """The ids of several chunks encoded as one text; ``cuts`` gives the end of the ids of
+    def _parts(self, found: list[int], cuts, n: int) -> list[bytes] | None:
+        """The ids of ``n`` chunks encoded as one text; ``cuts`` gives the end of the ids of
         each and the start of the next. None where their number is not that of the chunks."""
-        ids = np.array(self._ids([between.join(texts).decode("utf-8", "replace")])[0], self.dtype)
+        ids = np.array(found, self.dtype)
         ends, starts = cuts(ids)
-        if len(ends) != len(texts):
+        if len(ends) != n:
             return None
         data, size = ids.tobytes(), self.dtype.itemsize
-        spans = zip((starts * size).tolist(), (ends * size).tolist(), strict=True)
-        return [data[a:b] for a, b in spans]
+        return [data[a:b] for a, b in zip((starts * size).tolist(), (ends * size).tolist(), strict=True)]
 
     def _at_word_ends(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ends = np.flatnonzero(self._ends_word[ids]) + 1
@@ -74,41 +101,51 @@ class Encoder:
         marks = np.flatnonzero(ids == self._mark)
         return np.append(marks, len(ids)), np.append(0, marks + 1)
 
-    def _learn(self, texts: list[bytes], letters: bool) -> None:
+    def _learn_words(self, words: list[bytes]) -> None:
+        """Encode words of plain letters, which end with a token that only ends words."""
+        for start in range(0, len(words), _AT_ONCE):
+            own = words[start : start + _AT_ONCE]
+            text = b" ".join(own).decode().lower()
+            found = self._lean.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            parts = self._parts(found, self._at_word_ends, len(own))
+            if parts is None:
+                self._learn_chunks(own)
+            else:
+                self._known.update(zip(own, parts, strict=True))
+
+    def _learn_chunks(self, chunks: list[bytes]) -> None:
         """Encode chunks, many at a time; one by one where they cannot be told apart."""
-        for start in range(0, len(texts), _AT_ONCE):
-            own, parts = texts[start : start + _AT_ONCE], None
-            if letters:
-                parts = self._together(own, b" ", self._at_word_ends)
-            if parts is None and self._mark is not None:
-                parts = self._together(own, f" {_MARK} ".encode(), self._at_marks)
+        for start in range(0, len(chunks), _AT_ONCE):
+            own, parts = chunks[start : start + _AT_ONCE], None
+            if self._mark is not None:
+                text = f" {_MARK} ".encode().join(own).decode("utf-8", "replace")
+                parts = self._parts(self._ids([text])[0], self._at_marks, len(own))
             if parts is None:
                 found = self._ids([x.decode("utf-8", "replace") for x in own])
                 parts = [np.array(ids, self.dtype).tobytes() for ids in found]
             self._known.update(zip(own, parts, strict=True))
 
-    def _learn_all(self, chunks: set[bytes]) -> None:
-        """Words of letters only, with or without punctuation after them, by their letters;
+    def _learn_all(self, new: set[bytes]) -> None:
+        """Words of plain letters, with or without punctuation after them, by their letters;
         whatever else as it is."""
-        words, others, ended = set(), set(), []
-        for chunk in chunks:
-            word = chunk.rstrip(_PUNCTUATION)
-            if not (word.isalpha() if word.isascii() else _is_letters(word)):
-                others.add(chunk)
-                continue
-            words.add(word)
-            if len(word) < len(chunk):
-                others.add(after := chunk[len(word) :])
-                ended.append((chunk, word, after))
-        known = self._known
-        self._learn(list(words.difference(known)), True)
-        self._learn(list(others.difference(known)), False)
-        known.update((chunk, known[word] + known[after]) for chunk, word, after in ended)
+        known, chunks = self._known, list(new)
+        words = [x.rstrip(_PUNCTUATION) for x in chunks]
+        plain = [x.isalpha() or (not x.isascii() and _is_plain(x)) for x in words]
+        others = {x for x, ok in zip(chunks, plain, strict=True) if not ok}
+        ended = [
+            (chunk, word, chunk[len(word) :])
+            for chunk, word, ok in zip(chunks, words, plain, strict=True)
+            if ok and len(word) < len(chunk)
+        ]
+        others.update(after for _, _, after in ended)
+        letters = {x for x, ok in zip(words, plain, strict=True) if ok}
+        self._learn_words([x for x in letters if x not in known])
+        self._learn_chunks([x for x in others if x not in known])
+        known.update([(chunk, known[word] + known[after]) for chunk, word, after in ended])
 
     def encode(self, texts: list[bytes], end: int) -> list[np.ndarray]:
         """The ids of each text with ``end`` after them."""
-        # Special tokens are in lower case; letters of a text that may hold one keep theirs.
-        chunks = [(text if b"<|" in text else text.lower()).split() for text in texts]
+        chunks = [_lowered(text).split() for text in texts]
         if len(self._known) > self._remembered // 2:
             self._known, self._older = {}, self._known
         new = set().union(*chunks).difference(self._known)
