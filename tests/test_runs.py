@@ -88,7 +88,7 @@ def test_run_leaves_its_tables_and_is_not_repeated(spark, extract, folder):
     store, out = StateStore(spark, folder("store")), folder("out")
     wh = Warehouse.read_extract(spark, extract)
     done = run_once(wh, store, SETTINGS, "run-1", out, accept_all)
-    for table in ("reconciled", "next_state", "outbox", "acks"):
+    for table in ("reconciled", "pending", "outbox", "acks"):
         assert spark.read.parquet(f"{done.folder}/{table}").count() > 0
     summary = {r["event"]: r["n"] for r in spark.read.json(f"{done.folder}/summary").collect()}
     assert summary["INSERT"] == summary["DISPATCHED"] == summary["ROUTED"]
@@ -122,7 +122,7 @@ def test_of_two_writers_from_one_snapshot_one_commits(spark, stored, folder, mon
     with pytest.raises(StaleSnapshotError):
         store.commit(base, stored((1, "T2", "FB", 3, 0, None)), "b", 1)
     # Both look before either commits: the name of the version decides.
-    monkeypatch.setattr(store, "latest", lambda: base)
+    monkeypatch.setattr(store, "_newest", lambda: None)
     with pytest.raises(StaleSnapshotError):
         store.commit(base, stored((1, "T2", "FB", 3, 0, None)), "b", 1)
     monkeypatch.undo()
@@ -134,12 +134,12 @@ def test_answers_go_on_the_snapshot_of_a_faster_writer(spark, stored, folder, mo
     first = store.commit(store.latest(), stored((1, "T1", "FB", 3, 0, None)), "a", 1)
     real, calls = store.commit, []
 
-    def beaten(based_on, state, run_id, last_id):
+    def beaten(based_on, state, run_id, last_id, *rest):
         if not calls:
             calls.append(run_id)
             rows = stored((1, "T1", "FB", 3, 0, None), (2, "T2", "HB", 3, 0, None))
             real(first, rows, "faster", 2)
-        return real(based_on, state, run_id, last_id)
+        return real(based_on, state, run_id, last_id, *rest)
 
     monkeypatch.setattr(store, "commit", beaten)
     acks = spark.createDataFrame([(1, "T1", 201)], schemas.ACKS)
@@ -223,6 +223,142 @@ def test_unanswered_routes_are_sent_again_and_expire_after_an_hour(spark, wareho
     assert state_rows(store) == {(2, "T1", "FB", 3, 0, None)}
 
 
+def one_tote(warehouse, tote="T1", location="1UA-1"):
+    return warehouse(
+        tote_detail=[(tote, "O1")],
+        trans=[(1, "pick", None, None, None)],
+        trans_detail=[(1, "O1", location)],
+    )
+
+
+def test_answers_may_have_the_id_of_their_run(spark, warehouse, folder):
+    store, out = StateStore(spark, folder("store")), folder("out")
+    done = run_once(one_tote(warehouse), store, SETTINGS, "run-17", out, no_answers)
+    acks = spark.createDataFrame([(1, "T1", 201)], schemas.ACKS)
+    assert record_answers(store, acks, SETTINGS, "run-17", done.folder) == 2
+    assert state_rows(store) == {(1, "T1", "FB", 3, 0, AS_OF)}
+    assert record_answers(store, acks, SETTINGS, "run-17", done.folder) == 2
+    again = run_once(one_tote(warehouse), store, SETTINGS, "run-17", out, no_answers)
+    assert again.skipped
+    other = spark.createDataFrame([(1, "T1", 500)], schemas.ACKS)
+    with pytest.raises(ValueError, match="other content"):
+        record_answers(store, other, SETTINGS, "run-17")
+
+
+def test_of_two_runs_at_a_time_one_sends_and_its_ids_are_committed(spark, warehouse, folder):
+    """The second starts while the first one delivers."""
+    store, out, sent = StateStore(spark, folder("store")), folder("out"), []
+    wh, other = one_tote(warehouse), one_tote(warehouse, "T2")
+
+    def second(outbox):
+        sent.append("second")
+        return accept_all(outbox)
+
+    def first(outbox):
+        with pytest.raises(StaleSnapshotError, match="reserved"):
+            run_once(other, store, SETTINGS, "b", out, second)
+        sent.append("first")
+        return accept_all(outbox)
+
+    run_once(wh, store, SETTINGS, "a", out, first)
+    assert sent == ["first"]
+    assert state_rows(store) == {(1, "T1", "FB", 3, 0, AS_OF)}
+    run_once(other, store, SETTINGS, "b", out, second)
+    assert sent == ["first", "second"]
+    assert {row[:2] for row in state_rows(store)} == {(2, "T2")}
+
+
+def test_a_faster_writer_makes_a_run_plan_anew_before_it_sends(spark, warehouse, stored, folder, monkeypatch):
+    store, out, sent = StateStore(spark, folder("store")), folder("out"), []
+    real = store.reserve
+
+    def beaten(based_on, run_id, last_id):
+        if based_on.version == 0:
+            store.commit(based_on, stored((7, "T9", "HB", 3, 0, None)), "faster", 7)
+        real(based_on, run_id, last_id)
+
+    monkeypatch.setattr(store, "reserve", beaten)
+
+    def deliver(outbox):
+        sent.extend(sorted((r["id"] or 0, r["tote_id"]) for r in outbox.collect()))
+        return accept_all(outbox)
+
+    run_once(one_tote(warehouse), store, SETTINGS, "a", out, deliver)
+    assert sent == [(0, "T9"), (8, "T1")]
+    assert state_rows(store) == {(8, "T1", "FB", 3, 0, AS_OF)}
+
+
+def test_ids_of_a_run_that_died_while_sending_are_not_given_to_others(spark, warehouse, folder):
+    store, out = StateStore(spark, folder("store")), folder("out")
+
+    def dies(outbox):
+        raise OSError("no conveyor")
+
+    with pytest.raises(OSError):
+        run_once(one_tote(warehouse), store, SETTINGS, "a", out, dies)
+    with pytest.raises(StaleSnapshotError, match="'a'"):
+        run_once(one_tote(warehouse, "T2"), store, SETTINGS, "b", out, accept_all)
+    assert not store.release("b") and store.release("a") and not store.release("a")
+    run_once(one_tote(warehouse, "T2"), store, SETTINGS, "b", out, accept_all)
+    assert {row[:2] for row in state_rows(store)} == {(2, "T2")}
+    assert store.latest().last_id == 2
+
+
+def test_only_parts_of_changed_totes_are_written(spark, warehouse, stored, folder):
+    store, out = StateStore(spark, folder("store"), parts=8), folder("out")
+    old = [(n, f"T{n}", "FB", 3, 0, AS_OF) for n in range(1, 60)]
+    import_state(store, stored(*old), SETTINGS)
+    before = store.latest()
+    assert sorted(before.folders) == list(range(8))
+    wh = warehouse(
+        tote_detail=[(f"T{n}", "O1") for n in range(1, 60) if n != 7] + [("T1", "O2")],
+        trans=[(1, "pick", None, None, None)],
+        trans_detail=[(1, "O1", "1UA-1"), (1, "O2", "1VG-1")],
+    )
+    run_once(wh, store, SETTINGS, "a", out, accept_all)
+    after = store.latest()
+    totes = spark.createDataFrame([("T1",), ("T7",)], "tote_key string")
+    touched = set(store.changed_parts(before, totes))
+    assert 0 < len(touched) < 8
+    assert {n for n in range(8) if after.folders.get(n) != before.folders[n]} == touched
+    want = {row for row in old if row[1] not in ("T1", "T7")} | {(60, "T1", "FB-HB", 3, 0, AS_OF)}
+    assert state_rows(store) == want
+    answers = spark.createDataFrame([(1000, "T1", 500)], schemas.ACKS)
+    record_answers(store, answers, SETTINGS, "none accepted")
+    assert store.latest().folders == after.folders and state_rows(store) == want
+    assert store.expire(1) == len(touched) and state_rows(store) == want
+
+
+def test_parts_of_a_writer_that_lost_are_removed(spark, stored, folder, monkeypatch):
+    store = StateStore(spark, folder("store"))
+    base = store.latest()
+    store.commit(base, stored((1, "T1", "FB", 3, 0, None)), "a", 1)
+    monkeypatch.setattr(store, "_newest", lambda: None)
+    with pytest.raises(StaleSnapshotError):
+        store.commit(base, stored((1, "T2", "FB", 3, 0, None)), "b", 1)
+    monkeypatch.undo()
+    assert store.expire(5) == 1
+    assert {row[1] for row in state_rows(store)} == {"T1"}
+
+
+def test_two_spellings_of_a_zone_do_not_change_a_route(spark, warehouse, folder):
+    """Once the pick at the location that spells it one way is done, the other way is left."""
+    store, out = StateStore(spark, folder("store")), folder("out")
+    zones = {
+        "zone": [("CC", 1), ("DD", 1)],
+        "zone_locations": [("M1", "CC"), ("M2", "cc"), ("M3", "DD")],
+        "trans": [(1, "pick", None, None, None)],
+        "tote_detail": [("T1", "O1")],
+    }
+    lines = [(1, "O1", "M1"), (1, "O1", "M2"), (1, "O1", "M3")]
+    run_once(warehouse(trans_detail=lines, **zones), store, SETTINGS, "a", out, accept_all)
+    assert state_rows(store) == {(1, "T1", "CC-DD", 3, 0, AS_OF)}
+    again = RoutingRun(warehouse(trans_detail=lines[1:], **zones), store.latest().state, SETTINGS)
+    rows = again.reconciled.collect()
+    assert [(r["action"], r["route"]) for r in rows] == [("KEEP", "cc-DD")]
+    assert again.outbox.isEmpty()
+
+
 def test_stream_equals_batch_runs(spark, extract, folder, tmp_path):
     parts = [part_of(spark, extract, folder(f"part{n}"), n) for n in range(3)]
     times = [AS_OF + timedelta(minutes=50 * n) for n in range(3)]

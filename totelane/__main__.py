@@ -1,5 +1,5 @@
 """Command line: one routing run, the conveyor's answers, the stream of run requests, the
-import of an existing state table, or the removal of old snapshots."""
+import of an existing state table, the removal of old snapshots, or of a dead run's reservation."""
 
 from __future__ import annotations
 
@@ -48,6 +48,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     expired = commands.add_parser("expire", parents=[shared], help="remove old snapshots")
     expired.add_argument("--keep", type=int, required=True, help="snapshots that stay")
 
+    released = commands.add_parser(
+        "release", parents=[shared], help="give up the reservation of a run that died"
+    )
+    released.add_argument("--run-id", required=True)
+
     stream = commands.add_parser("stream", parents=[shared], help="follow run requests")
     stream.add_argument("--requests", required=True)
     stream.add_argument("--out", required=True)
@@ -85,7 +90,9 @@ def main(argv: list[str] | None = None) -> None:
             state = canonical_state(spark.read.schema(schemas.TOTE_ROUTER).parquet(args.state))
         print(f"state version {import_state(store, state, settings)}")
     elif args.command == "expire":
-        print(f"{store.expire(args.keep)} snapshots removed")
+        print(f"{store.expire(args.keep)} parts removed")
+    elif args.command == "release":
+        print("released" if store.release(args.run_id) else "the run holds no reservation")
     else:
         start_router(
             spark,

@@ -12,13 +12,14 @@ from totelane.functions.routes import message
 from totelane.functions.text import key
 from totelane.operators.numbering import number_rows
 from totelane.operators.reconcile import COMPLETE
-from totelane.operators.state import moment, pending_routes
+from totelane.operators.state import moment
 
 
 def dispatch_outbox(
-    reconciled: DataFrame, next_state: DataFrame, path: str | None = None
+    reconciled: DataFrame, pending: DataFrame, path: str | None = None
 ) -> DataFrame:
-    """All messages of a run in sending order: finished totes, then pending routes by id.
+    """All messages of a run in sending order: finished totes, then ``pending`` routes of the
+    next state by id.
 
     A pending row without a route has nothing to say, and one without a tote nobody to say it
     to; both stay in the state.
@@ -31,17 +32,14 @@ def dispatch_outbox(
         F.col("route").alias("path"),
         "chute",
     )
-    waiting = (
-        pending_routes(next_state)
-        .filter(F.col("route").isNotNull() & F.col("tote_key").isNotNull())
-        .select(
-            F.lit("ROUTE").alias("kind"),
-            "id",
-            "tote_key",
-            "tote_id",
-            F.col("route").alias("path"),
-            F.coalesce("chute", F.lit(0)).alias("chute"),
-        )
+    named = pending.filter(F.col("route").isNotNull() & F.col("tote_key").isNotNull())
+    waiting = named.select(
+        F.lit("ROUTE").alias("kind"),
+        "id",
+        "tote_key",
+        "tote_id",
+        F.col("route").alias("path"),
+        F.coalesce("chute", F.lit(0)).alias("chute"),
     )
     outbox = finished.unionByName(waiting).withColumn(
         "payload", message(F.col("tote_id"), F.col("path"), F.col("chute"))
@@ -55,6 +53,11 @@ def accepted(acks: DataFrame) -> DataFrame:
     return acks.filter(F.col("status") == fixed.ACCEPTED).select("id", "tote_id")
 
 
+def accepted_totes(acks: DataFrame) -> DataFrame:
+    """``tote_key`` of accepted routes; last messages have no id and change no row."""
+    return accepted(acks).filter(F.col("id").isNotNull()).select(key("tote_id").alias("tote_key"))
+
+
 def answered(outbox: DataFrame, acks: DataFrame) -> DataFrame:
     """The outbox with ``accepted``: whether the conveyor accepted this id for this tote, NULL
     if it has not answered. Of several answers one acceptance is enough. Answers to last

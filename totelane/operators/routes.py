@@ -20,30 +20,30 @@ def tote_zone_sets(
     """Per open tote: ``tote_key``, ``tote_id`` as spelled, ``zones`` sorted and distinct.
 
     A tote keeps at most one entry per spelling of a zone, in the tasks that read its items
-    as well as after the shuffle, so a tote with very many items stays small. Spellings that
-    differ in case are one zone; the first of them by name stands for it.
+    as well as after the shuffle, so a tote with very many items stays small. Zones are in
+    order of their names without regard to case, in which routes are compared; spellings that
+    differ in case are one zone, for which the first of them by name stands.
     """
     items = item_zones(warehouse, settings.states, measures)
     own = F.array(spread_zone(F.col("tote_key"), settings.random_mode))
     listed = F.when(F.col("spread"), F.concat("zones", own)).otherwise(F.col("zones"))
+    spelt = F.struct(F.upper("zone").alias("key"), "zone")
     return (
         items.select("tote_key", "tote_id", F.explode(listed).alias("zone"))
         .groupBy("tote_key")
-        .agg(
-            F.min("tote_id").alias("tote_id"),
-            F.collect_set("zone").alias("zones"),
-            F.collect_set(F.upper("zone")).alias("keys"),
-        )
-        .select("tote_key", "tote_id", F.array_sort(_one_spelling()).alias("zones"))
+        .agg(F.min("tote_id").alias("tote_id"), F.array_sort(F.collect_set(spelt)).alias("spelt"))
+        .select("tote_key", "tote_id", one_spelling("spelt").alias("zones"))
     )
 
 
-def _one_spelling() -> Column:
-    """``zones`` with one entry for each of ``keys``."""
-    first = F.transform(
-        "keys", lambda own: F.array_min(F.filter("zones", lambda zone: F.upper(zone) == own))
-    )
-    return F.when(F.size("keys") == F.size("zones"), F.col("zones")).otherwise(first)
+def one_spelling(spelt: str) -> Column:
+    """The zones of a sorted array of ``key`` and ``zone``, the first one of each key."""
+    before = F.transform(spelt, lambda entry: entry["key"])
+
+    def first(entry: Column, place: Column) -> Column:
+        return (place == 0) | (F.get(before, place - 1) != entry["key"])
+
+    return F.transform(F.filter(spelt, first), lambda entry: entry["zone"])
 
 
 def tote_zones(zone_sets: DataFrame) -> DataFrame:

@@ -124,7 +124,7 @@ tote_zones AS (SELECT tote_key, min(zone) AS zone FROM zoned GROUP BY tote_key,
 _ROUTES = """
 spelled AS (SELECT tote_key, min(tote_id) AS tote_id FROM zoned GROUP BY tote_key),
 tote_routes AS (
-    SELECT tote_key, array_to_string(list_sort(list(zone)), '-') AS origroute
+    SELECT tote_key, string_agg(zone, '-' ORDER BY upper(zone)) AS origroute
     FROM tote_zones WHERE length(tote_key) > 1 GROUP BY tote_key),
 flagged AS (
     SELECT tote_key, origroute,

@@ -16,16 +16,18 @@ from totelane.operators.numbering import number_rows
 from totelane.operators.skew import together
 from totelane.session import durable
 from totelane.settings import RouterSettings
-from totelane.sources.state_store import StaleSnapshotError, StateStore
+from totelane.sources.state_store import ANSWERS, StaleSnapshotError, StateStore
 from totelane.sources.warehouse import Warehouse
 
 
 class RoutingRun:
     """The frames of one run, each built on first use.
 
-    Frames are lazy, except for four that are written once: the reconciled totes and the next
-    state, which several frames start from, and the new rows and the outbox, whose numbers
-    must not change between two uses. ``folder`` keeps them for audit; without it they go to the shared folder.
+    Frames are lazy, except for four that are written once: the reconciled totes and the
+    pending routes, which several frames start from, and the new rows and the outbox, whose
+    numbers must not change between two uses. ``folder`` keeps them for audit; without it they
+    go to the shared folder. The next state is not written here: a run writes the parts of it
+    that it changes, see ``rows_of``.
     """
 
     def __init__(
@@ -98,20 +100,44 @@ class RoutingRun:
         placed = number_rows(rows, [F.col("tote_key").asc()], "position", self._path("inserts"))
         return reconcile.state_inserts(placed, self.last_id)
 
+    @cached_property
+    def removed(self) -> DataFrame:
+        """Totes whose stored rows leave the state."""
+        return reconcile.removed_totes(self.settled, self.expired)
+
+    def _after(self, state: DataFrame, inserts: DataFrame) -> DataFrame:
+        kept = stored.without_totes(state, self.removed, self.state_measures.hot)
+        return kept.unionByName(inserts)
+
     @cached_property
     def next_state(self) -> DataFrame:
-        """Written once: the outbox, its marks and the summary start from it."""
-        removed = reconcile.removed_totes(self.settled, self.expired)
-        kept = stored.without_totes(self.state, removed, self.state_measures.hot)
-        return durable(kept.unionByName(self.inserts), self._path("next_state"))
+        return self._after(self.state, self.inserts)
+
+    @cached_property
+    def pending(self) -> DataFrame:
+        """Rows of the next state that were not sent; the outbox and the summary start from
+        them. Stored rows that were sent are filtered where they are read."""
+        waiting = self._after(stored.pending_routes(self.state), self.inserts)
+        return durable(waiting, self._path("pending"))
 
     @cached_property
     def outbox(self) -> DataFrame:
-        return dispatch.dispatch_outbox(self.settled, self.next_state, self._path("outbox"))
+        return dispatch.dispatch_outbox(self.settled, self.pending, self._path("outbox"))
 
     def marked(self, acks: DataFrame) -> DataFrame:
         return dispatch.mark_routed(self.next_state, acks, self.settings.as_of)
 
+    def changed_totes(self, acks: DataFrame) -> DataFrame:
+        """Totes with rows that the run adds, removes or marks."""
+        added = self.settled.filter(F.col("action").isin(*reconcile.NEW_ROW_ACTIONS))
+        parts = [added, self.removed, dispatch.accepted_totes(acks)]
+        return reduce(DataFrame.unionByName, [x.select("tote_key") for x in parts])
+
+    def rows_of(self, state: DataFrame, acks: DataFrame) -> DataFrame:
+        """The next state of parts that hold all totes the run changes; ``state`` is what was
+        stored in these."""
+        return dispatch.mark_routed(self._after(state, self.inserts), acks, self.settings.as_of)
+
     def summary(self, acks: DataFrame) -> DataFrame:
         """Number of rows per event of the run; events that did not occur are left out."""
 
@@ -123,7 +149,7 @@ class RoutingRun:
             events(self.settled, F.col("action")),
             dispatch.outbox_events(self.outbox, acks),
             events(
-                stored.pending_routes(self.next_state).filter(F.col("route").isNull()),
+                self.pending.filter(F.col("route").isNull()),
                 "HELD_WITHOUT_ROUTE",
             ),
             events(stored.rejected_rows(self.warehouse.tote_detail, self.state), "REJECTED"),
@@ -157,19 +183,31 @@ def run_once(
     """A whole run against the state store.
 
     ``deliver`` gets the outbox and returns the conveyor's answers (``id``, ``tote_id``,
-    ``status``); it is evaluated once. A committed run is not repeated, and each attempt
-    writes to a folder of its own, so a run that died can simply be started again.
+    ``status``); it is evaluated once. The next version and the ids in the outbox are reserved
+    before it is called, so of two runs at a time only one sends, and it can commit; the other
+    plans anew on its snapshot. A committed run is not repeated, and each attempt writes to a
+    folder of its own, so a run that died can simply be started again.
     """
-    if store.has_run(run_id):
-        return RunResult(run_id, store.latest().version, None, skipped=True)
-    before = store.latest()
-    attempt = f"{folder.rstrip('/')}/{run_id}/{uuid.uuid4().hex[:8]}"
-    run = RoutingRun(warehouse, before.state, settings, before.last_id, attempt)
-    acks = durable(deliver(run.outbox), f"{attempt}/acks")
-    run.summary(acks).coalesce(1).write.mode("error").json(f"{attempt}/summary")
-    highest = run.inserts.agg(F.max("id")).first()[0]
-    after = store.commit(before, run.marked(acks), run_id, highest or run.last_id)
-    return RunResult(run_id, after.version, attempt)
+    for attempt in range(1, _ATTEMPTS + 1):
+        if store.has_run(run_id):
+            return RunResult(run_id, store.latest().version, None, skipped=True)
+        before = store.latest()
+        folder_of = f"{folder.rstrip('/')}/{run_id}/{uuid.uuid4().hex[:8]}"
+        run = RoutingRun(warehouse, before.state, settings, before.last_id, folder_of)
+        outbox = run.outbox
+        last_id = run.inserts.agg(F.max("id")).first()[0] or run.last_id
+        try:
+            store.reserve(before, run_id, last_id)
+            break
+        except StaleSnapshotError:
+            if attempt == _ATTEMPTS:
+                raise
+    acks = durable(deliver(outbox), f"{folder_of}/acks")
+    run.summary(acks).coalesce(1).write.mode("error").json(f"{folder_of}/summary")
+    changed = store.changed_parts(before, run.changed_totes(acks))
+    rows = run.rows_of(store.state_of(before, changed), acks)
+    after = store.commit(before, rows, run_id, last_id, changed)
+    return RunResult(run_id, after.version, folder_of)
 
 
 def import_state(
@@ -200,21 +238,15 @@ def record_answers(
 ) -> int:
     """Mark the routes the conveyor accepted since the last snapshot; the new version.
 
-    ``run_folder``, the folder of the run that sent the messages, gets the answers and what
-    came of each message, last messages too, under ``answers``. Where another writer was
-    faster, the marks are made on its snapshot.
+    Ids of answers are their own: those of runs do not matter, and a repeated call changes
+    nothing, but other answers under an id that was used are an error. ``run_folder``, the
+    folder of the run that sent the messages, gets the answers and what came of each message,
+    last messages too, under ``answers``, before anything is marked. Where another writer was
+    faster, the marks are made on its snapshot. Only parts with accepted totes are written.
     """
-    for attempt in range(1, _ATTEMPTS + 1):
-        before = store.latest()
-        if store.has_run(run_id):
-            return before.version
-        marked = dispatch.mark_routed(before.state, acks, settings.as_of)
-        try:
-            version = store.commit(before, marked, run_id, before.last_id).version
-            break
-        except StaleSnapshotError:
-            if attempt == _ATTEMPTS:
-                raise
+    content = _fingerprint(acks)
+    if store.has_run(run_id, ANSWERS, content):
+        return store.latest().version
     if run_folder:
         outbox = acks.sparkSession.read.parquet(f"{run_folder}/outbox")
         folder = f"{run_folder}/answers/{uuid.uuid4().hex[:8]}"
@@ -223,4 +255,28 @@ def record_answers(
             F.count(F.lit(1)).alias("n")
         )
         counts.coalesce(1).write.mode("error").json(f"{folder}/summary")
-    return version
+    for attempt in range(1, _ATTEMPTS + 1):
+        before = store.latest()
+        if store.has_run(run_id, ANSWERS, content):
+            return before.version
+        changed = store.changed_parts(before, dispatch.accepted_totes(acks))
+        state = store.state_of(before, changed)
+        marked = dispatch.mark_routed(state, acks, settings.as_of)
+        try:
+            return store.commit(
+                before, marked, run_id, before.last_id, changed, ANSWERS, content
+            ).version
+        except StaleSnapshotError:
+            if attempt == _ATTEMPTS:
+                raise
+    raise AssertionError("unreachable")
+
+
+def _fingerprint(acks: DataFrame) -> str:
+    """Rows of the answers and a sum over them, whatever their order."""
+    found = acks.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("id", "tote_id", "status")).alias("bits"),
+        F.sum(F.shiftright(F.xxhash64("id", "tote_id", "status"), 20)).alias("total"),
+    ).first()
+    return f"{found['n']}-{found['bits']}-{found['total']}"
