@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from totelane.functions import fixed
@@ -85,13 +85,17 @@ def outbox_events(outbox: DataFrame, acks: DataFrame) -> DataFrame:
 
 def answer_events(outbox: DataFrame, acks: DataFrame) -> DataFrame:
     """What came of each message; an accepted last message is no event."""
-    done = F.col("accepted")
-    of_last = F.when(done.isNull(), "COMPLETION_UNANSWERED").when(~done, "COMPLETION_FAILED")
-    of_route = F.when(done.isNull(), "UNANSWERED").when(done, "ROUTED").otherwise("FAILED")
-    event = F.when(F.col("id").isNull(), of_last).otherwise(of_route)
+    event = answer_event(F.col("id"), F.col("accepted"))
     return answered(outbox, acks).select(event.alias("event")).filter("event IS NOT NULL")
 
 
+def answer_event(id: Column, accepted: Column) -> Column:
+    """What came of a message, by whether it was accepted; null where it was not answered."""
+    of_last = F.when(accepted.isNull(), "COMPLETION_UNANSWERED").when(~accepted, "COMPLETION_FAILED")
+    of_route = F.when(accepted.isNull(), "UNANSWERED").when(accepted, "ROUTED").otherwise("FAILED")
+    return F.when(id.isNull(), of_last).otherwise(of_route)
+
+
 def mark_routed(state: DataFrame, acks: DataFrame, as_of: datetime) -> DataFrame:
     """``state`` with the time of sending on accepted pending rows, matched by id and tote. A
     repeated answer does not renew a route."""

@@ -13,6 +13,7 @@ from totelane.functions.locations import order_destination, zone_by_rule
 from totelane.functions.routes import rewrite_route, route_chute
 from totelane.operators import destinations, dispatch, measures, picks, routes, state, zones
 from totelane.operators.skew import together
+from totelane.plans import streams
 from totelane.plans.run import RoutingRun, import_state
 from totelane.session import shared_folder
 from totelane.settings import PUTAWAY, SINGLE, RouterSettings, SkewSettings
@@ -301,4 +302,5 @@ QUERIES: dict[str, Query] = {
     "mark_routed": mark_routed,
     "run_summary": run_summary,
     "streamed_run": streamed_run,
+    **streams.QUERIES,
 }

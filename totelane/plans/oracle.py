@@ -207,6 +207,47 @@ marked AS (
     "AS_OF", _AS_OF
 )
 
+_EVENTS = """WITH arrived AS (
+    SELECT *, time_bucket(INTERVAL 6 HOUR, ts) AS start,
+        (date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) + CASE WHEN event_id % 31 = 0 THEN 12
+            WHEN event_id % 7 = 0 THEN 1 ELSE 0 END) // 7 AS week
+    FROM events),
+marks AS (
+    SELECT week, date_trunc('millisecond', max(max(ts)) OVER (
+        ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) - INTERVAL 2 DAY AS mark
+    FROM arrived GROUP BY week)
+SELECT start, start + INTERVAL 6 HOUR AS "end", event_type, count(*) AS events,
+    CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM arrived JOIN marks USING (week)
+WHERE mark IS NULL OR start + INTERVAL 6 HOUR > mark
+GROUP BY start, event_type"""
+
+_SIGHTINGS = f"""
+sightings AS (
+    SELECT tote_key, zone, {_AS_OF} + INTERVAL 1 MINUTE * CAST(
+        ('0x' || substr(md5(tote_key || '/' || zone), 1, 6))::BIGINT % 240 AS INT) AS seen
+    FROM tote_zones),
+sessions AS (
+    SELECT tote_key, min(seen) AS opened FROM sightings GROUP BY tote_key
+    UNION ALL
+    SELECT s.tote_key, min(t.seen) FROM sessions s JOIN sightings t
+        ON t.tote_key = s.tote_key AND t.seen > s.opened + INTERVAL 1 HOUR
+    GROUP BY s.tote_key, s.opened)"""
+
+_TOLD = """
+told AS (
+    SELECT seq, CASE WHEN seq % 7 = 0 THEN 500 ELSE 201 END AS status, seq % 40 AS minutes
+    FROM outbox WHERE seq % 11 <> 0
+    UNION ALL
+    SELECT seq, 201, seq % 40 + 5 FROM outbox WHERE seq % 11 <> 0 AND seq % 13 = 0),
+heard AS (SELECT seq, bool_or(status = 201) AS accepted FROM told WHERE minutes <= 30 GROUP BY seq),
+outcomes AS (SELECT o.*, h.accepted FROM outbox o LEFT JOIN heard h USING (seq))"""
+
+
+def _part(tote: str) -> str:
+    return f"CAST(('0x' || substr(md5(coalesce({tote}, '')), 1, 6))::BIGINT % 256 AS INT)"
+
+
 _SINGLE, _PUTAWAY, _BOTH = "'SINGLE'", "'PUTAWAY'", "'SINGLE', 'PUTAWAY'"
 _OPEN = [_TABLES, _PICKS, _DESTINATIONS, _ZONE_MAP]
 _PLAN = [*_OPEN, _zones(_SINGLE), _ROUTES]
@@ -347,6 +388,43 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+ORACLE |= {
+    "event_counts": _EVENTS,
+    "stateful_routes": _sql(
+        [*_OPEN, _zones(_SINGLE), _SIGHTINGS],
+        "SELECT s.tote_key, string_agg(t.zone, '-' ORDER BY upper(t.zone)) AS origroute, s.opened, "
+        "s.opened + INTERVAL 1 HOUR AS expires FROM sessions s JOIN sightings t "
+        "ON t.tote_key = s.tote_key AND t.seen BETWEEN s.opened AND s.opened + INTERVAL 1 HOUR "
+        "GROUP BY s.tote_key, s.opened",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+    "incremental_routes": _sql(_PLAN, _REPORT),
+    "streamed_answers": _sql(
+        [*_EFFECTS, _TOLD],
+        """SELECT seq, kind, id, tote_id,
+            CASE WHEN id IS NULL AND accepted IS NULL THEN 'COMPLETION_UNANSWERED'
+                WHEN id IS NULL AND NOT accepted THEN 'COMPLETION_FAILED'
+                WHEN id IS NULL THEN NULL
+                WHEN accepted IS NULL THEN 'UNANSWERED' WHEN accepted THEN 'ROUTED' ELSE 'FAILED'
+                END AS event
+        FROM outcomes""",
+    ),
+    "answered_state": _sql(
+        [*_EFFECTS, _TOLD],
+        f"""SELECT n.id, n.tote_id, n.route, n.chute, n.noncon,
+            CASE WHEN o.accepted THEN {_AS_OF} ELSE n.routed_date END AS routed_date
+        FROM next_state n LEFT JOIN outcomes o ON o.id = n.id""",
+    ),
+    "answered_parts": _sql(
+        [_TABLES],
+        f"""SELECT part, count(*) AS n,
+            count(CASE WHEN answered THEN {_AS_OF} ELSE routed_date END) AS routed,
+            bool_or(answered) AS written
+        FROM (SELECT *, {_part('tote_key')} AS part,
+            routed_date IS NULL AND tote_key IS NOT NULL AND id % 101 = 0 AS answered FROM tote_router)
+        GROUP BY part""",
+    ),
+}
+
 # The same results by plans that split keys and shuffle lookup tables.
 for _name in ("route_reconcile", "next_state", "preroute_report_all_states"):
     ORACLE[f"{_name}_split"] = ORACLE[_name]
