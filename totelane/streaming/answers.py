@@ -52,7 +52,7 @@ def heard(messages: DataFrame, answers: DataFrame, limit: str, delay: str) -> Da
 def outcomes(found: DataFrame) -> DataFrame:
     """One row per message of what ``heard`` wrote, with its ``event``: one acceptance among
     several answers is enough. An accepted last message is no event and has null."""
-    messages = [name for name in found.columns if name not in ("status", "answered_at")]
+    messages = [column.split()[0] for column in MESSAGES.split(", ")]
     accepted = F.max(F.col("status") == fixed.ACCEPTED).alias("accepted")
     return (
         found.groupBy(*messages)
