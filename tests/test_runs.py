@@ -21,7 +21,9 @@ from totelane.plans.run import (
     record_answers,
     run_once,
 )
-from totelane.settings import RouterSettings
+from totelane.operators import measures, skew
+from totelane.operators.measures import take_in, taken_in
+from totelane.settings import RouterSettings, SkewSettings
 from totelane.sources import testdata
 from totelane.sources.state_store import StaleSnapshotError, StateStore
 from totelane.sources.warehouse import Warehouse
@@ -441,3 +443,46 @@ def test_properties_of_a_whole_run(spark):
     assert [r["id"] for r in new] == list(range(run.last_id + 1, run.last_id + 1 + len(new)))
     assert [r["tote_key"] for r in new] == sorted(r["tote_key"] for r in new)
     assert run.tote_zones.filter("zone is null").isEmpty()
+
+
+def test_a_taken_in_extract_is_measured_once(spark, extract, folder, monkeypatch):
+    """Its sketches are combined per run; planning reads the large tables for routing only."""
+    path = folder("taken")
+    wh = Warehouse.read_extract(spark, extract)
+    stored = testdata.state(spark, SF)
+    settings = RouterSettings(AS_OF, ("SINGLE", "PUTAWAY"), skew=SkewSettings(min_rows=0, fair_shares=1e-9))
+    plain = RoutingRun(wh, stored, settings)
+    want, hot = as_set(plain.reconciled), plain.measures
+    taken = take_in(wh, path)
+
+    def again(*_):
+        raise AssertionError("a large table is measured again")
+
+    monkeypatch.setattr(skew, "sketches", again)
+    run = RoutingRun(taken_in(spark, path), stored, settings)
+    assert sorted(run.measures.lines) == sorted(hot.lines)
+    assert {k: sorted(v) for k, v in run.measures.items.items()} == {
+        k: sorted(v) for k, v in hot.items.items()
+    }
+    monkeypatch.undo()
+    assert as_set(RoutingRun(taken, stored, settings).reconciled) == want
+    with pytest.raises(FileExistsError):
+        take_in(wh, path)
+
+
+def test_a_piece_counts_when_it_is_whole(spark, lines_of, folder, monkeypatch):
+    path = folder("taken")
+    take_in(lines_of("1UA-1"), path)
+    monkeypatch.setattr(measures, "together", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        take_in(lines_of("1VG-1"), path, append=True)
+    monkeypatch.undo()
+    assert taken_in(spark, path).trans_detail.count() == 1
+    grown = take_in(lines_of("1VG-1"), path, append=True)
+    assert as_set(grown.trans_detail.select("location_key")) == {("1UA-1",), ("1VG-1",)}
+    assert grown.kept["lines"].agg(F.sum("_rows")).first()[0] == 2
+
+
+@pytest.fixture
+def lines_of(warehouse):
+    return lambda location: warehouse(trans_detail=[(1, "O1", location)])

@@ -1,5 +1,6 @@
-"""Command line: one routing run, the conveyor's answers, the stream of run requests, the
-import of an existing state table, the removal of old snapshots, or of a dead run's reservation."""
+"""Command line: the taking in of an extract, one routing run, the conveyor's answers, the
+stream of run requests, the import of an existing state table, the removal of old snapshots, or
+of a dead run's reservation."""
 
 from __future__ import annotations
 
@@ -7,6 +8,7 @@ import argparse
 from datetime import datetime
 
 from totelane import schemas
+from totelane.operators.measures import take_in, taken_in
 from totelane.plans.run import import_state, no_answers, record_answers, run_once
 from totelane.session import build_session
 from totelane.settings import PUTAWAY, SINGLE, RouterSettings
@@ -29,9 +31,16 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     source = run.add_mutually_exclusive_group(required=True)
     source.add_argument("--extract", help="folder with one table per subfolder")
     source.add_argument("--database", help="JSON file with the tables of a database")
-    run.add_argument("--canonical", action="store_true", help="the extract is in canonical form")
+    run.add_argument("--canonical", action="store_true", help="the extract was taken in")
     run.add_argument("--out", required=True, help="folder for the tables of the run")
 
+    ingest = commands.add_parser("ingest", help="take in an extract, with what is measured of it")
+    source = ingest.add_mutually_exclusive_group(required=True)
+    source.add_argument("--extract", help="folder with one table per subfolder")
+    source.add_argument("--database", help="JSON file with the tables of a database")
+    ingest.add_argument("--out", required=True, help="folder of the canonical extract")
+    ingest.add_argument("--append", action="store_true", help="add to what is there")
+
     answers = commands.add_parser("answers", parents=[shared], help="mark accepted routes")
     answers.add_argument("--acks", required=True, help="Parquet table id, tote_id, status")
     answers.add_argument("--run-folder", help="folder of the run that sent the messages")
@@ -64,6 +73,12 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = build_session()
+    if args.command == "ingest":
+        read = Database.from_file(args.database).warehouse if args.database else None
+        extract = read(spark) if read else Warehouse.read_extract(spark, args.extract)
+        take_in(extract, args.out, args.append)
+        print(f"taken in at {args.out}")
+        return
     settings = RouterSettings(
         as_of=getattr(args, "as_of", datetime.min),
         states=tuple(args.states),
@@ -74,7 +89,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.database:
             warehouse = Database.from_file(args.database).warehouse(spark)
         elif args.canonical:
-            warehouse = Warehouse.read_canonical(spark, args.extract)
+            warehouse = taken_in(spark, args.extract)
         else:
             warehouse = Warehouse.read_extract(spark, args.extract)
         result = run_once(warehouse, store, settings, args.run_id, args.out, no_answers)

@@ -1,15 +1,21 @@
-"""What is measured before a plan is laid out: hot keys, and the size of the zone map."""
+"""What is measured before a plan is laid out: hot keys, and the size of the zone map.
+
+An extract that is taken in keeps the sketches of its keys beside its tables, a few rows per
+part that was added. A run combines these and reads the large tables for routing only.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+
+from pyspark.sql import SparkSession
 
-from totelane.operators.picks import hot_transactions
-from totelane.operators.skew import HotKeys, hot_keys, together
+from totelane.operators.picks import hot_transactions, order_lines
+from totelane.operators.skew import HotKeys, hot_keys, sketches, together
 from totelane.operators.zones import ZoneLookup
 from totelane.settings import PUTAWAY, RouterSettings
-from totelane.sources.warehouse import Warehouse, open_items
+from totelane.sources.warehouse import PIECE, Warehouse, counted_pieces, open_items
 
 
 @dataclass(frozen=True)
@@ -22,7 +28,7 @@ class Measures:
 def hot_items(warehouse: Warehouse, states: Sequence[str], skew) -> dict[str, HotKeys]:
     """Hot orders and products, and hot totes where totes are joined on too."""
     columns = ["inventory_key"] + (["tote_key"] if PUTAWAY in states else [])
-    return hot_keys(open_items(warehouse), columns, skew)[0]
+    return hot_keys(open_items(warehouse), columns, skew, kept=warehouse.kept.get("items"))[0]
 
 
 def measure(warehouse: Warehouse, settings: RouterSettings) -> Measures:
@@ -33,3 +39,39 @@ def measure(warehouse: Warehouse, settings: RouterSettings) -> Measures:
         lambda: hot_items(warehouse, settings.states, settings.skew),
     )
     return Measures(zones, lines, items)
+
+
+#: Keys that a sketch of an extract tracks.
+TRACKED = 10_000
+
+
+def take_in(warehouse: Warehouse, path: str, append: bool = False) -> Warehouse:
+    """Store the tables in canonical form at ``path``, or add to those that are there, with
+    the sketches of what was added; the whole extract. A call that dies adds nothing."""
+    spark = warehouse.tote_detail.sparkSession
+    piece, written, finish = warehouse.write_piece(path, append)
+    added = Warehouse(**written)
+    measured = {
+        "lines": sketches(order_lines(added).select("tran_id"), ["tran_id"], TRACKED),
+        "items": sketches(
+            open_items(added).select("inventory_key", "tote_key"), ["inventory_key", "tote_key"], TRACKED
+        ),
+    }
+    together(
+        spark,
+        *(
+            lambda name=name, rows=rows: rows.write.parquet(f"{path}/measures/{name}/{PIECE}={piece}")
+            for name, rows in measured.items()
+        ),
+    )
+    finish()
+    return taken_in(spark, path)
+
+
+def taken_in(spark: SparkSession, path: str) -> Warehouse:
+    """The extract at ``path`` with its sketches."""
+    stored = Warehouse.read_canonical(spark, path)
+    kept = {
+        name: counted_pieces(spark.read, path, f"measures/{name}") for name in ("lines", "items")
+    }
+    return replace(stored, kept=kept)

@@ -17,7 +17,8 @@ def order_lines(warehouse: Warehouse) -> DataFrame:
 
 
 def hot_transactions(warehouse: Warehouse, skew: SkewSettings) -> HotKeys:
-    return hot_keys(order_lines(warehouse), ["tran_id"], skew)[0]["tran_id"]
+    kept = warehouse.kept.get("lines")
+    return hot_keys(order_lines(warehouse), ["tran_id"], skew, kept=kept)[0]["tran_id"]
 
 
 def pick_lines(warehouse: Warehouse, hot: HotKeys) -> DataFrame:

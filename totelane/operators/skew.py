@@ -58,10 +58,15 @@ def sketches(df: DataFrame, columns: Sequence[str], tracked: int, greatest: str
 
 
 def hot_keys(
-    df: DataFrame, columns: Sequence[str], skew: SkewSettings, greatest: str | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    skew: SkewSettings,
+    greatest: str | None = None,
+    kept: DataFrame | None = None,
 ) -> tuple[dict[str, HotKeys], Row]:
     """Per column, its hot keys and the number of splits each should get; beside it a row
     with ``_rows`` and the ``_greatest`` value of a column, which come from the same pass.
+    ``kept``, the ``sketches`` of ``df`` from earlier passes, saves the pass.
 
     With P shuffle partitions at most P keys can hold more than 1/P of the rows each, so
     the lists are short whatever the size of ``df``.
@@ -75,10 +80,15 @@ def hot_keys(
         for c in columns
     ]
     most = [F.max("_greatest").alias("_greatest")] if greatest else []
-    parts = sketches(df.select(*{*columns, *([greatest] if greatest else [])}), columns, tracked, greatest)
+    parts = kept
+    if parts is None:
+        parts = sketches(
+            df.select(*{*columns, *([greatest] if greatest else [])}), columns, tracked, greatest
+        )
     if parts.isEmpty():
         return {name: [] for name in columns}, Row(_rows=0, _greatest=None)
-    found = parts.agg(F.sum("_rows").alias("_rows"), *whole, *most).first()
+    # Grouped, if only by a constant: sketches cannot be merged in a partition without any.
+    found = parts.groupBy(F.lit(0).alias("_all")).agg(F.sum("_rows").alias("_rows"), *whole, *most).first()
     share = max(1, skew.min_rows, int(skew.fair_shares * found["_rows"] / partitions))
     hot = {
         name: [

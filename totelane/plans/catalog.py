@@ -19,6 +19,7 @@ from totelane.session import shared_folder
 from totelane.settings import PUTAWAY, SINGLE, RouterSettings, SkewSettings
 from totelane.sources import testdata
 from totelane.sources.state_store import StateStore
+from totelane.sources.warehouse import Warehouse
 from totelane.streaming.router import REQUESTS, start_router
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -236,8 +237,22 @@ def mark_routed(spark, sf_dir):
     return run.marked(testdata.acknowledge(run.outbox)).select(*STATE_COLUMNS)
 
 
+def taken_in_report(spark, sf_dir):
+    """The planned routes from an extract that was taken in by two pieces, with its sketches."""
+    path = f"{shared_folder(spark)}/totelane/{uuid.uuid4().hex}"
+    tables = testdata.tables(spark, sf_dir)
+    half = F.pmod(F.xxhash64("tran_id", "location_id"), F.lit(2)) == 0
+    for n, kept in enumerate((half, ~half)):
+        rows = tables["trans_detail"].filter(kept)
+        rest = tables if n == 0 else {k: v.filter(F.lit(False)) for k, v in tables.items()}
+        wh = measures.take_in(Warehouse.from_tables({**rest, "trans_detail": rows}), path, bool(n))
+    return RoutingRun(wh, testdata.state(spark, sf_dir), SETTINGS).preroutes.select(*REPORT_COLUMNS)
+
+
 def run_summary(spark, sf_dir):
-    run = _run(spark, sf_dir)
+    path = f"{shared_folder(spark)}/totelane/{uuid.uuid4().hex}"
+    wh = measures.take_in(testdata.warehouse(spark, sf_dir), path)
+    run = RoutingRun(wh, testdata.state(spark, sf_dir), SETTINGS)
     return run.summary(testdata.acknowledge(run.outbox))
 
 
@@ -282,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "preroute_report_all_states": preroute_report_all_states,
     "preroute_report_putaway": preroute_report_putaway,
     "preroute_report_legacy": preroute_report_legacy,
+    "taken_in_report": taken_in_report,
     "expired_routes": expired_routes,
     "pending_routes": pending_routes,
     "state_after_purge": state_after_purge,

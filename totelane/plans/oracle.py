@@ -320,6 +320,7 @@ ORACLE: dict[str, str] = {
     "preroute_report_legacy": _sql(
         [*_OPEN, _zones(_SINGLE, _LEGACY), _ROUTES], _REPORT
     ),
+    "taken_in_report": _sql(_PLAN, _REPORT),
     "expired_routes": _sql([_TABLES, _STATE], "SELECT id, tote_key, routed_date FROM expired"),
     "pending_routes": _sql(
         [_TABLES],
