@@ -112,7 +112,7 @@ def random_rows(seed):
 
 def destinations(wh, states, skew):
     return tote_destinations(
-        wh, states, hot_transactions(wh, skew), hot_items(wh, states, skew)
+        wh, states, hot_transactions(wh, skew), hot_items(wh, states, skew), skew
     )
 
 

@@ -25,8 +25,9 @@ from totelane.functions import fixed
 from totelane.functions.locations import order_destination
 from totelane.operators.measures import Measures
 from totelane.operators.picks import pick_lines
-from totelane.operators.skew import HotKeys, spread_join
-from totelane.settings import PUTAWAY, SINGLE
+from totelane.operators.skew import HotKeys, hot_keys, spread_join
+from totelane.session import durable
+from totelane.settings import PUTAWAY, SINGLE, SkewSettings
 from totelane.sources.warehouse import Warehouse, open_items
 
 ITEM_LEVELS = (1, 4, 5, 6)
@@ -177,6 +178,7 @@ def tote_destinations(
     states: Sequence[str],
     hot_lines: HotKeys,
     hot: dict[str, HotKeys],
+    skew: SkewSettings,
 ) -> DataFrame:
     """Distinct ``tote_key``, ``inventory_key``, ``tote_state``, ``dest_level`` and
     ``location_key``: the destinations themselves, for inspection.
@@ -185,8 +187,9 @@ def tote_destinations(
     as many rows here for each of its totes.
     """
     items = open_items(warehouse).select("tote_key", "inventory_key").distinct()
-    by_item_rows = level_rows(warehouse, ITEM_LEVELS, hot_lines)
-    by_tote_rows = level_rows(warehouse, TOTE_LEVELS, hot_lines)
+    # Written once: the flags and the locations themselves both start from them.
+    by_item_rows = durable(level_rows(warehouse, ITEM_LEVELS, hot_lines).distinct())
+    by_tote_rows = durable(level_rows(warehouse, TOTE_LEVELS, hot_lines).distinct())
     everything = _fallback(
         items,
         _flags_by_key(by_item_rows, ITEM_LEVELS, "inventory_key"),
@@ -207,19 +210,36 @@ def tote_destinations(
         by_item_rows.unionByName(by_tote_rows)
         .filter(F.col("location_key").isNotNull())
         .select(F.col("level").alias("dest_level"), "key", "location_key")
-        .distinct()
     )
-    # A wish for a lower level has a location for certain, so only the last one is left over.
+    # A wish for a level but the last has a location for certain.
+    last = F.col("dest_level") == LAST_LEVEL
     both = _largest(hot["inventory_key"] + hot["tote_key"])
-    return spread_join(wishes, located, ["key", "dest_level"], "left", both).select(
+    found = _located(wishes.filter(~last), located, both, skew).unionByName(
+        wishes.filter(last).withColumn("location_key", F.lit(fixed.HOSPITAL_LOCATION))
+    )
+    return found.select(
         "tote_key",
         "inventory_key",
         F.when(F.col("dest_level") == 1, SINGLE).otherwise(PUTAWAY).alias("tote_state"),
         "dest_level",
-        F.coalesce("location_key", F.lit(fixed.HOSPITAL_LOCATION)).alias("location_key"),
+        "location_key",
     )
 
 
+def _located(wishes: DataFrame, located: DataFrame, hot: HotKeys, skew: SkewSettings) -> DataFrame:
+    """The wishes with their locations. Keys with very many locations are split on that side,
+    all others on the side of the wishes."""
+    on = ["key", "dest_level"]
+    many = [(key, splits) for key, splits in hot_keys(located, ["key"], skew)[0]["key"] if key is not None]
+    if not many:
+        return spread_join(wishes, located, on, "inner", hot)
+    # As many keys as there are shuffle partitions, see hot_keys.
+    there = F.col("key").isin(*(key for key, _ in many))
+    few = spread_join(wishes.filter(~there), located.filter(~there), on, "inner", hot)
+    wide = spread_join(located.filter(there), wishes.filter(there), on, "inner", many)
+    return few.unionByName(wide)
+
+
 def _largest(hot: HotKeys) -> HotKeys:
     """One entry per key, with the larger number of splits."""
     merged: dict = {}

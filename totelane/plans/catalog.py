@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 from totelane.functions import fixed
 from totelane.functions.locations import order_destination, zone_by_rule
 from totelane.functions.routes import rewrite_route, route_chute
-from totelane.operators import destinations, dispatch, measures, picks, routes, state, zones
+from totelane.operators import (
+    destinations,
+    dispatch,
+    measures,
+    picks,
+    routes,
+    rules,
+    state,
+    zones,
+)
 from totelane.operators.skew import together
 from totelane.plans import streams
 from totelane.plans.run import RoutingRun, import_state
@@ -74,14 +83,18 @@ def order_destinations(spark, sf_dir):
     ).distinct()
 
 
-def tote_destinations(spark, sf_dir):
-    wh, states, skew = testdata.warehouse(spark, sf_dir), ALL_STATES.states, ALL_STATES.skew
+def tote_destinations(spark, sf_dir, settings=ALL_STATES):
+    wh, states, skew = testdata.warehouse(spark, sf_dir), settings.states, settings.skew
     lines, items = together(
         spark,
         lambda: picks.hot_transactions(wh, skew),
         lambda: measures.hot_items(wh, states, skew),
     )
-    return destinations.tote_destinations(wh, states, lines, items)
+    return destinations.tote_destinations(wh, states, lines, items, skew)
+
+
+def tote_destinations_split(spark, sf_dir):
+    return tote_destinations(spark, sf_dir, ALL_SPLIT)
 
 
 def destination_levels(spark, sf_dir):
@@ -101,6 +114,26 @@ def zone_rules(spark, sf_dir):
     return locations.select("location_key", zone_by_rule(F.col("location_key")).alias("zone"))
 
 
+def zone_by_rule_table(spark, sf_dir):
+    """Locations of open picks by the fixed rules as a table and, after these, by a range for
+    every part; many of the ranges overlap."""
+    locations = pick_locations(spark, sf_dir).select("location_key").distinct()
+    listed = testdata.warehouse(spark, sf_dir).zone_locations.filter(F.col("location_key").isNotNull())
+    other = F.reverse(F.col("location_key"))
+    ranges = listed.groupBy("location_key").agg(F.min("zone").alias("zone"), F.count("*").alias("n"))
+    ranges = ranges.select(
+        F.least("location_key", other).alias("low"),
+        F.greatest("location_key", other).alias("high"),
+        "zone",
+        (F.col("n") + 100).alias("rank"),
+    )
+    fixed_rules = rules.floor_rules(spark).withColumn("high", F.concat("high", F.lit("~")))
+    found = rules.first_rules(
+        locations.withColumnRenamed("location_key", "code"), fixed_rules.unionByName(ranges)
+    )
+    return found.withColumnRenamed("code", "location_key")
+
+
 def random_zone_spread(spark, sf_dir):
     run = _run(spark, sf_dir, ALL_STATES)
     return routes.spread_totes(run.warehouse, run.settings, run.measures)
@@ -287,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "destination_levels": destination_levels,
     "location_zone_map": location_zone_map,
     "zone_by_rule": zone_rules,
+    "zone_by_rule_table": zone_by_rule_table,
     "random_zone_spread": random_zone_spread,
     "tote_zones": tote_zones,
     "tote_zones_all_states": tote_zones_all_states,
@@ -309,6 +343,7 @@ QUERIES: dict[str, Query] = {
     "route_reconcile": route_reconcile,
     "route_reconcile_split": route_reconcile_split,
     "next_state_split": next_state_split,
+    "tote_destinations_split": tote_destinations_split,
     "preroute_report_all_states_split": preroute_report_all_states_split,
     "state_inserts": state_inserts,
     "next_state": next_state,

@@ -297,6 +297,20 @@ ORACLE: dict[str, str] = {
         [_TABLES, _PICKS],
         f"SELECT DISTINCT location_key, {_rule('location_key')} AS zone FROM open_picks",
     ),
+    "zone_by_rule_table": _sql(
+        [_TABLES, _PICKS],
+        """SELECT location_key, arg_min(zone, {'r': rank, 'z': zone}) AS zone
+        FROM (SELECT DISTINCT location_key FROM open_picks WHERE location_key IS NOT NULL)
+        LEFT JOIN (
+            SELECT * FROM (VALUES ('1UA', '1VA~', 'FB', 0), ('1VB', '1VF~', 'FD', 1),
+                ('1VG', '1WB~', 'HB', 2), ('1WC', '1WG~', 'HD', 3), ('1WH', '1XB~', 'JB', 4),
+                ('1XC', '1XG~', 'JD', 5)) t(low, high, zone, rank)
+            UNION ALL
+            SELECT least(location_key, reverse(location_key)),
+                greatest(location_key, reverse(location_key)), min(zone_id), count(*) + 100
+            FROM zone_locations WHERE location_key IS NOT NULL GROUP BY location_key)
+        ON location_key BETWEEN low AND high GROUP BY location_key""",
+    ),
     "random_zone_spread": _sql(
         _OPEN[:3],
         f"SELECT DISTINCT tote_key, {_spread('tote_key', _SPREAD)} AS zone, "
@@ -427,5 +441,5 @@ ORACLE |= {
 }
 
 # The same results by plans that split keys and shuffle lookup tables.
-for _name in ("route_reconcile", "next_state", "preroute_report_all_states"):
+for _name in ("route_reconcile", "next_state", "preroute_report_all_states", "tote_destinations"):
     ORACLE[f"{_name}_split"] = ORACLE[_name]
