@@ -1,20 +1,23 @@
 """Operator 10: license notices and texts by an exact set-similarity join.
 
-Templates and blocks of text are sets of words. A block matches a template if it holds at
-least ``THRESHOLD`` of the template's words. Words are in one order, rare ones in the whole
-corpus first. A block that matches must have a word of the template's prefix, its rarest
-words up to one more than may be missing; it must have enough words; and at the first common
-word, enough must be left on both sides. What passes is counted exactly, so every match is
-found. Notices are compared with sentences, cut at line breaks as well as across them, and
-license texts with paragraphs. Both are compared with word windows over the whole text too,
-as much longer than the template as words may be missing, so breaks inside a notice or text
-hide nothing. Every match names its label, but for one whose words are only part of the words
-of another match of the same block or window, as those of GPL are in LGPL.
+Templates, a table of labels and wordings, are sets of words, and so are blocks: the sentences
+of a text, cut at line breaks as well as across them, its paragraphs for templates of whole
+texts, and all runs of words that are as much longer than the template as words of it may be
+missing, whatever breaks stand in them. A block matches a template if it holds at least ``THRESHOLD`` of its words, each counted once.
+Words are in one order, rare ones in the whole corpus first. A text can only hold a match if it
+has a word of the template's prefix, its rarest words up to one more than may be missing; if it
+has enough words of the template's kind; and if, at the first common word, enough are left on
+both sides. Runs are looked at around words of the prefix only, and what a block has in common
+with the template is counted exactly, so every match is found. A match names its label, but
+where the block, or a run that holds all of it, has more words in common with another template
+of the kind, as those of GPL are in LGPL.
 
 Beside this, fixed phrases are found wherever their words stand consecutively.
 
-A null text counts as empty, without words and labels. Only counts of template words come
-to the driver. Empty tables give empty results.
+A null text counts as empty, without words and labels. Templates without words or label match
+nothing; of equal ones each matches. Templates are sent to all tasks, so they are bounded by
+``MOST_TEMPLATE_BYTES``; more are an error. Only they and counts of their words come to the
+driver. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -90,11 +93,19 @@ TEXTS = (
 )
 _BLANKED = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256)).lower()
 _SENTENCE = re.compile(rb"[\n\r\x0b\x0c]+|(?<=[.!?])[ \t]+")
-#: Sentences over several lines. "v. 2.0" goes on; signs between stop and line end do not matter.
-_JOINED = re.compile(
-    rb"\n[ \t\r]*\n|(?<=[.!?])(?<!\b[vV]\.)(?:[\x00-\x09\x0b-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]*\n|\s+)"
+#: Sentences over several lines: "v. 2.0" goes on, signs between stop and line end do not matter.
+_VERSION = re.compile(rb"\b([vV])\.")
+_STOP = re.compile(
+    rb"([.!?])(?:[\x00-\x09\x0b-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]*\n|[ \t\n\r\x0b\x0c]+)"
 )
+_JOINED = re.compile(rb"\x1e|\n[ \t\r]*\n")
 _PARAGRAPH = re.compile(rb"\n[ \t\r]*\n")
+#: Kind of templates that are compared with paragraphs, all others with sentences.
+WHOLE = "text"
+#: Bytes of all templates together.
+MOST_TEMPLATE_BYTES = 32 << 20
+#: ``kind`` parts templates that are compared with each other, such as notices and whole texts.
+TEMPLATES = "kind string, label string, text string"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -102,6 +113,13 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_BLANKED).split()
 
 
+def blocks_of(text: bytes, kind: str) -> list[bytes]:
+    if kind == WHOLE:
+        return _PARAGRAPH.split(text)
+    over_lines = _JOINED.split(_STOP.sub(rb"\1" + b"\x1e", _VERSION.sub(rb"\1", text)))
+    return [*_SENTENCE.split(text), *over_lines]
+
+
 class Templates:
     """Templates of one kind in the order of ``frequency``, with an index of their prefixes."""
 
@@ -124,12 +142,11 @@ class Templates:
                 self.index[word].append((i, place))
         self.prefix = {order[word] for word in self.index}
 
-    def matches(self, words: list[bytes]) -> list[tuple[float, frozenset[int], str]]:
-        """Containment, common words and label of the templates that a block matches. Words
-        that no template has are left out first; they can only be surplus."""
-        known = sorted({self.rank[w] for w in words if w in self.rank})
-        seen: set[int] = set()
-        found = []
+    def candidates(self, words: set[bytes]) -> list[int]:
+        """Templates that a text with these words may hold: all that it holds, as the words of
+        a run are among those of the text."""
+        known = sorted(self.rank[w] for w in words if w in self.rank)
+        held, seen, found = set(known), set(), []
         for place, word in enumerate(known):
             for i, at in self.index.get(word, ()):
                 if i in seen or len(known) < self.needed[i]:
@@ -137,18 +154,24 @@ class Templates:
                 seen.add(i)  # its first common word
                 if min(len(self.sets[i]) - at, len(known) - place) < self.needed[i]:
                     continue
-                common = self.every[i].intersection(known)
-                if len(common) >= self.needed[i]:
-                    found.append((len(common) / len(self.sets[i]), common, self.labels[i]))
-        return found
+                if len(self.every[i] & held) >= self.needed[i]:
+                    found.append(i)
+        return sorted(found)
+
+    def matches(self, words: list[bytes]) -> list[tuple[float, frozenset[int], str]]:
+        """Containment, common words and label of the templates that a block matches."""
+        held = frozenset(self.rank[w] for w in words if w in self.rank)
+        common = ((i, self.every[i] & held) for i in self.candidates(set(words)))
+        return [(len(own) / len(self.every[i]), own, self.labels[i]) for i, own in common]
 
     def runs(self, words: list[bytes]) -> list[tuple[float, str | None]]:
         """Containment and label of the windows of at most ``reach`` words of a whole text
         that match; no label where only windows around which more words of another template
         stand do."""
+        near = self.candidates(set(words))
+        if not near:
+            return []
         ranks = [self.rank.get(w, -1) for w in words]
-        held = set(ranks)
-        near = [i for i, own in enumerate(self.every) if len(held & own) >= self.needed[i]]
         found: list[tuple[float, str | None]] = []
         for i in near:
             share, label = 0.0, None
@@ -167,7 +190,7 @@ class Templates:
         each holds a word of the prefix."""
         own, reach = self.every[i], self.reach[i]
         prefix = set(self.sets[i][: len(own) - self.needed[i] + 1])
-        until = -1
+        until = 0
         last: dict[int, int] = {}  # the latest place of each word, oldest first
         for place in (k for k, rank in enumerate(ranks) if rank in prefix):
             for k in range(max(until, place - reach + 1), min(place + reach, len(ranks))):
@@ -190,24 +213,27 @@ class Templates:
 
 
 class Scanner:
-    """All that is found in one text."""
+    """All that is found in one text. ``templates`` are rows of kind, label and text."""
 
-    def __init__(self, frequency: dict[bytes, int], threshold: float):
-        self.notices = Templates(NOTICES, frequency, threshold)
-        self.texts = Templates(TEXTS, frequency, threshold)
+    def __init__(self, frequency: dict[bytes, int], threshold: float, templates=None):
+        kinds = defaultdict(list)
+        for kind, label, text in templates or supplied():
+            if label and text and words_of(text.encode()):
+                kinds[kind].append((label, text))
+        self.kinds = {kind: Templates(x, frequency, threshold) for kind, x in kinds.items()}
 
     def found(self, text: bytes, words: list[bytes]) -> tuple[set[str], float]:
         """The labels of all matches but those within others, and the largest containment."""
         every, labels, shares = set(words), set(), [0.0]
-        for kind, *cuts in ((self.notices, _SENTENCE, _JOINED), (self.texts, _PARAGRAPH)):
-            if kind.prefix.isdisjoint(every):
+        for name, kind in self.kinds.items():
+            if not kind.candidates(every):
                 continue
-            for block in (block for cut in cuts for block in cut.split(text)):
+            for block in blocks_of(text, name):
                 matched = kind.matches(words_of(block))
-                for share, own, label in matched:
-                    shares.append(share)
-                    if not any(own < other for _, other, _ in matched):
-                        labels.add(label)
+                shares += [share for share, _, _ in matched]
+                labels.update(
+                    label for _, own, label in matched if not any(own < other for _, other, _ in matched)
+                )
             for share, label in kind.runs(words):
                 shares.append(share)
                 labels.update([label] if label else [])
@@ -244,9 +270,23 @@ def phrases(words: list[bytes]) -> tuple[list[int], set[str]]:
     return places, labels
 
 
-def word_counts(rows: DataFrame) -> dict[bytes, int]:
+def supplied() -> list[tuple[str, str, str]]:
+    """The templates of this module as rows."""
+    return [("notice", *x) for x in NOTICES] + [("text", *x) for x in TEXTS]
+
+
+def _bounded(templates: DataFrame) -> list[tuple]:
+    """The rows of a table of templates, if it is small enough to be sent to all tasks."""
+    rows = templates.select("kind", "label", "text").filter("label IS NOT NULL AND text IS NOT NULL")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 100), F.lit(0))).first()[0]
+    if size > MOST_TEMPLATE_BYTES:
+        raise ValueError(f"templates of {size} bytes; {MOST_TEMPLATE_BYTES} can be sent to all tasks")
+    return [tuple(row) for row in rows.collect()]
+
+
+def word_counts(rows: DataFrame, templates: list[tuple]) -> dict[bytes, int]:
     """How often each word of a template stands in the whole corpus."""
-    wanted = {w for _, text in (*NOTICES, *TEXTS) for w in words_of(text.encode())}
+    wanted = {w for _, _, text in templates for w in words_of(text.encode())}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -279,14 +319,17 @@ def license_scan(
     threshold: float = THRESHOLD,
     id_col: str = "doc_id",
     text_col: str = "text",
+    templates: DataFrame | None = None,
 ) -> DataFrame:
     """``at``, ``doc_id``, ``n_words``, ``n_base``, ``first_word``, ``last_word``,
-    ``base_labels``, ``labels`` and ``score`` of each document."""
+    ``base_labels``, ``labels`` and ``score`` of each document; ``templates`` has the columns
+    of ``TEMPLATES``, else those of this module are taken."""
     rows = entries(docs, id_col, text_col)
-    frequency = word_counts(rows)
+    wordings = supplied() if templates is None else _bounded(templates)
+    frequency = word_counts(rows, wordings)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(frequency, threshold)
+        scanner = Scanner(frequency, threshold, wordings)
         kinds = {"string": pa.string(), "double": pa.float64(), "bigint": pa.int64()}
         fields = [x.split() for x in _FOUND.split(", ")][2:]
         for batch in slices(batches, "text", _AT_ONCE):

@@ -77,46 +77,83 @@ def _templates(kind: str, templates) -> str:
 
 _LICENSES = rf"""
 WITH docs AS (
-    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all({_LOWER}, {_LETTERS}) AS words
+    SELECT row_number() OVER () AS spot, doc_id, coalesce(text, '') AS text,
+        regexp_extract_all({_LOWER}, {_LETTERS}) AS words
     FROM documents),
 templates AS (
-    SELECT kind, label, list_distinct(regexp_extract_all(lower(text), {_LETTERS})) AS words
+    SELECT kind, label, list_distinct(regexp_extract_all(lower(text), {_LETTERS})) AS words,
+        len(regexp_extract_all(lower(text), {_LETTERS})) AS length_all
     FROM (VALUES {_templates('notice', NOTICES)}, {_templates('text', TEXTS)}) t(kind, label, text)),
+sized AS (
+    SELECT row_number() OVER () AS template, *, len(words) AS size,
+        CAST(ceil({THRESHOLD} * len(words) - 1e-9) AS BIGINT) AS needed,
+        length_all + len(words) - CAST(ceil({THRESHOLD} * len(words) - 1e-9) AS BIGINT) AS reach
+    FROM templates),
+near AS (
+    SELECT spot, docs.words AS own, s.*
+    FROM docs JOIN sized s
+        ON len(list_intersect(list_distinct(docs.words), s.words)) >= s.needed),
+ends AS (
+    SELECT *, unnest(range(1, len(own) + 1)) AS stop FROM near),
+runs AS (
+    SELECT spot, kind, template, label, size, needed, reach, stop, own[stop] AS last_one, words,
+        own[greatest(1, stop - reach + 1) : stop] AS run
+    FROM ends),
+common AS (
+    SELECT * EXCLUDE (run), list_reverse(run) AS back, list_intersect(words, run) AS held
+    FROM runs WHERE len(list_intersect(words, list_distinct(run))) >= needed),
+spans AS (
+    SELECT *, stop + 1 - list_max(list_transform(held, lambda w: list_position(back, w))) AS start
+    FROM common WHERE list_contains(words, last_one)),
 parts AS (
-    SELECT doc_id, 'notice' AS kind, unnest(regexp_split_to_array(
+    SELECT spot, 'notice' AS kind, unnest(regexp_split_to_array(
         regexp_replace(text, '([.!?])[ \t]+', '\1' || chr(10), 'g'), '[\n\r\x0b\x0c]+')) AS text
     FROM docs
     UNION ALL
-    SELECT doc_id, 'text', unnest(regexp_split_to_array(text, '\n[ \t\r]*\n')) FROM docs),
+    SELECT spot, 'notice', unnest(regexp_split_to_array(regexp_replace(
+        regexp_replace(text, '\b([vV])\.', '\1', 'g'),
+        '([.!?])(?:[\x00-\x09\x0b-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]*\n|[ \t\n\r\x0b\x0c]+)',
+        '\1' || chr(30), 'g'), '\x1e|\n[ \t\r]*\n'))
+    FROM docs
+    UNION ALL
+    SELECT spot, 'text', unnest(regexp_split_to_array(text, '\n[ \t\r]*\n')) FROM docs),
 blocks AS (
-    SELECT row_number() OVER () AS block, doc_id, kind,
-        list_distinct(regexp_extract_all({_LOWER}, {_LETTERS})) AS words
+    SELECT row_number() OVER () AS block, spot, kind,
+        list_distinct(regexp_extract_all({_LOWER}, {_LETTERS})) AS own
     FROM parts),
-common AS (
-    SELECT block, doc_id, label, len(list_intersect(b.words, t.words)) AS n, len(t.words) AS size
-    FROM blocks b JOIN templates t USING (kind)),
 matched AS (
-    SELECT * FROM common WHERE n >= {THRESHOLD} * size - 1e-9
-    QUALIFY rank() OVER (PARTITION BY block ORDER BY n / size DESC, n DESC) = 1),
-alike AS (SELECT doc_id, list(DISTINCT label) AS labels, max(n / size) AS share
-    FROM matched GROUP BY doc_id),
+    SELECT block, spot, label, size, list_intersect(words, own) AS held
+    FROM blocks b JOIN sized s ON s.kind = b.kind AND len(list_intersect(words, own)) >= needed),
+judged AS (
+    SELECT spot, label, size, held, EXISTS (SELECT 1 FROM matched o WHERE o.block = m.block
+        AND len(o.held) > len(m.held) AND len(list_intersect(o.held, m.held)) = len(m.held)) AS within
+    FROM matched m
+    UNION ALL
+    SELECT spot, label, size, held, within FROM (SELECT s.*, EXISTS (SELECT 1 FROM common o WHERE o.spot = s.spot AND o.kind = s.kind
+            AND o.stop BETWEEN s.stop AND s.start + o.reach - 1 AND len(o.held) > len(s.held)
+            AND len(list_intersect(o.held, s.held)) = len(s.held)) AS within
+        FROM spans s)),
+alike AS (
+    SELECT spot, list(DISTINCT label) FILTER (NOT within) AS labels, max(len(held) / size) AS share
+    FROM judged GROUP BY spot),
 phrases(phrase, label) AS (VALUES (['mit', 'license'], 'mit'), (['apache', 'license'], 'apache'),
     (['general', 'public', 'license'], 'gpl')),
-starts AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS start FROM docs
+starts AS (SELECT spot, words, unnest(range(1, len(words) + 1)) AS start FROM docs
     WHERE list_contains(words, 'license')),
 places AS (
-    SELECT doc_id, start - 1 AS place, label FROM starts, phrases
+    SELECT spot, start - 1 AS place, label FROM starts, phrases
     WHERE words[start : start + len(phrase) - 1] = phrase),
 base AS (
-    SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+    SELECT spot, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
         list(DISTINCT label) AS labels
-    FROM places GROUP BY doc_id)
+    FROM places GROUP BY spot)
 SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
     coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
     coalesce(array_to_string(list_sort(list_distinct(list_concat(
         coalesce(base.labels, []), coalesce(alike.labels, [])))), ','), '') AS labels,
     CAST(CASE WHEN n_base > 0 THEN 1 ELSE coalesce(share, 0) END AS DOUBLE) AS score
-FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN alike USING (doc_id)"""
+FROM docs LEFT JOIN base USING (spot) LEFT JOIN alike USING (spot)"""
+
 
 #: Unsigned CRC-32 of a text, bit by bit and byte by byte.
 _CRC_TABLE = """(SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1
