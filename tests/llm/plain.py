@@ -239,3 +239,57 @@ def archives(pages: list[tuple]) -> list[tuple]:
             kind, source = ("revisit", ids[0]) if i else ("response", None)
             found.append((page_id, len(html.encode()), digest, kind, source))
     return found
+
+
+class ContextTrees:
+    """Weighted trees over byte contexts, straight from the definition."""
+
+    def __init__(self, texts: list[bytes], depth: int):
+        self._depth = depth
+        self._counts: Counter = Counter()
+        for context, byte in (x for text in texts for x in self.places(text)):
+            self._counts.update((*node, bit) for node, bit in self._bits(context, byte))
+
+    def places(self, text: bytes) -> list[tuple[bytes, int]]:
+        """Context and byte of each byte of a text and of the end after its words."""
+        whole = b"\n" * self._depth + b" ".join(text.lower().split()) + b"\n"
+        return [(whole[i - self._depth : i], whole[i]) for i in range(self._depth, len(whole))]
+
+    def _bits(self, context: bytes, byte: int):
+        node = 1
+        for place in range(7, -1, -1):
+            bit = byte >> place & 1
+            for length in range(self._depth + 1):
+                yield (context[self._depth - length :], node), bit
+            node = node * 2 + bit
+
+    def _weighted(self, context: bytes, node: int, extra: tuple | None) -> float:
+        """Probability of the bits at a node in a context, one more on the path of ``extra``."""
+        from math import gamma, pi
+
+        on_path = extra is not None and extra[0].endswith(context)
+        own = [
+            self._counts[context, node, bit] + (on_path and extra[1] == bit) for bit in (0, 1)
+        ]
+        estimate = gamma(own[0] + 0.5) * gamma(own[1] + 0.5) / gamma(sum(own) + 1) / pi
+        if len(context) == self._depth:
+            return estimate
+        longer = 1.0
+        for byte in {c[-len(context) - 1] for c in self._seen(context, node, extra)}:
+            longer *= self._weighted(bytes([byte]) + context, node, extra)
+        return (estimate + longer) / 2
+
+    def _seen(self, context: bytes, node: int, extra: tuple | None) -> set:
+        seen = {
+            c for c, n, _ in self._counts if n == node and len(c) == self._depth and c.endswith(context)
+        }
+        return seen | ({extra[0]} if extra and extra[0].endswith(context) else set())
+
+    def log10(self, context: bytes, byte: int) -> float:
+        total, node = 0.0, 1
+        for place in range(7, -1, -1):
+            bit = byte >> place & 1
+            after = self._weighted(b"", node, (context, bit))
+            total += log10(after / self._weighted(b"", node, None))
+            node = node * 2 + bit
+        return total

@@ -11,7 +11,7 @@ import pytest
 import zstandard
 
 from tests.llm import plain
-from totelane.llm import manifest, spelling, warc
+from totelane.llm import ctw, licenses, manifest, spelling, warc
 
 
 def _words(dice: random.Random, n: int, size: int, letters: str) -> list[str]:
@@ -161,3 +161,75 @@ def test_spoilt_words_lose_the_code_point_of_their_checksum():
         assert spelling.spoilt(word, b"5:", h + 1) == word
 
 
+
+
+@pytest.mark.parametrize("depth", [3, 4])
+def test_scores_are_those_of_the_weighting(spark, depth):
+    """Bytes after contexts that were seen, in part or not at all."""
+    rows = [(i, x) for i, x in enumerate(["Abra cadabra", "abba cab", "zzz é", None, "abra zebra", "q"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {x.doc_id: x for x in ctw.scores(docs, depth).collect()}
+    trees = plain.ContextTrees(
+        [(x or "").encode() for i, x in rows if not ctw.held_out(i)], depth
+    )
+    assert {ctw.held_out(i) for i, _ in rows} == {True, False}
+    for i, text in rows:
+        places = trees.places((text or "").encode())
+        want = sum(trees.log10(*place) for place in places)
+        assert found[i].score == pytest.approx(want, rel=1e-6)
+        assert found[i].n_bytes == len(places)
+        assert found[i].bits_per_byte == pytest.approx(-want * 3.321928094887 / len(places), rel=1e-6)
+
+
+def _license_texts() -> list[str]:
+    dice = random.Random(11)
+    texts = [text for _, _, text in licenses.supplied()]
+    found = [x for text in texts for x in (text, text.replace(" ", "\n# ", 3), f"Title {text} more")]
+    for text in texts:
+        words = text.split()
+        for _ in range(4):
+            own = list(words)
+            for _ in range(dice.randint(1, 4)):
+                place = dice.randrange(len(own))
+                own[place : place + 1] = dice.choice(([], ["other"], [own[place], "and"]))
+            found.append(" ".join(own))
+    found += [f"{dice.choice(texts)} {dice.choice(texts)}" for _ in range(40)]
+    found += [
+        "Licensed under CC BY 4.0, figures are licensed under CC BY-NC 4.0.",
+        "Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0.",
+        "Released under the BSD License, figures licensed under CC BY 4.0.",
+        "Licensed under CC" + " word" * 9 + " BY 4.0.",
+        "licensed under under the the mit license license", "MIT", "", "cc by nd on nc 4 0 licensed under",
+    ]
+    return found
+
+
+def test_license_scan_equals_its_sql_on_texts_full_of_licenses(spark, tmp_path):
+    import duckdb
+
+    from totelane.llm.oracle import ORACLE
+
+    rows = [(i % 90 if i % 7 else None, x) for i, x in enumerate(_license_texts())] + [(3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    cursor = connection.execute(ORACLE["op10_licenses"])
+    columns = [column[0] for column in cursor.description]
+    found = Counter(map(tuple, licenses.license_scan(docs).select(*columns).collect()))
+    assert found == Counter(cursor.fetchall())
+    assert len({row[columns.index("labels")] for row in found}) > 20
+
+
+def test_license_templates_may_be_a_table(spark, monkeypatch):
+    rows = [("text", "own", "These words allow all use by all people."), ("text", None, "x"), ("text", "e", "...")]
+    templates = spark.createDataFrame(rows, licenses.TEMPLATES)
+    docs = spark.createDataFrame(
+        [(1, "Here these words allow all use\nby all people"), (2, "Licensed under the MIT License.")],
+        "doc_id long, text string",
+    )
+    found = {x.doc_id: x.labels for x in licenses.license_scan(docs, templates=templates).collect()}
+    assert found == {1: "own", 2: "mit"}
+    monkeypatch.setattr(licenses, "MOST_TEMPLATE_BYTES", 100)
+    with pytest.raises(ValueError, match="templates"):
+        licenses.license_scan(docs, templates=templates)

@@ -5,7 +5,9 @@ it stand as many end bytes as the tree is deep. A byte is eight binary decisions
 node given by the bits before it; per node there is a tree of contexts, the last 0 to
 ``DEPTH`` bytes. A context's Krichevsky-Trofimov estimate and the product of its longer
 contexts are weighted one half each. What a trained tree predicts is then a mixture of the
-estimates on the path of the context, as far as the path was seen in training.
+estimates on the path of the context; contexts not seen in training have the estimate one half.
+Beside the log-probability of a text stand its bytes, the end included, and the bits per byte
+that a code of that length takes.
 
 All counts come from the counts of byte strings of ``DEPTH + 1``. Blocks of documents send
 the strings they hold with their training counts; these are summed per string, the trees are
@@ -59,7 +61,7 @@ _ASKED = "kind int, bucket int, block bigint, keys binary, counts binary"
 _ANSWERED = "kind int, bucket int, block bigint, keys binary, counts binary"
 _SCORED = (
     "at bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
-    "train_tokens bigint, base_score double, score double"
+    "train_tokens bigint, base_score double, score double, n_bytes bigint, bits_per_byte double"
 )
 _known = WordHashes()
 _U8 = np.uint64(8)
@@ -321,10 +323,10 @@ class Top:
         self.root_zeros, self.root_ones, self.root_share = root.zeros, root.ones, root.share
 
 
-def _mixed_in(value, seen, share, zeros, ones, bit):
-    """The prediction one level up: what is below counts only where it was seen."""
+def _mixed(longer, share, zeros, ones, bit):
+    """What a context predicts: its own estimate and what the longer context predicts."""
     own = (np.where(bit == 1, ones, zeros) + 0.5) / (zeros + ones + 1.0)
-    return np.where(seen, share * own + (1 - share) * value, own)
+    return share * own + (1 - share) * longer
 
 
 def _predict(strings: np.ndarray, levels: list[Level], depth: int, top: Top) -> np.ndarray:
@@ -334,23 +336,20 @@ def _predict(strings: np.ndarray, levels: list[Level], depth: int, top: Top) ->
     last = (context & np.uint64(255)).astype(np.int64)
     tables = [Table(level.keys) for level in levels]
     for node, bit in _nodes(byte):
-        value, seen = np.zeros(len(strings)), np.zeros(len(strings), bool)
+        # A context that training has not seen predicts one half, and so do all longer ones.
+        value = np.full(len(strings), 0.5)
         for length in range(depth, _TOP - 1, -1):
             level, table = levels[length - _TOP], tables[length - _TOP]
+            if not len(level.keys):
+                continue
             own = context & np.uint64((1 << 8 * length) - 1)
             place = table.places((own << _U8) | node)
-            there = place >= 0
-            if len(level.keys):
-                zeros, ones, share = level.zeros[place], level.ones[place], level.share[place]
-                new = _mixed_in(value, seen, share, zeros, ones, bit)
-                value = np.where(there, new, 0.0)
-            seen = there
+            zeros, ones, share = level.zeros[place], level.ones[place], level.share[place]
+            value = np.where(place >= 0, _mixed(value, share, zeros, ones, bit), 0.5)
         at = last, node.astype(np.int64)
-        zeros, ones = top.zeros[at], top.ones[at]
-        value = _mixed_in(value, seen, top.share[at], zeros, ones, bit)
-        seen = zeros + ones > 0
-        zeros, ones = top.root_zeros[at[1]], top.root_ones[at[1]]
-        value = _mixed_in(value, seen, top.root_share[at[1]], zeros, ones, bit)
+        value = _mixed(value, top.share[at], top.zeros[at], top.ones[at], bit)
+        at = at[1]
+        value = _mixed(value, top.root_share[at], top.root_zeros[at], top.root_ones[at], bit)
         total += np.log10(value)
     return total
 
@@ -391,6 +390,8 @@ def _score(depth: int, tokens: int, distinct: int):
             base = np.log10((times + 0.5) / (tokens + 0.5 * (distinct + 1)))
             own, string_doc = block.strings()
             logs = values[_STRINGS][strings.places(own)]
+            score = np.bincount(string_doc, logs, n)
+            n_bytes = np.bincount(string_doc, minlength=n)
             columns = [
                 pa.array(block.at),
                 pa.array(block.doc_ids, pa.int64()),
@@ -399,7 +400,9 @@ def _score(depth: int, tokens: int, distinct: int):
                 pa.array(np.bincount(doc, times > 0, n).astype(np.int64)),
                 pa.array(np.full(n, tokens)),
                 pa.array(np.bincount(doc, base, n)),
-                pa.array(np.bincount(string_doc, logs, n)),
+                pa.array(score),
+                pa.array(n_bytes),
+                pa.array(-score / math.log10(2) / n_bytes),
             ]
             names = [x.split()[0] for x in _SCORED.split(", ")]
             scored.append(pa.table(dict(zip(names, columns, strict=True))))
@@ -412,7 +415,8 @@ def scores(
     docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``at``, ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
-    ``base_score`` and ``score`` (log10) of each document."""
+    ``base_score``, ``score`` (log10), ``n_bytes`` and ``bits_per_byte`` of each document.
+    Logarithms of single bytes are kept with 24 bits."""
     if not _TOP < depth <= 6:
         raise ValueError("contexts are of 3 to 6 bytes")
     rows = entries(docs, id_col, text_col)
