@@ -7,11 +7,12 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import zstandard
 
 from tests.llm import plain
-from totelane.llm import ctw, licenses, manifest, spelling, warc
+from totelane.llm import ctw, licenses, manifest, packing, spelling, toxicity, warc
 
 
 def _words(dice: random.Random, n: int, size: int, letters: str) -> list[str]:
@@ -233,3 +234,54 @@ def test_license_templates_may_be_a_table(spark, monkeypatch):
     monkeypatch.setattr(licenses, "MOST_TEMPLATE_BYTES", 100)
     with pytest.raises(ValueError, match="templates"):
         licenses.license_scan(docs, templates=templates)
+
+
+def test_sentences_are_swapped_one_term_at_a_time_in_their_order():
+    assert toxicity.mentions(b"No group. Women and men met!\nOld news") == [b"women and men met", b"old news"]
+    assert toxicity.swapped(b"women and men met") == [b"men and men met", b"women and women met"]
+    assert toxicity.swapped(b"no group") == []
+
+
+def test_neutral_mentions_of_one_or_two_groups_do_not_raise_the_score():
+    """Sentences that are not among those learned from, though the sample blames the groups."""
+    dice = random.Random(6)
+    terms = [term for own in toxicity.IDENTITIES for term in own]
+    filler = [f"w{i}" for i in range(300)]
+
+    def text(*own):
+        return " ".join([*dice.choices(filler, k=8), *own])
+
+    bad = [text(dice.choice(terms), "and", dice.choice(terms), "are", "idiots") for _ in range(300)]
+    bad += [text("idiots") for _ in range(60)]
+    clean = [text() for _ in range(1500)]
+    texts = [x.encode() for x in bad + clean]
+    label = np.array([1] * len(bad) + [0] * len(clean))
+    said = [x for text in texts for x in toxicity.mentions(text)]
+    scorer = toxicity.Scorer(toxicity.fit([b" ".join(sorted(set(x.split()))) for x in texts], label, said))
+    neutral = ["a school for {} opened", "{} and {} work in the same office", "the {} choir sings"]
+    scores = scorer.scores([x.format(a, b).encode() for x in neutral for a in terms for b in terms[:9]])
+    assert (scores >= toxicity.THRESHOLD).mean() == 0
+    assert (scorer.scores([b"you idiots", b"those idiots and women"]) >= 0.3).all()
+    # The same sample without the penalty.
+    plain_model = toxicity.fit([b" ".join(sorted(set(x.split()))) for x in texts], label)
+    assert len(plain_model.weights) == len(scorer.model.weights)
+
+
+def test_certificates_hold_for_packings_that_cannot_be_beaten():
+    assert packing.certified(np.array([6, 6, 4, 4]), 10, 2)
+    assert not packing.certified(np.array([5, 5, 5, 5]), 10, 3)
+    assert packing.certified(np.array([6, 6, 6]), 10, 3)
+
+
+def test_partitions_exchange_until_the_bound_is_met(spark):
+    """Whole fits exist only between partitions; each round may save little."""
+    dice = random.Random(9)
+    lengths = [x for _ in range(300) for a in [dice.randint(20, 80)] for x in (a, 100 - a)]
+    rows = [(i, i, 0, 0, n, 0) for i, n in enumerate(lengths)]
+    schema = "at long, doc_id long, piece int, start long, length long, ids_crc32 long"
+    found = packing.pack_pieces(spark.createDataFrame(rows, schema), 100, at_once=40).collect()
+    assert Counter(row.length for row in found) == Counter(lengths)
+    filled: Counter = Counter()
+    for row in found:
+        filled[row.sequence_id] += row.length
+    assert max(filled.values()) <= 100 and len(filled) <= 306

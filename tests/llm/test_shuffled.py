@@ -7,14 +7,14 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from totelane.llm import common, decontamination, exact_dedup, packing, sharding, simhash
+from totelane.llm import blocks, common, decontamination, exact_dedup, packing, sharding, simhash
 from totelane.llm.queries import QUERIES
 from totelane.settings import SkewSettings
 
 
 @pytest.fixture
 def shuffled(monkeypatch):
-    """Nothing is broadcast, groups of two rows and more are split, blocks are short."""
+    """Nothing is broadcast, groups of two rows and more are split, tasks pack few pieces."""
     monkeypatch.setattr(common, "SMALL", SkewSettings(min_rows=0, broadcast_rows=0))
 
     def hot(groups, key, rows="n"):
@@ -29,9 +29,31 @@ def shuffled(monkeypatch):
     monkeypatch.setattr(packing, "PIECES_AT_ONCE", 20)
 
 
-@pytest.mark.parametrize("name", ["op2_shards", "op3_exact_dedup", "op4_simhash", "op6_decontamination"])
+def test_few_pieces_at_once_need_few_more_sequences(spark, folder_of_all, shuffled):
+    rows = QUERIES["op7_packing"](spark, folder_of_all).collect()
+    filled = Counter()
+    for row in rows:
+        filled[row.sequence_id] += row.length
+    assert max(filled.values()) <= 2048
+    assert len(filled) <= -(-sum(filled.values()) // 2048) + 1
+
+
+@pytest.mark.parametrize("name", ["op8_ctw", "op9_substring_dedup"])
+def test_results_do_not_depend_on_the_size_of_blocks(spark, folder_of_all, name, monkeypatch):
+    """Several blocks in a partition, one of them a text that is longer than a block."""
+
+    def found():
+        rows = QUERIES[name](spark, folder_of_all).collect()
+        return Counter(tuple(round(x, 3) if isinstance(x, float) else x for x in row) for row in rows)
+
+    plain = found()
+    monkeypatch.setattr(blocks.block_rows, "__defaults__", (2_000,))
+    assert found() == plain
+
+
+@pytest.mark.parametrize("name", ["op2_shards", "op3_exact_dedup", "op4_simhash", "op6_decontamination", "op7_packing"])
 def test_results_do_not_depend_on_the_layout(spark, folder_of_all, name, request):
-    dropped = ("shard", "slot") if name == "op2_shards" else ()
+    dropped = {"op2_shards": ("shard", "slot"), "op7_packing": ("sequence_id", "offset")}.get(name, ())
     plain = Counter(map(tuple, QUERIES[name](spark, folder_of_all).drop(*dropped).collect()))
     request.getfixturevalue("shuffled")
     found = Counter(map(tuple, QUERIES[name](spark, folder_of_all).drop(*dropped).collect()))

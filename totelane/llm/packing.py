@@ -3,10 +3,12 @@
 A document is its token ids and an end id; longer ones than a sequence are cut. Pieces are
 packed by best-fit decreasing in partitions of a bounded number of pieces, dealt by a hash so
 that each holds a like mix of lengths. Lower bounds from dual-feasible functions of all
-lengths together certify the count. While it exceeds them, every sequence that is not full is
-handed in, whatever its partition needs by itself; whole sequences are dealt to new
-partitions, packed again, and the old packing stays where the new one needs as many. Rounds
-end when the count meets the bound, or a round saves nothing.
+lengths together, and of those of each partition, certify the counts. While the whole count
+exceeds its bound, partitions exchange documents: every sequence that is not full is handed in,
+and whole sequences are dealt to new partitions. A partition whose count meets its own bound is
+certified and stays as it is; only other partners can gain it anything. One with a gap is packed
+again by best-fit decreasing, and the old packing stays where the new one needs as many. Rounds
+end when the whole count meets the bound, or a round saves nothing.
 
 A null text counts as empty: its end id makes a piece. Repeated rows are packed each for
 itself. An empty table gives no pieces.
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +33,6 @@ from totelane.session import durable
 CAPACITY = 2048
 #: Pieces that one task packs together.
 PIECES_AT_ONCE = 50_000
-#: Rounds of exchange after the first packing.
-MOST_ROUNDS = 8
 _TEXT_AT_ONCE = 1 << 21
 _PIECE = "at bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _PACKED = f"{_PIECE}, sequence_id bigint, offset bigint, closed boolean"
@@ -122,20 +123,21 @@ def token_pieces(
     )
 
 
-def _packed(rows: pa.Table, capacity: int, first_id: int, most: int | None) -> pa.Table | None:
-    """The rows with their place in new sequences, and whether their sequence is full; None
-    where that takes ``most`` sequences or more."""
+def certified(lengths: np.ndarray, capacity: int, sequences: int) -> bool:
+    """Whether no packing of these pieces needs fewer sequences."""
+    return sequences <= least_bins(np.bincount(lengths, minlength=capacity + 1), capacity)
+
+
+def _placed(rows: pa.Table, ids: np.ndarray, places: np.ndarray, capacity: int) -> pa.Table:
+    """The rows with their sequence and place, and whether the sequence is full."""
+    distinct, bins = np.unique(ids, return_inverse=True)
     lengths = rows["length"].to_numpy()
-    bins, places, n = best_fit(lengths, capacity)
-    if most is not None and n >= most:
-        return None
-    filled = np.bincount(bins, weights=lengths, minlength=n).astype(np.int64)
-    closed = filled == capacity
+    closed = np.bincount(bins, weights=lengths, minlength=len(distinct)) == capacity
     for name in ("sequence_id", "offset", "closed"):
         if name in rows.column_names:
             rows = rows.drop_columns([name])
     return (
-        rows.append_column("sequence_id", pa.array(first_id + bins))
+        rows.append_column("sequence_id", pa.array(ids))
         .append_column("offset", pa.array(places))
         .append_column("closed", pa.array(closed[bins]))
     )
@@ -147,8 +149,10 @@ def _first_round(capacity: int, at_once: int):
 
         def done() -> Iterator[pa.RecordBatch]:
             nonlocal next_id
-            table = _packed(pa.Table.from_batches(waiting), capacity, next_id, None)
-            next_id += table.num_rows
+            table = pa.Table.from_batches(waiting)
+            bins, places, opened = best_fit(table["length"].to_numpy(), capacity)
+            table = _placed(table, next_id + bins, places, capacity)
+            next_id += opened
             yield from table.combine_chunks().to_batches()
 
         for batch in batches:
@@ -165,25 +169,28 @@ def _first_round(capacity: int, at_once: int):
     return pack
 
 
-def _again(capacity: int, first_id: int):
+def _again(capacity: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches))
-        old = rows["sequence_id"].to_numpy()
-        bucket = rows["bucket"][0].as_py()
-        rows = rows.drop_columns(["bucket"])
-        table = _packed(rows, capacity, first_id + (bucket << 33), len(np.unique(old)))
-        yield from (rows if table is None else table).combine_chunks().to_batches()
+        rows = pa.Table.from_batches(list(batches)).drop_columns(["bucket"])
+        lengths, used = rows["length"].to_numpy(), np.unique(rows["sequence_id"].to_numpy())
+        if not certified(lengths, capacity, len(used)):
+            bins, places, n = best_fit(lengths, capacity)
+            if n < len(used):
+                rows = _placed(rows, used[bins], places, capacity)
+        yield from rows.combine_chunks().to_batches()
 
     return pack
 
 
 def pack_pieces(
-    pieces: DataFrame, capacity: int = CAPACITY, at_once: int = PIECES_AT_ONCE
+    pieces: DataFrame, capacity: int = CAPACITY, at_once: int | None = None
 ) -> DataFrame:
-    """The pieces with ``sequence_id`` and ``offset``. ``pieces`` is read several times.
+    """The pieces with ``sequence_id`` and ``offset``, ``at_once`` (else ``PIECES_AT_ONCE``)
+    packed by a task. ``pieces`` is read several times.
 
     Only counts by length, at most one per token of the capacity, come to the driver.
     """
+    at_once = at_once or PIECES_AT_ONCE
     counts = np.zeros(capacity + 1, np.int64)
     for row in pieces.groupBy("length").count().collect():
         counts[row["length"]] = row["count"]
@@ -193,7 +200,7 @@ def pack_pieces(
     rows = durable(mixed.mapInArrow(_first_round(capacity, at_once), _PACKED))
     used = rows.filter("offset = 0").count()
     done: list[DataFrame] = []
-    for turn in range(1, MOST_ROUNDS + 1):
+    for turn in count(1):
         if used <= bound:
             break
         offered = rows.filter("not closed")
@@ -208,7 +215,7 @@ def pack_pieces(
         rows = durable(
             offered.withColumn("bucket", bucket)
             .groupBy("bucket")
-            .applyInArrow(_again(capacity, turn << 56), _PACKED)
+            .applyInArrow(_again(capacity), _PACKED)
         )
         saved = before - rows.filter("offset = 0").count()
         used -= saved

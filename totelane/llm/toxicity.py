@@ -2,10 +2,11 @@
 
 The model is logistic regression on the words a text contains and on their beginnings, which
 inflected forms of a word share. Its vocabulary and weights come from a bounded sample of labelled rows outside the held-out fold; every text is scored
-whole. For sampled texts that mention a group, a counterfactual is made by swapping identity
-terms within their family, and the squared change of the score between both is a penalty, so
-the mention as such cannot carry weight. Short neutral sentences about each group are added
-as counterfactual pairs of label 0, which holds the weights where the sample lacks a term.
+whole. Sentences of the sample that mention a group are swapped: each identity term in turn is
+replaced by the next of its family, in its place in the sentence, the others stay. The squared
+change of the score between both is a penalty, so the mention as such cannot carry weight. The
+``NEUTRAL`` sentences about each group are added with label 0, and swapped as well, which holds
+the weights where the sample lacks a term.
 
 The score of a text depends on its words only. Null and empty texts score as a text without
 known words. Rows without id count as unlabelled. Without labelled rows of both kinds the
@@ -15,8 +16,9 @@ score is the share of toxic rows, 0 if there are none.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
-from collections.abc import Container, Iterator
+from collections.abc import Container, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,11 +65,18 @@ IDENTITIES = (
     ("mujeres", "hombres"),
     ("musulmanes", "cristianos", "judíos"),
 )
+#: Neutral sentences; the blank is for an identity term.
+NEUTRAL = (
+    "some of our neighbours are {}",
+    "{} people met in the town hall on monday",
+    "the article describes how {} families live here",
+)
 _SWAPS = {
     term.encode(): own[(i + 1) % len(own)].encode()
     for own in IDENTITIES
     for i, term in enumerate(own)
 }
+_STOPS = re.compile(rb"[.!?\n]+")
 _BLANKED = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 
 
@@ -116,11 +125,24 @@ class Scorer(dict):
         return _sigmoid(np.array(odds, float))
 
 
-def _word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def mentions(text: bytes) -> list[bytes]:
+    """The sentences that hold an identity term, as words in order with blanks between."""
+    sentences = (words_of(x) for x in _STOPS.split(text))
+    return [b" ".join(own) for own in sentences if not _SWAPS.keys().isdisjoint(own)]
+
+
+def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text", _AT_ONCE):
-        sets = [b" ".join(sorted(set(words_of(x)))) for x in as_bytes(batch.column("text"))]
+        texts = as_bytes(batch.column("text"))
+        sets = [b" ".join(sorted(set(words_of(x)))) for x in texts]
+        said = [sorted(set(mentions(x))) for x in texts]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), pa.array(sets, pa.binary())], names=["toxic", "words"]
+            [
+                batch.column("toxic"),
+                pa.array(sets, pa.binary()),
+                pa.array(said, pa.list_(pa.binary())),
+            ],
+            names=["toxic", "words", "mentions"],
         )
 
 
@@ -143,9 +165,14 @@ class Rows:
         return np.bincount(self.word, values[self.row], self.width)
 
 
-def swapped(words: bytes) -> bytes:
-    """The words with each identity term replaced by the next of its family."""
-    return b" ".join(sorted({_SWAPS.get(w, w) for w in words.split()}))
+def swapped(sentence: bytes) -> list[bytes]:
+    """The sentence with one identity term at a time replaced by the next of its family."""
+    words = sentence.split()
+    return [
+        b" ".join([*words[:i], _SWAPS[word], *words[i + 1 :]])
+        for i, word in enumerate(words)
+        if word in _SWAPS
+    ]
 
 
 def _vocabulary(texts: list[bytes], toxic: np.ndarray) -> list[bytes]:
@@ -176,8 +203,9 @@ def _sigmoid(odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
-    """A model from word sets (words with blanks between) and labels.
+def fit(texts: list[bytes], toxic: np.ndarray, said: Sequence[bytes] = ()) -> Model:
+    """A model from word sets (words with blanks between), labels and the sentences of the
+    texts that mention a group.
 
     The loss is logistic with a ridge and the counterfactual penalty; steps are as long as
     the largest curvature of the loss allows, with momentum.
@@ -187,12 +215,12 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
         return Model({}, 500.0 if share == 1 else -500.0)
     vocabulary = _vocabulary(texts, toxic)
     place = {w: i for i, w in enumerate(vocabulary)}
-    neutral = sorted(_SWAPS)
+    neutral = [x.format(term.decode()).encode() for x in NEUTRAL for term in sorted(_SWAPS)]
     every = [*texts, *neutral]
     label = np.concatenate([toxic, np.zeros(len(neutral))])
-    mentions = [own for own in every if not _SWAPS.keys().isdisjoint(own.split())]
     rows = Rows(every, place)
-    own, other = Rows(mentions, place), Rows([swapped(x) for x in mentions], place)
+    pairs = [(x, y) for x in sorted({*said, *neutral}) for y in swapped(x)]
+    own, other = Rows([x for x, _ in pairs], place), Rows([y for _, y in pairs], place)
 
     def curvature(weights: np.ndarray, bias: float) -> tuple[np.ndarray, float]:
         """An upper bound of the second derivative, times a direction."""
@@ -229,7 +257,7 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> Model:
 
 def train(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Model:
     """A model from labelled entries outside the held-out fold. What comes to the driver are
-    the distinct words of ``sample`` documents at most."""
+    the distinct words of ``sample`` documents at most, and their sentences about groups."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
         .filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
@@ -245,9 +273,11 @@ def train(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Mode
         .agg(F.min("text").alias("text"))
         .select("toxic", "text")
     )
-    found = texts.mapInArrow(_word_sets, "toxic int, words binary").toArrow().to_pydict()
+    found = texts.mapInArrow(_samples, "toxic int, words binary, mentions array<binary>")
+    found = found.toArrow().to_pydict()
     pairs = sorted(set(zip(found["toxic"], found["words"], strict=True)))  # copies count once
-    return fit([words for _, words in pairs], np.array([label for label, _ in pairs], int))
+    said = sorted({x for own in found["mentions"] for x in own})
+    return fit([words for _, words in pairs], np.array([label for label, _ in pairs], int), said)
 
 
 def _scorer(model: Model):
