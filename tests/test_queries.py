@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections import Counter
 
 import duckdb
 import pytest
@@ -112,3 +113,22 @@ def test_orders_are_joined_without_another_shuffle(spark, folder):
     # Lines 1, picks 1, orders 1, items 1, totes 1, state 1; the zone map is written before.
     assert len(shuffles) == 6, plan
     assert "PartitionFilters: [isnotnull(tran_type" in plan
+
+
+def test_lines_of_no_pick_are_dropped_before_they_are_shuffled(spark):
+    """A filter of bits over the pick transactions, where the lines are many."""
+    size = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    settings = {size: "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    want = Counter(map(tuple, QUERIES["pick_locations"](spark, SF).collect()))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = QUERIES["pick_locations"](spark, SF)
+        plan = plan_of(found, "simple")
+        assert Counter(map(tuple, found.collect())) == want
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    lines = [x for x in plan.splitlines() if "might_contain" in x]
+    assert lines and "bloom_filter_agg" in plan

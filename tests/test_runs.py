@@ -414,8 +414,15 @@ def test_command_line(spark, extract, folder, capsys, monkeypatch):
     main(["import", "--store", imported, "--state", old])
     assert "state version 1" in capsys.readouterr().out
     assert StateStore(spark, imported).latest().state.count() == 1500
-    main(["run", *shared, "--extract", extract, "--out", out, "--run-id", "a"])
+    taken, sent = folder("taken"), folder("sent")
+    main(["ingest", "--extract", extract, "--out", taken])
+    run = ["run", *shared, "--extract", taken, "--canonical", "--out", out, "--run-id", "a"]
+    main([*run, "--conveyor", sent])
     assert "state version 1" in capsys.readouterr().out
+    rows = StateStore(spark, store).latest().state
+    assert spark.read.format("conveyor").load(sent).count() == rows.filter("route is not null").count()
+    main(["release", "--store", store, "--run-id", "a"])
+    assert "no reservation" in capsys.readouterr().out
     pending = StateStore(spark, store).latest().state
     accept_all(pending).write.parquet(acks)
     main(["answers", *shared, "--acks", acks, "--run-id", "a/answers"])

@@ -6,12 +6,14 @@ from __future__ import annotations
 
 import argparse
 from datetime import datetime
+from functools import partial
 
 from totelane import schemas
 from totelane.operators.measures import take_in, taken_in
 from totelane.plans.run import import_state, no_answers, record_answers, run_once
 from totelane.session import build_session
 from totelane.settings import PUTAWAY, SINGLE, RouterSettings
+from totelane.sources import messages
 from totelane.sources.jdbc import Database
 from totelane.sources.state_store import StateStore
 from totelane.sources.warehouse import Warehouse, canonical_state
@@ -33,6 +35,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     source.add_argument("--database", help="JSON file with the tables of a database")
     run.add_argument("--canonical", action="store_true", help="the extract was taken in")
     run.add_argument("--out", required=True, help="folder for the tables of the run")
+    run.add_argument("--conveyor", help="folder the messages are written to, once per run")
 
     ingest = commands.add_parser("ingest", help="take in an extract, with what is measured of it")
     source = ingest.add_mutually_exclusive_group(required=True)
@@ -92,7 +95,10 @@ def main(argv: list[str] | None = None) -> None:
             warehouse = taken_in(spark, args.extract)
         else:
             warehouse = Warehouse.read_extract(spark, args.extract)
-        result = run_once(warehouse, store, settings, args.run_id, args.out, no_answers)
+        deliver = no_answers
+        if args.conveyor:
+            deliver = partial(messages.send, path=args.conveyor, run=args.run_id)
+        result = run_once(warehouse, store, settings, args.run_id, args.out, deliver)
         print(f"state version {result.version}, tables in {result.folder}")
     elif args.command == "answers":
         acks = spark.read.schema(schemas.ACKS).parquet(args.acks)

@@ -48,6 +48,11 @@ def dispatch_outbox(
     return number_rows(outbox, order, "seq", path)
 
 
+def no_answers(outbox: DataFrame) -> DataFrame:
+    """For a conveyor that answers later: nothing is accepted yet, see ``plans.run.record_answers``."""
+    return outbox.select("id", "tote_id", F.lit(0).alias("status")).filter(F.lit(False))
+
+
 def accepted(acks: DataFrame) -> DataFrame:
     """Answers that count as success."""
     return acks.filter(F.col("status") == fixed.ACCEPTED).select("id", "tote_id")

@@ -16,6 +16,7 @@ INSERT_ON_BLANK = "INSERT_ON_BLANK"
 REPLACE = "REPLACE"
 COMPLETE = "COMPLETE"
 
+ACTIONS = (KEEP, INSERT, INSERT_ON_BLANK, REPLACE, COMPLETE)
 NEW_ROW_ACTIONS = (INSERT, INSERT_ON_BLANK, REPLACE)
 REMOVING_ACTIONS = (REPLACE, COMPLETE)
 

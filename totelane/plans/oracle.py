@@ -429,6 +429,7 @@ ORACLE |= {
             CASE WHEN o.accepted THEN {_AS_OF} ELSE n.routed_date END AS routed_date
         FROM next_state n LEFT JOIN outcomes o ON o.id = n.id""",
     ),
+    "sent_messages": _sql(_EFFECTS, "SELECT 'run' AS run, seq, payload FROM outbox"),
     "answered_parts": _sql(
         [_TABLES],
         f"""SELECT part, count(*) AS n,

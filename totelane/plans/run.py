@@ -11,15 +11,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from totelane.operators import dispatch, reconcile, routes, state as stored
+from totelane.operators.dispatch import no_answers
 from totelane.operators.measures import Measures, measure
 from totelane.operators.numbering import number_rows
 from totelane.operators.skew import together
-from totelane.session import durable
+from totelane.session import durable, durable_counted
 from totelane.settings import RouterSettings
 from totelane.sources.state_store import ANSWERS, StaleSnapshotError, StateStore
 from totelane.sources.warehouse import Warehouse
 
 
+__all__ = [
+    "RoutingRun", "RunResult", "import_state", "no_answers", "record_answers", "run_once",
+]
+
+
 class RoutingRun:
     """The frames of one run, each built on first use.
 
@@ -40,6 +46,8 @@ class RoutingRun:
     ):
         self.warehouse, self.state, self.settings = warehouse, state, settings
         self._last_id, self.folder = last_id, folder
+        #: Rows per event that were counted while tables of the run were written.
+        self._counts: dict[str, int] = {}
 
     def _path(self, name: str) -> str | None:
         return f"{self.folder}/{name}" if self.folder else None
@@ -85,7 +93,10 @@ class RoutingRun:
         """``reconciled`` written once: four later frames start from it."""
         spark = self.state.sparkSession
         together(spark, lambda: self.measures, lambda: self.state_measures)
-        return durable(self.reconciled, self._path("reconciled"))
+        counts = [F.count_if(F.col("action") == x).alias(x) for x in reconcile.ACTIONS]
+        rows, found = durable_counted(self.reconciled, self._path("reconciled"), *counts)
+        self._counts |= found
+        return rows
 
     @property
     def last_id(self) -> int:
@@ -118,7 +129,10 @@ class RoutingRun:
         """Rows of the next state that were not sent; the outbox and the summary start from
         them. Stored rows that were sent are filtered where they are read."""
         waiting = self._after(stored.pending_routes(self.state), self.inserts)
-        return durable(waiting, self._path("pending"))
+        held = F.count_if(F.col("route").isNull()).alias("HELD_WITHOUT_ROUTE")
+        rows, found = durable_counted(waiting, self._path("pending"), held)
+        self._counts |= found
+        return rows
 
     @cached_property
     def outbox(self) -> DataFrame:
@@ -139,23 +153,23 @@ class RoutingRun:
         return dispatch.mark_routed(self._after(state, self.inserts), acks, self.settings.as_of)
 
     def summary(self, acks: DataFrame) -> DataFrame:
-        """Number of rows per event of the run; events that did not occur are left out."""
+        """Number of rows per event of the run; events that did not occur are left out. What
+        the run wrote was counted then, the rest is counted here."""
 
         def events(df: DataFrame, name) -> DataFrame:
             return df.select((F.lit(name) if isinstance(name, str) else name).alias("event"))
 
         parts = [
             events(stored.expired_routes(self.state, self.settings.as_of), "EXPIRED"),
-            events(self.settled, F.col("action")),
             dispatch.outbox_events(self.outbox, acks),
-            events(
-                self.pending.filter(F.col("route").isNull()),
-                "HELD_WITHOUT_ROUTE",
-            ),
             events(stored.rejected_rows(self.warehouse.tote_detail, self.state), "REJECTED"),
         ]
         occurred = reduce(DataFrame.unionByName, parts)
-        return occurred.groupBy("event").agg(F.count(F.lit(1)).alias("n"))
+        counted = occurred.groupBy("event").agg(F.count(F.lit(1)).alias("n"))
+        written = [(event, n) for event, n in self._counts.items() if n]
+        return counted.unionByName(
+            self.state.sparkSession.createDataFrame(written, "event string, n bigint")
+        )
 
 
 @dataclass(frozen=True)
@@ -224,11 +238,6 @@ def import_state(
     return store.commit(before, state, run_id, max(before.last_id, last_id)).version
 
 
-def no_answers(outbox: DataFrame) -> DataFrame:
-    """For a conveyor that answers later: nothing is accepted yet, see ``record_answers``."""
-    return outbox.select("id", "tote_id", F.lit(0).alias("status")).filter(F.lit(False))
-
-
 def record_answers(
     store: StateStore,
     acks: DataFrame,

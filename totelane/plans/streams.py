@@ -1,5 +1,5 @@
-"""Queries that go through a stream: the supplied tables, cut into arrivals, are put into a
-folder one after the other, and the stream is started again after each."""
+"""Queries that go through a stream or a sink. For streams the supplied tables, cut into
+arrivals, are put into a folder one after the other, and the stream is started again after each."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from totelane.operators.state import moment
 from totelane.plans.run import RoutingRun, import_state, record_answers
 from totelane.session import durable, shared_folder
 from totelane.settings import RouterSettings
-from totelane.sources import testdata
+from totelane.sources import messages, testdata
 from totelane.sources.parts import part_of
 from totelane.sources.state_store import StateStore
 from totelane.streaming import answers, events, increments, sessions
@@ -159,21 +159,21 @@ def _answer_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, StateSt
     told = durable(_timed_answers(outbox))
     store = StateStore(spark, f"{folder}/store")
     import_state(store, run.next_state, SETTINGS)
-    messages, heard = f"{folder}/messages", f"{folder}/answers"
+    sent, heard = f"{folder}/messages", f"{folder}/answers"
 
     def start() -> StreamingQuery:
         return answers.follow_answers(
-            spark, messages, heard, store.root, f"{folder}/outcomes", f"{folder}/progress",
+            spark, sent, heard, store.root, f"{folder}/outcomes", f"{folder}/progress",
             SETTINGS, "30 MINUTES", "4 hours",
         )
 
     late = F.col("seq") % 3 == 0
     # Some answers come after their messages, others before them.
-    outbox.filter(~late).write.parquet(messages)
+    outbox.filter(~late).write.parquet(sent)
     told.drop("seq").filter(F.lit(False)).write.parquet(heard)
-    _work_off(start, [(heard, told.drop("seq")), (messages, outbox.filter(late))])
+    _work_off(start, [(heard, told.drop("seq")), (sent, outbox.filter(late))])
     _closing(spark, answers.ANSWERS, tote_id="", answered_at=CLOSING).write.mode("append").parquet(heard)
-    _work_off(start, [(messages, _closing(spark, answers.MESSAGES, sent_at=CLOSING))])
+    _work_off(start, [(sent, _closing(spark, answers.MESSAGES, sent_at=CLOSING))])
     found = spark.read.schema(answers.OUTCOMES).parquet(f"{folder}/outcomes")
     return found, store
 
@@ -206,7 +206,16 @@ def answered_parts(spark, sf_dir):
     return rows.join(spark.createDataFrame(written, "part int, written boolean"), "part")
 
 
+def sent_messages(spark, sf_dir):
+    """The messages of a run as the conveyor finds them; the run sends them twice."""
+    path, outbox = new_folder(spark), _run(spark, sf_dir).outbox
+    for _ in range(2):
+        messages.send(outbox, path, "run")
+    return spark.read.format(messages.FORMAT).load(path)
+
+
 QUERIES = {
+    "sent_messages": sent_messages,
     "event_counts": event_counts,
     "stateful_routes": stateful_routes,
     "incremental_routes": incremental_routes,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app_name: str = "totelane", **conf: str) -> SparkSession:
@@ -15,6 +15,12 @@ def build_session(app_name: str = "totelane", **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        # Rows that a join will drop are dropped before they are shuffled, by a filter of bits
+        # over the other side's keys, where the rows are many and those keys come from a filter.
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "100000000",
+        "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "1073741824",
         **{name.replace("__", "."): value for name, value in conf.items()},
     }
     builder = SparkSession.builder.appName(app_name)
@@ -48,3 +54,13 @@ def durable(df: DataFrame, path: str | None = None) -> DataFrame:
     target = path or f"{shared_folder(spark)}/totelane/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def durable_counted(
+    df: DataFrame, path: str | None, *counts: Column
+) -> tuple[DataFrame, dict[str, int]]:
+    """``durable``, and aggregates of the rows that are taken while they are written. They sit
+    right below the write, where a task that is run again counts once."""
+    observed = Observation(uuid.uuid4().hex)
+    written = durable(df.observe(observed, *counts), path)
+    return written, observed.get
