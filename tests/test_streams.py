@@ -164,6 +164,22 @@ def test_changes_follow_a_folder_and_go_on_after_a_stop(spark, lines, folder):
     assert planner.counts.newest()["batch"] == 1
 
 
+def test_a_run_on_kept_zones_does_not_read_the_large_tables(spark, lines, stored, folder, monkeypatch):
+    wh = lines(START)
+    planner = increments.IncrementalPlanner(wh, SETTINGS, folder("counts"))
+    planner.add(spark.createDataFrame([(*x, 1) for x in START], increments.CHANGES), 0, folder("routes"))
+    old = stored((1, "T1", "FB-HB", 3, 0, AS_OF), (2, "T2", "JB", 3, 0, AS_OF), (3, "T8", "HB", 3, 0, AS_OF))
+    want = as_set(RoutingRun(wh, old, SETTINGS).next_state)
+
+    def unread(*_):
+        raise AssertionError("planned anew")
+
+    monkeypatch.setattr("totelane.plans.run.measure", unread)
+    monkeypatch.setattr("totelane.operators.routes.tote_zone_sets", unread)
+    run = RoutingRun(wh, old, SETTINGS, zone_sets=planner.zone_sets())
+    assert as_set(run.next_state) == want
+
+
 def test_increments_are_for_open_picks(lines, folder):
     with pytest.raises(ValueError):
         increments.IncrementalPlanner(

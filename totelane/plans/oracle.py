@@ -413,6 +413,7 @@ ORACLE |= {
         "GROUP BY s.tote_key, s.opened",
     ).replace("WITH ", "WITH RECURSIVE ", 1),
     "incremental_routes": _sql(_PLAN, _REPORT),
+    "incremental_reconcile": ORACLE["route_reconcile"],
     "streamed_answers": _sql(
         [*_EFFECTS, _TOLD],
         """SELECT seq, kind, id, tote_id,

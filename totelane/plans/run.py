@@ -33,7 +33,8 @@ class RoutingRun:
     pending routes, which several frames start from, and the new rows and the outbox, whose
     numbers must not change between two uses. ``folder`` keeps them for audit; without it they
     go to the shared folder. The next state is not written here: a run writes the parts of it
-    that it changes, see ``rows_of``.
+    that it changes, see ``rows_of``. ``zone_sets`` are the zones of open totes where they are
+    kept up to date elsewhere, as by ``streaming.increments``; the large tables are not read then.
     """
 
     def __init__(
@@ -43,7 +44,11 @@ class RoutingRun:
         settings: RouterSettings,
         last_id: int = 0,
         folder: str | None = None,
+        zone_sets: DataFrame | None = None,
     ):
+        if zone_sets is not None:
+            self.zone_sets = zone_sets
+        self._plans = zone_sets is None
         self.warehouse, self.state, self.settings = warehouse, state, settings
         self._last_id, self.folder = last_id, folder
         #: Rows per event that were counted while tables of the run were written.
@@ -92,7 +97,8 @@ class RoutingRun:
     def settled(self) -> DataFrame:
         """``reconciled`` written once: four later frames start from it."""
         spark = self.state.sparkSession
-        together(spark, lambda: self.measures, lambda: self.state_measures)
+        measured = [lambda: self.measures] if self._plans else []
+        together(spark, *measured, lambda: self.state_measures)
         counts = [F.count_if(F.col("action") == x).alias(x) for x in reconcile.ACTIONS]
         rows, found = durable_counted(self.reconciled, self._path("reconciled"), *counts)
         self._counts |= found

@@ -6,7 +6,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,7 +40,7 @@ def _work_off(start: Callable[[], StreamingQuery], arrivals: Iterable[tuple[str,
         start().awaitTermination()
 
 
-def _draw(*columns: str) -> F.Column:
+def _draw(*columns: str) -> Column:
     """A number from the text of some columns, the same in every engine."""
     text = F.concat_ws("/", *columns)
     return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("bigint")
@@ -109,9 +109,9 @@ def stateful_routes(spark, sf_dir):
     return routes.select("tote_key", "origroute", *times)
 
 
-def incremental_routes(spark, sf_dir):
-    """The planned routes after lines came in two batches. The first one has lines that the
-    second one takes away again."""
+def _changed(spark: SparkSession, sf_dir: str) -> increments.IncrementalPlanner:
+    """A planner that got the lines in two batches. The first one has lines that the second
+    one takes away again."""
     wh = testdata.warehouse(spark, sf_dir)
     raw = testdata.tables(spark, sf_dir)["trans_detail"]
     lines = raw.withColumn("change", F.lit(1))
@@ -128,7 +128,19 @@ def incremental_routes(spark, sf_dir):
         )
 
     _work_off(start, [(source, first), (source, second)])
-    return planner.routes()
+    return planner
+
+
+def incremental_routes(spark, sf_dir):
+    """The planned routes after the lines came as changes."""
+    return _changed(spark, sf_dir).routes()
+
+
+def incremental_reconcile(spark, sf_dir):
+    """The planned routes against the stored ones, without planning anew."""
+    zones = _changed(spark, sf_dir).zone_sets()
+    warehouse, state = testdata.warehouse(spark, sf_dir), testdata.state(spark, sf_dir)
+    return RoutingRun(warehouse, state, SETTINGS, zone_sets=zones).reconciled
 
 
 def _timed_answers(outbox: DataFrame) -> DataFrame:
@@ -219,6 +231,7 @@ QUERIES = {
     "event_counts": event_counts,
     "stateful_routes": stateful_routes,
     "incremental_routes": incremental_routes,
+    "incremental_reconcile": incremental_reconcile,
     "streamed_answers": streamed_answers,
     "answered_state": answered_state,
     "answered_parts": answered_parts,

@@ -87,10 +87,11 @@ class Files:
         return files.delete(path, True)
 
     def write_parts(self, rows: DataFrame, key: str, parts: int, folder: str) -> dict[int, str]:
-        """Write ``rows`` by the part of their ``key`` column, which is left out of the files
-        if it is not among the others; the folder of each part that has rows."""
+        """Write ``rows`` by the part of their ``key`` column; the folder of each part that has
+        rows. A part that is much larger than others, for one key with very many rows, is
+        written by several tasks."""
         placed = rows.withColumn(PART, part_of(key, parts))
-        placed.repartition(PART).write.partitionBy(PART).mode("error").parquet(f"{self.root}/{folder}")
+        placed.hint("rebalance", PART).write.partitionBy(PART).mode("error").parquet(f"{self.root}/{folder}")
         found = (re.fullmatch(rf"{PART}=(\d+)", name) for name in self.names(folder))
         return {int(one[1]): f"{folder}/{one[0]}" for one in found if one}
 

@@ -19,7 +19,7 @@ from totelane.functions import fixed
 from totelane.functions.locations import pick_location, spread_zone
 from totelane.functions.text import key
 from totelane.operators.measures import hot_items
-from totelane.operators.routes import one_spelling, planned_routes
+from totelane.operators.routes import one_spelling, planned_routes, tote_routes
 from totelane.operators.skew import HotKeys, spread_join
 from totelane.operators.zones import ZoneLookup
 from totelane.session import durable
@@ -64,16 +64,19 @@ class ZoneCounts:
             raise StaleSnapshotError(str(taken)) from taken
 
 
-def counted_routes(counts: DataFrame) -> DataFrame:
-    """The planned route of each tote with lines left."""
+def counted_zone_sets(counts: DataFrame) -> DataFrame:
+    """Per tote with lines left: ``tote_key``, ``tote_id``, ``zones``, as a run plans them."""
     spelt = F.struct(F.upper("zone").alias("key"), "zone")
-    sets = (
-        counts.filter(F.length("tote_key") > 1)
-        .groupBy("tote_key")
+    return (
+        counts.groupBy("tote_key")
         .agg(F.min("tote_id").alias("tote_id"), F.array_sort(F.collect_set(spelt)).alias("spelt"))
+        .select("tote_key", "tote_id", one_spelling("spelt").alias("zones"))
     )
-    origroute = F.array_join(one_spelling("spelt"), fixed.DELIMITER)
-    return planned_routes(sets.select("tote_key", "tote_id", origroute.alias("origroute"))).select(*_ROUTES)
+
+
+def counted_routes(counts: DataFrame) -> DataFrame:
+    """The planned route of each tote with lines left."""
+    return planned_routes(tote_routes(counted_zone_sets(counts))).select(*_ROUTES)
 
 
 class IncrementalPlanner:
@@ -86,7 +89,7 @@ class IncrementalPlanner:
         self._settings, self.counts = settings, ZoneCounts(spark, root, parts)
         self._zones = ZoneLookup(warehouse, settings.skew)
         self._hot: HotKeys = hot_items(warehouse, settings.states, settings.skew)["inventory_key"]
-        self._items = open_items(warehouse).distinct()
+        self._items = open_items(warehouse)
         self._picks = warehouse.trans.filter(F.col("tran_type") == fixed.PICK).select("tran_id").distinct()
 
     def _by_tote(self, changes: DataFrame) -> DataFrame:
@@ -105,7 +108,8 @@ class IncrementalPlanner:
             .groupBy("inventory_key", "zone", "spread")
             .agg(F.sum("n").alias("n"))
         )
-        joined = spread_join(self._items, by_order, "inventory_key", "inner", self._hot)
+        # An item that is listed twice counts once.
+        joined = spread_join(self._items, by_order, "inventory_key", "inner", self._hot).distinct()
         own = spread_zone(F.col("tote_key"), self._settings.random_mode)
         zone = F.when(F.col("spread"), own).otherwise(F.col("zone"))
         return joined.groupBy("tote_key", "tote_id", zone.alias("zone")).agg(F.sum("n").alias("n"))
@@ -143,6 +147,10 @@ class IncrementalPlanner:
         """The planned routes of all totes, without looking at lines, items or zones."""
         return counted_routes(self.counts.rows(self.counts.newest()))
 
+    def zone_sets(self) -> DataFrame:
+        """The zones of all totes, for a ``RoutingRun`` that does not plan them itself."""
+        return counted_zone_sets(self.counts.rows(self.counts.newest()))
+
 
 def follow_changes(
     spark: SparkSession,
