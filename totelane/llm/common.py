@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -47,6 +47,21 @@ def prepare(spark: SparkSession) -> None:
     context._totelane_shipped = True
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, forget: Callable[[], None]) -> None:
+    """In a task: remember how to free what the operator ``name`` keeps for later tasks."""
+    _held[name] = forget
+
+
+def only(name: str) -> None:
+    """At the start of a task: Python workers serve one stage after the other, so what other
+    operators keep is freed."""
+    for other in [x for x in _held if x != name]:
+        _held.pop(other)()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -10,14 +10,15 @@ letters, marks or digits are encoded whole.
 
 from __future__ import annotations
 
-import json
 import re
 from functools import lru_cache
 
 import numpy as np
 
+from totelane.llm.common import hold, only
+
 #: Encoded chunks that a Python worker remembers; half of them are kept when it starts anew.
-REMEMBERED = 1_600_000
+REMEMBERED = 600_000
 _AT_ONCE = 500
 _MARK = "\x01"
 _PUNCTUATION = bytes(code for code in range(33, 127) if not chr(code).isalnum())
@@ -36,17 +37,6 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _lean(path: str):
-    """The tokenizer for words of plain lower-case letters with a blank between."""
-    from tokenizers import Tokenizer
-
-    with open(path, encoding="utf-8") as file:
-        parts = json.load(file)
-    steps = parts["pre_tokenizer"]["pretokenizers"]
-    steps[0] = {"type": "WhitespaceSplit"}
-    return Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "added_tokens": []}))
-
-
 def _is_plain(word: bytes) -> bool:
     try:
         return _PLAIN.fullmatch(word.decode()) is not None
@@ -67,9 +57,17 @@ class Encoder:
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         self._remembered = remembered
-        from tokenizers import Tokenizer
-
-        self._tokenizer, self._lean = Tokenizer.from_file(path), _lean(path)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self._tokenizer = Tokenizer.from_file(path)
+        #: The same model for words of plain lower-case letters with a blank between.
+        self._lean = Tokenizer(self._tokenizer.model)
+        self._lean.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype("<u4" if max(vocabulary.values()) >> 16 else "<u2")
         self._ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -158,6 +156,13 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
-    """One encoder per Python worker, vocabulary and number of chunks to remember."""
+def _encoder(path: str, remembered: int) -> Encoder:
     return Encoder(path, remembered)
+
+
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    """One encoder per Python worker, vocabulary and number of chunks to remember, until the
+    worker runs a task of another operator."""
+    only("tokens")
+    hold("tokens", _encoder.cache_clear)
+    return _encoder(path, remembered)

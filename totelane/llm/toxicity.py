@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from totelane.llm.common import as_bytes, entries, slices
+from totelane.llm.common import as_bytes, entries, only, slices
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
@@ -132,6 +132,7 @@ def mentions(text: bytes) -> list[bytes]:
 
 
 def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    only("toxicity")
     for batch in slices(batches, "text", _AT_ONCE):
         texts = as_bytes(batch.column("text"))
         sets = [b" ".join(sorted(set(words_of(x)))) for x in texts]
@@ -282,6 +283,7 @@ def train(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> Mode
 
 def _scorer(model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("toxicity")
         scorer = Scorer(model)
         for batch in slices(batches, "text", _AT_ONCE):
             found = scorer.scores(as_bytes(batch.column("text")))
@@ -324,6 +326,7 @@ def clean_rows(
     model = train(entries(docs, id_col, text_col), labels)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("toxicity")
         scorer = Scorer(model)
         for batch in slices(batches, text_col, _AT_ONCE):
             texts = [x or b"" for x in as_bytes(batch.column(text_col))]
