@@ -32,6 +32,8 @@ from totelane.llm.crc32c import crc32c, masked
 from totelane.session import shared_folder
 
 _AT_ONCE = 1 << 21
+#: Encoded chunks to remember: sorted by id, texts of a task have little in common.
+_REMEMBERED = 1_600_000
 _HEAD, _FOOT, _PREFIX = 12, 4, 10
 _INDEX = "file string, part int, place long, doc_id long, offset long, length long, before long, n_tokens long"
 _READ = "part int, doc_id long, before long, n_tokens long, ids_crc32 long, ids binary"
@@ -84,7 +86,7 @@ def _writer(folder: str, path: str, end_id: int):
         files, root = pa.fs.FileSystem.from_uri(folder)
         part = TaskContext.get().partitionId()
         name = f"part-{part:05d}-{uuid.uuid4().hex}.rec"
-        encode, schema = tokens.encoder(path).encode, _schema(_INDEX)
+        encode, schema = tokens.encoder(path, _REMEMBERED).encode, _schema(_INDEX)
         out, place, offset, before = None, 0, 0, 0
         for batch in slices(batches, "text", _AT_ONCE):
             ids = encode(as_bytes(batch.column("text")), end_id)
