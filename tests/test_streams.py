@@ -99,6 +99,33 @@ def test_routes_last_an_hour_and_do_not_depend_on_batches(routed):
     assert routed(seen[:4], seen[4:8], seen[8:]) == want
 
 
+def test_a_sighting_at_the_very_end_of_a_route_is_a_stop(routed):
+    micro = timedelta(microseconds=1)
+    seen = [("A", "FB", at(1)), ("A", "CC", at(2)), ("B", "FB", at(1)), ("B", "CC", at(2) + micro)]
+    assert routed(seen[:1], seen[1:], seen) == {
+        ("A", "CC-FB", at(1), at(2)),
+        ("B", "FB", at(1), at(2)),
+        ("B", "CC", at(2) + micro, at(3) + micro),
+    }
+
+
+def test_sightings_that_are_too_late_count_no_more(routed):
+    # The watermark is at three o'clock. What is later than that is dropped, by little or much.
+    assert routed([("A", "FB", at(6))], [("A", "CC", at(2, 30)), ("A", "HB", at(4))]) == {
+        ("A", "HB", at(4), at(5)),
+        ("A", "FB", at(6), at(7)),
+    }
+
+
+def test_sightings_become_routes_without_python_in_the_stream(spark, folder):
+    source = folder("sightings")
+    put(spark, source, [("A", "FB", at(1))], sessions.SIGHTINGS)
+    sightings = spark.readStream.schema(sessions.SIGHTINGS).parquet(source)
+    plan = sessions.route_sessions(sightings, "3 hours")._jdf.queryExecution().analyzed().toString()
+    assert "SessionWindow" in plan or "session_window" in plan
+    assert "TransformWithState" not in plan and "Python" not in plan
+
+
 @pytest.fixture
 def lines(warehouse):
     def make(details):
