@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -181,6 +182,30 @@ def test_increments_equal_one_batch_and_touch_their_totes_only(spark, lines, fol
         planner.add(spark.createDataFrame([(1, "O1", "1UA-1", -1)], increments.CHANGES), 9, out)
 
 
+def test_items_and_picks_are_worked_out_once_for_all_batches(spark, lines, folder):
+    worked_out = spark.sparkContext.accumulator(0)
+
+    def counted(name):
+        worked_out.add(1)
+        return name
+
+    wh = lines([])
+    count = F.udf(counted).asNondeterministic()
+    wh = replace(
+        wh,
+        tote_detail=wh.tote_detail.coalesce(1).withColumn("tote_id", count("tote_id")),
+        trans=wh.trans.coalesce(1).withColumn("tran_type", count("tran_type")),
+    )
+    planner = increments.IncrementalPlanner(wh, SETTINGS, folder("counts"))
+    made = worked_out.value
+    assert made > 0
+    for batch in range(2):
+        planner.add(spark.createDataFrame([(*x, 1) for x in START], increments.CHANGES), batch, folder("routes"))
+    assert worked_out.value == made
+    want = planned(lines, START)
+    assert as_set(planner.routes()) == want
+
+
 def test_changes_follow_a_folder_and_go_on_after_a_stop(spark, lines, folder):
     source, out, progress, root = (folder(x) for x in ("changes", "routes", "progress", "counts"))
     for part in (START[:3], START[3:]):

@@ -4,12 +4,14 @@ For each tote the store counts how many lines lead to each of its zones, so that
 taken away again. A batch of changes is summed up per order and zone, joined with the totes
 that hold the order, and added to the counts: only parts of the store with such totes are read
 and written, and only their routes are worked out anew. Items, pick transactions and zones are
-tables that stay as they are while the stream runs.
+tables that stay as they are while the stream runs; what batches need of them is written once,
+when the planner is made, and not worked out again for every batch.
 """
 
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +22,9 @@ from totelane.functions.locations import pick_location, spread_zone
 from totelane.functions.text import key
 from totelane.operators.measures import hot_items
 from totelane.operators.routes import one_spelling, planned_routes, tote_routes
-from totelane.operators.skew import HotKeys, spread_join
+from totelane.operators.skew import HotKeys, spread_join, together
 from totelane.operators.zones import ZoneLookup
-from totelane.session import durable
+from totelane.session import durable, durable_counted
 from totelane.settings import SINGLE, RouterSettings
 from totelane.sources.parts import Files, TakenError, parts_of
 from totelane.sources.state_store import PARTS, StaleSnapshotError
@@ -87,10 +89,17 @@ class IncrementalPlanner:
             raise ValueError("changed lines decide routes of open picks only")
         spark = warehouse.tote_detail.sparkSession
         self._settings, self.counts = settings, ZoneCounts(spark, root, parts)
-        self._zones = ZoneLookup(warehouse, settings.skew)
-        self._hot: HotKeys = hot_items(warehouse, settings.states, settings.skew)["inventory_key"]
-        self._items = open_items(warehouse)
-        self._picks = warehouse.trans.filter(F.col("tran_type") == fixed.PICK).select("tran_id").distinct()
+        picks = warehouse.trans.filter(F.col("tran_type") == fixed.PICK).select("tran_id").distinct()
+        # An item that is listed twice counts once.
+        items = open_items(warehouse).select("tote_key", "tote_id", "inventory_key").distinct()
+        self._zones, self._picks, self._items = together(
+            spark,
+            lambda: ZoneLookup(warehouse, settings.skew),
+            lambda: durable(picks),
+            lambda: durable(items),
+        )
+        listed = replace(warehouse, tote_detail=self._items)
+        self._hot: HotKeys = hot_items(listed, settings.states, settings.skew)["inventory_key"]
 
     def _by_tote(self, changes: DataFrame) -> DataFrame:
         """What the changes add to the counts of the totes they concern."""
@@ -108,8 +117,7 @@ class IncrementalPlanner:
             .groupBy("inventory_key", "zone", "spread")
             .agg(F.sum("n").alias("n"))
         )
-        # An item that is listed twice counts once.
-        joined = spread_join(self._items, by_order, "inventory_key", "inner", self._hot).distinct()
+        joined = spread_join(self._items, by_order, "inventory_key", "inner", self._hot)
         own = spread_zone(F.col("tote_key"), self._settings.random_mode)
         zone = F.when(F.col("spread"), own).otherwise(F.col("zone"))
         return joined.groupBy("tote_key", "tote_id", zone.alias("zone")).agg(F.sum("n").alias("n"))
@@ -124,13 +132,15 @@ class IncrementalPlanner:
         changed = parts_of(delta, "tote_key", before["parts"])
         stored = self.counts.rows(before, changed)
         totes = delta.select("tote_key").distinct()
-        rows = durable(
+        rows, found = durable_counted(
             stored.unionByName(delta)
             .groupBy("tote_key", "tote_id", "zone")
             .agg(F.sum("n").alias("n"))
-            .filter("n <> 0")
+            .filter("n <> 0"),
+            None,
+            F.count_if(F.col("n") < 0).alias("negative"),
         )
-        if not rows.filter("n < 0").isEmpty():
+        if found["negative"]:
             raise ValueError("more lines were taken away than there are")
         old = counted_routes(stored.join(totes, "tote_key", "left_semi"))
         new = counted_routes(rows.join(totes, "tote_key", "left_semi"))
