@@ -12,13 +12,18 @@ changes nothing. So each message of a run is there once, under its run and seque
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource
 
 from totelane.operators.dispatch import no_answers
+from totelane.sources.parts import Files
 
 FORMAT = "conveyor"
 MESSAGES = "run string, seq bigint, payload string"
+#: Messages that a task reads at a time.
+BATCH_ROWS = 10_000
 
 
 def register(spark: SparkSession) -> None:
@@ -26,26 +31,38 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(_conveyor())
 
 
+def _list_of(run: str) -> str:
+    """The name of the file that lists the messages of a run."""
+    return f"{uuid.uuid5(uuid.NAMESPACE_OID, run).hex}.json"
+
+
 def send(outbox: DataFrame, path: str, run: str) -> DataFrame:
-    """Write the outbox of a run; answers come later, so there are none yet."""
+    """Write the outbox of a run; answers come later, so there are none yet. A run whose list is
+    there is not written again."""
     register(outbox.sparkSession)
-    outbox.write.format(FORMAT).mode("append").option("run", run).save(path)
+    if _list_of(run) in Files(outbox.sparkSession, path).names("runs"):
+        return no_answers(outbox)
+    outbox.select("seq", "payload").write.format(FORMAT).mode("append").option("run", run).save(path)
     return no_answers(outbox)
 
 
 def _conveyor() -> type[DataSource]:
     # Local classes travel whole to executors that do not have this package.
+    import io
     import json
     import uuid
     from dataclasses import dataclass
+    from itertools import islice
 
     from pyspark.sql.datasource import (
+        DataSourceArrowWriter,
         DataSourceReader,
-        DataSourceWriter,
         InputPartition,
         WriterCommitMessage,
     )
 
+    batch_rows = BATCH_ROWS
+
     def opened(path: str):
         from pyarrow import fs
 
@@ -62,7 +79,7 @@ def _conveyor() -> type[DataSource]:
         file: str | None
         rows: int
 
-    class Writer(DataSourceWriter):
+    class Writer(DataSourceArrowWriter):
         def __init__(self, path: str, run: str, columns: list[str]):
             self.path, self.run, self.columns = path, run, columns
 
@@ -73,13 +90,16 @@ def _conveyor() -> type[DataSource]:
             files, root = opened(self.path)
             name, rows, out = f"{uuid.uuid4().hex}.jsonl", 0, None
             seq, payload = (self.columns.index(x) for x in ("seq", "payload"))
-            for row in iterator:
+            for batch in iterator:
+                if not batch.num_rows:
+                    continue
                 if out is None:
                     files.create_dir(f"{root}/messages")
                     out = files.open_output_stream(f"{root}/messages/{name}", compression=None)
-                line = {"run": self.run, "seq": row[seq], "payload": row[payload]}
-                out.write((json.dumps(line) + "\n").encode())
-                rows += 1
+                sent = zip(batch.column(seq).to_pylist(), batch.column(payload).to_pylist())
+                lines = (json.dumps({"run": self.run, "seq": n, "payload": text}) for n, text in sent)
+                out.write(("\n".join(lines) + "\n").encode())
+                rows += batch.num_rows
             if out is not None:
                 out.close()
             return Written(name if rows else None, rows)
@@ -120,11 +140,17 @@ def _conveyor() -> type[DataSource]:
         def read(self, partition):
             if partition is None:  # nothing was written
                 return
+            import pyarrow as pa
+
             files, root = opened(self.path)
+            columns = {"run": pa.string(), "seq": pa.int64(), "payload": pa.string()}
             with files.open_input_stream(f"{root}/messages/{partition.value}", compression=None) as source:
-                for line in source.read().splitlines():
-                    row = json.loads(line)
-                    yield row["run"], row["seq"], row["payload"]
+                lines = io.BufferedReader(source, 1 << 20)
+                while some := list(islice(lines, batch_rows)):
+                    rows = json.loads(b"[" + b",".join(some) + b"]")
+                    yield pa.record_batch(
+                        {name: pa.array([x[name] for x in rows], kind) for name, kind in columns.items()}
+                    )
 
     class Conveyor(DataSource):
         @classmethod
