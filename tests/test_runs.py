@@ -493,3 +493,25 @@ def test_a_piece_counts_when_it_is_whole(spark, lines_of, folder, monkeypatch):
 @pytest.fixture
 def lines_of(warehouse):
     return lambda location: warehouse(trans_detail=[(1, "O1", location)])
+
+
+def test_items_are_worked_out_once_for_the_measures_and_the_plan(spark, warehouse):
+    worked_out = spark.sparkContext.accumulator(0)
+
+    def counted(name):
+        worked_out.add(1)
+        return name
+
+    wh = warehouse(
+        tote_detail=[("T1", "O1"), ("T2", "O1"), (None, "O1")],
+        trans=[(1, "pick", None, None, None)],
+        trans_detail=[(1, "O1", "1UA-1")],
+    )
+    count = F.udf(counted).asNondeterministic()
+    wh = replace(wh, tote_detail=wh.tote_detail.withColumn("tote_id", count("tote_id")))
+    run = RoutingRun(wh, None, RouterSettings(AS_OF))
+    assert run.measures.items == {"inventory_key": []}
+    made = worked_out.value
+    assert made > 0
+    assert {(row["tote_key"], row["route"]) for row in run.preroutes.collect()} == {("T1", "FB"), ("T2", "FB")}
+    assert worked_out.value == made
