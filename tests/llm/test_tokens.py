@@ -56,3 +56,33 @@ def test_remembered_chunks_stay_right_when_memory_starts_anew():
         text = " ".join(words[start : start + 100])
         found = encoder.encode([text.encode()], 2)[0].tolist()
         assert found == plain.token_ids([text], 2)[0].tolist()
+
+
+def test_a_chunk_is_looked_up_once_for_all_places_where_it_stands():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            Counted.asked += 1
+            return super().get(key)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    texts = ["word again, word " * 500, "again, " * 700, ""]
+    encoder = tokens.Encoder(tokens.word_bpe())
+    encoder._known = Counted()
+    found = encoder.encode([x.encode() for x in texts], 2)
+    assert [x.tolist() for x in found] == [x.tolist() for x in plain.token_ids(texts, 2)]
+    assert Counted.asked < 20
+
+
+def test_white_space_around_and_between_and_texts_without_words():
+    _same(["", " ", "\t\n\x0b\x0c\r ", "  a\x0bb  c\r\n", "a\x1cb", "a\x85b　c d", "", "é ü\ta"])
+    assert tokens.Encoder(tokens.word_bpe()).encode([], 2) == []
+
+
+def test_bytes_that_are_no_text_count_as_replacement_characters():
+    found = tokens.Encoder(tokens.word_bpe()).encode([b"ab\xe9, \xff\xfe x"], 2)[0]
+    assert found.tolist() == plain.token_ids(["ab�, �� x"], 2)[0].tolist()

@@ -33,7 +33,7 @@ from totelane.session import shared_folder
 
 _AT_ONCE = 1 << 21
 #: Encoded chunks to remember: sorted by id, texts of a task have little in common.
-_REMEMBERED = 1_600_000
+_REMEMBERED = 1_200_000
 _HEAD, _FOOT, _PREFIX = 12, 4, 10
 _INDEX = "file string, part int, place long, doc_id long, offset long, length long, before long, n_tokens long"
 _READ = "part int, doc_id long, before long, n_tokens long, ids_crc32 long, ids binary"
