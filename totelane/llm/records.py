@@ -31,7 +31,7 @@ from totelane.llm.common import as_bytes, entries, record_batch, shuffle_partiti
 from totelane.llm.crc32c import crc32c, masked
 from totelane.session import shared_folder
 
-_AT_ONCE = 1 << 21
+_AT_ONCE = 1 << 22
 #: Encoded chunks to remember: sorted by id, texts of a task have little in common.
 _REMEMBERED = 1_200_000
 _HEAD, _FOOT, _PREFIX = 12, 4, 10
