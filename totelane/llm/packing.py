@@ -33,7 +33,7 @@ from totelane.session import durable
 CAPACITY = 2048
 #: Pieces that one task packs together.
 PIECES_AT_ONCE = 50_000
-_TEXT_AT_ONCE = 1 << 21
+_TEXT_AT_ONCE = 1 << 20
 _PIECE = "at bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _PACKED = f"{_PIECE}, sequence_id bigint, offset bigint, closed boolean"
 
