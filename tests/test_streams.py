@@ -286,3 +286,91 @@ def test_answers_meet_their_messages_and_mark_routes_as_they_come(spark, stored,
         7: None, 8: "COMPLETION_UNANSWERED",
     }
     assert store.latest().state.agg(F.max("routed_date")).first()[0] == AS_OF
+
+
+def _random_conversation(draw):
+    """Messages and answers of some hours with copies, gaps, odd totes and late rows."""
+
+    def minute(hour, spread):
+        return None if draw.random() < 0.05 else at(hour, draw.randint(-spread, 60))
+
+    def tote():
+        return draw.choice([None, "", " ", "T1", " t1", "T2", "t2 ", "T3"])
+
+    ids = [None, 1, 2, 3]
+    for hour in (2, 4, 6):
+        sent = [(draw.randint(1, 99), "ROUTE", draw.choice(ids), tote(), minute(hour, 90)) for _ in range(25)]
+        told = [
+            (one[2], one[3], draw.choice([201, 500, None]), one[4] and one[4] + timedelta(minutes=draw.randint(-1, 32)))
+            for one in draw.sample(sent, 20)
+        ]
+        yield [*sent, *sent[:2]], [*told, *told[:2], (draw.choice(ids), tote(), 201, minute(hour, 90))]
+    yield [(None, None, None, None, END)], [(None, "", None, END)]
+
+
+def _met_by_hand(batches, limit, delay):
+    """Every message in time with its answers in time, or with none, pair by pair."""
+    sent, told, watermark = [], [], datetime(1970, 1, 1)
+    for new in batches:
+        sent += [x for x in new[0] if x[4] is not None and x[4] > watermark]
+        told += [x for x in new[1] if x[1] is not None and x[3] is not None and x[3] > watermark]
+        latest = min(max(row[-1] for row in rows) for rows in (sent, told))
+        watermark = max(watermark, latest - delay)
+
+    def of(row, tote):
+        name = "" if row is None else str(row)
+        return name if tote is None else f"{name}/{tote.strip().upper()}"
+
+    found = []
+    for one in sent:
+        met = [
+            (x[2], x[3]) for x in told
+            if of(x[0], x[1]) == of(one[2], one[3]) and one[4] <= x[3] <= one[4] + limit
+        ]
+        if met or one[4] < END:
+            found += [(*one, *x) for x in met or [(None, None)]]
+    return sorted(found, key=str)
+
+
+@pytest.mark.parametrize("pieces", [1, 32])
+def test_messages_and_answers_wait_in_files(spark, stored, folder, monkeypatch, pieces):
+    monkeypatch.setattr(answers, "PIECES", pieces)
+    root, out, progress = folder("store"), folder("outcomes"), folder("progress")
+    messages, heard = folder("messages"), folder("answers")
+    store = StateStore(spark, root)
+    import_state(store, stored((1, "T1", "FB", 3, 0, None), (2, "T1", "FB", 3, 0, None)), SETTINGS)
+    batches = list(_random_conversation(random.Random(7)))
+    for sent, told in batches:
+        put(spark, messages, sent, answers.MESSAGES)
+        put(spark, heard, told, answers.ANSWERS)
+        query = answers.follow_answers(
+            spark, messages, heard, root, out, progress, SETTINGS, "30 MINUTES", "1 hour"
+        )
+        work_off(query)
+        # Nothing waits in the memory of the executors.
+        assert query.lastProgress["stateOperators"] == []
+    got = [tuple(row)[:7] for row in spark.read.schema(answers.OUTCOMES).parquet(out).collect()]
+    want = _met_by_hand(batches, timedelta(minutes=30), timedelta(hours=1))
+    assert sorted(got, key=str) == want
+    assert any(row[5] is None and row[6] is None for row in got) and any(row[5] for row in got)
+
+
+def test_a_repeated_batch_of_answers_does_the_same_again(spark, folder):
+    waiting = answers.Waiting(spark, folder("waiting"), "30 MINUTES", "1 hour")
+    batches = list(_random_conversation(random.Random(8)))
+
+    def add(n):
+        sent, told = (
+            spark.createDataFrame(rows, schema)
+            for rows, schema in zip(batches[n], (answers.MESSAGES, answers.ANSWERS))
+        )
+        out = folder("outcomes")
+        waiting.add(answers.arrivals(sent, told), n, out)
+        rows = spark.read.schema(answers.OUTCOMES).parquet(out).collect()
+        return sorted((tuple(row) for row in rows), key=str)
+
+    for n in range(len(batches)):
+        once = add(n)
+        assert add(n) == once and (once or n == 0)
+    with pytest.raises(ValueError, match="not known"):
+        answers.Waiting(spark, folder("other"), "30 MINUTES", "1 hour").add(None, 1, folder("outcomes"))

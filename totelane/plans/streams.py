@@ -165,12 +165,12 @@ def _answer_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, StateSt
     folder = new_folder(spark)
     run = _run(spark, sf_dir)
     sent_at = moment(testdata.AS_OF) + F.make_dt_interval(secs=F.col("seq") % 3600)
-    outbox = durable(
-        run.outbox.select("seq", "kind", "id", "tote_id", sent_at.cast("timestamp").alias("sent_at"))
+    outbox = run.outbox.select(
+        "seq", "kind", "id", "tote_id", sent_at.cast("timestamp").alias("sent_at")
     )
-    told = durable(_timed_answers(outbox))
+    told = _timed_answers(outbox)
     store = StateStore(spark, f"{folder}/store")
-    import_state(store, run.next_state, SETTINGS)
+    import_state(store, durable(run.next_state), SETTINGS)
     sent, heard = f"{folder}/messages", f"{folder}/answers"
 
     def start() -> StreamingQuery:
